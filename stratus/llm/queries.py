@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from stratus.llm.packing import op4_cost_balanced_packing
 from stratus.llm.sharding import op1_virtual_slots
+from stratus.llm.simhash import op6_multi_index_simhash
 
 
 def queries() -> dict:
-    return {"op1_virtual_slots": op1_virtual_slots}
+    named = [op1_virtual_slots, op4_cost_balanced_packing, op6_multi_index_simhash]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
