@@ -125,6 +125,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return fps.join(of_class, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+BROADCAST_IDS = 1_000_000
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows whose key is the smallest of its component, with all their columns; rows without a key stay.
+
+    The keys to drop are broadcast while they are at most BROADCAST_IDS (counted); beyond that both sides are shuffled by key.
+    """
+    surplus = cut_lineage(near_duplicates(docs, key, text).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
+    surplus = F.broadcast(surplus) if surplus.count() <= BROADCAST_IDS else surplus.hint("shuffle_hash")
+    return docs.join(surplus, key, "left_anti")
+
+
 def op6_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
