@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from stratus.plans import climate_queries, metric_queries, quality_queries, summary_queries  # noqa: F401  they register their queries
+from stratus.plans.registry import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
