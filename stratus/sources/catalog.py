@@ -10,7 +10,7 @@ from stratus.regions import model, region
 
 
 def list_files(spark: SparkSession, path: str, name: str = "NorESM2-LM", glob: str = "*.nc") -> DataFrame:
-    """path, size, and what the model's file pattern tells: variable, scenario, year, version, ensemble, grid."""
+    """path, size, and what the model's file pattern tells: variable, scenario, year, version, ensemble, grid. Empty files are not listed."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path", F.col("length").alias("size"))
     return with_metadata(found, name)
 
