@@ -8,8 +8,9 @@ complete distance is verified all the same.
 
 Scale: texts with equal fingerprints are one class before anything is linked, so thousands of copies cost one index row. A
 point lies within one bit of at most 65 distinct fingerprints, so no bucket can grow hot, whatever the groups in the data,
-and each point links its members to the smallest of them instead of emitting pairs. Components come from alternating
-large-star and small-star rounds on Spark, checkpointed; nothing is collected.
+and each point links its members to the smallest of them instead of emitting pairs. Components come from rounds of union-find within
+bounded partitions and large-star and small-star steps across them, checkpointed; nothing is collected. Classes with more
+copies than a HOT_CLASSES-th of all rows, so at most HOT_CLASSES of them, reach their documents by broadcast, all others by a shuffle.
 
 Edge cases: a null or wordless text has fingerprint zero and links like any other; fewer than three words make one shingle of all
 of them; repeated rows share a component; a null doc_id can't be a component's id, and a component without any other id has null;
@@ -18,9 +19,11 @@ an empty table gives an empty result. Columns besides the key and the text are n
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,8 @@ SEGMENTS = 4
 SEED = 42
 SHINGLE = 3
 DISTANCE = 2
+PART_EDGES = 200_000
+HOT_CLASSES = 500
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -85,8 +90,44 @@ def links(classes: DataFrame) -> DataFrame:
     return verified.select("a", F.col("fp").alias("b")).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node, root: the smallest node that each node of the edges (a, b) reaches, by alternating large-star and small-star."""
+def _contracted(edges: DataFrame, parts: int) -> DataFrame:
+    """The edges of each of `parts` even partitions as stars around their components' smallest nodes, by union-find in the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            top = x
+            while (up := parent.setdefault(top, top)) != top:
+                top = up
+            while x != top:
+                parent[x], x = top, parent[x]
+            return top
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = find(a), find(b)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        stars = [(x, r) for x in list(parent) if (r := find(x)) != x]
+        yield pa.record_batch([pa.array([x for x, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())], names=["a", "b"])
+
+    return edges.select("a", "b").repartition(parts).mapInArrow(run, "a bigint, b bigint")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two roots, and no root has one."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(edges.select("b", F.lit(0), F.lit(1)))
+    odd = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or (out > 0 and into > 0)")
+    return odd.isEmpty()
+
+
+def components(edges: DataFrame, max_rounds: int = 60, part_edges: int = PART_EDGES) -> DataFrame:
+    """node, root: the smallest node that each node of the edges (a, b) reaches.
+
+    Each round contracts partitions of about part_edges edges by themselves, and then joins what they found by a large-star and a
+    small-star step, until only stars are left. Edges that fit one partition are done after the first contraction.
+    """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.union(e.select("b", "a")) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -98,15 +139,14 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             out = linked.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
-    def digest(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
     now = cut_lineage(edges.where("a <> b").select("a", "b"))
-    seen = digest(now)
     for _ in range(max_rounds):
-        now = cut_lineage(star(star(now, True), False))
-        was, seen = seen, digest(now)
-        if was == seen:
+        parts = max(1, -(-now.count() // part_edges))
+        if parts == 1:
+            now = cut_lineage(_contracted(now, 1))
+            break
+        now = cut_lineage(star(star(cut_lineage(_contracted(now, parts)), True), False))
+        if _settled(now):
             break
     else:
         raise RuntimeError("components did not settle")
@@ -116,13 +156,17 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the component)."""
     fps = cut_lineage(fingerprints(docs, key, text))
-    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     roots = components(links(classes.select("fp")))
     linked = classes.join(roots, F.col("fp") == F.col("node")).select("fp", "rep", "root")
     least = linked.groupBy("root").agg(F.min("rep").alias("least"))
     moved = linked.join(least, "root").select("fp", "least")
-    of_class = classes.join(moved, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id"))
-    return fps.join(of_class, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of_class = cut_lineage(classes.join(moved, "fp", "left").select("fp", "copies", F.coalesce("least", "rep").alias("component_id")))
+    limit = fps.count() // HOT_CLASSES
+    hot = F.broadcast(of_class.where(F.col("copies") > limit).drop("copies"))
+    rest = of_class.where(F.col("copies") <= limit).drop("copies")
+    placed = fps.join(hot, "fp").unionByName(fps.join(hot.select("fp"), "fp", "left_anti").join(rest, "fp"))
+    return placed.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 BROADCAST_IDS = 1_000_000

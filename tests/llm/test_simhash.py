@@ -64,7 +64,10 @@ def test_components_of_long_chains(spark):
     ids = list(range(200))
     random.Random(1).shuffle(ids)
     edges = spark.createDataFrame([(a, b) for a, b in zip(ids, ids[1:], strict=False)], "a bigint, b bigint")
-    assert {r.root for r in components(edges).collect()} == {0}
+    for part_edges in (10, 60, 10_000):
+        assert {r.root for r in components(edges, part_edges=part_edges).collect()} == {0}
+    two = spark.createDataFrame([(5, 9), (9, 7), (1, 2), (2, 1), (3, 3)], "a bigint, b bigint")
+    assert sorted((r.node, r.root) for r in components(two, part_edges=1).collect()) == [(1, 1), (2, 1), (5, 5), (7, 5), (9, 5)]
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
