@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from stratus.plans.catalogue import queries
 
-HEADLINE = ("daily_climatology", "climate_normal", "hybrid_normal", "planned_normals", "annual_mean_temp", "growing_degree_days", "annual_precip", "hot_days_p90", "cold_days_p5", "wet_days_p95", "all_metrics", "metrics_wide", "box_stats", "box_percentiles", "banded_quantiles", "seasonal_means", "yoy_extremes", "monotonic", "issue_counts", "precip_patterns", "outliers_iqr", "outliers_zscore", "outliers_modz", "outlier_findings", "scenario_change", "histogram", "task_status", "year_coverage", "zonal_mean", "box_join")
+HEADLINE = ("daily_climatology", "climate_normal", "hybrid_normal", "planned_normals", "annual_mean_temp", "growing_degree_days", "annual_precip", "hot_days_p90", "cold_days_p5", "wet_days_p95", "all_metrics", "metrics_wide", "box_stats", "box_percentiles", "exact_quantiles", "seasonal_means", "yoy_extremes", "monotonic", "issue_counts", "precip_patterns", "outliers_iqr", "outliers_zscore", "outliers_modz", "outlier_findings", "scenario_change", "histogram", "task_status", "year_coverage", "zonal_mean", "box_join")
 
 
 def main() -> None:

@@ -43,16 +43,18 @@ def exploded_targets(df: DataFrame, window: int = WINDOW, first: int | None = No
     return df.where(start <= end).withColumn("target_year", F.explode(F.sequence(start, end)))
 
 
-def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_YEARS, keys: tuple[str, ...] = ("variable",), first: int | None = None, last: int | None = None) -> DataFrame:
+def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_YEARS, keys: tuple[str, ...] = ("variable",), first: int | None = None, last: int | None = None, readings: DataFrame | None = None) -> DataFrame:
     """Mean over the years of each trailing window, every year weighing the same, where at least min_years hold data.
 
     The year count is a property of the window, so it comes from the distinct (keys, year) pairs, a few rows, and not from a
-    distinct count over cells and days.
+    distinct count over cells and days. The pairs are taken from `readings` where the rows that daily was made of are at hand, which
+    spares the daily aggregation a second time.
     """
-    years = exploded_targets(daily.select(*keys, "year").distinct(), window, first, last)
+    pairs = (daily if readings is None else readings).select(*keys, "year").distinct()
+    years = exploded_targets(pairs, window, first, last)
     enough = years.groupBy(*keys, "target_year").agg(F.count("*").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
     means = exploded_targets(daily, window, first, last).groupBy(*keys, "target_year", "doy", "lat", "lon").agg(F.avg("value").alias("value"))
-    return means.join(enough, [*keys, "target_year"])
+    return means.join(F.broadcast(enough), [*keys, "target_year"])
 
 
 def hybrid_rows(df: DataFrame, hist_end: int = HISTORICAL_END, projection: str = "ssp245") -> DataFrame:
@@ -96,7 +98,7 @@ def frame_source(period_type: Column, year: Column, hist_end: int = HISTORICAL_E
     return (period_type == "historical") | ((period_type == "hybrid") & (year <= hist_end))
 
 
-def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YEARS, hist_end: int = HISTORICAL_END) -> DataFrame:
+def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YEARS, hist_end: int = HISTORICAL_END, readings: DataFrame | None = None) -> DataFrame:
     """Normals of all planned windows in one pass; daily has variable, scenario, year, doy, lat, lon, value.
 
     The plan has a few hundred rows and is broadcast as (year, source scenario) pairs.
@@ -104,8 +106,8 @@ def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YE
     years = plan.select("scenario", "period_type", "target_year", F.explode(F.sequence("start_year", "end_year")).alias("year"))
     source = F.when(frame_source(F.col("period_type"), F.col("year"), hist_end), "historical").otherwise(F.col("scenario"))
     pairs = years.select(F.col("scenario").alias("plan_scenario"), "period_type", "target_year", "year", source.alias("scenario"))
-    present = daily.select("variable", "scenario", "year").distinct().join(F.broadcast(pairs), ["scenario", "year"])
+    present = (daily if readings is None else readings).select("variable", "scenario", "year").distinct().join(F.broadcast(pairs), ["scenario", "year"])
     keys = ["variable", "plan_scenario", "period_type", "target_year"]
     enough = present.groupBy(*keys).agg(F.count_distinct("year").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
     means = daily.join(F.broadcast(pairs), ["scenario", "year"]).groupBy(*keys, "doy", "lat", "lon").agg(F.avg("value").alias("value"))
-    return means.join(enough, keys).withColumnRenamed("plan_scenario", "scenario")
+    return means.join(F.broadcast(enough), keys).withColumnRenamed("plan_scenario", "scenario")

@@ -1,8 +1,8 @@
 """Annual indicators by cell and their means by county, described as data.
 
 A metric is a column transform, a reduction over the days of a cell and, for day counts, a global quantile with a
-comparison. All metrics of a table are computed in one aggregation by cell and one by county; the quantiles of all of them are one
-row that is attached to every reading.
+comparison. All metrics of a table are computed in one aggregation by cell and one by county, against quantiles that
+were found exactly beforehand in a few shared passes.
 """
 
 from __future__ import annotations
@@ -56,51 +56,63 @@ def available(variable: str) -> list[str]:
     return [m.name for m in METRICS.values() if m.variable == variable]
 
 
-def thresholds(df: DataFrame, metrics: list[Metric], approx: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
-    """One row (or one a key) with the quantile of each day-count metric, linear between neighbours.
-
-    approx takes Spark's sketch instead of the exact quantile, which keeps every distinct value of its group; banded_quantile()
-    is exact at any size.
-    """
-    quantile = F.percentile_approx if approx else F.percentile
-    wanted = {m.threshold: m for m in metrics if m.q is not None}
-    return df.groupBy(*keys).agg(*[quantile(F.col(m.variable), F.lit(m.q)).alias(name) for name, m in wanted.items()])
-
-
 BAND_ROWS = 100_000
+SKETCH_ERROR = 0.001
 
 
-def banded_quantile(df: DataFrame, column: str, q: float, error: float = 0.001) -> float | None:
-    """Exact quantile, linear between neighbours, of a table of any size.
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """Exact quantiles (name: column, q), linear between neighbours, of a table of any size; NULL for a column without values.
 
-    A sketch narrows a band of values around the rank, pass by pass, until it holds at most BAND_ROWS rows or one value; only then do
-    its distinct values come to the driver. Two to four passes serve any practical size.
+    For each quantile a band of values around its rank is narrowed by sketches until it holds at most BAND_ROWS rows or one value;
+    all quantiles share each pass. Then the distinct values of the bands, and only they, come to the driver. Two to four passes
+    serve any practical size, while a percentile aggregate would keep every distinct value of the table in one task.
     """
-    values = df.select(F.col(column).alias("v")).where("v is not null")
-    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
-    if not n:
-        return None
-    rank, below, held = q * (n - 1), 0, n
-    lower = int(rank)
-    while held > BAND_ROWS and low < high:
-        band = values.where(F.col("v").between(low, high))
-        share = [min(1.0, max(0.0, (lower - below) / held + d)) for d in (-2 * error, 2 * error)]
-        a, b = band.agg(F.percentile_approx("v", F.array(*map(F.lit, share)), int(1 / error))).first()[0]
-        less, inside = band.agg(F.count_if(F.col("v") < a), F.count_if(F.col("v").between(a, b))).first()
-        if not below + less <= lower < below + less + inside or inside == held:
-            break
-        low, high, below, held = a, b, below + less, inside
-    got: list[float] = []
-    at = below
-    for r in values.where(F.col("v").between(low, high)).groupBy("v").agg(F.count("*").alias("n")).orderBy("v").toLocalIterator():
-        at += r["n"]
-        while len(got) < 2 and at > min(lower + len(got), n - 1):
-            got.append(r["v"])
-        if len(got) == 2:
-            break
-    if len(got) == 1:
-        got.append(values.where(F.col("v") > high).agg(F.min("v")).first()[0])
-    return got[0] + (got[1] - got[0]) * (rank - lower)
+    if not wanted:
+        return {}
+    cols = dict.fromkeys(c for c, _ in wanted.values())
+    first = df.agg(*[f(c).alias(f"{k}_{c}") for c in cols for k, f in (("n", F.count), ("a", F.min), ("b", F.max))]).first()
+    bands = {}
+    for name, (c, q) in wanted.items():
+        n = first[f"n_{c}"]
+        bands[name] = {"c": c, "n": n, "rank": q * (n - 1), "low": first[f"a_{c}"], "high": first[f"b_{c}"], "below": 0, "held": n, "done": n == 0}
+    while any(not b["done"] and b["held"] > BAND_ROWS and b["low"] < b["high"] for b in bands.values()):
+        open_ = {k: b for k, b in bands.items() if not b["done"] and b["held"] > BAND_ROWS and b["low"] < b["high"]}
+        cuts = []
+        for k, b in open_.items():
+            at = (int(b["rank"]) - b["below"]) / b["held"]
+            inside = F.when(F.col(b["c"]).between(b["low"], b["high"]), F.col(b["c"]))
+            cuts.append(F.percentile_approx(inside, F.array(*[F.lit(min(1.0, max(0.0, at + d))) for d in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)]), int(1 / SKETCH_ERROR)).alias(k))
+        new = df.agg(*cuts).first()
+        counts = df.agg(*[x for k, b in open_.items() for x in (F.count_if((F.col(b["c"]) >= b["low"]) & (F.col(b["c"]) < new[k][0])).alias(f"l_{k}"), F.count_if(F.col(b["c"]).between(*new[k])).alias(f"i_{k}"))]).first()
+        for k, b in open_.items():
+            less, inside = counts[f"l_{k}"], counts[f"i_{k}"]
+            if not b["below"] + less <= int(b["rank"]) < b["below"] + less + inside or inside == b["held"]:
+                b["done"] = True
+            else:
+                b |= {"low": new[k][0], "high": new[k][1], "below": b["below"] + less, "held": inside}
+    live = {k: b for k, b in bands.items() if b["n"]}
+    if not live:
+        return dict.fromkeys(wanted)
+    hits = F.array(*[F.when(F.col(b["c"]).between(b["low"], b["high"]), F.struct(F.lit(k).alias("k"), F.col(b["c"]).cast("double").alias("v"))) for k, b in live.items()])
+    beyond = [F.min(F.when(F.col(b["c"]) > b["high"], F.col(b["c"]))).alias(k) for k, b in live.items()]
+    held = df.select(F.explode(F.array_compact(hits)).alias("h")).groupBy("h.k", "h.v").agg(F.count("*").alias("n")).orderBy("k", "v").toLocalIterator()
+    at, got = {k: b["below"] for k, b in live.items()}, {k: [] for k in live}
+    for r in held:
+        b, found = live[r["k"]], got[r["k"]]
+        at[r["k"]] += r["n"]
+        while len(found) < 2 and at[r["k"]] > min(int(b["rank"]) + len(found), b["n"] - 1):
+            found.append(r["v"])
+    if any(len(v) == 1 for v in got.values()):
+        after = df.agg(*beyond).first()
+        for k, v in got.items():
+            if len(v) == 1:
+                v.append(float(after[k]))
+    return dict.fromkeys(wanted) | {k: v[0] + (v[1] - v[0]) * (live[k]["rank"] - int(live[k]["rank"])) for k, v in got.items()}
+
+
+def thresholds(df: DataFrame, metrics: list[Metric]) -> dict[str, float | None]:
+    """The exact global quantile of each day-count metric, by threshold name; runs the passes of exact_quantiles()."""
+    return exact_quantiles(df, {m.threshold: (m.variable, m.q) for m in metrics if m.q is not None})
 
 
 def in_metric_units(df: DataFrame) -> DataFrame:
@@ -120,16 +132,18 @@ def _reduced(m: Metric, nan_as_zero: bool) -> Column:
     return F.coalesce(out, F.lit(0)) if nan_as_zero and m.reduction in ("days", "gdd", "sum") else out
 
 
-def cell_metrics(df: DataFrame, names: list[str], keys: tuple[str, ...], approx: bool = False, nan_as_zero: bool = False) -> DataFrame:
+def cell_metrics(df: DataFrame, names: list[str], keys: tuple[str, ...], cuts: dict[str, float | None] | None = None, nan_as_zero: bool = False) -> DataFrame:
     """One row a cell (keys hold its coordinates) with a column for each metric, and each threshold used.
 
-    df is in metric units. A cell with only NULL has NULL metrics; nan_as_zero gives it zero sums and day counts instead.
+    df is in metric units. Thresholds are taken from `cuts` or found in df. A cell with only NULL has NULL metrics; nan_as_zero gives it
+    zero sums and day counts instead.
     """
     metrics = [METRICS[n] for n in names]
     used = list(dict.fromkeys(m.threshold for m in metrics if m.q is not None))
     if used:
-        df = df.crossJoin(F.broadcast(thresholds(df, metrics, approx)))
-    return df.groupBy(*keys).agg(*[_reduced(m, nan_as_zero).alias(m.name) for m in metrics], *[F.first(t).alias(t) for t in used])
+        cuts = thresholds(df, metrics) if cuts is None else cuts
+        df = df.withColumns({t: F.lit(cuts[t]).cast("double") for t in used})
+    return df.groupBy(*keys).agg(*[_reduced(m, nan_as_zero).alias(m.name) for m in metrics], *[F.lit(cuts[t]).cast("double").alias(t) for t in used])
 
 
 def county_metrics(cells: DataFrame, names: list[str], keys: tuple[str, ...]) -> DataFrame:

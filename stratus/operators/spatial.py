@@ -79,15 +79,28 @@ def _with_tile(cells: DataFrame, tile: float) -> DataFrame:
     return cells.withColumn("__tx", F.floor(F.col("lon") / tile).cast("int")).withColumn("__ty", F.floor(F.col("lat") / tile).cast("int"))
 
 
-def cells_in_counties(counties: DataFrame, cells: DataFrame, tile: float = TILE) -> DataFrame:
-    """geoid, lat, lon of each distinct cell centre inside a county.
+def legacy_points(cells: DataFrame) -> DataFrame:
+    """lat, lon, at_lat, at_lon: the point that stands for each cell where the mask runs from north to south and the outermost cell
+    centres count as the grid's edges. Kept for comparison with results that were made so."""
+    axes = cells.agg(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"))
+    i, j = F.array_position("lats", F.col("lat")) - 1, F.array_position("lons", F.col("lon")) - 1
+    y0, y1, x0, x1 = F.element_at("lats", 1), F.element_at("lats", -1), F.element_at("lons", 1), F.element_at("lons", -1)
+    points = cells.select("lat", "lon").distinct().crossJoin(F.broadcast(axes))
+    return points.select("lat", "lon", (y1 - (i + 0.5) * (y1 - y0) / F.size("lats")).alias("at_lat"), (x0 + (j + 0.5) * (x1 - x0) / F.size("lons")).alias("at_lon"))
+
+
+def cells_in_counties(counties: DataFrame, cells: DataFrame, tile: float = TILE, mask: str = "geographic") -> DataFrame:
+    """geoid, lat, lon of each distinct cell centre inside a county; mask legacy tests legacy_points() instead of the centres.
 
     Counties go to the integer tiles of their boxes, so the join is on equal tiles, and the exact test sees few pairs.
     """
-    b = F.col("bbox")
+    if mask not in ("geographic", "legacy"):
+        raise ValueError(f"unknown mask {mask}")
+    b, x, y = F.col("bbox"), F.col("at_lon"), F.col("at_lat")
+    points = legacy_points(cells) if mask == "legacy" else cells.select("lat", "lon", F.col("lat").alias("at_lat"), F.col("lon").alias("at_lon")).distinct()
     tiled = _tiled(counties.select("geoid", "rings", bbox(F.col("rings")).alias("bbox")), b["minx"], b["miny"], b["maxx"], b["maxy"], tile)
-    hits = _with_tile(cells.select("lat", "lon").distinct(), tile).join(tiled, ["__tx", "__ty"])
-    inside = F.col("lon").between(b["minx"], b["maxx"]) & F.col("lat").between(b["miny"], b["maxy"]) & contains(F.col("rings"), F.col("lon"), F.col("lat"))
+    hits = points.withColumns({"__tx": F.floor(x / tile).cast("int"), "__ty": F.floor(y / tile).cast("int")}).join(tiled, ["__tx", "__ty"])
+    inside = x.between(b["minx"], b["maxx"]) & y.between(b["miny"], b["maxy"]) & contains(F.col("rings"), x, y)
     return hits.where(inside).select("geoid", "lat", "lon")
 
 
@@ -141,11 +154,6 @@ def zonal_mean(counties: DataFrame, cells: DataFrame, spacing: float = NEAREST_S
     return counties.select("geoid").distinct().join(means, "geoid", "left").select("geoid", "value", F.coalesce("pixel_count", F.lit(0)).alias("pixel_count"), F.coalesce("is_nearest", F.lit(False)).alias("is_nearest"))
 
 
-def legacy_centre(i: Column, j: Column, n_lat: int, n_lon: int, lat: tuple[float, float], lon: tuple[float, float]) -> Column:
-    """The point that stands for cell (i, j) when the mask runs from north to south and cell centres count as outer edges."""
-    return F.struct((F.lit(lon[0]) + (j + 0.5) * (lon[1] - lon[0]) / n_lon).alias("lon"), (F.lit(lat[1]) - (i + 0.5) * (lat[1] - lat[0]) / n_lat).alias("lat"))
-
-
 def counties_of_region(counties: DataFrame, *keys: str) -> DataFrame:
     """Counties of the regions named, each once."""
     from stratus.regions import region

@@ -45,13 +45,14 @@ NORMAL = """select target_year, doy, lat, lon, avg(value) value, max(num_years)
 def climate_normal(spark, sf_dir):
     """A2 with W1 and F9: trailing windows of three years with at least two."""
     years = _daily(spark, sf_dir).groupBy("year", "doy", "lat", "lon").agg(F.avg("value").alias("value"))
-    return climatology.climate_normal(years, WINDOW, MIN_YEARS, ())
+    return climatology.climate_normal(years, WINDOW, MIN_YEARS, (), readings=expr.leap_365(obs(spark, sf_dir)))
 
 
 @query("target_year:i doy:i lat:d lon:d value:d num_years:i source_start:i source_end:i", NORMAL.format(daily="(select * from daily where scenario = 'historical' and \"year\" <= 1997 or scenario = 'ssp245' and \"year\" > 1997)"), DAILY)
 def hybrid_normal(spark, sf_dir):
     """S9 with W1: historical years up to the cut, projected ones after it."""
-    return climatology.climate_normal(climatology.hybrid_rows(_daily(spark, sf_dir), 1997), WINDOW, MIN_YEARS, ())
+    rows = climatology.hybrid_rows(obs(spark, sf_dir), 1997)
+    return climatology.climate_normal(climatology.daily_climatology(rows, "tas", ("scenario", "year")), WINDOW, MIN_YEARS, (), readings=expr.leap_365(rows))
 
 
 @query(
@@ -78,7 +79,8 @@ def hybrid_window_sources(spark, sf_dir):
 def planned_normals(spark, sf_dir):
     """All windows of a plan in one pass."""
     plan = spark.createDataFrame([(s, "hybrid", t, t - 2, t) for s in ("ssp245", "ssp585") for t in range(1998, 2001)], "scenario string, period_type string, target_year int, start_year int, end_year int")
-    return climatology.normals_from_plan(_daily(spark, sf_dir).withColumn("variable", F.lit("tas")), plan, MIN_YEARS, 1997)
+    readings = expr.leap_365(obs(spark, sf_dir)).withColumn("variable", F.lit("tas"))
+    return climatology.normals_from_plan(_daily(spark, sf_dir).withColumn("variable", F.lit("tas")), plan, MIN_YEARS, 1997, readings)
 
 
 @query("scenario:s period_type:s windows:i first_target:i last_target:i first_year:i", """select scenario, period_type, count(*) windows, min(t) first_target, max(t) last_target,

@@ -136,11 +136,10 @@ def box_percentiles(spark, sf_dir):
 
 
 @query("q:d value:d", "select unnest([0.01, 0.5, 0.9]) q, unnest(quantile_cont(p, [0.01, 0.5, 0.9])) value from u", UNIT)
-def banded_quantiles(spark, sf_dir):
-    """Exact global quantiles in two passes, for tables too large to keep every value."""
-    u = _units(spark, sf_dir)
-    rows = [(q, metrics.banded_quantile(u, "pr", q)) for q in (0.01, 0.5, 0.9)]
-    return spark.createDataFrame(rows, "q double, value double")
+def exact_quantiles(spark, sf_dir):
+    """Exact global quantiles in a few passes, for tables too large to keep every value."""
+    found = metrics.exact_quantiles(_units(spark, sf_dir), {str(q): ("pr", q) for q in (0.01, 0.5, 0.9)})
+    return spark.createDataFrame([(float(q), v) for q, v in found.items()], "q double, value double")
 
 
 @query("tas:d converted:d", "select 250 + x tas, 250 + x - 273.15 converted from (select distinct l_quantity x from lineitem)")

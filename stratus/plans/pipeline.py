@@ -107,6 +107,7 @@ class Runner:
 
 def means_stage(spark: SparkSession, stage: Stage, inputs: dict[str, DataFrame]) -> DataFrame:
     """Normals from daily readings below options.input, by the plan of a model or with trailing windows."""
+    from stratus.functions.expr import leap_365
     from stratus.operators import climatology
     from stratus.regions import region
 
@@ -114,10 +115,12 @@ def means_stage(spark: SparkSession, stage: Stage, inputs: dict[str, DataFrame])
     days = spark.read.parquet(o["input"])
     if "region" in o:
         days = climatology.region_box(days, region(o["region"]), o.get("is_360", True))
-    daily = climatology.daily_climatology(days, "value", ("variable", "scenario", "year"), o.get("days", "standard"))
+    mode = o.get("days", "standard")
+    daily = climatology.daily_climatology(days, "value", ("variable", "scenario", "year"), mode)
+    readings = leap_365(days) if mode == "standard" else days
     if "model" in o:
-        return climatology.normals_from_plan(daily, climatology.period_plan(spark, o["model"]), o.get("min_years", climatology.MIN_YEARS))
-    return climatology.climate_normal(daily, o.get("window", climatology.WINDOW), o.get("min_years", climatology.MIN_YEARS), ("variable", "scenario"))
+        return climatology.normals_from_plan(daily, climatology.period_plan(spark, o["model"]), o.get("min_years", climatology.MIN_YEARS), readings=readings)
+    return climatology.climate_normal(daily, o.get("window", climatology.WINDOW), o.get("min_years", climatology.MIN_YEARS), ("variable", "scenario"), readings=readings)
 
 
 def metrics_stage(spark: SparkSession, stage: Stage, inputs: dict[str, DataFrame]) -> DataFrame:

@@ -289,3 +289,104 @@ def counties_of_regions(spark, sf_dir):
     """Counties of two regions, each once."""
     c = obs(spark, sf_dir).select(F.col("county").alias("geoid"))
     return spatial.counties_of_region(c, "AK", "HI")
+
+
+@query("scenario:s first_year:i last_year:i years:i", "select unnest(['historical', 'ssp126', 'ssp245', 'ssp370', 'ssp585']) scenario, unnest([1850, 2015, 2015, 2015, 2015]) first_year, unnest([2014, 2100, 2100, 2100, 2100]) last_year, unnest([165, 86, 86, 86, 86]) as years")
+def model_scenarios(spark, sf_dir):
+    """Scenarios of a registered model with their year counts."""
+    from stratus.regions import scenarios_frame
+
+    return scenarios_frame(spark, "noresm2").withColumn("years", F.size(F.sequence("first_year", "last_year")))
+
+
+@query("region:s width:d height:d valid:b", "select unnest(['CONUS', 'AK', 'HI', 'PRVI', 'GU']) region, unnest([60.0, 65.0, 23.57, 3.46, 1.54]) width, unnest([26.0, 22.0, 9.53, 0.95, 7.43]) height, true valid")
+def region_definitions(spark, sf_dir):
+    """The regions and whether their bounds are in order."""
+    from stratus.regions import regions_frame
+
+    ok = F.col("lat_min").between(-90, 90) & (F.col("lat_min") < F.col("lat_max")) & F.col("lon_min").between(0, 360) & F.col("lon_max").between(0, 360)
+    return regions_frame(spark).select("region", (F.col("lon_max") - F.col("lon_min")).alias("width"), (F.col("lat_max") - F.col("lat_min")).alias("height"), ok.alias("valid"))
+
+
+@query("id:i dataset:s valid:b", """select id, variable || '_' || region || '_' || scenario || '_' || cast("year" as varchar) dataset, true valid from files""", FILES)
+def dataset_ids(spark, sf_dir):
+    """Q22: ids have the form and name their parts."""
+    f = files(spark, sf_dir)
+    parts = [F.col(c) for c in ("variable", "region", "scenario", "year")]
+    name = contracts.dataset_id(*parts)
+    return f.select("id", name.alias("dataset"), contracts.valid_id(name, *parts).alias("valid"))
+
+
+@query("id:i year_ok:b window_ok:b", 'select id, true year_ok, id % 2 = 0 window_ok from files', FILES)
+def window_checks(spark, sf_dir):
+    """Q20: years and windows of the right length that hold their target."""
+    f, y = files(spark, sf_dir), F.col("year")
+    start = F.when(F.col("id") % 2 == 0, y - 29).otherwise(y - 30)
+    return f.select("id", contracts.valid_year(y).alias("year_ok"), contracts.valid_window(start, y, y).alias("window_ok"))
+
+
+@query("region:s tasks:i", """select r region, n tasks from (select unnest(['CONUS', 'AK', 'HI', 'PRVI', 'GU']) r), (select count(*) n from files where scenario = 'historical' and "year" <= 2014 or scenario in ('ssp245', 'ssp585') and "year" >= 2015)""", FILES)
+def processing_tasks(spark, sf_dir):
+    """Section 2.16: every file with every region."""
+    from stratus.regions import regions_frame
+
+    t = catalog.processing_tasks(files(spark, sf_dir).drop("region"), regions_frame(spark))
+    return t.groupBy("region").agg(F.count("*").alias("tasks"))
+
+
+@query("variable:s scenario:s year:i", """select distinct variable, scenario, "year" from files where "year" between 1996 and 1999 except select distinct variable, scenario, "year" from files where status = 'completed' and region = 'AK' """, FILES)
+def outputs_to_make(spark, sf_dir):
+    """Planned outputs that do not exist yet."""
+    from stratus.sources.sinks import only_missing
+
+    f, keys = files(spark, sf_dir), ("variable", "scenario", "year")
+    return only_missing(f.where("year between 1996 and 1999").select(*keys).distinct(), f.where("status = 'completed' and region = 'AK'"), keys)
+
+
+@query("cell_id:i lat:d lon:d", "select distinct cell_id, 24 + (cell_id % 27) * (26.0 / 26) lat, (234 + (cell_id % 61) * (60.0 / 60)) - 360 lon from obs", OBS)
+def index_to_degrees(spark, sf_dir):
+    """Grid indices scaled to a region's box and turned to -180..180."""
+    from stratus.functions.expr import geographic
+    from stratus.regions import region
+
+    i = obs(spark, sf_dir).select("cell_id", (F.col("cell_id") % 27).alias("lat"), (F.col("cell_id") % 61).alias("lon")).distinct()
+    return geographic(i, region("CONUS"), 27, 61, indexed=True, is_360=False)
+
+
+@query("county:s state:s region:s", """select distinct county, county[1:2] state, case county[1:2] when '02' then 'AK' when '15' then 'HI' when '72' then 'PRVI' when '78' then 'PRVI' when '66' then 'GU' when '69' then 'GU' else 'CONUS' end region from obs""", OBS)
+def county_regions(spark, sf_dir):
+    """State and region of a county."""
+    from stratus.functions.expr import region_of_state, state_of
+
+    s = state_of(F.col("county"))
+    return obs(spark, sf_dir).select("county", s.alias("state"), region_of_state(s).alias("region")).distinct()
+
+
+@query("geoid:s", "select geoid from counties where x - r >= 2 and x + r <= 15 and y - r >= 0 and y + r <= 9", COUNTIES)
+def counties_inside(spark, sf_dir):
+    """counties whose boxes lie in a larger one."""
+    b = F.col("bbox")
+    c = counties(spark, sf_dir).withColumn("bbox", spatial.bbox(F.col("rings")))
+    return c.where((b["minx"] >= 2) & (b["maxx"] <= 15) & (b["miny"] >= 0) & (b["maxy"] <= 9))
+
+
+@query("geoid:s")
+def county_sample(spark, sf_dir):
+    """twenty counties, always the same for a seed."""
+    return spatial.sample_counties(counties(spark, sf_dir), 20)
+
+
+@query("geoid:s cells:i", """select geoid, count(*) cells from counties join (select c.lat, c.lon, y1 - (dense_rank() over (order by lat) - 0.5) * (y1 - y0) / ny py, x0 + (dense_rank() over (order by lon) - 0.5) * (x1 - x0) / nx px from cells c,
+    (select min(lat) y0, max(lat) y1, count(distinct lat) ny, min(lon) x0, max(lon) x1, count(distinct lon) nx from cells)) on abs(px - x) + abs(py - y) < r - 1e-9 group by all""", f"{COUNTIES}, {CELLS}")
+def legacy_mask(spark, sf_dir):
+    """J1 with the mask that runs from north to south (B1, B2)."""
+    return spatial.cells_in_counties(counties(spark, sf_dir), cells(spark, sf_dir), mask="legacy").groupBy("geoid").agg(F.count("*").alias("cells"))
+
+
+@query("columns:s picked:s", "select unnest(['tas,lat', 'lat,air_temperature', 'x,pr_flux']) columns, unnest(['tas', 'air_temperature', 'pr_flux']) picked")
+def variable_columns(spark, sf_dir):
+    """C11: the column that holds a variable."""
+    from stratus.functions.expr import PRECIPITATION_COLUMNS, TEMPERATURE_COLUMNS, pick_column
+
+    rows = [(c, pick_column(c.split(","), p)) for c, p in (("tas,lat", TEMPERATURE_COLUMNS), ("lat,air_temperature", TEMPERATURE_COLUMNS), ("x,pr_flux", PRECIPITATION_COLUMNS))]
+    return spark.createDataFrame(rows, "columns string, picked string")

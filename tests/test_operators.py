@@ -114,18 +114,21 @@ def test_thresholds_are_strict_and_linear(spark):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.013, 0.5, 0.9, 1.0])
-def test_banded_quantile_is_exact(spark, q, monkeypatch):
+def test_quantiles_are_exact(spark, q, monkeypatch):
     import numpy as np
 
     monkeypatch.setattr(metrics, "BAND_ROWS", 50)
     values = [float(v) for v in np.random.default_rng(1).integers(0, 400, 5000)]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
-    assert metrics.banded_quantile(df, "v", q) == pytest.approx(float(np.quantile(values, q)))
+    assert metrics.exact_quantiles(df, {"x": ("v", q)})["x"] == pytest.approx(float(np.quantile(values, q)))
 
 
-def test_banded_quantile_edges(spark):
-    assert metrics.banded_quantile(spark.createDataFrame([], "v double"), "v", 0.5) is None
-    assert metrics.banded_quantile(spark.createDataFrame([(None,), (2.0,)], "v double"), "v", 0.3) == 2.0
+def test_several_quantiles_at_once_and_empty_columns(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "BAND_ROWS", 3)
+    df = spark.createDataFrame([(None, 2.0, 1.0), (None, 4.0, None), (None, 4.0, 3.0), (None, 8.0, 5.0)], "e double, a double, b double")
+    got = metrics.exact_quantiles(df, {"e": ("e", 0.5), "a50": ("a", 0.5), "a90": ("a", 0.9), "b": ("b", 0.25)})
+    assert got == {"e": None, "a50": 4.0, "a90": pytest.approx(6.8), "b": 2.0}
+    assert metrics.exact_quantiles(df, {}) == {} and metrics.exact_quantiles(df.limit(0), {"a": ("a", 0.5)}) == {"a": None}
 
 
 def test_box_statistics_of_one_value(spark):
