@@ -25,12 +25,34 @@ def latest_versions(files: DataFrame, keys: tuple[str, ...] = ("variable", "scen
     return files.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def with_cell(df: DataFrame) -> DataFrame:
+    """Adds cell, a long that stands for lat and lon to a millionth of a degree: a cheap key that also keeps its partitioning, which
+    floating-point grouping keys don't."""
+    y, x = F.round((F.col("lat") + 90) * 1e6).cast("bigint"), F.round((F.col("lon") + 180) * 1e6).cast("bigint")
+    return df.withColumn("cell", F.shiftleft(y, 30) + x)
+
+
+def _cell_means(df: DataFrame, value: str, *keys: str) -> DataFrame:
+    g = df.groupBy(*keys, "doy", "cell").agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"), F.avg(value).alias("value"))
+    return g.select(*keys, "doy", "cell", "lat", "lon", "value")
+
+
 def daily_climatology(df: DataFrame, value: str = "value", keys: tuple[str, ...] = ("variable", "scenario", "year"), mode: str = "standard") -> DataFrame:
-    """Mean by cell and day of each year. standard: 365 days, day 60 of leap years dropped; calendar: days as they are."""
+    """Mean by cell and day of each year: keys, doy, cell, lat, lon, value. standard: 365 days, day 60 of leap years dropped; calendar: days
+    as they are.
+
+    The rows are shuffled once, by day and cell. A reading a day leaves nothing for partial sums to save, and every later mean over years,
+    scenarios or windows of the same day and cell finds its rows in place, so the exploded windows are never shuffled.
+    """
     if mode not in ("standard", "calendar"):
         raise ValueError(f"unknown mode {mode}")
-    days = expr.leap_365(df) if mode == "standard" else df
-    return days.groupBy(*keys, "doy", "lat", "lon").agg(F.avg(value).alias("value"))
+    days = with_cell(expr.leap_365(df) if mode == "standard" else df)
+    return _cell_means(days.select(*keys, "doy", "cell", "lat", "lon", value).repartition("doy", "cell"), value, *keys)
+
+
+def mean_over(daily: DataFrame, *keys: str) -> DataFrame:
+    """The mean of daily climatologies by the keys that are left, day and cell."""
+    return _cell_means(daily, "value", *keys)
 
 
 def exploded_targets(df: DataFrame, window: int = WINDOW, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -53,7 +75,7 @@ def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_
     pairs = (daily if readings is None else readings).select(*keys, "year").distinct()
     years = exploded_targets(pairs, window, first, last)
     enough = years.groupBy(*keys, "target_year").agg(F.count("*").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
-    means = exploded_targets(daily, window, first, last).groupBy(*keys, "target_year", "doy", "lat", "lon").agg(F.avg("value").alias("value"))
+    means = _cell_means(exploded_targets(daily, window, first, last), "value", *keys, "target_year")
     return means.join(F.broadcast(enough), [*keys, "target_year"])
 
 
@@ -109,5 +131,5 @@ def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YE
     present = (daily if readings is None else readings).select("variable", "scenario", "year").distinct().join(F.broadcast(pairs), ["scenario", "year"])
     keys = ["variable", "plan_scenario", "period_type", "target_year"]
     enough = present.groupBy(*keys).agg(F.count_distinct("year").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
-    means = daily.join(F.broadcast(pairs), ["scenario", "year"]).groupBy(*keys, "doy", "lat", "lon").agg(F.avg("value").alias("value"))
+    means = _cell_means(daily.join(F.broadcast(pairs), ["scenario", "year"]), "value", *keys)
     return means.join(F.broadcast(enough), keys).withColumnRenamed("plan_scenario", "scenario")

@@ -44,7 +44,7 @@ NORMAL = """select target_year, doy, lat, lon, avg(value) value, max(num_years)
 @query("target_year:i doy:i lat:d lon:d value:d num_years:i source_start:i source_end:i", NORMAL.format(daily="(select \"year\", doy, lat, lon, avg(value) value from daily group by all)"), DAILY)
 def climate_normal(spark, sf_dir):
     """A2 with W1 and F9: trailing windows of three years with at least two."""
-    years = _daily(spark, sf_dir).groupBy("year", "doy", "lat", "lon").agg(F.avg("value").alias("value"))
+    years = climatology.mean_over(_daily(spark, sf_dir), "year")
     return climatology.climate_normal(years, WINDOW, MIN_YEARS, (), readings=expr.leap_365(obs(spark, sf_dir)))
 
 

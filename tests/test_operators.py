@@ -77,9 +77,21 @@ def test_years_weigh_the_same_and_too_few_years_give_nothing(spark):
     assert got == {2002: (6.0, 2, 2001, 2002), 2003: (6.0, 2, 2001, 2002)}
 
 
+def test_windows_are_not_shuffled(spark):
+    rows = spark.createDataFrame([(2001, 1, 0.0, 0.0, 1.0)], "year int, doy int, lat double, lon double, value double")
+    daily = climatology.daily_climatology(rows, "value", ("year",))
+    plan = climatology.climate_normal(daily, keys=(), readings=rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doy") == 1 and "hashpartitioning(target_year#" not in plan.split("BroadcastExchange")[0]
+
+
+def test_cells_tell_coordinates_apart(spark):
+    df = spark.createDataFrame([(-90.0, -180.0), (90.0, 360.0), (0.000001, 0.0), (0.0, 0.000001), (0.0, 0.0)], "lat double, lon double")
+    assert climatology.with_cell(df).select("cell").distinct().count() == 5
+
+
 @pytest.mark.parametrize("years,kept", [(24, 0), (25, 6), (30, 11)])
 def test_production_window(spark, years, kept):
-    daily = spark.range(years).select((F.col("id") + 1980).cast("int").alias("year"), F.lit(1).alias("doy"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), F.lit(1.0).alias("value"))
+    daily = climatology.with_cell(spark.range(years).select((F.col("id") + 1980).cast("int").alias("year"), F.lit(1).alias("doy"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"), F.lit(1.0).alias("value")))
     assert climatology.climate_normal(daily, keys=()).count() == kept
 
 
