@@ -9,7 +9,8 @@ Scale: documents are dealt by a hash of key and text into groups of about GROUP_
 each group is packed alone. Only a row of numbers for each piece is shuffled, no tokens: the checksum of a piece that is cut
 later follows from the checksums of its blocks.
 
-Edge cases: a null text is empty and holds the end token alone; a null key is dealt by its text; repeated rows are packed each; ties
+Edge cases: a null text is empty and holds the end token alone; a null key is dealt by its text; repeated rows are packed each, and
+dealt apart by where a task meets them, so that a row repeated without end fills no single group; ties
 in length go by key, start and checksum; an empty table gives an empty result. Columns besides key and text are not read.
 """
 
@@ -21,6 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,33 +41,56 @@ _PACKED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 
 
 @cache
-def encoder(name: str = TOKENIZER):
-    """Text -> token ids of a byte-level BPE file; its special token's string counts as that token."""
+def encoder(ranks_path: str | None = None):
+    """Text -> token ids of a byte-level BPE file (by default TOKENIZER); its special token's string counts as that token.
+
+    A run of white space too long for the fast library's pattern makes it raise; such a text is encoded, whole, by the
+    tokenizers library from the JSON form of the vocabulary beside the ranks.
+    """
     import base64
 
     import public_tokenizers as public
     import tiktoken
 
-    with open(public.path(f"{name}.tiktoken"), "rb") as lines:
+    ranks_path = ranks_path or public.path(f"{TOKENIZER}.tiktoken")
+    with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    coder = tiktoken.Encoding(name, pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
-    return lambda text: coder.encode(text, allowed_special="all")
+    coder = tiktoken.Encoding("ranks", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
+    patient = cache(lambda: _patient_encoder(f"{ranks_path.removesuffix('.tiktoken')}.json"))
+
+    def ids(text: str) -> list[int]:
+        try:
+            return coder.encode(text, allowed_special="all")
+        except ValueError:
+            return patient().encode(text, add_special_tokens=False).ids
+
+    return ids
+
+
+def _patient_encoder(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
-def token_ids(text: str | None) -> np.ndarray:
+def token_ids(text: str | None, ranks_path: str | None = None) -> np.ndarray:
     """Ids of the whole text and the end token, as little-endian unsigned 32-bit."""
-    return np.array([*encoder()(text or ""), END_ID], dtype="<u4")
+    return np.array([*encoder(ranks_path)(text or ""), END_ID], dtype="<u4")
 
 
-def pieces(docs: DataFrame, groups: int, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, groups: int, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
     """The pieces of each document before packing, with the group that packs them."""
 
     def work(ids: list, texts: list) -> dict:
+        repeats: dict[str, int] = {}
+        task = TaskContext.get()
         out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "block_crcs", "bin")}
         for doc, body in zip(ids, texts, strict=True):
-            tokens = token_ids(body)
+            tokens = token_ids(body, ranks_path)
             raw, n = tokens.tobytes(), len(tokens)
-            group = zlib.crc32(f"{doc}:{n}:{zlib.crc32(raw)}".encode()) % groups
+            own = f"{doc}:{n}:{zlib.crc32(raw)}"
+            repeats[own] = again = repeats.get(own, -1) + 1
+            group = zlib.crc32(f"{own}:{task.partitionId() if task else 0}:{again}".encode() if again else own.encode()) % groups
             for a in range(0, n, capacity):
                 b = min(n, a + capacity)
                 blocks = b"" if b - a == capacity else np.array([zlib.crc32(raw[4 * i : 4 * min(b, i + BLOCK)]) for i in range(a, b, BLOCK)], dtype="<u4").tobytes()
@@ -163,17 +188,17 @@ def _pack_group(group: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(c, type=pa.int64()) for n, c in zip(names, cols, strict=True)})
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row a piece. Counts the rows first."""
     groups = max(1, docs.count() // GROUP_DOCS)
-    return pieces(docs, groups, key, text).groupBy("bin").applyInArrow(_pack_group, _PACKED)
+    return pieces(docs, groups, key, text, ranks_path=ranks_path).groupBy("bin").applyInArrow(_pack_group, _PACKED)
 
 
-def sequences(docs: DataFrame, packed: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sequences(docs: DataFrame, packed: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:
     """sequence_id, ids: the packed token ids themselves. Keys must be unique; a sequence holds at most CAPACITY ids."""
 
     def work(ids: list, texts: list) -> dict:
-        return {"doc_id": ids, "ids": [token_ids(t).astype(np.int64).tolist() for t in texts]}
+        return {"doc_id": ids, "ids": [token_ids(t, ranks_path).astype(np.int64).tolist() for t in texts]}
 
     tokens = map_texts(docs, key, text, "doc_id bigint, ids array<bigint>", work)
     cut = packed.join(tokens, "doc_id").select("sequence_id", "offset", F.slice("ids", F.col("start").cast("int") + 1, F.col("length").cast("int")).alias("ids"))

@@ -73,22 +73,22 @@ class Automaton:
 
 
 @cache
-def pieces(name: str = VOCABULARY) -> tuple[bytes, ...]:
-    """The pieces of a public vocabulary file."""
+def pieces(path: str | None = None) -> tuple[bytes, ...]:
+    """The pieces of a vocabulary file, by default VOCABULARY."""
     import public_tokenizers as public
 
-    with open(public.path(f"{name}.tiktoken"), "rb") as lines:
+    with open(path or public.path(f"{VOCABULARY}.tiktoken"), "rb") as lines:
         return tuple(base64.b64decode(line.split()[0]) for line in lines)
 
 
 @cache
-def automaton(name: str = VOCABULARY) -> Automaton:
+def automaton(path: str | None = None) -> Automaton:
     """Built once in each Python worker."""
-    return Automaton(list(pieces(name)))
+    return Automaton(list(pieces(path)))
 
 
-def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_words, n_tokens of every whole text."""
+def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """doc_id, n_words, n_tokens of every whole text; vocabulary is the path of the pieces' file on every executor."""
 
     def work(ids: list, texts: list) -> dict:
         count, known = automaton(vocabulary).count, {}

@@ -1,11 +1,13 @@
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratus.llm.packing import BLOCK, CAPACITY, balance, joined_crc, pack, sequences, token_ids
+from stratus.llm.packing import pieces as bare_pieces
 from stratus.llm.tokencount import Automaton, automaton, pieces, token_counts
 
 DOCS = "doc_id bigint, text string"
@@ -99,6 +101,27 @@ def test_special_strings_and_spaces():
         assert token_ids(t).tolist() == reference_ids(t)
 
 
+@pytest.mark.parametrize("text", [" " * 400_000, "x" + "\n" * 400_000 + "y<|endoftext|>", "ab" * 200_000])
+def test_long_runs_agree_with_the_public_tokenizer(text):
+    assert token_ids(text).tolist() == reference_ids(text)
+
+
+def test_the_vocabulary_is_a_parameter(spark, tmp_path):
+    import public_tokenizers as public
+
+    copy = tmp_path / "own.tiktoken"
+    copy.symlink_to(public.path("byte_bpe_50k.tiktoken"))
+    df = spark.createDataFrame([(1, "some words")], DOCS)
+    assert pack(df, ranks_path=str(copy)).collect() == pack(df).collect()
+    assert token_counts(df, vocabulary=str(copy)).collect() == token_counts(df).collect()
+
+
+def test_repeated_rows_are_dealt_apart(spark):
+    df = spark.createDataFrame([(None, "same text")] * 2000, DOCS)
+    groups = [r["count"] for r in bare_pieces(df, 20).groupBy("bin").count().collect()]
+    assert sum(groups) == 2000 and len(groups) == 20 and max(groups) < 200
+
+
 def test_packing_round_trip(spark):
     rows = [(i, "lorem ipsum dolor sit amet " * (i * 7 % 90)) for i in range(120)] + [(500, "long text of words " * 3000), (501, None), (502, ""), (503, "same"), (504, "same")]
     df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("clash") for c in ("length", "start", "bin", "offset")})
