@@ -4,11 +4,12 @@ Every record hashes into one of some thousands of slots. The number of slots nev
 a small versioned map. Growing or rebalancing edits the map, so only the rows of the slots that change hands move.
 
 Bounds: the map and the statistics by slot have one row a slot (at most MAX_SLOTS), whatever the size of the data, so they
-may be broadcast and edited on the driver. Rows are numbered within their slot, thousands of groups that the hash keeps even,
-and then shifted by the rows of the shard's earlier slots; no shard is ever sorted in one task.
+may be broadcast and edited on the driver. Rows are numbered within a slot's PARTS parts, tens of thousands of groups that the text's
+checksum divides further where one key fills a slot, and then shifted by the rows of the shard's earlier parts; no shard
+is ever sorted in one task.
 
-Edge cases: a null key hashes like any other value; a null text has no bytes; rows that repeat get places of their own; an empty
-table gives an empty result. Columns that the caller has besides the key and the text are not read, so their names can't clash.
+Edge cases: a null key hashes like any other value; a null text has no bytes; rows that repeat get places of their own (only rows
+alike in key and text share a group); an empty table gives an empty result. Columns that the caller has besides the key and the text are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from stratus.llm.common import table
 
 SLOTS = 8192
+PARTS = 8
 MAX_SLOTS = 65536
 SHARDS = 24
 ROW_OVERHEAD = 8
@@ -127,17 +129,27 @@ def rebalanced(docs: DataFrame, slot_map: SlotMap, key: str = "doc_id", text: st
     return slot_map.rebalance({r["virtual_slot"]: r["slot_bytes"] for r in stats}, tolerance)
 
 
+def _checksum(text: str = "text"):
+    return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
+def _offsets(docs: DataFrame, slot_map: SlotMap, key: str, text: str) -> DataFrame:
+    """virtual_slot, part, shard, version, slot_bytes, before (the shard's rows in earlier parts): PARTS rows a slot at most."""
+    sized = docs.select(F.col(key).alias("key"), record_size(text).alias("size"), F.pmod(_checksum(text), F.lit(PARTS)).alias("part"))
+    stats = with_slot(sized, "key", len(slot_map.owner)).groupBy("virtual_slot", "part").agg(F.count("*").alias("part_rows"), F.sum("size").alias("part_bytes"))
+    earlier = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = stats.join(F.broadcast(slot_map.frame(docs.sparkSession)), "virtual_slot")
+    return placed.select("virtual_slot", "part", "shard", "version", F.sum("part_bytes").over(Window.partitionBy("shard", "virtual_slot")).alias("slot_bytes"), F.coalesce(F.sum("part_rows").over(earlier), F.lit(0)).alias("before"))
+
+
 def assign(docs: DataFrame, slot_map: SlotMap, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, shard, slot (place in the shard, gapless from 0), slot_bytes, map_version."""
-    spark, slots = docs.sparkSession, len(slot_map.owner)
-    owners = slot_map.frame(spark)
-    in_shard = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slot_stats(docs, key, text, slots).join(F.broadcast(owners), "virtual_slot").withColumn("before", F.coalesce(F.sum("slot_rows").over(in_shard), F.lit(0)))
-    rows = with_slot(docs.select(F.col(key).alias("doc_id"), record_size(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32")), "doc_id", slots)
-    in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    rows = docs.select(F.col(key).alias("doc_id"), record_size(text).alias("size"), _checksum(text).alias("text_crc32"))
+    rows = with_slot(rows, "doc_id", len(slot_map.owner)).withColumn("part", F.pmod("text_crc32", F.lit(PARTS)))
+    in_part = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size")
     return (
-        rows.withColumn("place", F.row_number().over(in_slot))
-        .join(F.broadcast(offsets), "virtual_slot")
+        rows.withColumn("place", F.row_number().over(in_part))
+        .join(F.broadcast(_offsets(docs, slot_map, key, text)), ["virtual_slot", "part"])
         .select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("before") + F.col("place") - 1).cast("long").alias("slot"), "slot_bytes", F.col("version").alias("map_version"))
     )
 

@@ -44,6 +44,14 @@ def test_assignment_against_brute_force(spark):
     assert all(r.slot_bytes == totals[r.virtual_slot] for r in rows)
 
 
+def test_a_key_of_many_rows(spark):
+    df = docs(spark).withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(7)).otherwise(F.col("doc_id")))
+    got = assign(df, SlotMap.of(3, 16)).collect()
+    assert len(got) == 500 and len({r.shard for r in got if r.doc_id == 7}) == 1
+    for k in range(3):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+
+
 def test_the_shard_depends_on_the_key_alone(spark):
     m = SlotMap.of(24)
     every = {r.doc_id: r.shard for r in assign(docs(spark), m).collect()}
