@@ -1,8 +1,9 @@
 """Licence scans with a positional rare-token index.
 
 The index maps each word of the licence templates to its postings (template, position). A first pass over all documents counts how many
-hold each licence word, which gives the words' inverse document frequencies. In the second pass each file looks up its RARE_WORDS
-licence words of highest IDF; postings whose relative position to the file agrees vote for one placement of a template, and a placement
+hold each licence word, which gives the words' inverse document frequencies. In the second pass each file looks up its licence
+words from the highest IDF down, until RARE_WORDS of them have led to each template that they can lead to, so that one long licence
+doesn't crowd out another; postings whose relative position to the file agrees vote for one placement of a template, and a placement
 with enough votes is compared word by word. A template is reported where at least MATCH of its words stand in place and every mandatory
 key phrase of it stands consecutively inside the placement. Its score is the share of words in place.
 
@@ -106,17 +107,15 @@ class Index:
         """(label, place, score) of each template placement that passes, at most one a template and place."""
         present = np.unique(ids)
         present = [int(w) for w in present if w and self.postings[w]]
-        rare = sorted(present, key=lambda w: (-self.idf[w], w))[:RARE_WORDS]
-        if not rare:
-            return []
         votes: dict[tuple[int, int], int] = {}
         held: dict[int, int] = {}
-        for w in rare:
-            for t, _ in self.postings[w]:
-                held[t] = held.get(t, 0) + 1
-        for w in rare:
+        for w in sorted(present, key=lambda w: (-self.idf[w], w)):
+            leads = [(t, q) for t, q in self.postings[w] if held.get(t, 0) < RARE_WORDS]
+            if not leads:
+                continue
             at = np.flatnonzero(ids == w).tolist()
-            for t, q in self.postings[w]:
+            for t, q in leads:
+                held[t] = held.get(t, 0) + 1
                 for p in at:
                     votes[t, p - q] = votes.get((t, p - q), 0) + 1
         out = []

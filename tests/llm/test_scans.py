@@ -128,6 +128,13 @@ def test_every_template_is_found_in_a_file_with_changes(spark):
     assert scan(df.limit(0), index_for(df.limit(0))).count() == 0
 
 
+def test_several_licences_in_one_file(spark):
+    every = " \n ".join(body for _, body, _ in TEMPLATES)
+    df = spark.createDataFrame([(1, every), (2, "nothing of the kind")], DOCS)
+    got = {x.doc_id: x for x in scan(df, index_for(df)).collect()}
+    assert {label for label, _, _ in TEMPLATES} <= set(got[1].labels.split(",")) and got[2].labels == ""
+
+
 def test_mandatory_phrases_count():
     index = Index.of()
     assert not [f for f in index.found(index.ids("Licensed under the Apache License, Version 3.0")) if f[0] == "apache-2.0"]
