@@ -36,10 +36,14 @@ L2 = 0.001
 SCALE = 100.0
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _GAP = re.compile(r"[\W\d_]+")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter; numerals of any script are none."""
+    return any(map(str.isalpha, text or ""))
+
+
 def gram_counts(text: str) -> np.ndarray:
     """Counts of the hashed one-, two- and three-grams of a whole text."""
     out = np.zeros(BUCKETS, dtype=np.int64)
@@ -64,7 +68,7 @@ class Languages:
         """Language and calibrated probability of each text."""
         names, scores = [], []
         for t in texts:
-            if not self.labels or not t or not _LETTER.search(t):
+            if not self.labels or not has_letter(t):
                 names.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
@@ -132,7 +136,7 @@ def training_rows(docs: DataFrame, bound: int = MAX_TRAINING) -> list[tuple[np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, t, lang in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
-                if t and _LETTER.search(t):
+                if has_letter(t):
                     c = gram_counts(t)
                     hit = np.flatnonzero(c)
                     yield pa.record_batch([pa.array([i], pa.int64()), pa.array([lang]), pa.array([hit.astype("<u2").tobytes()], pa.binary()), pa.array([c[hit].astype("<u4").tobytes()], pa.binary())], names=["doc_id", "lang", "buckets", "counts"])
