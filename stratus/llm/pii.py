@@ -187,20 +187,18 @@ def shape(token: str) -> str:
     return "".join(out)
 
 
-def features(tokens: list[str]) -> list[list[str]]:
-    """Names of the active features of each token."""
+def features(tokens: list[str]) -> Iterator[list[str]]:
+    """Names of the active features of each token, one token after another: a segment may be as long as its text."""
     full = [shape(t) for t in tokens]
     short = [re.sub(r"d\d", "d", s)[:12] for s in full]
-    out = []
     for i, t in enumerate(tokens):
         n = sum("0" <= c <= "9" for c in t)
         before, after = short[i - 1] if i else "^", short[i + 1] if i + 1 < len(tokens) else "$"
-        out.append([
+        yield [
             "bias", f"s={full[i]}", f"c={short[i]}", f"p={before}", f"n={after}", f"pc={before}/{short[i]}", f"cn={short[i]}/{after}",
             f"pf={full[i - 1] if i else '^'}", f"nf={full[i + 1] if i + 1 < len(tokens) else '$'}",
             f"digits={min(n, 20)}", f"letters={bool(re.search('[A-Za-z]', t))}", f"at={'@' in t}{bool(_AT.search(t))}", f"dots={min(full[i].count('.'), 4)}", f"colons={min(full[i].count(':'), 4)}", f"plain={n == 0 and '@' not in t and not _AT.search(t)}",
-        ])
-    return out
+        ]
 
 
 @dataclass
@@ -269,7 +267,7 @@ def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
 def train(rows: list[tuple[list[str], list[int]]] | None = None, epochs: int = EPOCHS) -> Crf:
     """Fit by AdaGrad on the log-likelihood of all rows at once; rows default to the labelled table."""
     rows = rows or labelled_table()
-    named = [features(tokens) for tokens, _ in rows]
+    named = [list(features(tokens)) for tokens, _ in rows]
     index = {f: i for i, f in enumerate(sorted({f for row in named for names in row for f in names}))}
     n, t, k = len(rows), max(len(x) for x, _ in rows), len(LABELS)
     width = len(named[0][0])
