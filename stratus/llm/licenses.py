@@ -105,12 +105,17 @@ class Index:
 
     def found(self, ids: np.ndarray) -> list[tuple[str, int, float]]:
         """(label, place, score) of each template placement that passes, at most one a template and place."""
-        present = np.unique(ids)
-        present = [int(w) for w in present if w and self.postings[w]]
+        present = np.zeros(len(self.idf), dtype=bool)
+        present[ids] = True
+        present[0] = False
+        # The share of a template's words that occur anywhere bounds its score, so the other templates can't pass.
+        able = [float(present[body].sum()) / len(body) >= MATCH for body in self.templates]
+        if not any(able):
+            return []
         votes: dict[tuple[int, int], int] = {}
         held: dict[int, int] = {}
-        for w in sorted(present, key=lambda w: (-self.idf[w], w)):
-            leads = [(t, q) for t, q in self.postings[w] if held.get(t, 0) < RARE_WORDS]
+        for w in sorted(np.flatnonzero(present).tolist(), key=lambda w: (-self.idf[w], w)):
+            leads = [(t, q) for t, q in self.postings[w] if able[t] and held.get(t, 0) < RARE_WORDS]
             if not leads:
                 continue
             at = np.flatnonzero(ids == w).tolist()
