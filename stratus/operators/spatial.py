@@ -79,13 +79,18 @@ def _with_tile(cells: DataFrame, tile: float) -> DataFrame:
     return cells.withColumn("__tx", F.floor(F.col("lon") / tile).cast("int")).withColumn("__ty", F.floor(F.col("lat") / tile).cast("int"))
 
 
+def _axes(cells: DataFrame) -> Column:
+    """The distinct coordinates of a grid in order, a struct of arrays lats and lons, as a scalar subquery; a few thousand at most."""
+    return cells.agg(F.struct(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"))).scalar()
+
+
 def legacy_points(cells: DataFrame) -> DataFrame:
     """lat, lon, at_lat, at_lon: the point that stands for each cell where the mask runs from north to south and the outermost cell
     centres count as the grid's edges. Kept for comparison with results that were made so."""
-    axes = cells.agg(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"))
+    axes = _axes(cells)
     i, j = F.array_position("lats", F.col("lat")) - 1, F.array_position("lons", F.col("lon")) - 1
     y0, y1, x0, x1 = F.element_at("lats", 1), F.element_at("lats", -1), F.element_at("lons", 1), F.element_at("lons", -1)
-    points = cells.select("lat", "lon").distinct().crossJoin(F.broadcast(axes))
+    points = cells.select("lat", "lon").distinct().select("lat", "lon", axes.alias("__axes")).select("lat", "lon", "__axes.lats", "__axes.lons")
     return points.select("lat", "lon", (y1 - (i + 0.5) * (y1 - y0) / F.size("lats")).alias("at_lat"), (x0 + (j + 0.5) * (x1 - x0) / F.size("lons")).alias("at_lon"))
 
 
@@ -118,7 +123,7 @@ def nearest_axes(points: DataFrame, cells: DataFrame, spacing: float = NEAREST_S
     Only within `spacing` mean steps on both axes and inside the grid's box. The axes are the distinct coordinates of a grid, a few
     thousand at most; a point is compared with the neighbours that a sorted array yields, not with every cell.
     """
-    axes = cells.agg(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"))
+    axes = _axes(cells)
 
     def near(axis: Column, x: Column) -> Column:
         return F.array_min(F.transform(axis, lambda v: F.struct(F.abs(v - x).alias("d"), v.alias("v"))))["v"]
@@ -126,14 +131,20 @@ def nearest_axes(points: DataFrame, cells: DataFrame, spacing: float = NEAREST_S
     def step(axis: Column) -> Column:
         return (F.element_at(axis, -1) - F.element_at(axis, 1)) / F.nullif(F.size(axis) - 1, F.lit(0))
 
-    p = points.crossJoin(F.broadcast(axes)).withColumns({"near_lat": near(F.col("lats"), F.col("lat")), "near_lon": near(F.col("lons"), F.col("lon"))})
+    # Each stage passes an inline(), so that no filter or lambda repeats what stands below it.
+    p = points.select("geoid", F.col("lat").alias("y"), F.col("lon").alias("x"), F.inline(F.array(axes)))
+    found = F.struct(near(F.col("lats"), F.col("y")).alias("near_lat"), near(F.col("lons"), F.col("x")).alias("near_lon"), step(F.col("lats")).alias("dy"), step(F.col("lons")).alias("dx"), _ends(F.col("lats")).alias("ys"), _ends(F.col("lons")).alias("xs"))
+    p = p.select("geoid", "y", "x", F.inline(F.array(found)))
     ok = F.lit(True)
-    for axis, x, v in (("lats", "lat", "near_lat"), ("lons", "lon", "near_lon")):
-        a = F.col(axis)
-        ok = ok & F.col(x).between(F.element_at(a, 1), F.element_at(a, -1)) & (F.abs(F.col(v) - F.col(x)) <= spacing * F.coalesce(step(a), F.lit(0.0)))
+    for x, v, d, ends in (("y", "near_lat", "dy", "ys"), ("x", "near_lon", "dx", "xs")):
+        ok = ok & F.col(x).between(F.col(ends)[0], F.col(ends)[1]) & (F.abs(F.col(v) - F.col(x)) <= spacing * F.coalesce(F.col(d), F.lit(0.0)))
     return p.where(ok).select("geoid", "near_lat", "near_lon")
 
 
+def _ends(axis: Column) -> Column:
+    return F.array(F.element_at(axis, 1), F.element_at(axis, -1))
+
+
 def cell_county(counties: DataFrame, cells: DataFrame, spacing: float = NEAREST_SPACING) -> DataFrame:
     """geoid, lat, lon, is_nearest: contained cells with values, and the nearest one for counties without any.
 
@@ -141,8 +152,7 @@ def cell_county(counties: DataFrame, cells: DataFrame, spacing: float = NEAREST_
     """
     valid = cells.where(F.col("value").isNotNull()).select("lat", "lon")
     inside = cells_in_counties(counties, valid)
-    c = centroid(F.col("rings"))
-    alone = counties.join(inside.select("geoid").distinct(), "geoid", "left_anti").select("geoid", c["lon"].alias("lon"), c["lat"].alias("lat"))
+    alone = counties.join(inside.select("geoid").distinct(), "geoid", "left_anti").select("geoid", F.inline(F.array(centroid(F.col("rings")))))
     near = nearest_axes(alone, cells.select("lat", "lon").distinct(), spacing).select("geoid", F.col("near_lat").alias("lat"), F.col("near_lon").alias("lon"))
     return inside.withColumn("is_nearest", F.lit(False)).unionByName(near.withColumn("is_nearest", F.lit(True)))
 

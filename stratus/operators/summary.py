@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions import expr
+from stratus.operators.metrics import exact_quantiles
 
 
 def region_summary(df: DataFrame, metric: str) -> DataFrame:
@@ -57,10 +58,10 @@ def trend(df: DataFrame, y: str, x: str = "year", keys: tuple[str, ...] = ()) ->
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """bin (from 0), low, n of equal-width bins, the last one closed; bins without rows are left out."""
-    bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.floor((F.col(column) - F.col("lo")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1)))
-    rows = df.where(F.col(column).isNotNull()).select(column).crossJoin(F.broadcast(bounds))
+    rows = df.where(F.col(column).isNotNull()).select(column, bounds.alias("b")).select(column, "b.lo", "b.hi")
     return rows.groupBy(at.cast("int").alias("bin"), "lo", "hi").agg(F.count("*").alias("n")).select("bin", (F.col("lo") + F.col("bin") * width).alias("low"), "n")
 
 
@@ -92,8 +93,16 @@ def state_means(df: DataFrame, metric: str, at_least: int = 5, top: int = 10) ->
 
 
 def describe(df: DataFrame, column: str, *keys: str, population: bool = False) -> DataFrame:
-    """Count, mean, deviation (sample, or population), quartiles, least and greatest."""
+    """Count, mean, deviation (sample, or population), quartiles, least and greatest.
+
+    By keys the quartiles of a group are taken in one task, so groups must be bounded, as those of county tables are. Without keys they
+    come from exact_quantiles(), which runs its passes at once and suits a table of any size.
+    """
     dev = F.stddev_pop(column) if population else F.stddev_samp(column)
+    if not keys:
+        cuts = exact_quantiles(df, {"q1": (column, 0.25), "median": (column, 0.5), "q3": (column, 0.75)})
+        middle = [F.lit(v).cast("double").alias(k) for k, v in cuts.items()]
+        return df.agg(F.count(column).alias("n"), F.avg(column).alias("mean"), dev.alias("std"), F.min(column).alias("min"), *middle, F.max(column).alias("max"))
     g = df.groupBy(*keys).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), dev.alias("std"), F.min(column).alias("min"), F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.max(column).alias("max"))
     return g.select(*keys, "n", "mean", "std", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max")
 
@@ -124,8 +133,7 @@ def run_summary(tasks: DataFrame) -> DataFrame:
 
 def speedup(runs: DataFrame) -> DataFrame:
     """workers, seconds, speedup, efficiency against the row of one worker."""
-    one = runs.where("workers = 1").agg(F.min("seconds").alias("__one"))
-    g = runs.crossJoin(F.broadcast(one))
+    g = runs.withColumn("__one", runs.where("workers = 1").agg(F.min("seconds")).scalar())
     return g.select("workers", "seconds", (F.col("__one") / F.col("seconds")).alias("speedup"), (F.col("__one") / F.col("seconds") / F.col("workers")).alias("efficiency"))
 
 

@@ -199,10 +199,10 @@ def missing_files(spark, sf_dir):
     return catalog.missing_files(files(spark, sf_dir).where("variable = 'pr'"), expected)
 
 
-@query("id:i year:i", 'select id, "year" from files where "year" = 1999 order by variable || scenario || has_version, variable, scenario, id limit 0', FILES)
-def no_such_year(spark, sf_dir):
-    """A year without files has no first file."""
-    return catalog.first_of_year(files(spark, sf_dir), 1899)
+@query("path:s year:i", 'select path, "year" from files where "year" = 1999 order by path limit 1', FILES)
+def first_file_of_year(spark, sf_dir):
+    """S13."""
+    return catalog.first_of_year(files(spark, sf_dir), 1999)
 
 
 @query("id:i quality:d total:i has_more:b", """select id, quality, n total, true has_more from files, (select count(*) n from files where variable in ('pr', 'tas') and region = 'AK' and "year" between 1996 and 2000 and quality >= 0.5)
@@ -334,13 +334,13 @@ def processing_tasks(spark, sf_dir):
     return t.groupBy("region").agg(F.count("*").alias("tasks"))
 
 
-@query("variable:s scenario:s year:i", """select distinct variable, scenario, "year" from files where "year" between 1996 and 1999 except select distinct variable, scenario, "year" from files where status = 'completed' and region = 'AK' """, FILES)
+@query("variable:s scenario:s year:i", """select distinct variable, scenario, "year" from files where "year" between 1996 and 1999 except select distinct variable, scenario, "year" from files where status = 'completed' and region = 'AK' and quality >= 0.98""", FILES)
 def outputs_to_make(spark, sf_dir):
     """Planned outputs that do not exist yet."""
     from stratus.sources.sinks import only_missing
 
     f, keys = files(spark, sf_dir), ("variable", "scenario", "year")
-    return only_missing(f.where("year between 1996 and 1999").select(*keys).distinct(), f.where("status = 'completed' and region = 'AK'"), keys)
+    return only_missing(f.where("year between 1996 and 1999").select(*keys).distinct(), f.where("status = 'completed' and region = 'AK' and quality >= 0.98"), keys)
 
 
 @query("cell_id:i lat:d lon:d", "select distinct cell_id, 24 + (cell_id % 27) * (26.0 / 26) lat, (234 + (cell_id % 61) * (60.0 / 60)) - 360 lon from obs", OBS)

@@ -1,12 +1,12 @@
 """The climate shapes that the queries start from, mapped from the star-schema tables.
 
-A supplier is a grid cell and a county of its own, its nation a larger county, a line item a daily reading, an order a task and file.
-The same mapping is written once for Spark and once for the SQL that queries are held against.
+A supplier is a grid cell and a county of its own, its nation a larger county, a line item a daily reading, an order a task and file,
+a part a cell of a square grid that grows with the table. Every table is mapped whole. The same mapping is written once for Spark and once for the SQL that queries are held against.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -74,7 +74,7 @@ LONG = f"""{COUNTY_YEAR}, long as (
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalogue of files from orders: id, region, variable, scenario, year, quality, status, path, size."""
     y, k = F.year("o_orderdate"), F.col("o_orderkey")
-    o = read(spark, sf_dir, "orders").where(k % 4 != 3)
+    o = read(spark, sf_dir, "orders")
     variable = F.element_at(F.array(*[F.lit(v) for v in ("pr", "tas", "tasmax", "tasmin")]), (k % 4 + 1).cast("int"))
     region = F.element_at(F.array(*[F.lit(r) for r in ("CONUS", "AK", "HI", "PRVI", "GU")]), (F.col("o_custkey") % 5 + 1).cast("int"))
     scenario = F.when(y <= 1997, "historical").when(k % 3 == 0, "ssp245").otherwise("ssp585")
@@ -90,29 +90,44 @@ FILES = """files as (
   select o_orderkey id, ['CONUS', 'AK', 'HI', 'PRVI', 'GU'][o_custkey % 5 + 1] region, ['pr', 'tas', 'tasmax', 'tasmin'][o_orderkey % 4 + 1] variable,
     case when year(o_orderdate) <= 1997 then 'historical' when o_orderkey % 3 = 0 then 'ssp245' else 'ssp585' end scenario, year(o_orderdate) "year",
     o_totalprice % 1000 / 1000 quality, case o_orderstatus when 'F' then 'completed' when 'P' then 'failed' else 'pending' end status, o_orderpriority stage,
-    floor(o_totalprice)::bigint size, o_totalprice / 1000 as seconds, o_orderkey % 2 = 0 has_version
-  from orders where o_orderkey % 4 <> 3)"""
+    floor(o_totalprice)::bigint size, o_totalprice / 1000 as seconds, o_orderkey % 2 = 0 has_version,
+    variable || '/' || scenario || '/' || variable || '_day_NorESM2-LM_' || scenario || '_r1i1p1f1_gn_' || "year" || case when has_version then '_v1.1' else '' end || '.nc' as path
+  from orders)"""
+
+
+def square(k: Column) -> tuple[Column, Column]:
+    """A place (i, j) of its own for each k from 0 on: squares around the origin are filled one after another."""
+    side = F.floor(F.sqrt(k.cast("double")))
+    rest = k - side * side
+    return F.when(rest <= side, side).otherwise(2 * side - rest), F.when(rest <= side, rest).otherwise(side)
+
+
+def square_sql(k: str) -> str:
+    """The same as two columns i and j."""
+    side, rest = f"floor(sqrt({k}))::bigint", f"({k} - floor(sqrt({k}))::bigint ** 2)::bigint"
+    return f"case when {rest} <= {side} then {side} else 2 * {side} - {rest} end i, case when {rest} <= {side} then {rest} else {side} end j"
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lat, lon, value of a regular grid of one-degree steps, a cell for each part; every seventh value is missing."""
-    k = F.col("p_partkey")
-    return read(spark, sf_dir, "part").where(k <= 400).select((F.floor(k / 20) + 0.5).cast("double").alias("lat"), (k % 20 + 0.5).cast("double").alias("lon"), F.when(k % 7 != 0, F.col("p_retailprice")).alias("value"))
+    """lat, lon, value of a square grid of one-degree steps, a cell for each part; every seventh value is missing."""
+    i, j = square(F.col("p_partkey"))
+    return read(spark, sf_dir, "part").select((i + 0.5).cast("double").alias("lat"), (j + 0.5).cast("double").alias("lon"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_retailprice")).alias("value"))
 
 
-CELLS = """cells as (
-  select floor(p_partkey / 20) + 0.5 lat, p_partkey % 20 + 0.5 lon, case when p_partkey % 7 <> 0 then p_retailprice end value from part where p_partkey <= 400)"""
+CELLS = f"""cells as (
+  select i + 0.5::double lat, j + 0.5::double lon, value from (select {square_sql("p_partkey")}, case when p_partkey % 7 <> 0 then p_retailprice end value from part))"""
 
 
 def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Diamonds of different sizes around points of the grid, some too small to hold a cell centre."""
+    """Diamonds of different sizes all over the grid, some too small to hold a cell centre."""
     k = F.col("s_suppkey")
-    s = read(spark, sf_dir, "supplier").where(k <= 400)
-    x, y, r = k * 7 % 16 + F.lit(2.1), k * 11 % 9 + F.lit(1.13), (k % 5 * 0.75 + 0.2).cast("double")
+    i, j = square(k)
+    s = read(spark, sf_dir, "supplier")
+    x, y, r = i * 4 + F.lit(2.1), j * 4 + F.lit(1.13), (k % 5 * 0.75 + 0.2).cast("double")
     ring = F.array(*[F.struct((x + a * r).alias("lon"), (y + b * r).alias("lat")) for a, b in ((-1, 0), (0, -1), (1, 0), (0, 1))])
     return s.select(F.lpad(k.cast("string"), 5, "0").alias("geoid"), F.col("s_name").alias("name"), F.array(ring).alias("rings"), x.alias("x"), y.alias("y"), r.alias("r"))
 
 
-COUNTIES = """counties as (
-  select lpad(cast(s_suppkey as varchar), 5, '0') geoid, s_suppkey * 7 % 16 + 2.1::double x, s_suppkey * 11 % 9 + 1.13::double y, s_suppkey % 5 * 0.75 + 0.2 r
-  from supplier where s_suppkey <= 400)"""
+COUNTIES = f"""counties as (
+  select lpad(cast(s_suppkey as varchar), 5, '0') geoid, i * 4 + 2.1::double x, j * 4 + 1.13::double y, s_suppkey % 5 * 0.75 + 0.2 r
+  from (select s_suppkey, {square_sql("s_suppkey")} from supplier))"""

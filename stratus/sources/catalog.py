@@ -87,9 +87,9 @@ def catalogue_page(files: DataFrame, variables: tuple[str, ...] = (), regions: t
         kept = kept.where(F.col("year").between(*years))
     if min_quality is not None:
         kept = kept.where(F.col("quality") >= min_quality)
-    total = kept.agg(F.count("*").alias("total"))
+    total = kept.agg(F.count("*")).scalar()
     page = kept.orderBy(F.col(order).desc() if descending else F.col(order), "id").offset(offset).limit(limit)
-    return page.crossJoin(F.broadcast(total)).withColumn("has_more", F.col("total") > offset + limit)
+    return page.withColumn("total", total).withColumn("has_more", F.col("total") > offset + limit)
 
 
 def data_summary(files: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def data_summary(files: DataFrame) -> DataFrame:
 def processing_tasks(files: DataFrame, regions: DataFrame) -> DataFrame:
     """Every historical file up to 2014 and every projection after it, for each of a few regions."""
     wanted = ((F.col("scenario") == "historical") & (F.col("year") <= 2014)) | (F.col("scenario").isin("ssp245", "ssp585") & (F.col("year") >= 2015))
-    return files.where(wanted).crossJoin(F.broadcast(regions.select("region")))
+    return files.where(wanted).withColumn("region", F.explode(regions.agg(F.collect_list("region")).scalar()))
 
 
 def expected_counties(key: str) -> int:
