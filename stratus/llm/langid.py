@@ -7,7 +7,7 @@ kept aside from the training. Fitting takes at most MAX_TRAINING documents (the
 prediction covers every whole text, in windows that overlap by two characters so that memory stays bounded.
 
 Edge cases: a null text or one without a letter is `und` with score 0; documents without a language or an id are not learned
-from; with no training document every prediction is `und` with score 0; equal texts get equal results; ties go to the language
+from, and rows that repeat a document in a language are learned from once, by the least of their counts; with no training document every prediction is `und` with score 0; equal texts get equal results; ties go to the language
 first in order; an empty table gives an empty result. Columns besides key, text and (for fitting) language are not read.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import map_texts, table
+from stratus.llm.common import least_hashes, map_texts, table
 
 MAX_TRAINING = 2_400
 BUCKETS = 1 << 14
@@ -130,18 +130,23 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]]) -> Languages:
 def training_rows(docs: DataFrame, bound: int = MAX_TRAINING) -> list[tuple[np.ndarray, np.ndarray, str]]:
     """n-gram counts and language of at most bound documents that are not held out, in the order of their hashes."""
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
-    picked = usable.select(F.col("doc_id").alias("picked_id")).orderBy(F.xxhash64("picked_id"), "picked_id").limit(bound)
-    rows = docs.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang").join(F.broadcast(picked.distinct()), F.col("doc_id") == F.col("picked_id")).drop("picked_id")
+    picked = least_hashes(usable.select(F.col("doc_id").alias("picked_id")), "picked_id", bound)
+    rows = docs.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang").join(F.broadcast(picked), F.col("doc_id") == F.col("picked_id")).drop("picked_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple, tuple[bytes, bytes]] = {}
         for batch in batches:
             for i, t, lang in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
                 if has_letter(t):
                     c = gram_counts(t)
                     hit = np.flatnonzero(c)
-                    yield pa.record_batch([pa.array([i], pa.int64()), pa.array([lang]), pa.array([hit.astype("<u2").tobytes()], pa.binary()), pa.array([c[hit].astype("<u4").tobytes()], pa.binary())], names=["doc_id", "lang", "buckets", "counts"])
+                    x = hit.astype("<u2").tobytes(), c[hit].astype("<u4").tobytes()
+                    least[i, lang] = min(x, least.get((i, lang), x))
+        columns = [[i for i, _ in least], [lang for _, lang in least], [x for x, _ in least.values()], [x for _, x in least.values()]]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "lang", "buckets", "counts"])
 
-    got = rows.mapInArrow(run, "doc_id bigint, lang string, buckets binary, counts binary").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "buckets").collect()
+    once = rows.mapInArrow(run, "doc_id bigint, lang string, buckets binary, counts binary").groupBy("doc_id", "lang").agg(F.min(F.struct("buckets", "counts")).alias("x"))
+    got = once.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").select("lang", "x.*").collect()
     return [(np.frombuffer(r["buckets"], "<u2").astype(np.int64), np.frombuffer(r["counts"], "<u4").astype(float), r["lang"]) for r in got]
 
 

@@ -5,7 +5,8 @@ most MAX_TRAINING labelled documents (the least hashes of their ids, a documente
 task walks for a whole batch at once. Labels, language, source and id are no inputs.
 
 Edge cases: null and empty texts have all statistics zero and still get a score; rows of labels without an id or a label are
-left out; a document with several labels counts with each; without any labelled document, or with one class only, the score
+left out; a document with several labels counts with each; rows that repeat a document count once in training, by the least
+statistics of them; without any labelled document, or with one class only, the score
 is that class's smoothed share; equal texts get equal scores; an empty table gives an empty result. score() reads key and
 text alone; keep() passes every column through as it is.
 """
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import map_texts, slices, table
+from stratus.llm.common import least_hashes, map_texts, slices, table
 
 MAX_TRAINING = 12_000
 BINS = 64
@@ -134,15 +135,20 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) ->
 def training_rows(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAINING) -> tuple[np.ndarray, np.ndarray]:
     """Statistics and labels of at most bound labelled documents that are not held out; ties in the hash go by id."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
-    picked = usable.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("label")).orderBy(F.xxhash64("label_id"), "label_id", "label").limit(bound)
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("label_id"))
+    picked = usable.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("label"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(least_hashes(picked, "label_id", bound)), F.col("doc_id") == F.col("label_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[tuple, list[float]] = {}
         for batch in batches:
-            x = matrix(batch.column(1).to_pylist())
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(x.tolist(), type=pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
-
-    got = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id bigint, label int, x array<double>").toPandas().sort_values(["doc_id", "label"], kind="stable")
+            ids, texts, labels = (batch.column(j).to_pylist() for j in range(3))
+            for a, b in slices(texts):
+                for k, x in zip(zip(ids[a:b], labels[a:b], strict=True), matrix(texts[a:b]).tolist(), strict=True):
+                    least[k] = min(x, least.get(k, x))
+        yield pa.record_batch([pa.array([i for i, _ in least], pa.int64()), pa.array([y for _, y in least], pa.int32()), pa.array(list(least.values()), type=pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
+
+    once = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id bigint, label int, x array<double>").groupBy("doc_id", "label").agg(F.min("x").alias("x"))
+    got = once.toPandas().sort_values(["doc_id", "label"], kind="stable")
     return np.array(got["x"].tolist(), dtype=float).reshape(len(got), len(FEATURES)), got["label"].to_numpy(dtype=float)
 
 

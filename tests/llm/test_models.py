@@ -58,6 +58,27 @@ def test_labels_that_are_held_out_do_not_matter(spark):
     assert (a[0] == b[0]).all() and (a[1] == b[1]).all() and len(a[1]) == 100
 
 
+def test_least_hashes_against_a_sort_of_all(spark):
+    from stratus.llm.common import least_hashes
+
+    rows = spark.range(5000).select((F.col("id") % 3000).alias("k"), (F.col("id") % 2).alias("v"))
+    for bound in (1, 7, 100, 10_000):
+        want = rows.distinct().orderBy(F.xxhash64("k"), "k", "v").limit(bound).collect()
+        assert least_hashes(rows, "k", bound).collect() == want
+    hot = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
+    assert least_hashes(hot, "k", 50).collect() == hot.distinct().orderBy(F.xxhash64("k"), "k").limit(50).collect()
+    assert least_hashes(rows.limit(0), "k", 5).count() == 0
+
+
+def test_repeated_documents_are_learned_from_once(spark):
+    """Documents 1 and 8 are held out of neither training."""
+    docs = spark.createDataFrame([(1, "one text", "en")] * 400 + [(1, "another", "en"), (8, "ein", "de")], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (1, 0), (8, 0)], "doc_id bigint, quality int")
+    assert sorted(r[2] for r in langid.training_rows(docs)) == ["de", "en"]
+    x, y = quality.training_rows(docs, labels)
+    assert y.tolist() == [0, 1, 0] and x[0].tolist() == x[1].tolist() == min(quality.statistics("one text"), quality.statistics("another"))
+
+
 def test_quality_with_nulls_repeats_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "good words here"), (1, "good words here"), (2, None), (None, ""), (3, "a" * 50_000)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None), (3, 0)], "doc_id bigint, quality int")
