@@ -175,6 +175,7 @@ BROADCAST_IDS = 1_000_000
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows whose key is the smallest of its component, with all their columns; rows without a key stay.
 
+    Rows that repeat the smallest key all stay too. neardup.drop_near_duplicates keeps one row of each group; the pipeline takes that.
     The keys to drop are broadcast while they are at most BROADCAST_IDS (counted); beyond that both sides are shuffled by key.
     """
     surplus = cut_lineage(near_duplicates(docs, key, text).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
