@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and test items become word sequences (lower case, ASCII letters and digits and anything beyond ASCII). A rolling Karp-Rabin
+Documents and test items become word sequences (lower case; punctuation and spaces of all of Unicode separate words, and in scripts
+without spaces each character is a word). A rolling Karp-Rabin
 hash over MIN_MATCH words finds the windows that a document shares with an item. For each such pair the longest common run of words
 that are not marked yet is marked, again and again, until none of MIN_MATCH words is left; the share of the item's words that
 are marked is its coverage. As runs are tiled in any order, passages that were reordered in a document are caught.
@@ -8,7 +9,7 @@ are marked is its coverage. As runs are tiled in any order, passages that were r
 Scale: documents are read once a block of items, streamed, never shuffled. A block holds at most BLOCK_BYTES of item text (that is
 checked by an aggregate, and larger benchmarks are taken in several blocks), so what tasks receive is bounded.
 
-Edge cases: null texts have no words; items under MIN_MATCH words never match; items repeated with the same id and text count once; a
+Edge cases: null texts have no words; items under MIN_MATCH words match when whole and consecutive, even one word; items repeated with the same id and text count once; a
 null item id is carried as null; ties in length go to the earlier place in the item, then in the document; repeated documents are reported
 each; empty tables give an empty result. Columns besides keys and texts are not read (drop_contaminated() keeps them).
 """
@@ -16,8 +17,9 @@ each; empty tables give an empty result. Columns besides keys and texts are not
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,36 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "replace").translate(_WORD_BYTES).split()
 
 
+# Scripts without spaces: Thai, Lao, Myanmar, Khmer, kana and Han with their extensions.
+_SINGLE = ((0x0E01, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x323AF))
+
+
+class _Separated(dict):
+    """What stands for each character: itself, a space, nothing (marks of format) or itself between spaces."""
+
+    def __missing__(self, code: int) -> str:
+        c, kind = chr(code), unicodedata.category(chr(code))
+        if code < 128:
+            out = c if c.isalnum() else " "
+        elif kind[0] in "PZ" or kind == "Cc" or code == 0x200B:
+            out = " "
+        elif kind == "Cf":
+            out = ""
+        else:
+            out = f" {c} " if any(a <= code <= b for a, b in _SINGLE) else c
+        self[code] = out
+        return out
+
+
+_SEPARATED = _Separated()
+
+
+def tokens_of(text: str | None) -> list[bytes]:
+    """Words to be matched: those of words_of for ASCII; beyond it separators of Unicode split, and single characters of some scripts."""
+    text = text or ""
+    return words_of(text) if text.isascii() else text.lower().translate(_SEPARATED).encode("utf-8", "replace").split()
+
+
 def rolling(ids: np.ndarray, width: int = MIN_MATCH) -> np.ndarray:
     """Karp-Rabin hash of each window of ids, modulo 2**64."""
     n = len(ids) - width + 1
@@ -60,22 +92,42 @@ class Items:
     hashes: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    #: Items under MIN_MATCH words, by their number of words and those words.
+    short: dict[int, dict[tuple, list[int]]] = field(default_factory=dict)
 
     @staticmethod
     def of(rows: list[tuple[object, str]]) -> Items:
         numbers: dict[bytes, int] = {}
-        tokens = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(t)], dtype=np.int64) for _, t in rows]
+        tokens = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in tokens_of(t)], dtype=np.int64) for _, t in rows]
         windows = [rolling(t) for t in tokens]
         hashes = np.concatenate([*windows, np.zeros(0, dtype=np.uint64)])
         item = np.repeat(np.arange(len(rows)), [len(w) for w in windows])
         place = np.concatenate([*(np.arange(len(w)) for w in windows), np.zeros(0, dtype=np.int64)])
         order = np.argsort(hashes, kind="stable")
-        return Items([i for i, _ in rows], numbers, tokens, hashes[order], item[order], place[order])
+        short: dict[int, dict[tuple, list[int]]] = {}
+        for k, t in enumerate(tokens):
+            if 0 < len(t) < MIN_MATCH:
+                short.setdefault(len(t), {}).setdefault(tuple(t.tolist()), []).append(k)
+        return Items([i for i, _ in rows], numbers, tokens, hashes[order], item[order], place[order], short)
+
+    def whole(self, doc: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, its words, 1) of each item under MIN_MATCH words that stands in the document."""
+        out = []
+        for width, by_words in self.short.items():
+            known = np.concatenate([[0], np.cumsum(doc > 0)])
+            at = np.flatnonzero(known[width:] - known[:-width] == width) if len(doc) >= width else np.zeros(0, dtype=np.int64)
+            here = set(zip(*(doc[at + j].tolist() for j in range(width)), strict=True))
+            out += [(k, width, 1) for words in here & by_words.keys() for k in by_words[words]]
+        return sorted(out)
 
     def matches(self, text: str | None) -> list[tuple[int, int, int]]:
-        """(item, marked words, tiles) of each item that shares a window with the text."""
+        """(item, marked words, tiles) of each item that shares a window with the text, or stands in it if it is short."""
         get = self.numbers.get
-        doc = np.array([get(w, 0) for w in words_of(text)], dtype=np.int64)
+        doc = np.array([get(w, 0) for w in tokens_of(text)], dtype=np.int64)
+        return self.whole(doc) + self.tiled(doc)
+
+    def tiled(self, doc: np.ndarray) -> list[tuple[int, int, int]]:
+        """The same of items of MIN_MATCH words and more."""
         if len(doc) < MIN_MATCH or not len(self.hashes):
             return []
         known = np.concatenate([[0], np.cumsum(doc > 0)])
