@@ -5,7 +5,7 @@ neighbours' shapes. It is trained here, on the driver, from the small labelled t
 regularised log-likelihood, and decoded by Viterbi over numpy batches of segments. A segment is a run of tokens that hold a digit,
 an "@" or a bracketed "at", with CONTEXT tokens on either side; elsewhere the field's labels are constrained to O, so whole
 texts of any length are covered and segments are independent. A span that the field adds must hold enough of its kind's characters
-and must not overlap a span of the exact patterns, which always stay.
+and must not overlap a span of the exact patterns, which always stay. A run of labels that doesn't is split at token borders.
 
 Edge cases: a null text is empty and has no span; equal texts give equal spans; repeated rows give a row each; an empty table
 gives an empty result; columns besides key and text are not read (redact() keeps them as they are).
@@ -352,6 +352,49 @@ def _holds(kind: str, s: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search(r"[A-Za-z:/,$]", s) and bool(re.search(r"[() .-]", s))
 
 
+#: A piece of a run holds at most so many tokens; a card of 19 single digits fits.
+PIECE = 20
+
+
+def _proposed(kind: str, text: str, run: list[tuple[int, int]]) -> tuple[int, int] | None:
+    """Start and end of what the tokens of a run hold of a kind, if it is enough."""
+    a, b = run[0][0], run[-1][1]
+    m = re.search(r"[A-Za-z0-9+(].*[A-Za-z0-9)]", text[a:b], re.S)
+    return (a + m.start(), a + m.end()) if m and _holds(kind, m[0]) else None
+
+
+def pieces(kind: str, text: str, run: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The run's span if it holds as a whole; otherwise spans of disjoint pieces of it that cover most tokens, over fewest line
+    ends, in most pieces. The labels have no begin mark, so neighbours of one kind make one run."""
+    if whole := _proposed(kind, text, run):
+        return [whole]
+    if len(run) == 1:
+        return []
+    n = len(run)
+    broken = [0] + [int("\n" in text[run[i - 1][1] : run[i][0]]) for i in range(1, n)]
+    best: list[tuple] = [(0, 0, 0)] * (n + 1)
+    step: list[tuple[int, tuple[int, int] | None]] = [(1, None)] * n
+    for i in range(n - 1, -1, -1):
+        best[i] = best[i + 1]
+        lines = digits = 0
+        for j in range(i, min(n, i + PIECE)):
+            lines += broken[j] if j > i else 0
+            digits += len(_digits(text[run[j][0] : run[j][1]]))
+            if digits > 19 and kind in ("card", "phone"):
+                break
+            if span := _proposed(kind, text, run[i : j + 1]):
+                covered, ends, count = best[j + 1]
+                value = (covered + j + 1 - i, ends - lines, count + 1)
+                if value > best[i]:
+                    best[i], step[i] = value, (j + 1 - i, span)
+    out, i = [], 0
+    while i < n:
+        if step[i][1]:
+            out.append(step[i][1])
+        i += step[i][0]
+    return out
+
+
 def spans_of(texts: list[str | None], crf: Crf) -> list[tuple[list, list]]:
     """(exact spans, all spans) of each text, by kind and start."""
     out, owners, tokens, places = [], [], [], []
@@ -369,11 +412,8 @@ def spans_of(texts: list[str | None], crf: Crf) -> list[tuple[list, list]]:
             while j < len(labels) and labels[j] == labels[i]:
                 j += 1
             if labels[i]:
-                a, b = seg[i][0], seg[j - 1][1]
-                body = texts[k][a:b]
-                m = re.search(r"[A-Za-z0-9+(].*[A-Za-z0-9)]", body, re.S)
-                if m and _holds(LABELS[labels[i]], m[0]):
-                    added.setdefault(k, []).append((LABELS[labels[i]], a + m.start(), a + m.end()))
+                kind = LABELS[labels[i]]
+                added.setdefault(k, []).append((kind, seg[i:j], _proposed(kind, texts[k], seg[i:j])))
             i = j
     result = []
     for k, (base, _) in enumerate(out):
@@ -382,10 +422,22 @@ def spans_of(texts: list[str | None], crf: Crf) -> list[tuple[list, list]]:
         if k in added:
             at = np.array([a for a, _ in taken] + [1 << 60])
             reach = np.maximum.accumulate(np.array([0] + [b for _, b in taken]))
-            for kind, a, b in added[k]:
-                i = int(np.searchsorted(at, b))
-                if reach[i] <= a:
-                    more.append((kind, a, b))
+
+            def clear(a: int, b: int) -> bool:
+                return bool(reach[int(np.searchsorted(at, b))] <= a)
+
+            for kind, run, span in added[k]:
+                if span and clear(*span):
+                    more.append((kind, *span))
+                    continue
+                # Tokens of exact spans go first; what is left between them may hold more.
+                left: list[list[tuple[int, int]]] = [[]]
+                for token in run:
+                    if clear(*token):
+                        left[-1].append(token)
+                    elif left[-1]:
+                        left.append([])
+                more += [(kind, *x) for part in left if part for x in pieces(kind, texts[k], part)]
         result.append((base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))))
     return result
 
