@@ -18,15 +18,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the checkpoint folder set, or spark.checkpoint.dir. Local masters may do with a temporary one."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="stratus-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder of spark.checkpoint.dir; only where none is set (tests) a local folder is taken."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratus-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
+    """Checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def texts_of(column: pa.Array) -> list:
+    """The texts of an Arrow column; bytes that are no UTF-8 count as U+FFFD."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        raw = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+        return [None if b is None else b.decode("utf-8", "replace") for b in raw]
+
+
 def least_hashes(rows: DataFrame, key: str, bound: int) -> DataFrame:
     """At most bound distinct rows, those of the least hashes of their key; ties go by the columns in order.
 
@@ -63,7 +79,7 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, work: Ca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
             for a, b in slices(texts):
                 got = work(ids[a:b], texts[a:b])
                 yield pa.record_batch([pa.array(got[f.name], type=f.type) for f in out], schema=out)

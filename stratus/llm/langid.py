@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import least_hashes, map_texts, table
+from stratus.llm.common import least_hashes, map_texts, table, texts_of
 
 MAX_TRAINING = 2_400
 BUCKETS = 1 << 14
@@ -136,7 +136,7 @@ def training_rows(docs: DataFrame, bound: int = MAX_TRAINING) -> list[tuple[np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple, tuple[bytes, bytes]] = {}
         for batch in batches:
-            for i, t, lang in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
+            for i, t, lang in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), texts_of(batch.column(2)), strict=True):
                 if has_letter(t):
                     c = gram_counts(t)
                     hit = np.flatnonzero(c)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import map_texts, slices, table
+from stratus.llm.common import map_texts, slices, table, texts_of
 
 RARE_WORDS = 12
 MATCH = 0.8
@@ -143,7 +143,7 @@ def document_frequencies(docs: DataFrame, index: Index, text: str = "text") -> t
         total, df = 0, np.zeros(size, dtype=np.int64)
         vocabulary = frozenset(index.numbers)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = texts_of(batch.column(0))
             for a, b in slices(texts):
                 for t in texts[a:b]:
                     total += 1

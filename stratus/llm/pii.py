@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm.common import map_texts, slices, table
+from stratus.llm.common import map_texts, slices, table, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -474,7 +474,7 @@ def redact(docs: DataFrame, crf: Crf, text: str = "text", n_chars: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = texts_of(batch.column(at))
             for a, b in slices(texts):
                 part, own = batch.slice(a, b - a), texts[a:b]
                 found = spans_of(own, crf)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import least_hashes, map_texts, slices, table
+from stratus.llm.common import least_hashes, map_texts, slices, table, texts_of
 
 MAX_TRAINING = 12_000
 BINS = 64
@@ -141,7 +141,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAINING)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple, list[float]] = {}
         for batch in batches:
-            ids, texts, labels = (batch.column(j).to_pylist() for j in range(3))
+            ids, texts, labels = batch.column(0).to_pylist(), texts_of(batch.column(1)), batch.column(2).to_pylist()
             for a, b in slices(texts):
                 for k, x in zip(zip(ids[a:b], labels[a:b], strict=True), matrix(texts[a:b]).tolist(), strict=True):
                     least[k] = min(x, least.get(k, x))
@@ -174,7 +174,7 @@ def keep(docs: DataFrame, trees: Trees, text: str = "text", at_least: float = 0.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = texts_of(batch.column(at))
             good = [trees.predict(matrix(texts[a:b])) >= at_least for a, b in slices(texts)]
             yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, dtype=bool)))
 
