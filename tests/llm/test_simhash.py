@@ -101,3 +101,71 @@ def test_repeats_null_keys_and_no_rows(spark):
     assert got == [(0, 7), (0, None), (7, 7), (7, 7)]
     assert drop_near_duplicates(df).count() == 4
     assert near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def close_group(r, n, bits=64, flips=3):
+    """Distinct values near one centre, and some far ones."""
+    centre = r.getrandbits(64)
+    out = {centre}
+    while len(out) < n:
+        v = centre
+        for _ in range(r.randint(1, flips)):
+            v ^= 1 << r.randrange(bits)
+        out.add(v)
+    return out | {r.getrandbits(64) for _ in range(n // 4)}
+
+
+@pytest.mark.parametrize("segments, distance, hot", [(2, 2, 64), (2, 2, 1), (2, 2, 5), (3, 2, 3), (4, 2, 64), (2, 1, 2), (2, 0, 1)])
+def test_links_connect_the_same_by_any_index(spark, segments, distance, hot):
+    r = random.Random(segments * 10 + distance)
+    values = sorted(close_group(r, 120) | close_group(r, 60, 32, 2) | close_group(r, 40, 64, 6))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    found = [(x.a, x.b) for x in links(spark.createDataFrame([(v,) for v in signed], "fp bigint"), segments, distance, hot).collect()]
+    mask = (1 << 64) - 1
+    assert all(a < b and ((a ^ b) & mask).bit_count() <= distance for a, b in found) and len(found) == len(set(found))
+    parent = {v: v for v in signed}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in found:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    slow = {v: v for v in signed}
+
+    def root(x):
+        while slow[x] != x:
+            x = slow[x]
+        return x
+
+    for i, a in enumerate(signed):
+        for b in signed[i + 1 :]:
+            if ((a ^ b) & mask).bit_count() <= distance:
+                x, y = root(a), root(b)
+                slow[max(x, y)] = min(x, y)
+    assert {v: find(v) for v in signed} == {v: root(v) for v in signed}
+
+
+def test_the_number_of_segments_changes_the_table_and_candidates_are_rejected(spark):
+    from stratus.llm.simhash import ball_entries, table_entries
+
+    r = random.Random(8)
+    classes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in close_group(r, 80, 32, 8)], "fp bigint")
+    n = classes.count()
+    for segments, ball in ((2, 33), (3, 1), (4, 1)):
+        assert table_entries(classes, segments).count() == segments * n
+        assert ball_entries(classes, segments, 2, upward=False).count() == segments * ball * n
+    asked, table = ball_entries(classes).select("key", F.col("fp").alias("a")), table_entries(classes).select("key", F.col("fp").alias("b"))
+    fetched = asked.join(table, "key").where("a <> b").select("a", "b").distinct()
+    near = fetched.where("bit_count(a ^ b) <= 2").count()
+    assert 0 < near < fetched.count()
+
+
+def test_long_texts_and_hubs(spark):
+    long = " ".join(f"w{i % 977}" for i in range(150_000))
+    assert fingerprint(long) == slow_fingerprint(long)
+    edges = spark.range(3000).select(F.lit(0).cast("long").alias("a"), (F.col("id") + 1).alias("b")).union(spark.range(2000).select((F.col("id") + 5000).alias("a"), (F.col("id") + 5001).alias("b")))
+    got = components(edges, part_edges=500).groupBy("root").count().collect()
+    assert sorted((x.root, x["count"]) for x in got) == [(0, 3001), (5000, 2001)]
