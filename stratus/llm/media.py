@@ -3,151 +3,431 @@
 An Aho-Corasick automaton finds the magic bytes of every known format in one pass over a blob. Each hit goes to that format's
 validator, which walks the structure and returns the exact length, or nothing; so a stray "BM" in a text is no image. The
 first valid structure at offset 0 corrects the declared type; valid structures elsewhere are embedded media and can be carved.
+What validators learn about a blob, such as where its end marks are or where a chain of chunks ends, is learned once, so
+false signatures repeated without end take time in proportion to the blob.
 
 Edge cases: a null or empty blob has no type and no media; bytes without a valid structure keep the declared type, marked as not
 confirmed; a structure inside another one is reported only once, as part of the outer; equal blobs give equal results; an
-empty table gives an empty result. Only the key, the blob and the declared type are read, so other columns can't clash.
+empty table gives an empty result. Keys may be of any type, null and repeated; a row with a null key is sniffed like any other.
+Only the key, the blob, the declared type and columns asked for by name are read, so other columns can't clash.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
-from stratus.llm.common import map_texts, table
+from stratus.llm.common import SLICE_CHARS, map_texts, table
 
 ALIGN = 64
 WIDTH = 64
 UNKNOWN = "application/octet-stream"
 
-# Fixed values of the formats: magic bytes and media type.
+# Fixed values of the formats: magic bytes, media type, and bytes that always stand at an offset from the magic's start.
 MAGIC = (
-    (b"RIFF", "audio/wav"),
-    (b"\x89PNG\r\n\x1a\n", "image/png"),
-    (b"BM", "image/bmp"),
-    (b"GIF87a", "image/gif"),
-    (b"GIF89a", "image/gif"),
-    (b"\xff\xd8\xff", "image/jpeg"),
-    (b"fLaC", "audio/flac"),
-    (b"OggS", "audio/ogg"),
-    (b"%PDF-", "application/pdf"),
+    (b"RIFF", "audio/wav", 8, b"WAVEfmt "),
+    (b"\x89PNG\r\n\x1a\n", "image/png", 8, b"\0\0\0\x0dIHDR"),
+    (b"BM", "image/bmp", 6, b"\0\0\0\0"),
+    (b"GIF87a", "image/gif", 0, b"GIF87a"),
+    (b"GIF89a", "image/gif", 0, b"GIF89a"),
+    (b"\xff\xd8\xff", "image/jpeg", 0, b"\xff\xd8\xff"),
+    (b"fLaC", "audio/flac", 5, b"\0\0\x22"),
+    (b"OggS", "audio/ogg", 4, b"\0"),
+    (b"%PDF-", "application/pdf", 6, b"."),
 )
 
 
-def _wav(b: bytes, at: int) -> int | None:
-    if len(b) < at + 44 or b[at + 8 : at + 12] != b"WAVE":
+class Blob:
+    """Bytes, and what has been learned about them: places of patterns, and where chains of parts end."""
+
+    def __init__(self, raw: bytes):
+        self.raw = raw
+        self._places: dict[bytes, list[re.Match | int]] = {}
+        self._ends: dict[str, dict[int, tuple | None]] = {}
+        self.chunks: dict[int, tuple[int, int, int, int]] = {}
+
+    def places(self, pattern: bytes) -> list[int]:
+        """Where a pattern matches, ascending; sought once."""
+        if pattern not in self._places:
+            self._places[pattern] = [m.start() for m in re.finditer(pattern, self.raw, re.S)]
+        return self._places[pattern]
+
+    def after(self, pattern: bytes, at: int) -> int | None:
+        """The first place of a pattern at or after another."""
+        found = self.places(pattern)
+        k = bisect_left(found, at)
+        return found[k] if k < len(found) else None
+
+    def chain_end(self, kind: str, at: int, step: Callable[[int], tuple[int | None, tuple | None]], join: Callable[[int, tuple | None], tuple | None] = lambda at, end: end) -> tuple | None:
+        """What the chain of parts from `at` ends in. step gives the next part's place, or none and the end; join adds what a part
+        says to the end of the chain behind it. Every part is looked at once."""
+        ends, path = self._ends.setdefault(kind, {}), []
+        while at not in ends:
+            path.append(at)
+            to, end = step(at)
+            if to is None:
+                ends[at] = join(path.pop(), end)
+                break
+            at = to
+        end = ends[at]
+        for p in reversed(path):
+            end = ends[p] = join(p, end)
+        return end
+
+
+def _riff_path(blob: Blob, at: int, end: int) -> int:
+    """How many data chunks the chain of chunks from `at` holds up to `end`, or none (-1) if no chunk ends there.
+
+    A chunk's entry is (next place, a place further on, chunks and data chunks to the chain's end); the second lets a question skip.
+    """
+    b, known, path, pos = blob.raw, blob.chunks, [], at
+    while pos not in known:
+        size = struct.unpack_from("<I", b, pos + 4)[0] if pos + 8 <= len(b) else 1 << 40
+        to = pos + 8 + size + size % 2
+        if to > len(b) + 1 or not b[pos : pos + 4].isascii():
+            known[pos] = (pos, pos, 0, 0)
+            break
+        path.append(pos)
+        pos = to
+    for p in reversed(path):
+        size = struct.unpack_from("<I", b, p + 4)[0]
+        to = p + 8 + size + size % 2
+        _, jump, depth, data = known[to]
+        far = known[jump]
+        skip = far[1] if depth - far[2] == far[2] - known[far[1]][2] else to
+        known[p] = (to, skip, depth + 1, data + (b[p : p + 4] == b"data"))
+    pos = at
+    while pos < end and known[pos][0] != pos:
+        pos = known[pos][1] if known[pos][1] <= end else known[pos][0]
+    return known[at][3] - known[pos][3] if pos == end else -1
+
+
+def _wav(blob: Blob, at: int) -> int | None:
+    b = blob.raw
+    if len(b) < at + 44:
         return None
     end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
-    pos, seen = at + 12, []
-    while pos + 8 <= end <= len(b):
-        name, n = b[pos : pos + 4], struct.unpack_from("<I", b, pos + 4)[0]
-        seen.append(name)
-        pos += 8 + n + n % 2
-    return end - at if seen[:1] == [b"fmt "] and b"data" in seen and pos == end else None
+    return end - at if end <= len(b) and _riff_path(blob, at + 12, end) > 0 else None
 
 
-def _png(b: bytes, at: int) -> int | None:
-    pos, first = at + 8, True
-    while pos + 12 <= len(b):
+def _png(blob: Blob, at: int) -> int | None:
+    b = blob.raw
+
+    def chunk(pos: int) -> tuple[int | None, tuple | None]:
+        if pos + 12 > len(b):
+            return None, None
         n, kind = struct.unpack_from(">I4s", b, pos)
-        if first and (kind != b"IHDR" or n != 13) or pos + 12 + n > len(b):
-            return None
-        if zlib.crc32(b[pos + 4 : pos + 8 + n]) != struct.unpack_from(">I", b, pos + 8 + n)[0]:
-            return None
-        pos, first = pos + 12 + n, False
-        if kind == b"IEND":
-            return pos - at
-    return None
+        if pos + 12 + n > len(b) or not kind.isalpha():
+            return None, None
+        return (None, (pos + 12,)) if kind == b"IEND" and n == 0 else (pos + 12 + n, None)
+
+    def checked(pos: int) -> tuple[int | None, tuple | None]:
+        n = struct.unpack_from(">I", b, pos)[0]
+        if zlib.crc32(memoryview(b)[pos + 4 : pos + 8 + n]) != struct.unpack_from(">I", b, pos + 8 + n)[0]:
+            return None, None
+        return chunk(pos)
+
+    # Checksums are computed only where the lengths lead to an end.
+    if not blob.chain_end("png", at + 8, chunk):
+        return None
+    end = blob.chain_end("png checked", at + 8, checked)
+    return end[0] - at if end else None
+
+
+# Sizes of the headers of bitmaps, bits a pixel by packing (none, run lengths, bit fields).
+_BMP_HEADERS = (12, 16, 40, 52, 56, 64, 108, 124)
+_BMP_BITS = {0: (1, 4, 8, 16, 24, 32), 1: (8,), 2: (4,), 3: (16, 32), 6: (16, 32)}
 
 
-def _bmp(b: bytes, at: int) -> int | None:
-    if len(b) < at + 54:
+def _bmp(blob: Blob, at: int) -> int | None:
+    b = blob.raw
+    if len(b) < at + 26:
         return None
-    size, spare, start, header = struct.unpack_from("<IIII", b, at + 2)
-    width, height, planes, bits, packing = struct.unpack_from("<iiHHI", b, at + 18)
-    if spare or header != 40 or planes != 1 or packing or bits not in (8, 24, 32) or width <= 0 or height == 0:
+    size, _, start, header = struct.unpack_from("<IIII", b, at + 2)
+    if header not in _BMP_HEADERS or start < 14 + header or not start < size <= len(b) - at:
         return None
-    row = (width * bits + 31) // 32 * 4
-    return size if start >= 54 and size == start + row * abs(height) and at + size <= len(b) else None
+    if header == 12:
+        (width, height, planes, bits), packing = struct.unpack_from("<HHHH", b, at + 18), 0
+    else:
+        width, height, planes, bits = struct.unpack_from("<iiHH", b, at + 18)
+        packing, image = struct.unpack_from("<II", b, at + 30) if header > 16 else (0, 0)
+    if planes != 1 or width <= 0 or height == 0 or bits not in _BMP_BITS.get(packing, ()):
+        return None
+    pixels = image if packing in (1, 2) else (width * bits + 31) // 32 * 4 * abs(height)
+    end = start + pixels
+    if header == 124 and all(profile := struct.unpack_from("<II", b, at + 14 + 112)):
+        end = max(end, 14 + sum(profile))
+    return size if pixels and end <= size <= end + 3 else None
 
 
-def _gif(b: bytes, at: int) -> int | None:
+def _gif(blob: Blob, at: int) -> int | None:
+    b = blob.raw
     if len(b) < at + 14:
         return None
-    flags, pos = b[at + 10], at + 13
-    pos += 3 << ((flags & 7) + 1) if flags & 128 else 0
-    images = 0
-    while pos < len(b):
-        kind = b[pos]
-        if kind == 0x3B:
-            return pos + 1 - at if images else None
-        if kind == 0x2C and pos + 11 <= len(b):
+    flags, first = b[at + 10], at + 13
+
+    def block(pos: int) -> tuple[int | None, tuple | None]:
+        if pos >= len(b):
+            return None, None
+        if b[pos] == 0x3B:
+            return None, (pos + 1, False)
+        if b[pos] == 0x2C and pos + 11 <= len(b):
             local = b[pos + 9]
             pos += 10 + (3 << ((local & 7) + 1) if local & 128 else 0) + 1
-            images += 1
-        elif kind == 0x21:
+            if pos > len(b) or not 1 <= b[pos - 1] <= 11:
+                return None, None
+        elif b[pos] == 0x21:
             pos += 2
         else:
-            return None
+            return None, None
         while pos < len(b) and b[pos]:
             pos += 1 + b[pos]
-        pos += 1
-    return None
-
+        return pos + 1, None
+
+    first += 3 << ((flags & 7) + 1) if flags & 128 else 0
+    end = blob.chain_end("gif", first, block, lambda pos, end: end and (end[0], end[1] or b[pos] == 0x2C))
+    return end[0] - at if end and end[1] else None
+
+
+_JPEG_MARK = rb"\xff[\x01-\xcf\xd8-\xfe]"
+
+
+def _jpeg(blob: Blob, at: int) -> int | None:
+    b = blob.raw
+
+    def segment(pos: int) -> tuple[int | None, tuple | None]:
+        while b[pos : pos + 2] == b"\xff\xff":
+            pos += 1
+        if pos + 2 > len(b) or b[pos] != 0xFF:
+            return None, None
+        kind = b[pos + 1]
+        if kind == 0xD9:
+            return None, (pos + 2, False, False)
+        n = struct.unpack_from(">H", b, pos + 2)[0] if pos + 4 <= len(b) else 0
+        if kind <= 0x01 or 0xD0 <= kind <= 0xD8 or n < 2:
+            return None, None
+        # A scan's data end at the next mark that is neither stuffed nor a restart.
+        return (blob.after(_JPEG_MARK, pos + 2 + n), None) if kind == 0xDA else (pos + 2 + n, None)
+
+    def said(pos: int, end: tuple | None) -> tuple | None:
+        while b[pos : pos + 2] == b"\xff\xff":
+            pos += 1
+        kind = b[pos + 1] if pos + 1 < len(b) else 0
+        return end and (end[0], end[1] or (0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC)), end[2] or kind == 0xDA)
+
+    first = at + 2
+    while b[first + 1 : first + 2] == b"\xff":
+        first += 1
+    if b[first + 1 : first + 2] < b"\xc0" or b"\xd0" <= b[first + 1 : first + 2] <= b"\xd9":
+        return None
+    end = blob.chain_end("jpeg", first, segment, said)
+    return end[0] - at if end and end[1] and end[2] else None
 
-def _jpeg(b: bytes, at: int) -> int | None:
-    pos, frame = at + 2, False
-    while pos + 4 <= len(b) and b[pos] == 0xFF:
-        kind, n = b[pos + 1], struct.unpack_from(">H", b, pos + 2)[0]
-        if kind in (0x00, 0xFF, 0xD8, 0xD9) or n < 2:
-            return None
-        frame |= 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC)
-        pos += 2 + n
-        if kind == 0xDA:
-            end = b.find(b"\xff\xd9", pos)
-            return end + 2 - at if frame and end >= 0 else None
-    return None
-
-
-def _flac(b: bytes, at: int) -> int | None:
-    pos, first = at + 4, True
-    while pos + 4 <= len(b):
-        kind, n = b[pos] & 127, int.from_bytes(b[pos + 1 : pos + 4], "big")
-        if first and (kind != 0 or n != 34) or kind == 127:
-            return None
-        last, pos, first = b[pos] & 128, pos + 4 + n, False
-        if last:
-            return len(b) - at if pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] & 0xFC == 0xF8 else None
-    return None
 
+def _ogg(blob: Blob, at: int) -> int | None:
+    b = blob.raw
 
-def _ogg(b: bytes, at: int) -> int | None:
-    pos = at
-    while pos + 27 <= len(b) and b[pos : pos + 5] == b"OggS\0":
+    def page(pos: int) -> tuple[int | None, tuple | None]:
+        if pos + 27 > len(b) or not b.startswith(b"OggS\0", pos):
+            return None, None
         n = b[pos + 26]
-        if pos + 27 + n > len(b):
-            return None
-        size = 27 + n + sum(b[pos + 27 : pos + 27 + n])
-        if pos + size > len(b):
-            return None
-        last, pos = b[pos + 5] & 4, pos + size
-        if last:
-            return pos - at
-    return None
+        to = pos + 27 + n + sum(b[pos + 27 : pos + 27 + n])
+        if to > len(b):
+            return None, None
+        # After the last page of one stream come the pages of those beside it, unless a new stream begins.
+        more = to + 27 <= len(b) and b.startswith(b"OggS\0", to) and not b[to + 5] & 2
+        return (None, (to,)) if b[pos + 5] & 4 and not more else (to, None)
+
+    # A stream's first page says so and has number 0.
+    if at + 28 > len(b) or not b[at + 5] & 2 or b[at + 18 : at + 22] != b"\0\0\0\0":
+        return None
+    end = blob.chain_end("ogg", at, page)
+    return end[0] - at if end else None
+
+
+_PDF_END, _PDF_HEAD, _PDF_OBJECT = rb"startxref\s+\d{1,15}\s+%%EOF", rb"%PDF-\d\.\d", re.compile(rb"\d{1,10}\s+\d{1,5}\s+obj")
+
+
+def _pdf(blob: Blob, at: int) -> int | None:
+    """The last end mark whose table of places is where it says, counted from the header: a file that was written to be read early, or
+    changed later, has several. Where none is, the last one before another header."""
+    b = blob.raw
+    if not (b[at + 5 : at + 6].isdigit() and b[at + 7 : at + 8].isdigit()):
+        return None
+    marks = blob.places(_PDF_END)
+    if not marks or marks[-1] < at:
+        return None
+    if "pdf" not in blob._ends:
+        last: dict[int, tuple | None] = {}
+        for m in marks:
+            last[int(re.match(rb"startxref\s+(\d+)", b[m : m + 100])[1])] = (m, b.index(b"%%EOF", m) + 5)
+        blob._ends["pdf"] = dict(sorted(last.items(), key=lambda x: -x[1][0]))
+    for place, (mark, end) in blob._ends["pdf"].items():
+        if mark < at:
+            break
+        if 0 < place and at + place < mark and (b.startswith(b"xref", at + place) or _PDF_OBJECT.match(b, at + place)):
+            return end - at
+    following = blob.after(_PDF_HEAD, at + 5)
+    k = bisect_right(marks, len(b) if following is None else following)
+    return b.index(b"%%EOF", marks[k - 1]) + 5 - at if k and marks[k - 1] > at else None
 
 
-def _pdf(b: bytes, at: int) -> int | None:
-    if not b[at + 5 : at + 8].replace(b".", b"0").isdigit():
+@cache
+def _crc_table(width: int, polynomial: int) -> tuple[int, ...]:
+    out = []
+    for byte in range(256):
+        c = byte << (width - 8)
+        for _ in range(8):
+            c = (c << 1) ^ (polynomial if c >> (width - 1) else 0)
+            c &= (1 << width) - 1
+        out.append(c)
+    return tuple(out)
+
+
+def _crc(body: bytes, width: int, polynomial: int) -> int:
+    t, c = _crc_table(width, polynomial), 0
+    for byte in body:
+        c = ((c << 8) & ((1 << width) - 1)) ^ t[(c >> (width - 8)) ^ byte]
+    return c
+
+
+def _flac_frame(b: bytes, at: int, depth: int) -> tuple[int, int, int, list[int]] | None:
+    """Place of the first subframe, samples, number (of the frame or its first sample) and bits a sample by channel of a frame header."""
+    head = b[at : at + 16]
+    if len(head) < 6 or head[0] != 0xFF or head[1] & 0xFE != 0xF8 or head[3] & 1:
+        return None
+    block, rate, channels, bits = head[2] >> 4, head[2] & 15, head[3] >> 4, (depth, 8, 12, 0, 16, 20, 24, 32)[head[3] >> 1 & 7]
+    if not block or rate == 15 or channels > 10 or not bits:
+        return None
+    lead = 8 - (~head[4] & 255).bit_length() if head[4] != 255 else 8
+    if lead in (1, 8):
+        return None
+    number, pos = head[4] & (0x7F >> lead), 5
+    for _ in range(max(0, lead - 1)):
+        if head[pos : pos + 1] == b"" or head[pos] & 0xC0 != 0x80:
+            return None
+        number, pos = number << 6 | head[pos] & 63, pos + 1
+    if block in (6, 7):
+        n = block - 5
+        samples, pos = int.from_bytes(head[pos : pos + n], "big") + 1, pos + n
+    else:
+        samples = 192 if block == 1 else 576 << (block - 2) if block < 6 else 256 << (block - 8)
+    pos += {12: 1, 13: 2, 14: 2}.get(rate, 0)
+    if pos >= len(head) or _crc(head[:pos], 8, 0x07) != head[pos]:
+        return None
+    count = channels + 1 if channels < 8 else 2
+    side = {8: 1, 9: 0, 10: 1}.get(channels)
+    return at + pos + 1, samples, number, [bits + (c == side) for c in range(count)]
+
+
+def _flac_frame_end(b: bytes, at: int, frame: tuple[int, int, int, list[int]]) -> int | None:
+    """Where a frame ends: its subframes are read for their lengths, and its checksum must agree."""
+    first, samples, _, depths = frame
+    window = 1 << 16
+    while True:
+        bits = bin(int.from_bytes(b"\1" + b[first : first + window], "big"))[3:]
+        try:
+            pos = 0
+            for depth in depths:
+                pos = _flac_subframe(bits, pos, samples, depth)
+        except ValueError:
+            # No frame, or the window was too short for it.
+            if first + window >= len(b):
+                return None
+            window *= 4
+            continue
+        if pos > len(bits):
+            if first + window >= len(b):
+                return None
+            window *= 4
+            continue
+        end = first + -(-pos // 8) + 2
+        return end if end <= len(b) and _crc(b[at:end], 16, 0x8005) == 0 else None
+
+
+def _flac_subframe(bits: str, pos: int, samples: int, depth: int) -> int:
+    """The place behind a subframe; ValueError where the bits end or can't be one."""
+    kind = int(bits[pos + 1 : pos + 7] or "x", 2)
+    if bits[pos] != "0":
+        raise ValueError("no subframe")
+    pos += 8
+    if bits[pos - 1 : pos] == "1":
+        one = bits.index("1", pos)
+        depth, pos = depth - (one - pos + 1), one + 1
+    if kind == 0:
+        return pos + depth
+    if kind == 1:
+        return pos + depth * samples
+    if 8 <= kind <= 12:
+        order = kind - 8
+        pos += depth * order
+    elif kind >= 32:
+        order = kind - 31
+        pos += depth * order
+        precision = int(bits[pos : pos + 4] or "x", 2) + 1
+        pos += 9 + order * precision
+    else:
+        raise ValueError("no subframe")
+    method, parts = int(bits[pos : pos + 2] or "x", 2), int(bits[pos + 2 : pos + 6] or "x", 2)
+    if method > 1:
+        raise ValueError("no residual")
+    pos, width = pos + 6, 4 + method
+    for k in range(1 << parts):
+        count = (samples >> parts) - (order if k == 0 else 0)
+        rice, pos = int(bits[pos : pos + width] or "x", 2), pos + width
+        if rice == (1 << width) - 1:
+            pos += 5 + int(bits[pos : pos + 5] or "x", 2) * count
+            continue
+        for _ in range(count):
+            pos = bits.index("1", pos) + 1 + rice
+    return pos
+
+
+def _flac(blob: Blob, at: int) -> int | None:
+    """Frames are followed by their numbered headers to the last one, which is read for its end."""
+    b = blob.raw
+
+    def metadata(pos: int) -> tuple[int | None, tuple | None]:
+        if pos + 4 > len(b) or b[pos] & 127 == 127:
+            return None, None
+        to = pos + 4 + int.from_bytes(b[pos + 1 : pos + 4], "big")
+        return (None, (to,)) if b[pos] & 128 else (to, None)
+
+    if b[at + 4] & 127 or len(b) < at + 42 or not (first := blob.chain_end("flac metadata", at + 4, metadata)):
         return None
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and b.find(b"startxref", at, end) >= 0 else None
+    depth = ((b[at + 20] & 1) << 4 | b[at + 21] >> 4) + 1
+    total = (b[at + 21] & 15) << 32 | int.from_bytes(b[at + 22 : at + 26], "big")
+
+    def frame(pos: int) -> tuple[int | None, tuple | None]:
+        head = _flac_frame(b, pos, depth)
+        if head is None:
+            return None, None
+        number = head[2] + (head[1] if b[pos + 1] & 1 else 1)
+        before = head[2] if b[pos + 1] & 1 else head[2] * head[1]
+        if not total or before + head[1] < total:
+            to = b.find(b[pos : pos + 2], head[0])
+            while to >= 0:
+                following = _flac_frame(b, to, depth)
+                # Where the stream doesn't say how long it is, the number might be that of another stream behind it.
+                if following and following[2] == number and (total or _crc(b[pos:to], 16, 0x8005) == 0):
+                    return to, None
+                to = b.find(b[pos : pos + 2], to + 1)
+        end = _flac_frame_end(b, pos, head)
+        return None, end and (end,)
+
+    # The stream's depth and length steer the walk, so that only streams alike in them share what was learned.
+    end = blob.chain_end(f"flac {depth} {total}", first[0], frame)
+    return end[0] - at if end else None
 
 
 VALIDATORS = {"audio/wav": _wav, "image/png": _png, "image/bmp": _bmp, "image/gif": _gif, "image/jpeg": _jpeg, "audio/flac": _flac, "audio/ogg": _ogg, "application/pdf": _pdf}
@@ -158,53 +438,85 @@ def _automaton():
     import ahocorasick
 
     found = ahocorasick.Automaton()
-    for magic, kind in MAGIC:
-        found.add_word(magic.decode("latin-1"), (len(magic), kind))
+    for magic, kind, offset, fixed in MAGIC:
+        found.add_word(magic.decode("latin-1"), (len(magic) - 1, kind, offset, fixed))
     found.make_automaton()
     return found
 
 
-def media_in(blob: bytes | None) -> list[tuple[str, int, int]]:
+def media_in(raw: bytes | None) -> list[tuple[str, int, int]]:
     """(type, offset, length) of the outermost valid structures, in order."""
     out: list[tuple[str, int, int]] = []
-    free = 0
-    for last, (n, kind) in _automaton().iter((blob or b"").decode("latin-1")):
-        at = last - n + 1
-        if at >= free and (size := VALIDATORS[kind](blob, at)):
-            out.append((kind, at, size))
-            free = at + size
+    free, blob, raw = 0, None, raw or b""
+    for last, (back, kind, offset, fixed) in _automaton().iter(raw.decode("latin-1")):
+        at = last - back
+        if at >= free and raw.startswith(fixed, at + offset):
+            blob = blob or Blob(raw)
+            if size := VALIDATORS[kind](blob, at):
+                out.append((kind, at, size))
+                free = at + size
     return out
 
 
-def sniff(df: DataFrame, blob: str = "blob", declared: str | None = None, key: str = "id") -> DataFrame:
-    """id, declared, media_type, confirmed, corrected, embedded (type, offset, length of each valid structure past offset 0)."""
-    schema = "id bigint, declared string, media_type string, confirmed boolean, corrected boolean, embedded array<struct<media_type:string,offset:bigint,length:bigint>>"
+def _columns(df: DataFrame, key: str, blob: str, keep: tuple[str, ...], made: tuple[str, ...]) -> list:
+    """id, blob and the columns to keep; their names must not be among those that are made."""
+    clash = set(keep) & {"id", *made}
+    if clash:
+        raise ValueError(f"columns to keep have names of the result: {sorted(clash)}")
+    return [F.col(key).alias("id"), F.col(blob).alias("__blob"), *[F.col(c).alias(c) for c in keep]]
+
+
+_MEDIA = StructType([StructField("media_type", StringType()), StructField("offset", LongType()), StructField("length", LongType())])
+
+
+def sniff(df: DataFrame, blob: str = "blob", declared: str | None = None, key: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, declared, media_type, confirmed, corrected, embedded (type, offset, length of each valid structure past offset 0), columns to keep."""
+    made = ("declared", "media_type", "confirmed", "corrected", "embedded")
+    cols = df.select(*_columns(df, key, blob, keep, made), (F.col(declared) if declared else F.lit(None)).cast("string").alias("__declared"))
+    types = (StringType(), StringType(), BooleanType(), BooleanType(), ArrayType(_MEDIA))
+    schema = StructType([StructField("id", cols.schema["id"].dataType), *[StructField(n, t) for n, t in zip(made, types, strict=True)], *[cols.schema[c] for c in keep]])
     kinds = pa.list_(pa.struct([("media_type", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
-    cols = df.select(F.col(key).cast("long").alias("id"), F.col(blob).alias("blob"), (F.col(declared) if declared else F.lit(None).cast("string")).alias("declared"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = batch.column(2).to_pylist()
+            said = batch.column(batch.num_columns - 1).to_pylist()
             found = [media_in(b.as_py()) for b in batch.column(1)]
             head = [f[0][0] if f and f[0][1] == 0 else None for f in found]
             inner = [[dict(zip(("media_type", "offset", "length"), x, strict=True)) for x in f if x[1]] for f in found]
-            yield pa.record_batch([batch.column(0), pa.array(said, pa.string()), pa.array([h or s for h, s in zip(head, said, strict=True)], pa.string()), pa.array([h is not None for h in head]), pa.array([h is not None and h != s for h, s in zip(head, said, strict=True)]), pa.array(inner, kinds)], names=["id", "declared", "media_type", "confirmed", "corrected", "embedded"])
+            new = [pa.array(said, pa.string()), pa.array([h or s for h, s in zip(head, said, strict=True)], pa.string()), pa.array([h is not None for h in head], pa.bool_()), pa.array([h is not None and h != s for h, s in zip(head, said, strict=True)], pa.bool_()), pa.array(inner, kinds)]
+            yield pa.record_batch([batch.column(0), *new, *(batch.column(2 + k) for k in range(len(keep)))], names=["id", *made, *keep])
 
     return cols.mapInArrow(run, schema)
 
 
-def carve(df: DataFrame, blob: str = "blob", key: str = "id") -> DataFrame:
-    """id, media_type, offset, media: one row for each valid structure in a blob."""
-    cols = df.select(F.col(key).cast("long").alias("id"), F.col(blob).alias("blob"))
+def carve(df: DataFrame, blob: str = "blob", key: str = "id", keep: tuple[str, ...] = (), required: bool = False) -> DataFrame:
+    """id, media_type, offset, media, columns to keep: one row for each valid structure in a blob; required: a blob without any is an error."""
+    made = ("media_type", "offset", "media")
+    cols = df.select(*_columns(df, key, blob, keep, made))
+    schema = StructType([cols.schema["id"], *[StructField(n, t) for n, t in zip(made, (StringType(), LongType(), BinaryType()), strict=True)], *[cols.schema[c] for c in keep]])
+
+    def made_of(batch: pa.RecordBatch, rows: list[int], cut: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
+        own = batch.take(pa.array(rows, pa.int64()))
+        new = [pa.array([x[k] for x in cut], t) for k, t in enumerate((pa.string(), pa.int64(), pa.binary()))]
+        return pa.record_batch([own.column(0), *new, *(own.column(2 + k) for k in range(len(keep)))], names=["id", *made, *keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows, cut, held = [], [], 0
+            for i, b in enumerate(batch.column(1)):
                 body = b.as_py()
-                if cut := media_in(body):
-                    yield pa.record_batch([pa.array([i] * len(cut), pa.int64()), pa.array([k for k, _, _ in cut]), pa.array([at for _, at, _ in cut], pa.int64()), pa.array([body[at : at + n] for _, at, n in cut], pa.binary())], names=["id", "media_type", "offset", "media"])
+                found = media_in(body)
+                if required and not found:
+                    raise ValueError("a blob without a valid structure")
+                rows += [i] * len(found)
+                cut += [(kind, at, body[at : at + n]) for kind, at, n in found]
+                held += len(body or b"")
+                if held > SLICE_CHARS:
+                    yield made_of(batch, rows, cut)
+                    rows, cut, held = [], [], 0
+            yield made_of(batch, rows, cut)
 
-    return cols.mapInArrow(run, "id bigint, media_type string, offset bigint, media binary")
+    return cols.mapInArrow(run, schema)
 
 
 def payload(text: str | None) -> bytes:
@@ -259,25 +571,46 @@ def store(text: str | None) -> bytes:
     return (to_wav, to_bmp, to_png)[zlib.crc32(samples) % 3](samples)
 
 
-def op3_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text stored as media under a type that says nothing, then identified by its bytes, carved and read back."""
+#: What stands around the media in some rows of the media column.
+ENVELOPE = (b"Content-Transfer-Encoding: binary\r\n\r\n", b"\r\n--end--\r\n")
+#: Types that rows declare: nothing, what a text would have, or a format that it may or may not be in.
+DECLARED = (UNKNOWN, "text/plain", "audio/wav", "image/png")
+
+
+def media_column(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, declared, blob: each text stored as media under a declared type, every fourth one in an envelope, as the checksum decides."""
 
     def work(ids: list, texts: list) -> dict:
-        out: dict[str, list] = {k: [] for k in ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")}
+        out: dict[str, list] = {"n_bytes": [], "declared": [], "blob": []}
         for text in texts:
+            choice = zlib.crc32(payload(text)) // 3
             media = store(text)
-            found = media_in(media)
-            if not found or found[0][1]:
-                raise ValueError("stored media without a valid structure at its start")
-            kind, at, size = found[0]
-            read = samples_of(kind, media[at : at + size])
             out["n_bytes"].append(len((text or "").encode()))
-            out["payload_bytes"].append(len(read))
-            out["payload_sha256"].append(hashlib.sha256(read).hexdigest())
-            out["tail_crc32"].append(zlib.crc32(read[-ALIGN:]))
-            out["media_bytes"].append(len(media))
-            out["media_sha256"].append(hashlib.sha256(media).hexdigest())
-            out["feature"].append(f"declared={UNKNOWN};type={kind};length={size};embedded={len(found) - 1}")
+            out["declared"].append(DECLARED[choice % 4])
+            out["blob"].append(media if choice // 4 % 4 else ENVELOPE[0] + media + ENVELOPE[1])
         return {"doc_id": ids, **out}
 
-    return map_texts(table(spark, sf_dir, "documents"), "doc_id", "text", "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string", work)
+    return map_texts(docs, key, text, "doc_id bigint, n_bytes bigint, declared string, blob binary", work)
+
+
+def op3_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored in a media column under types that are often wrong; sniffed, carved, and read back from what was carved."""
+    stored = media_column(table(spark, sf_dir, "documents"))
+    sniffed = sniff(stored, "blob", "declared", "doc_id", ("n_bytes", "blob")).withColumnRenamed("media_type", "sniffed")
+    carved = carve(sniffed, "blob", "id", ("n_bytes", "declared", "sniffed", "confirmed", "corrected", "embedded"), required=True)
+    schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+    names = [x.split(" ")[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            said = batch.select(["id", "media_type", "offset", "n_bytes", "declared", "sniffed", "confirmed", "corrected", "embedded"]).to_pylist()
+            for x, cut in zip(said, batch.column("media"), strict=True):
+                media = cut.as_py()
+                read = samples_of(x["media_type"], media)
+                feature = f"declared={x['declared']};sniffed={x['sniffed']};confirmed={x['confirmed']};corrected={x['corrected']};embedded={len(x['embedded'])};type={x['media_type']};offset={x['offset']};length={len(media)}"
+                rows.append((x["id"], x["n_bytes"], len(read), hashlib.sha256(read).hexdigest(), zlib.crc32(read[-ALIGN:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+            cols = list(zip(*rows, strict=True)) or [()] * len(names)
+            yield pa.record_batch([pa.array(c, pa.string() if n in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for n, c in zip(names, cols, strict=True)], names=names)
+
+    return carved.mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stratus.llm.media import UNKNOWN, carve, media_in, op3_signature_sniffing, payload, samples_of, sniff, store, to_bmp, to_png, to_wav
+from stratus.llm.media import DECLARED, carve, media_in, op3_signature_sniffing, payload, samples_of, sniff, store, to_bmp, to_png, to_wav
 
 WRITERS = {"audio/wav": to_wav, "image/bmp": to_bmp, "image/png": to_png}
 GIF = b"GIF89a\x01\x00\x01\x00\x80\x00\x00\x00\x00\x00\xff\xff\xff,\x00\x00\x00\x00\x01\x00\x01\x00\x00\x02\x02D\x01\x00;"
@@ -61,5 +61,6 @@ def test_query_against_hashes(spark, tmp_path):
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((t or "").encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]))
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
-        assert r.feature.startswith(f"declared={UNKNOWN};type=")
+        said = dict(x.split("=", 1) for x in r.feature.split(";"))
+        assert said["declared"] in DECLARED and said["type"] == media_in(stored)[0][0] and said["sniffed"] == (said["declared"] if said["embedded"] == "1" else said["type"])
     assert got[1].feature == got[2].feature and got[3].payload_sha256 == got[4].payload_sha256
