@@ -6,8 +6,9 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: A Python task works on so many characters of text at a time, whatever the Arrow batch holds.
 SLICE_CHARS = 4_000_000
@@ -56,6 +57,30 @@ def least_hashes(rows: DataFrame, key: str, bound: int) -> DataFrame:
     return rows.distinct().orderBy(F.xxhash64(key), *rows.columns).limit(bound)
 
 
+def least_hashes_of_each(rows: DataFrame, key: str, by: str, bound: int) -> DataFrame:
+    """At most bound distinct rows, shared evenly between the values of `by` (at least one each): of each the least hashes of the key.
+
+    `by` has few values, each brings one row to the driver. As in least_hashes(), a cut on the hash goes first for each large value.
+    """
+    sizes = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return rows.limit(0)
+    each = max(1, bound // len(sizes))
+    cuts = [(v, -(1 << 63) + (1 << 64) * 4 * each // n if n > 8 * each else (1 << 63) - 1) for v, n in sizes.items()]
+    cut = rows.sparkSession.createDataFrame(cuts, StructType([rows.schema[by], StructField("__cut", LongType())]))
+    hashed = F.xxhash64(key)
+
+    def least(of: DataFrame) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(by).orderBy(hashed, *rows.columns))
+        return of.withColumn("__n", place).where(F.col("__n") <= each).drop("__n")
+
+    below = rows.join(F.broadcast(cut), by).where(hashed <= F.col("__cut")).select(*rows.columns).distinct()
+    got = {r[by]: r["n"] for r in below.groupBy(by).agg(F.count("*").alias("n")).collect()}
+    # Many repeated rows may leave too few below the cut; then all distinct rows are sorted.
+    short = any(n > 8 * each and got.get(v, 0) < each for v, n in sizes.items())
+    return least(rows.distinct() if short else below)
+
+
 def slices(texts: list) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about SLICE_CHARS characters each; a longer text stands alone and whole."""
     start, held = 0, 0

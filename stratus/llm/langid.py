@@ -1,10 +1,11 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 A text becomes the relative frequencies of its hashed one- to three-grams of lower-cased letters (other characters count as one
-space), times the inverse document frequency of the training sample. Weights are learned by follow-the-regularised-leader with
+space), times the inverse document frequency, counted over all documents that may be learned from. Weights are learned by follow-the-regularised-leader with
 elastic-net penalties, which leaves most of them zero, and the scores are then calibrated by one temperature on documents
-kept aside from the training. Fitting takes at most MAX_TRAINING documents (the least hashes of their ids, a documented bound);
-prediction covers every whole text, in windows that overlap by two characters so that memory stays bounded.
+kept aside from the training. Fitting takes at most MAX_TRAINING documents (a documented bound, shared evenly between the languages:
+of each those of the least hashes of their ids); prediction covers every whole text, in windows that carry the last two characters
+on, so that memory stays bounded and the counts are those of the text in one piece.
 
 Edge cases: a null text or one without a letter is `und` with score 0; documents without a language or an id are not learned
 from, and rows that repeat a document in a language are learned from once, by the least of their counts; with no training document every prediction is `und` with score 0; equal texts get equal results; ties go to the language
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import least_hashes, map_texts, table, texts_of
+from stratus.llm.common import least_hashes_of_each, map_texts, table, texts_of
 
 MAX_TRAINING = 2_400
 BUCKETS = 1 << 14
@@ -47,11 +48,19 @@ def has_letter(text: str | None) -> bool:
 def gram_counts(text: str) -> np.ndarray:
     """Counts of the hashed one-, two- and three-grams of a whole text."""
     out = np.zeros(BUCKETS, dtype=np.int64)
-    for a in range(0, len(text), WINDOW):
-        c = np.frombuffer((" " + _GAP.sub(" ", text[max(0, a - 2) : a + WINDOW].lower()) + " ").encode("utf-32-le"), dtype="<u4").astype(np.uint32)
+    carried, gap, lowered = np.zeros(0, dtype=np.uint32), False, text.lower()
+    for a in range(0, len(lowered), WINDOW):
+        piece = _GAP.sub(" ", lowered[a : a + WINDOW])
+        # A gap that a window's end cuts is one space all the same.
+        piece, gap = piece[gap and piece[0] == " " :], piece[-1] == " "
+        piece = " " * (a == 0) + piece + " " * (a + WINDOW >= len(lowered))
+        own = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint32)
+        c = np.concatenate([carried, own])
         h2 = c[:-1] * np.uint32(0x9E3779B1) + c[1:] * np.uint32(0x85EBCA77) + np.uint32(0x27D4EB2F)
         h3 = h2[:-1] * np.uint32(0xC2B2AE3D) + c[2:] * np.uint32(0x165667B1)
-        out += np.bincount(np.concatenate([(c * np.uint32(0x2C1B3C6D)) >> np.uint32(18), h2 >> np.uint32(18), h3 >> np.uint32(18)]), minlength=BUCKETS)
+        h2 = h2[max(0, len(carried) - 1) :]
+        out += np.bincount(np.concatenate([(own * np.uint32(0x2C1B3C6D)) >> np.uint32(18), h2 >> np.uint32(18), h3 >> np.uint32(18)]), minlength=BUCKETS)
+        carried = c[-2:]
     return out
 
 
@@ -82,16 +91,26 @@ class Languages:
         return names, scores
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, str]]) -> Languages:
-    """Learn from (buckets, counts, language) in the given order; every fifth row is kept for the temperature."""
+def inverse_frequencies(n: int, df: np.ndarray) -> np.ndarray:
+    """Inverse document frequency of each bucket that df of n documents hold."""
+    return np.log((1 + n) / (1 + df)) + 1
+
+
+def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray | None = None) -> Languages:
+    """Learn from (buckets, counts, language) in the given order; every fifth row is kept for the temperature.
+
+    idf comes from document_frequencies(); without it, that of the rows themselves is taken.
+    """
     labels = sorted({r[2] for r in rows})
     if not labels:
         return Languages([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     k = len(labels)
-    df = np.zeros(BUCKETS)
-    for b, _, _ in rows:
-        df[b] += 1
-    idf = (np.log((1 + len(rows)) / (1 + df)) + 1) * SCALE / 10
+    if idf is None:
+        df = np.zeros(BUCKETS)
+        for b, _, _ in rows:
+            df[b] += 1
+        idf = inverse_frequencies(len(rows), df)
+    idf = idf * SCALE / 10
     data = [(b, c / c.sum() * idf[b], labels.index(lang)) for b, c, lang in rows]
     train, aside = [d for i, d in enumerate(data) if i % 5 or len(data) < 20], [d for i, d in enumerate(data) if not i % 5]
     z, n = np.zeros((BUCKETS, k)), np.zeros((BUCKETS, k))
@@ -127,11 +146,37 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]]) -> Languages:
     return Languages(labels, w * idf[:, None], bias, temperature)
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    """The documents that have an id and a language and are not held out."""
+    return docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
+
+
+def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """Learnable documents with a letter, and how many of them hold each bucket: summed in the tasks and once more after the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, df = 0, np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for t in texts_of(batch.column(0)):
+                if has_letter(t):
+                    n += 1
+                    df += gram_counts(t) > 0
+        hit = np.flatnonzero(df)
+        yield pa.record_batch([pa.array([-1, *hit], pa.int64()), pa.array([n, *df[hit]], pa.int64())], names=["bucket", "n"])
+
+    out, n = np.zeros(BUCKETS, dtype=np.int64), 0
+    for r in learnable(docs).select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        if r["bucket"] < 0:
+            n = r["n"]
+        else:
+            out[r["bucket"]] = r["n"]
+    return n, out
+
+
 def training_rows(docs: DataFrame, bound: int = MAX_TRAINING) -> list[tuple[np.ndarray, np.ndarray, str]]:
     """n-gram counts and language of at most bound documents that are not held out, in the order of their hashes."""
-    usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
-    picked = least_hashes(usable.select(F.col("doc_id").alias("picked_id")), "picked_id", bound)
-    rows = docs.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang").join(F.broadcast(picked), F.col("doc_id") == F.col("picked_id")).drop("picked_id")
+    picked = least_hashes_of_each(learnable(docs).select(F.col("doc_id").alias("picked_id"), F.col("lang").alias("picked_lang")), "picked_id", "picked_lang", bound)
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), (F.col("doc_id") == F.col("picked_id")) & (F.col("lang") == F.col("picked_lang"))).drop("picked_id", "picked_lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least: dict[tuple, tuple[bytes, bytes]] = {}
@@ -163,4 +208,4 @@ def identify(docs: DataFrame, model: Languages, key: str = "doc_id", text: str =
 def op10_ftrl_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = table(spark, sf_dir, "documents")
-    return identify(docs, fit(training_rows(docs)))
+    return identify(docs, fit(training_rows(docs), inverse_frequencies(*document_frequencies(docs))))

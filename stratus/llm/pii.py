@@ -118,8 +118,8 @@ TEMPLATES = (
     "et de la {email} dans le {year}",
     "und der {phone} mit {ip} ist",
     "la de los {card} que el {date}",
-    "!! {email}!! AND!! {phone}!! THE!!",
-    "of%%% {ip}### the&&& {small}$$$ in***",
+    "- {email}; ({phone});",
+    "> {ip}, {small}; [{phone}]",
 )
 
 
@@ -176,7 +176,6 @@ def shape(token: str) -> str:
     """Character classes with run lengths for digits: "+1" -> "+d1", "555-3824" -> "d3-d4", "Abc" -> "Aa"."""
     out, i = [], 0
     core = token.strip("!*#%$&.,;:\"'|<>") or token[:1]
-    core = core[:64] if len(core) > 64 else core
     while i < len(core):
         c, j = core[i], i + 1
         kind = "d" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c
@@ -190,7 +189,7 @@ def shape(token: str) -> str:
 def features(tokens: list[str]) -> Iterator[list[str]]:
     """Names of the active features of each token, one token after another: a segment may be as long as its text."""
     full = [shape(t) for t in tokens]
-    short = [re.sub(r"d\d", "d", s)[:12] for s in full]
+    short = [re.sub(r"d\d", "d", s) for s in full]
     for i, t in enumerate(tokens):
         n = sum("0" <= c <= "9" for c in t)
         before, after = short[i - 1] if i else "^", short[i + 1] if i + 1 < len(tokens) else "$"
