@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import map_texts, table
+from stratus.llm.common import cut_lineage, map_texts, table
 
 CAPACITY = 2048
 BLOCK = 64
@@ -189,9 +189,13 @@ def _pack_group(group: pa.Table) -> pa.Table:
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row a piece. Counts the rows first."""
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row a piece. Counts the rows first.
+
+    The pieces, rows of numbers, are written before they are grouped: where a repeated row goes depends on where a task meets it, and
+    a task that runs again after a loss might meet it elsewhere.
+    """
     groups = max(1, docs.count() // GROUP_DOCS)
-    return pieces(docs, groups, key, text, ranks_path=ranks_path).groupBy("bin").applyInArrow(_pack_group, _PACKED)
+    return cut_lineage(pieces(docs, groups, key, text, ranks_path=ranks_path)).groupBy("bin").applyInArrow(_pack_group, _PACKED)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:

@@ -4,16 +4,17 @@ Every record hashes into one of some thousands of slots. The number of slots nev
 a small versioned map. Growing or rebalancing edits the map, so only the rows of the slots that change hands move.
 
 Bounds: the map and the statistics by slot have one row a slot (at most MAX_SLOTS), whatever the size of the data, so they
-may be broadcast and edited on the driver. Rows are numbered within a slot's PARTS parts, tens of thousands of groups that the text's
-checksum divides further where one key fills a slot, and then shifted by the rows of the shard's earlier parts; no shard
-is ever sorted in one task.
+may be broadcast and edited on the driver. Rows alike in key, size and checksum are counted first, before they are shuffled. The counted
+rows are numbered within a slot's PARTS parts, tens of thousands of groups that the text's checksum divides further where one key
+fills a slot, shifted by the rows of the shard's earlier parts, and then take as many places as they count, CHUNK places at a time; no
+shard is ever sorted in one task, and no repeated row fills one.
 
-Edge cases: a null key hashes like any other value; a null text has no bytes; rows that repeat get places of their own (only rows
-alike in key and text share a group); an empty table gives an empty result. Columns that the caller has besides the key and the text are not read, so their names can't clash.
+Edge cases: a null key hashes like any other value; a null text has no bytes; rows that repeat get places of their own; an empty table gives an empty result. Columns that the caller has besides the key and the text are not read, so their names can't clash.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ from stratus.llm.common import table
 
 SLOTS = 8192
 PARTS = 8
+CHUNK = 10_000
 MAX_SLOTS = 65536
 SHARDS = 24
 ROW_OVERHEAD = 8
@@ -69,21 +71,31 @@ class SlotMap:
         slot_bytes comes from slot_stats(); slots that it lacks have no bytes. Ties go to the lower slot.
         """
         owner, load = list(self.owner), [0] * self.shards
+        held: list[list[tuple[int, int]]] = [[] for _ in range(self.shards)]
         for s, k in enumerate(owner):
             load[k] += slot_bytes.get(s, 0)
+            if slot_bytes.get(s, 0):
+                held[k].append((slot_bytes[s], s))
+        for own in held:
+            own.sort()
         mean = sum(load) / self.shards
         for _ in range(4 * len(owner)):
             full, empty = max(range(self.shards), key=lambda k: (load[k], -k)), min(range(self.shards), key=lambda k: (load[k], k))
-            gap = load[full] - load[empty]
+            gap, own = load[full] - load[empty], held[full]
             if load[full] <= mean * (1 + tolerance):
                 break
-            fits = [(abs(gap / 2 - slot_bytes.get(s, 0)), s) for s, k in enumerate(owner) if k == full and 0 < slot_bytes.get(s, 0) < gap]
-            if not fits:
+            # A shard's slots are kept by size, so the one next to half the gap is found by bisection.
+            at = bisect.bisect_left(own, (gap / 2, -1))
+            below = bisect.bisect_left(own, (own[at - 1][0], -1)) if at else 0
+            near = [own[k] for k in {at, below} if k < len(own) and own[k][0] < gap]
+            if not near:
                 break
-            s = min(fits)[1]
+            size, s = min(near, key=lambda x: (abs(gap / 2 - x[0]), x[1]))
+            own.remove((size, s))
+            bisect.insort(held[empty], (size, s))
             owner[s] = empty
-            load[full] -= slot_bytes[s]
-            load[empty] += slot_bytes[s]
+            load[full] -= size
+            load[empty] += size
         return SlotMap(self.version + 1, self.shards, tuple(owner))
 
     def frame(self, spark: SparkSession) -> DataFrame:
@@ -145,13 +157,24 @@ def _offsets(docs: DataFrame, slot_map: SlotMap, key: str, text: str) -> DataFra
 def assign(docs: DataFrame, slot_map: SlotMap, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, shard, slot (place in the shard, gapless from 0), slot_bytes, map_version."""
     rows = docs.select(F.col(key).alias("doc_id"), record_size(text).alias("size"), _checksum(text).alias("text_crc32"))
-    rows = with_slot(rows, "doc_id", len(slot_map.owner)).withColumn("part", F.pmod("text_crc32", F.lit(PARTS)))
-    in_part = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size")
-    return (
-        rows.withColumn("place", F.row_number().over(in_part))
+    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
+    counted = with_slot(counted, "doc_id", len(slot_map.owner)).withColumn("part", F.pmod("text_crc32", F.lit(PARTS)))
+    earlier = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        counted.withColumn("place", F.coalesce(F.sum("copies").over(earlier), F.lit(0)))
         .join(F.broadcast(_offsets(docs, slot_map, key, text)), ["virtual_slot", "part"])
-        .select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("before") + F.col("place") - 1).cast("long").alias("slot"), "slot_bytes", F.col("version").alias("map_version"))
+        .select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("before") + F.col("place")).alias("first"), "copies", "slot_bytes", F.col("version").alias("map_version"))
     )
+    few = placed.where(F.col("copies") <= CHUNK).select("*", F.lit(0).cast("long").alias("chunk"))
+    # More copies than a chunk holds are dealt out in chunks before they become rows.
+    many = placed.where(F.col("copies") > CHUNK).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / CHUNK))).alias("chunk")).repartition("doc_id", "text_crc32", "size", "chunk")
+
+    def dealt(of: DataFrame) -> DataFrame:
+        low = F.col("chunk") * CHUNK
+        one = F.explode(F.sequence(low, F.least(low + CHUNK, "copies") - 1)).alias("copy")
+        return of.select("*", one).select("doc_id", "size", "text_crc32", "virtual_slot", "shard", (F.col("first") + F.col("copy")).cast("long").alias("slot"), "slot_bytes", "map_version")
+
+    return dealt(few).union(dealt(many))
 
 
 def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

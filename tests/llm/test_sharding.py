@@ -91,3 +91,41 @@ def test_nulls_repeats_empty_tables_and_clashing_columns(spark):
     for k in range(2):
         assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
     assert assign(spark.createDataFrame([], DOCS), SlotMap.of(2, 8)).count() == 0
+
+
+def test_rows_repeated_more_than_a_chunk(spark, monkeypatch):
+    from stratus.llm import sharding
+
+    monkeypatch.setattr(sharding, "CHUNK", 7)
+    df = spark.range(100).select(F.when(F.col("id") < 60, 1).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text")).repartition(5)
+    got = assign(df.union(df.where("doc_id = 1").select(F.lit(None).cast("long"), F.lit(None).cast("string"))), SlotMap.of(3)).toPandas()
+    assert len(got) == 160 and (got.groupby("doc_id", dropna=False).size().max(), got.doc_id.isna().sum()) == (60, 60)
+    for _, part in got.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
+
+
+def test_moves_against_a_search_of_all_slots():
+    import random
+
+    def slow(m, slot_bytes, tolerance=0.02):
+        owner, load = list(m.owner), [0] * m.shards
+        for s, k in enumerate(owner):
+            load[k] += slot_bytes.get(s, 0)
+        mean = sum(load) / m.shards
+        for _ in range(4 * len(owner)):
+            full, empty = max(range(m.shards), key=lambda k: (load[k], -k)), min(range(m.shards), key=lambda k: (load[k], k))
+            gap = load[full] - load[empty]
+            fits = [(abs(gap / 2 - slot_bytes.get(s, 0)), s) for s, k in enumerate(owner) if k == full and 0 < slot_bytes.get(s, 0) < gap]
+            if load[full] <= mean * (1 + tolerance) or not fits:
+                break
+            s = min(fits)[1]
+            owner[s] = empty
+            load[full] -= slot_bytes[s]
+            load[empty] += slot_bytes[s]
+        return tuple(owner)
+
+    r = random.Random(6)
+    for _ in range(60):
+        m = SlotMap.of(r.randint(1, 6), 60)
+        sizes = {s: r.choice((0, 1, 5, 5, 9, r.randint(0, 500))) for s in range(60) if r.random() < 0.9}
+        assert m.rebalance(sizes).owner == slow(m, sizes)
