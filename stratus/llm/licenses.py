@@ -1,11 +1,15 @@
 """Licence scans with a positional rare-token index.
 
-The index maps each word of the licence templates to its postings (template, position). A first pass over all documents counts how many
-hold each licence word, which gives the words' inverse document frequencies. In the second pass each file looks up its licence
-words from the highest IDF down, until RARE_WORDS of them have led to each template that they can lead to, so that one long licence
-doesn't crowd out another; postings whose relative position to the file agrees vote for one placement of a template, and a placement
-with enough votes is compared word by word. A template is reported where at least MATCH of its words stand in place and every mandatory
-key phrase of it stands consecutively inside the placement. Its score is the share of words in place.
+The library holds whole licences and the notices by which files name them. A template of n words is found where a stretch of a file
+comes within (1 - MATCH) * n word edits (words put in, left out or replaced) of it and every mandatory key phrase stands consecutively in
+that stretch; its score is 1 - edits / n.
+
+The index maps the rarest words of each template to their positions in it. A first pass over all documents counts how many
+hold each licence word, which gives the words' inverse document frequencies. Of so many edits at most that many can strike a template's
+rare positions, so of its allowed edits + VOTE * n rarest positions at least VOTE * n are left in place, all within a band of relative positions
+as wide as the edits. In the second pass a file's rare words are looked up, their relative positions sorted, and only where a band
+holds enough of them the template is aligned, word by word. So the index passes over nothing that an alignment along the whole
+file would find.
 
 Base labels come from exact phrases and always stay.
 
@@ -25,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm.common import map_texts, slices, table, texts_of
+from stratus.llm.licence_texts import TEMPLATES
 
-RARE_WORDS = 12
 MATCH = 0.8
+VOTE = 0.1
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
@@ -39,25 +44,6 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Label, wording, mandatory key phrases. Wordings of public licence notices.
-TEMPLATES = (
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0", ("apache license version 2 0",)),
-    ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", ("www apache org licenses license 2 0",)),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3", ("gnu general public license version 3",)),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", ("gnu general public license", "free software foundation")),
-    ("lgpl", "redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", ("gnu lesser general public license",)),
-    ("mit", "Released under the MIT License", ("mit license",)),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction", ("permission is hereby granted free of charge", "without restriction")),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", ("with or without fee is hereby granted",)),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", ("mozilla public license v 2 0",)),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0", ("cc by nc 4 0",)),
-    ("cc-by-4.0", "Licensed under CC BY 4.0", ("cc by 4 0",)),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0",)),
-    ("unlicense", "This is free and unencumbered software released into the public domain", ("unencumbered software",)),
-)
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Words of a whole text: lower-cased ASCII letters, digits and anything beyond ASCII."""
     return (text or "").encode().translate(_WORDS).split()
@@ -65,15 +51,18 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass
 class Index:
-    """Word numbers from 1 (0: no licence word), templates and phrases as numbers, postings by word, document frequencies by word."""
+    """Word numbers from 1 (0: no licence word), templates and phrases as numbers, document frequencies by word.
+
+    held[t, w]: how often word w stands in template t; rare[t]: its positions to be looked up.
+    """
 
     numbers: dict[bytes, int]
     labels: list[str]
     templates: list[np.ndarray]
     required: list[list[np.ndarray]]
     phrases: list[tuple[np.ndarray, str]]
-    postings: list[list[tuple[int, int]]]
-    idf: np.ndarray
+    held: np.ndarray
+    rare: list[np.ndarray]
 
     @staticmethod
     def of(templates=TEMPLATES, phrases=None) -> Index:
@@ -82,11 +71,23 @@ class Index:
         bodies = [as_ids(t) for _, t, _ in templates]
         required = [[as_ids(p) for p in must] for _, _, must in templates]
         base = [(as_ids(p), label) for p, label in (phrases or PHRASES).items()]
-        postings: list[list[tuple[int, int]]] = [[] for _ in range(len(numbers) + 1)]
-        for t, body in enumerate(bodies):
-            for q, w in enumerate(body):
-                postings[w].append((t, q))
-        return Index(numbers, [label for label, _, _ in templates], bodies, required, base, postings, np.zeros(len(numbers) + 1))
+        held = np.array([np.bincount(body, minlength=len(numbers) + 1) for body in bodies], dtype=np.int64).reshape(len(bodies), len(numbers) + 1)
+        return Index(numbers, [label for label, _, _ in templates], bodies, required, base, held, []).weighed(np.zeros(len(numbers) + 1))
+
+    def edits(self, t: int) -> int:
+        """How many word edits a template may have."""
+        return int((1 - MATCH) * len(self.templates[t]) + 1e-9)
+
+    def votes(self, t: int) -> int:
+        """How many of the rare positions must stand in place at least."""
+        n = len(self.templates[t])
+        return max(1, min(n - self.edits(t), int(VOTE * n)))
+
+    def weighed(self, idf: np.ndarray) -> Index:
+        """The index with the rare positions that the words' inverse document frequencies give; ties go by word and position."""
+        spelled = sorted(self.numbers, key=self.numbers.get)
+        self.rare = [np.array(sorted(range(len(body)), key=lambda q: (-idf[body[q]], spelled[body[q] - 1], q))[: self.edits(t) + self.votes(t)], dtype=np.int64) for t, body in enumerate(self.templates)]
+        return self
 
     def ids(self, text: str | None) -> np.ndarray:
         """The licence-word numbers along a text."""
@@ -104,34 +105,71 @@ class Index:
         return at
 
     def found(self, ids: np.ndarray) -> list[tuple[str, int, float]]:
-        """(label, place, score) of each template placement that passes, at most one a template and place."""
-        present = np.zeros(len(self.idf), dtype=bool)
-        present[ids] = True
+        """(label, place, score) of each template and stretch that passes, the best end of a stretch, places ascending by template."""
+        present = np.bincount(ids, minlength=self.held.shape[1]) > 0
         present[0] = False
-        # The share of a template's words that occur anywhere bounds its score, so the other templates can't pass.
-        able = [float(present[body].sum()) / len(body) >= MATCH for body in self.templates]
-        if not any(able):
+        # The words of a template that occur anywhere bound what an alignment can find, so the other templates can't pass.
+        able = [t for t, n in enumerate((self.held @ present).tolist()) if n >= len(self.templates[t]) - self.edits(t)]
+        if not able:
             return []
-        votes: dict[tuple[int, int], int] = {}
-        held: dict[int, int] = {}
-        for w in sorted(np.flatnonzero(present).tolist(), key=lambda w: (-self.idf[w], w)):
-            leads = [(t, q) for t, q in self.postings[w] if able[t] and held.get(t, 0) < RARE_WORDS]
-            if not leads:
-                continue
-            at = np.flatnonzero(ids == w).tolist()
-            for t, q in leads:
-                held[t] = held.get(t, 0) + 1
-                for p in at:
-                    votes[t, p - q] = votes.get((t, p - q), 0) + 1
+        places = np.flatnonzero(ids)
+        places = places[np.argsort(ids[places], kind="stable")]
+        words = ids[places]
         out = []
-        for (t, start), n in sorted(votes.items()):
-            if n < min(held[t], 2):
-                continue
-            body = self.templates[t]
-            a, b = max(0, start), min(len(ids), start + len(body))
-            score = float((ids[a:b] == body[a - start : b - start]).sum()) / len(body)
-            if score >= MATCH and all(len(self.places(ids[a:b], phrase)) for phrase in self.required[t]):
-                out.append((self.labels[t], a, score))
+        for t in able:
+            for start, end in self.stretches(t, places, words, len(ids)):
+                out += self.aligned(t, ids, start, end)
+        return out
+
+    def stretches(self, t: int, places: np.ndarray, words: np.ndarray, n: int) -> list[tuple[int, int]]:
+        """The parts of a file in which enough rare positions agree; places: those of the licence words, by word."""
+        body, edits = self.templates[t], self.edits(t)
+        rare = body[self.rare[t]]
+        first, last = np.searchsorted(words, rare, "left"), np.searchsorted(words, rare, "right")
+        count = last - first
+        at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        offsets = np.sort(places[at] - np.repeat(self.rare[t], count))
+        enough = np.searchsorted(offsets, offsets + edits, "right") - np.arange(len(offsets)) >= self.votes(t)
+        out: list[tuple[int, int]] = []
+        for x in offsets[enough].tolist():
+            a, b = max(0, x - edits), min(n, x + len(body) + 2 * edits)
+            if out and a <= out[-1][1]:
+                out[-1] = (out[-1][0], b)
+            else:
+                out.append((a, b))
+        return out
+
+    def aligned(self, t: int, ids: np.ndarray, start: int, end: int) -> list[tuple[str, int, float]]:
+        """What a template gives in ids[start:end]: fewest edits by every end, from Myers' bit vectors over the template's positions."""
+        body, edits = self.templates[t], self.edits(t)
+        n = len(body)
+        of: dict[int, int] = {}
+        for q, w in enumerate(body.tolist()):
+            of[w] = of.get(w, 0) | 1 << q
+        full, top = (1 << n) - 1, 1 << (n - 1)
+        plus, minus, now = full, 0, n
+        good: list[tuple[int, int]] = []
+        for e, w in enumerate(ids[start:end].tolist(), start):
+            same = of.get(w, 0)
+            vertical = same | minus
+            across = (((same & plus) + plus) ^ plus) | same
+            up, down = minus | (full & ~(across | plus)), plus & across
+            now += bool(up & top) - bool(down & top)
+            up, down = up << 1, down << 1
+            plus, minus = (down | ~(vertical | up)) & full, up & vertical & full
+            if now <= edits:
+                good.append((e, now))
+        out, k = [], 0
+        while k < len(good):
+            upto = k + 1
+            while upto < len(good) and good[upto][0] - good[upto - 1][0] <= edits + 1:
+                upto += 1
+            # A stretch that ends at e has at most n + edits words.
+            fit = [(d, e) for e, d in good[k:upto] if all(len(self.places(ids[max(0, e + 1 - n - edits) : e + 1], phrase)) for phrase in self.required[t])]
+            if fit:
+                d, e = min(fit)
+                out.append((self.labels[t], max(0, e + 1 - n), 1.0 - d / n))
+            k = upto
         return out
 
 
@@ -141,14 +179,13 @@ def document_frequencies(docs: DataFrame, index: Index, text: str = "text") -> t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, df = 0, np.zeros(size, dtype=np.int64)
-        vocabulary = frozenset(index.numbers)
+        vocabulary, number = frozenset(index.numbers), index.numbers.__getitem__
         for batch in batches:
             texts = texts_of(batch.column(0))
             for a, b in slices(texts):
                 for t in texts[a:b]:
                     total += 1
-                    for w in vocabulary.intersection(words_of(t)):
-                        df[index.numbers[w]] += 1
+                    df[list(map(number, vocabulary.intersection(words_of(t))))] += 1
         yield pa.record_batch([pa.array(np.arange(size)), pa.array(np.concatenate([[total], df[1:]]))], names=["word", "n"])
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
@@ -162,8 +199,7 @@ def index_for(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> Index
     """The index with inverse document frequencies of all documents."""
     index = Index.of(templates)
     n, df = document_frequencies(docs, index, text)
-    index.idf = np.log((1 + n) / (1 + df))
-    return index
+    return index.weighed(np.log((1 + n) / (1 + df)))
 
 
 def scan(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:
