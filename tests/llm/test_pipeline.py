@@ -1,13 +1,21 @@
+import re
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from stratus.llm import decontaminate, packing, pii, quality, simhash
+from stratus.llm import decontaminate, packing, pii, quality
 
 DATA = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def five_word_shingles(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("stages")
@@ -32,20 +40,21 @@ def test_each_stage_against_brute_force(spark, stages):
     assert set(after.doc_id) == {i for i, p in zip(before.doc_id, trees.predict(quality.matrix(list(before.text))), strict=True) if p >= 0.5}
 
     before, after, _ = step["near_duplicates"]
-    fps = {i: simhash.fingerprint(t) for i, t in zip(before.doc_id, before.text, strict=True)}
-    root = {i: i for i in fps}
+    sets = {i: five_word_shingles(t) for i, t in zip(before.doc_id, before.text, strict=True)}
+    root = {i: i for i in sets}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for a in fps:
-        for b in fps:
-            if a < b and (fps[a] ^ fps[b]).bit_count() <= 2:
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b]) if a < b else 0
+            if a < b and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    assert set(after.doc_id) == {i for i in fps if find(i) == i}
+    assert set(after.doc_id) == {i for i in sets if find(i) == i} and len(after) < len(before)
 
     before, after, _ = step["decontamination"]
     items = spark.read.parquet(f"{DATA}/benchmark.parquet").toPandas()
@@ -68,11 +77,39 @@ def test_run_gives_the_last_stage(spark, stages):
     assert got.count() == stages[-1][2].count() and corpus_pipeline.ORACLE_SQL is None
 
 
-def test_odd_tables_pass_through_every_stage(spark, tmp_path):
+LONG = "long words of every kind " * 40_000
+
+
+@pytest.mark.parametrize(
+    "rows, kept",
+    [
+        ([], []),
+        ([(1, None, None, None, None), (None, "", None, None, 0), (2, "x", "en", "s", 1), (2, "x", "en", "s", 1), (3, LONG, "en", "s", len(LONG)), (4, LONG, None, None, None)], [1, 2, 3]),
+    ],
+)
+def test_odd_tables_pass_through_every_stage(spark, tmp_path, rows, kept):
+    """Label 1 alone is learned, so that no document goes for its quality; columns of other names, some clashing, are carried along."""
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    for k, rows in enumerate(([], [(1, None, None, None, None), (None, "", None, None, 0), (2, "x", "en", "s", 1), (2, "x", "en", "s", 1)])):
-        d = tmp_path / str(k)
-        spark.createDataFrame(rows, schema).write.parquet(str(d / "documents.parquet"))
-        spark.createDataFrame([(2, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
-        spark.createDataFrame([(1, None)], "item_id bigint, text string").write.parquet(str(d / "benchmark.parquet"))
-        assert corpus_pipeline.run(spark, str(d)).agg(F.count("*")).first()[0] >= 0
+    docs = spark.createDataFrame(rows, schema).withColumns({c: F.lit("clash") for c in ("fingerprint", "class", "row", "bands", "spans", "item_id", "bin", "__n")})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(2, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert sorted(set(got.doc_id.dropna())) == kept
+    texts = {i: t for i, t, *_ in rows}
+    lengths = got.groupby("doc_id").length.sum().to_dict()
+    assert lengths == {i: len(packing.token_ids(texts[i])) for i in kept} and got.groupby("sequence_id").length.sum().le(packing.CAPACITY).all()
+
+
+def test_a_missing_shared_folder_is_refused_on_clusters():
+    from types import SimpleNamespace
+
+    from stratus.llm.common import shared_folder
+
+    def fake(master, folder=None, checkpoint=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: folder), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint))
+
+    assert shared_folder(fake("yarn", "hdfs://x/y")) == "hdfs://x/y" and shared_folder(fake("yarn", None, "s3://z")) == "s3://z"
+    assert shared_folder(fake("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_folder(fake("spark://host:7077"))
