@@ -76,9 +76,9 @@ def mm_a_day(flux: Column) -> Column:
 
 
 def celsius_if_kelvin(df: DataFrame, column: str) -> DataFrame:
-    """Converts a whole column when its largest value is over 100; the maximum is one row, attached to every row."""
-    top = df.agg(F.max(column).alias("__top"))
-    return df.crossJoin(F.broadcast(top)).withColumn(column, F.when(F.col("__top") > 100, F.col(column) - KELVIN).otherwise(F.col(column))).drop("__top")
+    """Converts a whole column when its largest value is over 100; the maximum is a scalar subquery."""
+    top = df.agg(F.max(column)).scalar()
+    return df.withColumn(column, F.when(top > 100, F.col(column) - KELVIN).otherwise(F.col(column)))
 
 
 def pick_column(columns: list[str], priority: tuple[str, ...]) -> str:

@@ -56,7 +56,7 @@ def mean_over(daily: DataFrame, *keys: str) -> DataFrame:
 
 
 def exploded_targets(df: DataFrame, window: int = WINDOW, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Each year goes to every target year whose trailing window holds it: an equi-key in place of a range join."""
+    """Each row goes to every target year whose trailing window holds its year: an equi-key in place of a range join, for few rows."""
     start, end = F.col("year"), F.col("year") + (window - 1)
     if first is not None:
         start = F.greatest(start, F.lit(first))
@@ -65,6 +65,27 @@ def exploded_targets(df: DataFrame, window: int = WINDOW, first: int | None = No
     return df.where(start <= end).withColumn("target_year", F.explode(F.sequence(start, end)))
 
 
+def window_means(daily: DataFrame, frames: DataFrame, series: tuple[str, ...], by: tuple[str, ...], longest: int | Column) -> DataFrame:
+    """Mean of each frame of years by day and cell: by, doy, cell, lat, lon, value.
+
+    frames has first_year, last_year (at most `longest` years) and what tells frames and series apart; it is small and broadcast. Readings are added up along
+    their series once. A frame's sum is what has been added up by its last year less what had been before its first, so a reading
+    makes a row for each frame that ends, or begins, between it and its series' next reading, not one for each frame that holds it.
+    """
+    of = [c for c in series if c in frames.columns]
+    ends = frames.withColumns({"year": F.col("last_year"), "__sign": F.lit(1)}).unionByName(frames.withColumns({"year": F.col("first_year") - 1, "__sign": F.lit(-1)})).drop("first_year", "last_year")
+    so_far = Window.partitionBy(*series, "doy", "cell").orderBy("year")
+    added = daily.select(
+        *series, "year", "doy", "cell", "lat", "lon",
+        F.sum("value").over(so_far).alias("__sum"), F.count("value").over(so_far).alias("__n"), F.count(F.lit(1)).over(so_far).alias("__rows"), F.coalesce(F.lead("year").over(so_far) - 1, F.col("year") + (longest - 1)).alias("__until"),
+    )
+    held = added.where(F.col("year") <= F.col("__until")).withColumn("year", F.explode(F.sequence("year", "__until")))
+    parts = held.join(F.broadcast(ends), [*of, "year"]).groupBy(*by, "doy", "cell")
+    sums = [F.sum(F.col("__sign") * F.coalesce(c, F.lit(0))).alias(c) for c in ("__sum", "__n", "__rows")]
+    g = parts.agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"), *sums).where("__rows > 0")
+    return g.select(*by, "doy", "cell", "lat", "lon", F.when(F.col("__n") > 0, F.col("__sum") / F.col("__n")).alias("value"))
+
+
 def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_YEARS, keys: tuple[str, ...] = ("variable",), first: int | None = None, last: int | None = None, readings: DataFrame | None = None) -> DataFrame:
     """Mean over the years of each trailing window, every year weighing the same, where at least min_years hold data.
 
@@ -75,7 +96,8 @@ def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_
     pairs = (daily if readings is None else readings).select(*keys, "year").distinct()
     years = exploded_targets(pairs, window, first, last)
     enough = years.groupBy(*keys, "target_year").agg(F.count("*").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
-    means = _cell_means(exploded_targets(daily, window, first, last), "value", *keys, "target_year")
+    frames = enough.select(*keys, "target_year", (F.col("target_year") - (window - 1)).alias("first_year"), F.col("target_year").alias("last_year"))
+    means = window_means(daily, frames, keys, (*keys, "target_year"), window)
     return means.join(F.broadcast(enough), [*keys, "target_year"])
 
 
@@ -121,9 +143,9 @@ def frame_source(period_type: Column, year: Column, hist_end: int = HISTORICAL_E
 
 
 def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YEARS, hist_end: int = HISTORICAL_END, readings: DataFrame | None = None) -> DataFrame:
-    """Normals of all planned windows in one pass; daily has variable, scenario, year, doy, lat, lon, value.
+    """Normals of all planned windows in one pass; daily has variable, scenario, year, doy, cell, lat, lon, value.
 
-    The plan has a few hundred rows and is broadcast as (year, source scenario) pairs.
+    The plan has a few hundred rows; its windows are broadcast by source scenario.
     """
     years = plan.select("scenario", "period_type", "target_year", F.explode(F.sequence("start_year", "end_year")).alias("year"))
     source = F.when(frame_source(F.col("period_type"), F.col("year"), hist_end), "historical").otherwise(F.col("scenario"))
@@ -131,5 +153,8 @@ def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YE
     present = (daily if readings is None else readings).select("variable", "scenario", "year").distinct().join(F.broadcast(pairs), ["scenario", "year"])
     keys = ["variable", "plan_scenario", "period_type", "target_year"]
     enough = present.groupBy(*keys).agg(F.count_distinct("year").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
-    means = _cell_means(daily.join(F.broadcast(pairs), ["scenario", "year"]), "value", *keys)
+    # The years of a window that come from one scenario follow each other.
+    frames = pairs.groupBy("scenario", *keys[1:]).agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    longest = plan.agg(F.max(F.col("end_year") - F.col("start_year") + 1)).scalar()
+    means = window_means(daily, frames, ("variable", "scenario"), tuple(keys), longest)
     return means.join(F.broadcast(enough), keys).withColumnRenamed("plan_scenario", "scenario")

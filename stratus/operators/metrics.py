@@ -57,57 +57,93 @@ def available(variable: str) -> list[str]:
 
 
 BAND_ROWS = 100_000
-SKETCH_ERROR = 0.001
+SKETCH_ERROR = 0.0001
+CUTS = 1000
+
+
+@dataclass
+class _Band:
+    """A stretch of a column's values that holds the ranks sought, low and high included; inside: at most so many rows strictly between."""
+
+    column: str
+    share: float
+    ranks: list[int]
+    low: float
+    high: float
+    inside: float
+    found: dict[int, float]
+
+    def counts(self, x: str) -> list[Column]:
+        """What a pass counts in and below the band, and the values between, or a sketch of them where they may be too many."""
+        c = F.col(self.column)
+        between = (c > self.low) & (c < self.high)
+        out = [F.count_if(c < self.low).alias(f"less_{x}"), F.count_if(c == self.low).alias(f"low_{x}"), F.count_if(between).alias(f"in_{x}"), F.count_if((c == self.high) & (c > self.low)).alias(f"high_{x}")]
+        if self.inside <= BAND_ROWS:
+            return [*out, F.collect_list(F.when(between, c.cast("double"))).alias(f"values_{x}")]
+        return [*out, F.percentile_approx(F.when(between, c), F.array(*[F.lit(j / CUTS) for j in range(CUTS + 1)]), int(1 / SKETCH_ERROR)).alias(f"cuts_{x}")]
+
+    def narrow(self, got, x: str, least: float, most: float, n: int) -> None:
+        """Take the ranks that a pass decided; make the band smaller around those that are left."""
+        less, low, inside, high = (got[f"{y}_{x}"] for y in ("less", "low", "in", "high"))
+        values = sorted(got[f"values_{x}"]) if self.inside <= BAND_ROWS else None
+        left = []
+        for r in self.ranks:
+            at = r - less - low
+            if -low <= at < 0:
+                self.found[r] = float(self.low)
+            elif inside <= at < inside + high:
+                self.found[r] = float(self.high)
+            elif 0 <= at < inside and values is not None:
+                self.found[r] = values[at]
+            else:
+                left.append(r)
+        self.ranks = left
+        if not left:
+            return
+        if left[0] < less:
+            # The sketch missed: the band is all that is below, or above.
+            self.low, self.high, self.inside = least, self.low, less
+        elif left[-1] >= less + low + inside + high:
+            self.low, self.high, self.inside = self.high, most, n - less - low - inside - high
+        else:
+            cuts = got[f"cuts_{x}"]
+            at = [(r - less - low + 1) / inside * CUTS for r in left]
+            j0, j1 = int(at[0] - 2 * SKETCH_ERROR * CUTS) - 1, int(at[-1] + 2 * SKETCH_ERROR * CUTS) + 2
+            self.low, self.high = cuts[j0] if j0 >= 0 else self.low, cuts[j1] if j1 <= CUTS else self.high
+            self.inside = inside * ((j1 - j0) / CUTS + 2 * SKETCH_ERROR)
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> dict[str, float | None]:
     """Exact quantiles (name: column, q), linear between neighbours, of a table of any size; NULL for a column without values.
 
-    For each quantile a band of values around its rank is narrowed by sketches until it holds at most BAND_ROWS rows or one value;
-    all quantiles share each pass. Then the distinct values of the bands, and only they, come to the driver. Two to four passes
-    serve any practical size, while a percentile aggregate would keep every distinct value of the table in one task.
+    The first pass counts and sketches; for each quantile two sketched values enclose its ranks, with at most a share of 4 * SKETCH_ERROR of
+    the rows strictly between them. A second pass counts what is below them and equal to them, and takes the values between, if those
+    are at most BAND_ROWS. Where they may be more, passes in between sketch the band alone. All quantiles share each pass, so tables
+    of up to BAND_ROWS / (4 * SKETCH_ERROR) rows take two passes, and each further one serves some 200 times as many.
     """
     if not wanted:
         return {}
-    cols = dict.fromkeys(c for c, _ in wanted.values())
-    first = df.agg(*[f(c).alias(f"{k}_{c}") for c in cols for k, f in (("n", F.count), ("a", F.min), ("b", F.max))]).first()
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    cells = [f(c).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in (("n", F.count), ("a", F.min), ("b", F.max))]
+    cells += [F.percentile_approx(c, F.array(*[F.lit(min(1.0, max(0.0, q + d))) for d in (-SKETCH_ERROR, SKETCH_ERROR)]), int(1 / SKETCH_ERROR)).alias(f"cut_{i}") for i, (c, q) in enumerate(wanted.values())]
+    first = df.agg(*cells).first()
+    size = {c: (first[f"a_{i}"], first[f"b_{i}"], first[f"n_{i}"]) for i, c in enumerate(columns)}
     bands = {}
-    for name, (c, q) in wanted.items():
-        n = first[f"n_{c}"]
-        bands[name] = {"c": c, "n": n, "rank": q * (n - 1), "low": first[f"a_{c}"], "high": first[f"b_{c}"], "below": 0, "held": n, "done": n == 0}
-    while any(not b["done"] and b["held"] > BAND_ROWS and b["low"] < b["high"] for b in bands.values()):
-        open_ = {k: b for k, b in bands.items() if not b["done"] and b["held"] > BAND_ROWS and b["low"] < b["high"]}
-        cuts = []
-        for k, b in open_.items():
-            at = (int(b["rank"]) - b["below"]) / b["held"]
-            inside = F.when(F.col(b["c"]).between(b["low"], b["high"]), F.col(b["c"]))
-            cuts.append(F.percentile_approx(inside, F.array(*[F.lit(min(1.0, max(0.0, at + d))) for d in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)]), int(1 / SKETCH_ERROR)).alias(k))
-        new = df.agg(*cuts).first()
-        counts = df.agg(*[x for k, b in open_.items() for x in (F.count_if((F.col(b["c"]) >= b["low"]) & (F.col(b["c"]) < new[k][0])).alias(f"l_{k}"), F.count_if(F.col(b["c"]).between(*new[k])).alias(f"i_{k}"))]).first()
-        for k, b in open_.items():
-            less, inside = counts[f"l_{k}"], counts[f"i_{k}"]
-            if not b["below"] + less <= int(b["rank"]) < b["below"] + less + inside or inside == b["held"]:
-                b["done"] = True
-            else:
-                b |= {"low": new[k][0], "high": new[k][1], "below": b["below"] + less, "held": inside}
-    live = {k: b for k, b in bands.items() if b["n"]}
-    if not live:
-        return dict.fromkeys(wanted)
-    hits = F.array(*[F.when(F.col(b["c"]).between(b["low"], b["high"]), F.struct(F.lit(k).alias("k"), F.col(b["c"]).cast("double").alias("v"))) for k, b in live.items()])
-    beyond = [F.min(F.when(F.col(b["c"]) > b["high"], F.col(b["c"]))).alias(k) for k, b in live.items()]
-    held = df.select(F.explode(F.array_compact(hits)).alias("h")).groupBy("h.k", "h.v").agg(F.count("*").alias("n")).orderBy("k", "v").toLocalIterator()
-    at, got = {k: b["below"] for k, b in live.items()}, {k: [] for k in live}
-    for r in held:
-        b, found = live[r["k"]], got[r["k"]]
-        at[r["k"]] += r["n"]
-        while len(found) < 2 and at[r["k"]] > min(int(b["rank"]) + len(found), b["n"] - 1):
-            found.append(r["v"])
-    if any(len(v) == 1 for v in got.values()):
-        after = df.agg(*beyond).first()
-        for k, v in got.items():
-            if len(v) == 1:
-                v.append(float(after[k]))
-    return dict.fromkeys(wanted) | {k: v[0] + (v[1] - v[0]) * (live[k]["rank"] - int(live[k]["rank"])) for k, v in got.items()}
+    for i, (k, (c, q)) in enumerate(wanted.items()):
+        if n := size[c][2]:
+            low = int(q * (n - 1))
+            bands[k] = _Band(c, q * (n - 1) - low, sorted({low, min(low + 1, n - 1)}), *first[f"cut_{i}"], 4 * SKETCH_ERROR * n + 2, {})
+    for _ in range(100):
+        open_ = {f"{i}": b for i, b in enumerate(bands.values()) if b.ranks}
+        if not open_:
+            break
+        got = df.agg(*[x for i, b in open_.items() for x in b.counts(i)]).first()
+        for i, b in open_.items():
+            b.narrow(got, i, *size[b.column])
+    else:
+        raise RuntimeError("quantiles were not enclosed")
+    ends = {k: (b.found[min(b.found)], b.found[max(b.found)], b.share) for k, b in bands.items()}
+    return dict.fromkeys(wanted) | {k: v + (w - v) * share for k, (v, w, share) in ends.items()}
 
 
 def thresholds(df: DataFrame, metrics: list[Metric]) -> dict[str, float | None]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,12 +42,21 @@ def modified_zscore(long: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     return flagged.groupBy(*keys, "geoid").agg(F.count("*").alias("hits")).where(F.col("hits") > t.repeated)
 
 
-METHODS = {"iqr": iqr, "zscore": zscore, "modified_zscore": modified_zscore}
-
-
 def all_methods(long: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """method, metric, scenario, geoid, hits."""
-    return reduce(DataFrame.unionByName, [f(long, t).select(F.lit(name).alias("method"), "metric", "scenario", "geoid", "hits") for name, f in METHODS.items()])
+    """method, metric, scenario, geoid, hits: what the three methods find, from the fences by year, the statistics by scenario and one count.
+
+    The statistics have a row for each metric, scenario and year; rows meet them and are counted once for all methods.
+    """
+    keys, c = ["metric", "scenario"], F.col
+    fences = long.groupBy(*keys, "year").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    fences = fences.select(*keys, "year", (c("q")[0] - t.iqr * (c("q")[1] - c("q")[0])).alias("low"), (c("q")[1] + t.iqr * (c("q")[1] - c("q")[0])).alias("high"))
+    years = fences.groupBy("scenario").agg(F.count_distinct("year").alias("years"))
+    s = long.groupBy(*keys).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("dev"), F.median("value").alias("m"))
+    mad = long.join(s.select(*keys, "m"), keys).groupBy(*keys).agg(F.median(F.abs(c("value") - c("m"))).alias("mad"))
+    rows = long.join(fences, [*keys, "year"]).join(s.join(mad, keys), keys)
+    flags = {"iqr": (c("value") < c("low")) | (c("value") > c("high")), "zscore": (c("dev") > 0) & (F.abs(c("value") - c("mean")) > t.z * c("dev")), "modified_zscore": (c("mad") > 0) & (0.6745 * F.abs(c("value") - c("m")) > t.modified_z * c("mad"))}
+    hits = rows.groupBy(*keys, "geoid").agg(*[F.count_if(f).alias(name) for name, f in flags.items()]).join(years, "scenario")
+    return hits.unpivot([*keys, "geoid", "years"], list(flags), "method", "hits").where(F.when(c("method") == "iqr", c("hits") > t.year_share * c("years")).otherwise(c("hits") > t.repeated)).select("method", *keys, "geoid", "hits")
 
 
 def persistent(found: DataFrame, times: int = 3) -> DataFrame:

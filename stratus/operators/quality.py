@@ -94,8 +94,8 @@ def _limit(metric: Column, t: Thresholds, deviation: Column) -> Column:
     return F.when(metric.contains("temp"), F.lit(t.temp_change)).when(metric.contains("precip"), F.lit(t.precip_change)).otherwise(3 * deviation)
 
 
-def year_over_year(df: DataFrame, t: Thresholds = DEFAULT, limit: int | None = 5) -> DataFrame:
-    """geoid, scenario, metric, largest_change, changes of series with a change over the metric's limit."""
+def year_over_year(df: DataFrame, t: Thresholds = DEFAULT, limit: int | None = None) -> DataFrame:
+    """geoid, scenario, metric, largest_change, changes of series with a change over the metric's limit; `limit` takes the first metrics only."""
     long = long_form(df, metric_columns(df, limit))
     w = Window.partitionBy("geoid", "scenario", "metric").orderBy("year")
     steps = long.withColumn("change", F.abs(F.col("value") - F.lag("value").over(w)))
@@ -134,33 +134,73 @@ def implausible(df: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 
 def issue(source: DataFrame, validator: str, severity: str, category: str, message: Column, when: Column, **details: Column) -> DataFrame:
     """Rows of `source` that satisfy `when` as issues."""
+    return source.where(when).select(F.lit(validator).alias("validator"), F.lit(severity).alias("severity"), F.lit(category).alias("category"), message.alias("message"), _details(details).alias("details"))
+
+
+def _details(details: dict[str, Column]) -> Column:
     pairs = [x for k, v in details.items() for x in (F.lit(k), v.cast("string"))]
-    found = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-    return source.where(when).select(F.lit(validator).alias("validator"), F.lit(severity).alias("severity"), F.lit(category).alias("category"), message.alias("message"), found.alias("details"))
+    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+
+
+def _series_profile(df: DataFrame, t: Thresholds) -> DataFrame:
+    """One row a county and scenario with all that the checks count, from one shuffle and one sort of the table."""
+    columns, temps = metric_columns(df), [c for c in ("mean_temp_c", "min_temp_c", "max_temp_c") if c in df.columns]
+    w = Window.partitionBy("geoid", "scenario").orderBy("year")
+    change = {f"__d_{c}": F.col(c).cast("double") - F.lag(F.col(c).cast("double")).over(w) for c in columns}
+    steps = df.withColumns({"__row": F.row_number().over(w), "__before": F.lag("year").over(w), **change})
+    first = F.col("__row") == 1
+    again = ~first & F.col("year").eqNullSafe(F.col("__before"))
+    counts = {"__rows": F.count("*"), "__again": F.count_if(again), "__years": F.count_if(F.col("year").between(*t.years) & ~again)}
+    counts |= {f"__null_{c}": F.count_if(F.col(c).isNull()) for c in df.columns}
+    # Every metric column is a temperature or precipitation, so its limit is a number.
+    counts |= {f"__jump_{c}": F.max((F.abs(F.col(f"__d_{c}")) > _limit(F.lit(c), t, F.lit(None).cast("double"))).cast("int")) for c in columns}
+    for c in temps:
+        for name, sign in (("up", 1), ("down", -1)):
+            counts[f"__{name}_{c}"] = F.bool_and(first | F.coalesce(sign * F.col(f"__d_{c}") > 0, F.lit(False)))
+    lo, mid, hi = F.col("min_temp_c"), F.col("mean_temp_c"), F.col("max_temp_c")
+    if len(temps) == 3:
+        counts |= {"__min_over_mean": F.count_if(lo > mid + t.tolerance), "__mean_over_max": F.count_if(mid > hi + t.tolerance), "__min_over_max": F.count_if(lo > hi + t.tolerance)}
+    if "precip_gt_50mm" in columns:
+        counts["__days"] = F.count_if(F.col("precip_gt_50mm") > 365)
+    for c, (a, b) in t.ranges.items():
+        if c in df.columns:
+            counts |= {f"__below_{c}": F.count_if(F.col(c) < a), f"__above_{c}": F.count_if(F.col(c) > b)}
+    return steps.groupBy("geoid", "scenario").agg(*[x.alias(k) for k, x in counts.items()])
 
 
 def issues(df: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """All issues of the quality validator: one row a finding, summed over counties."""
-    n = F.col("n")
-
-    def counted(found: DataFrame) -> DataFrame:
-        return found.agg(F.count("*").alias("n"))
-
-    bad = implausible(df, t)
-    logic = temperature_logic(df, t)
-    parts = [
-        issue(missing_percent(df), "qaqc", "WARNING", "Data Completeness", F.concat(F.col("column"), F.lit(" lacks values")), F.col("percent") > t.missing_percent, percent=F.round("percent", 2)),
-        issue(duplicates(df).select(F.col("duplicates").alias("n")), "qaqc", "CRITICAL", "Data Completeness", F.lit("duplicate county, year and scenario"), n > 0, count=n),
-        issue(counted(incomplete_series(df, t)), "qaqc", "WARNING", "Data Completeness", F.lit("series lack years"), n > 0, count=n),
-        issue(counted(missing_scenarios(df, t)), "qaqc", "WARNING", "Spatial Consistency", F.lit("counties lack scenarios"), n > 0, count=n),
-        issue(county_count(df, t), "qaqc", "WARNING", "Spatial Consistency", F.lit("too few counties"), F.col("too_few"), counties=F.col("counties"), expected=F.col("expected")),
-        issue(year_over_year(df, t).groupBy("metric").agg(F.count("*").alias("n")), "qaqc", "WARNING", "Temporal Consistency", F.concat(F.lit("extreme yearly changes of "), F.col("metric")), n > 0, series=n),
-        issue(monotonic(df, t).groupBy("metric").agg(F.count("*").alias("n")), "qaqc", "INFO", "Temporal Consistency", F.concat(F.lit("monotonic series of "), F.col("metric")), n > 0, series=n),
-        issue(logic.unpivot([], ["min_over_mean", "mean_over_max", "min_over_max"], "rule", "n"), "qaqc", "CRITICAL", "Logical Relationships", F.col("rule"), n > 0, count=n),
-        issue(day_counts(df).select(F.col("impossible_days").alias("n")), "qaqc", "CRITICAL", "Logical Relationships", F.lit("more days than a year has"), n > 0, count=n),
-        issue(bad.withColumn("n", F.col("below") + F.col("above")), "qaqc", "CRITICAL", "Physical Plausibility", F.concat(F.col("metric"), F.lit(" outside its range")), n > 0, below=F.col("below"), above=F.col("above")),
+    """All issues of the quality validator: one row a finding, summed over counties.
+
+    The same findings as of the checks above one by one, from one scan: series are profiled, then counties, then the whole.
+    """
+    columns, temps = metric_columns(df), [c for c in ("mean_temp_c", "min_temp_c", "max_temp_c") if c in df.columns]
+    series = _series_profile(df, t)
+    span = t.years[1] - t.years[0] + 1
+    summed = [c for c in series.columns if c.startswith(("__rows", "__again", "__null_", "__min_", "__mean_", "__days", "__below_", "__above_"))]
+    counts = {c: F.sum(c) for c in summed}
+    counts["__incomplete"] = F.count_if(F.col("__years") < span)
+    counts |= {f"__jumps_{c}": F.count_if(F.col(f"__jump_{c}") > 0) for c in columns}
+    counts |= {f"__monotonic_{c}": F.count_if((F.col("__rows") >= t.monotonic_rows) & (F.col(f"__up_{c}") | F.col(f"__down_{c}"))) for c in temps}
+    lacks = [F.max(F.coalesce(F.col("scenario") == s, F.lit(False))) for s in t.scenarios]
+    by_county = series.groupBy("geoid").agg(*[x.alias(k) for k, x in counts.items()], (~reduce(lambda a, b: a & b, lacks, F.lit(True))).alias("__lacks"))
+    total = by_county.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], F.count_if("__lacks").alias("__lacking"), F.count("geoid").alias("__counties"))
+
+    n = F.col
+    percent = {c: F.when(n("__rows") > 0, 100.0 * n(f"__null_{c}") / n("__rows")).otherwise(0.0) for c in df.columns}
+    found = [("WARNING", "Data Completeness", f"{c} lacks values", p > t.missing_percent, {"percent": F.round(p, 2)}) for c, p in percent.items()]
+    found += [
+        ("CRITICAL", "Data Completeness", "duplicate county, year and scenario", n("__again") > 0, {"count": n("__again")}),
+        ("WARNING", "Data Completeness", "series lack years", n("__incomplete") > 0, {"count": n("__incomplete")}),
+        ("WARNING", "Spatial Consistency", "counties lack scenarios", n("__lacking") > 0, {"count": n("__lacking")}),
+        ("WARNING", "Spatial Consistency", "too few counties", n("__counties") < t.county_share * t.expected_counties, {"counties": n("__counties"), "expected": F.lit(t.expected_counties)}),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    found += [("WARNING", "Temporal Consistency", f"extreme yearly changes of {c}", n(f"__jumps_{c}") > 0, {"series": n(f"__jumps_{c}")}) for c in columns]
+    found += [("INFO", "Temporal Consistency", f"monotonic series of {c}", n(f"__monotonic_{c}") > 0, {"series": n(f"__monotonic_{c}")}) for c in temps]
+    found += [("CRITICAL", "Logical Relationships", c[2:], n(c) > 0, {"count": n(c)}) for c in ("__min_over_mean", "__mean_over_max", "__min_over_max") if c in summed]
+    found += [("CRITICAL", "Logical Relationships", "more days than a year has", n("__days") > 0, {"count": n("__days")})] if "__days" in summed else []
+    found += [("CRITICAL", "Physical Plausibility", f"{c} outside its range", n(f"__below_{c}") + n(f"__above_{c}") > 0, {"below": n(f"__below_{c}"), "above": n(f"__above_{c}")}) for c in t.ranges if c in df.columns]
+    rows = F.array(*[F.struct(F.lit("qaqc").alias("validator"), F.lit(s).alias("severity"), F.lit(c).alias("category"), F.lit(m).alias("message"), _details(d).alias("details"), when.alias("__when")) for s, c, m, when, d in found])
+    return total.select(F.inline(F.filter(rows, lambda x: x["__when"]))).drop("__when")
 
 
 def counts_by_severity(found: DataFrame) -> DataFrame:

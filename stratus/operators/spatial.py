@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,12 @@ from stratus.functions import expr
 TILE = 1.0
 BOX_MARGIN = 0.1
 NEAREST_SPACING = 0.75
+MAX_AXIS = 100_000
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value being worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _edges(ring: Column) -> Column:
@@ -49,17 +57,65 @@ def ring_area(ring: Column) -> Column:
     return F.aggregate(_edges(ring), F.lit(0.0), lambda acc, e: acc + _cross(e)) / 2
 
 
+def _inside(ring: Column, other: Column) -> Column:
+    """Whether most points of a ring lie in another one; boxes are compared first."""
+    a, b = bbox(F.array(ring)), bbox(F.array(other))
+    boxed = (a["minx"] >= b["minx"]) & (a["maxx"] <= b["maxx"]) & (a["miny"] >= b["miny"]) & (a["maxy"] <= b["maxy"])
+    return F.when(boxed, 2 * F.size(F.filter(ring, lambda p: contains(F.array(other), p["lon"], p["lat"]))) > F.size(ring)).otherwise(F.lit(False))
+
+
+def depths(rings: Column) -> Column:
+    """For each ring, how many others hold it: even ones bound a part from outside, odd ones are holes. The way they run doesn't matter."""
+
+    def of(rings: Column) -> Column:
+        return F.transform(rings, lambda ring, i: F.size(F.filter(rings, lambda other, j: (i != j) & _inside(ring, other))))
+
+    return F.when(F.size(rings) == 1, F.array(F.lit(0))).otherwise(_let(rings, of))
+
+
+def oriented(rings: Column) -> Column:
+    """The same rings, outer ones anticlockwise and holes clockwise."""
+    return F.transform(_with_depth(rings), lambda x: F.when((ring_area(x["ring"]) > 0) == (x["depth"] % 2 == 0), x["ring"]).otherwise(F.reverse(x["ring"])))
+
+
+def _with_depth(rings: Column) -> Column:
+    return _let(rings, lambda r: F.zip_with(r, depths(r), lambda ring, depth: F.struct(ring.alias("ring"), depth.alias("depth"))))
+
+
+def repaired(rings: Column) -> Column:
+    """Rings without points that follow themselves and without the closing point, those without an area left out, oriented by nesting."""
+
+    def distinct(ring: Column) -> Column:
+        n = F.size(ring)
+        return F.filter(ring, lambda p, i: p != F.element_at(ring, F.when(i == 0, n).otherwise(i).cast("int")))
+
+    return oriented(F.filter(F.transform(rings, distinct), lambda r: (F.size(F.array_distinct(r)) >= 3) & (F.abs(ring_area(r)) > 0)))
+
+
+def parts(rings: Column) -> Column:
+    """The rings by part: each outer ring with the holes that it holds at the next depth."""
+
+    def of(zipped: Column) -> Column:
+        holes = lambda o: F.filter(zipped, lambda h: (h["depth"] == o["depth"] + 1) & _inside(h["ring"], o["ring"]))
+        return F.transform(F.filter(zipped, lambda x: x["depth"] % 2 == 0), lambda o: F.concat(F.array(o["ring"]), F.transform(holes(o), lambda h: h["ring"])))
+
+    return _let(_with_depth(rings), of)
+
+
 def centroid(rings: Column) -> Column:
-    """Struct lon, lat of the area centroid over all rings (holes run the other way round); the first point for no area."""
+    """Struct lon, lat of the area centroid over all rings, holes being those at an odd depth; the first point for no area."""
     zero = F.struct(F.lit(0.0).alias("area"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def add(acc: Column, e: Column) -> Column:
         c = _cross(e)
         return F.struct((acc["area"] + c).alias("area"), (acc["x"] + (e["a"]["lon"] + e["b"]["lon"]) * c).alias("x"), (acc["y"] + (e["a"]["lat"] + e["b"]["lat"]) * c).alias("y"))
 
-    s = F.aggregate(F.flatten(F.transform(rings, _edges)), zero, add)
     first = F.flatten(rings)[0]
-    return F.struct(F.when(s["area"] == 0, first["lon"]).otherwise(s["x"] / (3 * F.nullif(s["area"], F.lit(0.0)))).alias("lon"), F.when(s["area"] == 0, first["lat"]).otherwise(s["y"] / (3 * F.nullif(s["area"], F.lit(0.0)))).alias("lat"))
+
+    def middle(s: Column) -> Column:
+        return F.when(s["area"] == 0, F.struct(first["lon"].alias("lon"), first["lat"].alias("lat"))).otherwise(F.struct((s["x"] / (3 * F.nullif(s["area"], F.lit(0.0)))).alias("lon"), (s["y"] / (3 * F.nullif(s["area"], F.lit(0.0)))).alias("lat")))
+
+    return _let(F.aggregate(F.flatten(F.transform(oriented(rings), _edges)), zero, add), middle)
 
 
 def is_valid(rings: Column) -> Column:
@@ -80,8 +136,13 @@ def _with_tile(cells: DataFrame, tile: float) -> DataFrame:
 
 
 def _axes(cells: DataFrame) -> Column:
-    """The distinct coordinates of a grid in order, a struct of arrays lats and lons, as a scalar subquery; a few thousand at most."""
-    return cells.agg(F.struct(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"))).scalar()
+    """The distinct coordinates of a grid in order, a struct of arrays lats and lons, as a scalar subquery.
+
+    A grid has a few thousand of each. Where there are more than MAX_AXIS the points are no grid, and the query fails and says so.
+    """
+    both = cells.agg(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"), F.count_distinct("lat").alias("n_lat"), F.count_distinct("lon").alias("n_lon"))
+    fits = F.greatest("n_lat", "n_lon") <= MAX_AXIS
+    return both.select(F.when(fits, F.struct("lats", "lons")).otherwise(F.raise_error(F.lit(f"more than {MAX_AXIS} distinct coordinates on an axis: not a grid")))).scalar()
 
 
 def legacy_points(cells: DataFrame) -> DataFrame:
@@ -121,12 +182,23 @@ def nearest_axes(points: DataFrame, cells: DataFrame, spacing: float = NEAREST_S
     """The nearest latitude and the nearest longitude to each point (geoid, lon, lat), each by itself, the lower one on ties.
 
     Only within `spacing` mean steps on both axes and inside the grid's box. The axes are the distinct coordinates of a grid, a few
-    thousand at most; a point is compared with the neighbours that a sorted array yields, not with every cell.
+    thousand at most; its place among them is found by bisection, and it is compared with the two neighbours there.
     """
     axes = _axes(cells)
 
     def near(axis: Column, x: Column) -> Column:
-        return F.array_min(F.transform(axis, lambda v: F.struct(F.abs(v - x).alias("d"), v.alias("v"))))["v"]
+        n = F.size(axis)
+        start = F.struct(F.lit(0).alias("low"), n.alias("high"))
+
+        def halve(acc: Column, _: Column) -> Column:
+            middle = F.shiftright(acc["low"] + acc["high"], 1)
+            below = F.get(axis, middle) < x
+            return F.when(acc["low"] >= acc["high"], acc).otherwise(F.struct(F.when(below, middle + 1).otherwise(acc["low"]).alias("low"), F.when(below, acc["high"]).otherwise(middle).alias("high")))
+
+        steps = F.sequence(F.lit(0), F.ceil(F.log2(n + F.lit(1))).cast("int"))
+        at = F.aggregate(steps, start, halve)["low"]
+        beside = F.array_compact(F.array(F.get(axis, at - 1), F.get(axis, at)))
+        return F.array_min(F.transform(beside, lambda v: F.struct(F.abs(v - x).alias("d"), v.alias("v"))))["v"]
 
     def step(axis: Column) -> Column:
         return (F.element_at(axis, -1) - F.element_at(axis, 1)) / F.nullif(F.size(axis) - 1, F.lit(0))
@@ -182,19 +254,31 @@ def counties_in_conus_box(counties: DataFrame) -> DataFrame:
 
 
 def sample_counties(counties: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """n counties, always the same ones for a seed."""
-    return counties.orderBy(F.xxhash64("geoid", F.lit(seed)), "geoid").limit(n)
+    """n counties, always the same ones for a seed: those of the least digests of id and seed."""
+    return counties.orderBy(F.md5(F.concat_ws(":", "geoid", F.lit(str(seed))).cast("binary")), "geoid").limit(n)
 
 
 def from_geojson(features: DataFrame) -> DataFrame:
-    """Counties of a GeoJSON table with one column `features`, read with multiLine."""
+    """Counties of a GeoJSON table with one column `features`, read with multiLine; the rings of all parts, which parts() tells apart."""
     f = features.select(F.explode("features").alias("f"))
-    parts = F.when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(F.to_json("f.geometry.coordinates"), "array<array<array<double>>>"))).otherwise(F.from_json(F.to_json("f.geometry.coordinates"), "array<array<array<array<double>>>>"))
-    rings = F.transform(F.flatten(parts), lambda r: F.transform(r, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))))
+    # Where polygons and multipolygons stand side by side, the inferred type has text at the depth at which they differ.
+    text = F.regexp_replace(F.to_json("f.geometry.coordinates"), '"', "")
+    by_part = F.when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>"))).otherwise(F.from_json(text, "array<array<array<array<double>>>>"))
+    # A closing point repeats the first one; rings here go without it.
+    open_ = lambda r: F.when((F.size(r) > 1) & (r[0] == F.element_at(r, -1)), F.slice(r, F.lit(1), F.size(r) - 1)).otherwise(r)
+    rings = F.transform(F.flatten(by_part), lambda r: F.transform(open_(r), lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))))
     return f.select(expr.geoid5(F.col("f.properties.GEOID")).alias("geoid"), F.col("f.properties.NAME").alias("name"), rings.alias("rings"))
 
 
 def to_geojson(counties: DataFrame) -> DataFrame:
-    """One GeoJSON feature a row, as text."""
-    coords = F.transform(F.col("rings"), lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"])))
-    return counties.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("geoid").alias("GEOID"), F.col("name").alias("NAME")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry"))).alias("value"))
+    """One GeoJSON feature a row, as text: a Polygon, or a MultiPolygon where there are several parts, each with its own holes; rings are closed."""
+
+    def closed(ring: Column) -> Column:
+        points = F.transform(ring, lambda p: F.array(p["lon"], p["lat"]))
+        return F.when(ring[0] == F.element_at(ring, -1), points).otherwise(F.concat(points, F.array(F.get(points, F.lit(0)))))
+
+    coords = F.transform(parts(oriented(F.col("rings"))), lambda part: F.transform(part, closed))
+    head = [F.lit("Feature").alias("type"), F.struct(F.col("geoid").alias("GEOID"), F.col("name").alias("NAME")).alias("properties")]
+    one = F.to_json(F.struct(*head, F.struct(F.lit("Polygon").alias("type"), F.get(F.col("coords"), F.lit(0)).alias("coordinates")).alias("geometry")))
+    several = F.to_json(F.struct(*head, F.struct(F.lit("MultiPolygon").alias("type"), F.col("coords").alias("coordinates")).alias("geometry")))
+    return counties.select("geoid", "name", coords.alias("coords")).select(F.when(F.size("coords") > 1, several).otherwise(one).alias("value"))

@@ -83,6 +83,20 @@ def planned_normals(spark, sf_dir):
     return climatology.normals_from_plan(_daily(spark, sf_dir).withColumn("variable", F.lit("tas")), plan, MIN_YEARS, 1997, readings)
 
 
+@query(
+    "target_year:i doy:i lat:d value:d num_years:i source_start:i source_end:i",
+    """select target_year, doy, lat, avg(v) "value", max(n) num_years, max(a) source_start, max(b) source_end from (select "year", doy, lat, avg(v) v from days group by all)
+      join (select y.t target_year, count(*) n, min("year") a, max("year") b from (select distinct "year" from days), (select unnest(range(1950, 2051)) t) y where "year" between y.t - 29 and y.t group by all having count(*) >= 25) w
+        on "year" between w.target_year - 29 and w.target_year group by all""",
+    """days as (select * from (select 1950 + l_orderkey * 31 % 73 "year", l_linenumber doy, l_suppkey % 25 * 1.0 lat, l_quantity v from lineitem) where "year" not in (1960, 1971, 1972, 1973, 1974, 1980))""",
+)
+def normal_of_30_years(spark, sf_dir):
+    """A2, W1, F9 as in production: windows of 30 years with at least 25 that hold data."""
+    days = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select((1950 + F.col("l_orderkey") * 31 % 73).cast("int").alias("year"), F.col("l_linenumber").alias("doy"), (F.col("l_suppkey") % 25).cast("double").alias("lat"), F.lit(0.0).alias("lon"), F.col("l_quantity").alias("value"))
+    days = days.where(~F.col("year").isin(1960, 1971, 1972, 1973, 1974, 1980))
+    return climatology.climate_normal(climatology.daily_climatology(days, "value", ("year",), "calendar"), keys=(), readings=days)
+
+
 @query("scenario:s period_type:s windows:i first_target:i last_target:i first_year:i", """select scenario, period_type, count(*) windows, min(t) first_target, max(t) last_target,
     min(case when period_type = 'historical' then greatest(1950, t - 29) else t - 29 end) first_year from
     (select 'historical' scenario, 'historical' period_type, unnest(range(1980, 2015)) t

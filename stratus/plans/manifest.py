@@ -9,6 +9,21 @@ SCHEMA = "task_id string, stage string, region string, variable string, scenario
 KEYS = ("stage", "region", "variable", "scenario")
 
 
+def latest(events: DataFrame) -> DataFrame:
+    """The latest event of each task; at the same moment the further status counts."""
+    order = F.array_position(F.array(*[F.lit(s) for s in ("pending", "running", "failed", "completed")]), F.col("status"))
+    w = Window.partitionBy(*KEYS).orderBy(F.desc("at"), order.desc())
+    return events.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
+def pending(tasks: DataFrame, stage: str | None = None, region: str | None = None, variable: str | None = None) -> DataFrame:
+    """Tasks that are neither completed nor running, of a stage, region or variable."""
+    out = tasks.where(F.col("status").isin("pending", "failed"))
+    for c, v in (("stage", stage), ("region", region), ("variable", variable)):
+        out = out.where(F.col(c) == v) if v else out
+    return out
+
+
 class Manifest:
     """Every method that changes it appends rows; nothing is rewritten, so a lost writer leaves the earlier events whole."""
 
@@ -36,17 +51,12 @@ class Manifest:
         return self.spark.read.schema(SCHEMA).parquet(self.path)
 
     def tasks(self) -> DataFrame:
-        """The latest event of each task; at the same moment the further status counts."""
-        order = F.array_position(F.array(*[F.lit(s) for s in ("pending", "running", "failed", "completed")]), F.col("status"))
-        w = Window.partitionBy("task_id").orderBy(F.desc("at"), order.desc())
-        return self.events().withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+        """The latest event of each task."""
+        return latest(self.events())
 
     def pending(self, stage: str | None = None, region: str | None = None, variable: str | None = None) -> DataFrame:
         """Tasks that are neither completed nor running."""
-        out = self.tasks().where(F.col("status").isin("pending", "failed"))
-        for c, v in (("stage", stage), ("region", region), ("variable", variable)):
-            out = out.where(F.col(c) == v) if v else out
-        return out
+        return pending(self.tasks(), stage, region, variable)
 
     def discover(self, outputs: DataFrame) -> None:
         """Marks the tasks completed whose outputs (stage, region, variable, scenario, output) exist."""

@@ -9,14 +9,13 @@ from stratus.plans.registry import query
 from stratus.plans.testbed import OBS, obs
 
 KEYS = ("geoid", "year", "scenario", "region")
-UNIT = f"""{OBS}, u as (select geoid, "year", scenario, region, cell_id, tas - 273.15 t, pr * 86400.0 p from obs)"""
+UNIT = f"""{OBS}, u as (select geoid, "year", scenario, region, cell_id, tas - 273.15 t, tasmax - 273.15 x, tasmin - 273.15 n, pr * 86400.0 p from obs)"""
 LONG = "geoid:s year:i scenario:s value:d pixel_count:i"
 COUNTED = "geoid:s year:i scenario:s value:d threshold:d pixel_count:i"
 
 
 def _units(spark, sf_dir):
-    t = obs(spark, sf_dir).withColumnsRenamed({"tas": "tas"})
-    return metrics.in_metric_units(t.withColumns({"tasmax": F.col("tas"), "tasmin": F.col("tas")}))
+    return metrics.in_metric_units(obs(spark, sf_dir))
 
 
 def _county(spark, sf_dir, *names):
@@ -44,13 +43,13 @@ def growing_degree_days(spark, sf_dir):
     return _county(spark, sf_dir, "growing_degree_days")
 
 
-@query(LONG, _sql("min(t)"), UNIT)
+@query(LONG, _sql("min(n)"), UNIT)
 def annual_min_temp(spark, sf_dir):
     """A6."""
     return _county(spark, sf_dir, "min_temp_c")
 
 
-@query(LONG, _sql("max(t)"), UNIT)
+@query(LONG, _sql("max(x)"), UNIT)
 def annual_max_temp(spark, sf_dir):
     """A7."""
     return _county(spark, sf_dir, "max_temp_c")
@@ -63,31 +62,31 @@ def annual_precip(spark, sf_dir):
     return metrics.precipitation_spread(cells, KEYS)
 
 
-@query(COUNTED, _days("t", 0.90, ">"), UNIT)
+@query(COUNTED, _days("x", 0.90, ">"), UNIT)
 def hot_days_p90(spark, sf_dir):
     """A9."""
     return _county(spark, sf_dir, "high_temp_days_p90")
 
 
-@query(COUNTED, _days("t", 0.95, ">"), UNIT)
+@query(COUNTED, _days("x", 0.95, ">"), UNIT)
 def hot_days_p95(spark, sf_dir):
     """A10."""
     return _county(spark, sf_dir, "high_temp_days_p95")
 
 
-@query(COUNTED, _days("t", 0.10, "<"), UNIT)
+@query(COUNTED, _days("n", 0.10, "<"), UNIT)
 def cold_days_p10(spark, sf_dir):
     """A11."""
     return _county(spark, sf_dir, "low_temp_days_p10")
 
 
-@query(COUNTED, _days("t", 0.05, "<"), UNIT)
+@query(COUNTED, _days("n", 0.05, "<"), UNIT)
 def cold_days_p5(spark, sf_dir):
     """A12."""
     return _county(spark, sf_dir, "low_temp_days_p5")
 
 
-@query(COUNTED, _days("t", 0.01, "<"), UNIT)
+@query(COUNTED, _days("n", 0.01, "<"), UNIT)
 def cold_days_p1(spark, sf_dir):
     """A13."""
     return _county(spark, sf_dir, "low_temp_days_p1")
@@ -105,7 +104,7 @@ WIDE = "geoid:s year:i scenario:s mean_temp_c_value:d high_temp_days_p90_value:d
 @query(
     WIDE,
     """select geoid, "year", scenario, avg(a) mean_temp_c_value, avg(h) high_temp_days_p90_value, max(ht) high_temp_days_p90_threshold, avg(w) wet_days_p95_value, avg(s) annual_precip_mm_value, count(a) mean_temp_c_pixel_count from
-      (select geoid, "year", scenario, cell_id, avg(t) a, sum(cast(t > ht as bigint)) h, max(ht) ht, sum(cast(p > wt as bigint)) w, sum(p) s from u, (select quantile_cont(t, 0.9) ht, quantile_cont(p, 0.95) wt from u) group by all) group by all""",
+      (select geoid, "year", scenario, cell_id, avg(t) a, sum(cast(x > ht as bigint)) h, max(ht) ht, sum(cast(p > wt as bigint)) w, sum(p) s from u, (select quantile_cont(x, 0.9) ht, quantile_cont(p, 0.95) wt from u) group by all) group by all""",
     UNIT,
 )
 def metrics_wide(spark, sf_dir):
@@ -114,10 +113,25 @@ def metrics_wide(spark, sf_dir):
     return metrics.wide(_county(spark, sf_dir, *names), names, KEYS)
 
 
-@query("metrics:i rows:i pixels:i", 'select 11 metrics, 11 * count(*) "rows", 11 * sum(n) pixels from (select geoid, "year", scenario, region, count(distinct cell_id) n from u group by all)', UNIT)
+EVERY = {
+    "mean_temp_c": ("avg(t)", None), "growing_degree_days": ("sum(greatest(t - 10, 0))", None), "min_temp_c": ("min(n)", None), "max_temp_c": ("max(x)", None), "annual_precip_mm": ("sum(p)", None),
+    "high_temp_days_p90": ("sum(cast(x > x90 as bigint))", "x90"), "high_temp_days_p95": ("sum(cast(x > x95 as bigint))", "x95"), "low_temp_days_p10": ("sum(cast(n < n10 as bigint))", "n10"),
+    "low_temp_days_p5": ("sum(cast(n < n05 as bigint))", "n05"), "low_temp_days_p1": ("sum(cast(n < n01 as bigint))", "n01"), "wet_days_p95": ("sum(cast(p > p95 as bigint))", "p95"),
+}
+
+
+@query(
+    "geoid:s year:i scenario:s variable:s metric:s value:d threshold:d pixel_count:i",
+    f"""select geoid, "year", scenario, unnest([{", ".join(f"'{metrics.METRICS[k].variable}'" for k in EVERY)}]) "variable", unnest([{", ".join(f"'{k}'" for k in EVERY)}]) metric,
+      unnest([{", ".join(f"avg(c_{k})" for k in EVERY)}]) "value", unnest([{", ".join(f"max({t})" if t else "null" for _, t in EVERY.values())}]) threshold, unnest([{", ".join(f"count(c_{k})" for k in EVERY)}]) pixel_count
+      from (select geoid, "year", scenario, region, cell_id, {", ".join(f"{e} c_{k}" for k, (e, _) in EVERY.items())}, {", ".join(f"max({t}) {t}" for _, t in EVERY.values() if t)} from u,
+        (select quantile_cont(x, 0.9) x90, quantile_cont(x, 0.95) x95, quantile_cont(n, 0.1) n10, quantile_cont(n, 0.05) n05, quantile_cont(n, 0.01) n01, quantile_cont(p, 0.95) p95 from u) group by geoid, "year", scenario, region, cell_id)
+      group by geoid, "year", scenario, region""",
+    UNIT,
+)
 def all_metrics(spark, sf_dir):
     """Every registered metric in one aggregation by cell and one by county."""
-    return _county(spark, sf_dir, *metrics.METRICS).agg(F.count_distinct("metric").alias("metrics"), F.count("*").alias("rows"), F.sum("pixel_count").alias("pixels"))
+    return _county(spark, sf_dir, *metrics.METRICS)
 
 
 BOX = "geoid:s year:i num_grid_points:i mean:d std:d min:d max:d"

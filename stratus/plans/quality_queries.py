@@ -73,12 +73,19 @@ STEPS = LONG + """, steps as (select *, abs(value - lag(value) over (partition b
 
 
 @query("geoid:s scenario:s metric:s largest_change:d changes:i", """select geoid, scenario, metric, largest_change, changes from (select geoid, scenario, metric, max(change) largest_change, count_if(change > lim) changes, count(*) n
-      from (select s.*, case when metric like '%temp%' then 5.0 when metric like '%precip%' then 500.0 end lim from steps s where metric <> 'precip_gt_100mm') group by all) where n >= 2 and changes > 0""", STEPS)
+      from (select s.*, case when metric like '%temp%' then 5.0 when metric like '%precip%' then 500.0 end lim from steps s) group by all) where n >= 2 and changes > 0""", STEPS)
 def yoy_extremes(spark, sf_dir):
     """Q7, W4."""
     return quality.year_over_year(county_year(spark, sf_dir), T)
 
 
+@query("metric:s series:i", """select metric, count(*) series from (select geoid, scenario, metric from (select s.*, case when metric like '%temp%' then 5.0 else 500.0 end lim from steps s where metric <> 'precip_gt_100mm')
+      group by all having count(*) >= 2 and count_if(change > lim) > 0) group by all""", STEPS)
+def yoy_first_metrics(spark, sf_dir):
+    """The first five metrics only."""
+    return quality.year_over_year(county_year(spark, sf_dir), T, 5).groupBy("metric").agg(F.count("*").alias("series"))
+
+
 @query("geoid:s scenario:s metric:s direction:s", """select geoid, scenario, metric, case when up then 'rising' else 'falling' end direction from
       (select geoid, scenario, metric, count(*) n, bool_and(k = 1 or coalesce(d > 0, false)) up, bool_and(k = 1 or coalesce(d < 0, false)) down from
         (select *, value - lag(value) over w d, row_number() over w k from long where metric in ('mean_temp_c', 'min_temp_c', 'max_temp_c') window w as (partition by geoid, scenario, metric order by "year")) group by all)
@@ -102,12 +109,49 @@ def plausibility(spark, sf_dir):
     return quality.implausible(county_year(spark, sf_dir), T)
 
 
-@query("severity:s issues:i")
+NAMES = ("geoid", "year", "scenario", "mean_temp_c", "min_temp_c", "max_temp_c", "annual_precip_mm", "precip_gt_50mm", "precip_gt_100mm", "pixel_count")
+RANGES = quality.PLAUSIBLE
+ISSUES = STEPS + f""", series as (select geoid, scenario, count(distinct "year") filter ("year" between 1995 and 2001) ny from county_year group by all),
+  jumps as (select geoid, scenario, metric from steps group by all having count(*) >= 2 and count_if(change > case when metric like '%temp%' then 5.0 else 500.0 end) > 0),
+  mono as (select geoid, scenario, metric from (select *, value - lag(value) over w d, row_number() over w k from long where metric in ('mean_temp_c', 'min_temp_c', 'max_temp_c') window w as (partition by geoid, scenario, metric order by "year"))
+    group by all having count(*) >= 3 and (bool_and(k = 1 or coalesce(d > 0, false)) or bool_and(k = 1 or coalesce(d < 0, false)))),
+  lacking as (select count(*) n from (select geoid from county_year where scenario in ('historical', 'ssp245', 'ssp585') group by geoid having count(distinct scenario) < 3)),
+  whole as (select count(*) total, count(distinct geoid) counties, count(*) - (select count(*) from (select distinct geoid, "year", scenario from county_year)) again, {", ".join(f'count_if("{c}" is null) null_{c}' for c in NAMES)},
+    count_if(min_temp_c > mean_temp_c + 0.1) min_over_mean, count_if(mean_temp_c > max_temp_c + 0.1) mean_over_max, count_if(min_temp_c > max_temp_c + 0.1) min_over_max, count_if(precip_gt_50mm > 365) too_many,
+    {", ".join(f"count_if({c} < {a}) below_{c}, count_if({c} > {b}) above_{c}" for c, (a, b) in RANGES.items())} from county_year),
+  found as (
+    {" union all ".join(f"select 'WARNING' severity, '{c} lacks values' message, null n, 100.0 * null_{c} / total > 10 hit from whole" for c in NAMES)}
+    union all select 'CRITICAL', 'duplicate county, year and scenario', again, again > 0 from whole
+    union all select 'WARNING', 'series lack years', count(*), count(*) > 0 from series where ny < 7
+    union all select 'WARNING', 'counties lack scenarios', n, n > 0 from lacking
+    union all select 'WARNING', 'too few counties', counties, counties < 0.95 * 120 from whole
+    union all select 'WARNING', 'extreme yearly changes of ' || metric, count(*), true from jumps group by metric
+    union all select 'INFO', 'monotonic series of ' || metric, count(*), true from mono group by metric
+    union all {" union all ".join(f"select 'CRITICAL', '{c}', {c}, {c} > 0 from whole" for c in ("min_over_mean", "mean_over_max", "min_over_max"))}
+    union all select 'CRITICAL', 'more days than a year has', too_many, too_many > 0 from whole
+    union all {" union all ".join(f"select 'CRITICAL', '{c} outside its range', below_{c} + above_{c}, below_{c} + above_{c} > 0 from whole" for c in RANGES)})"""
+
+
+@query("severity:s issues:i", "select severity, count(*) issues from found where hit group by all", ISSUES)
 def issue_counts(spark, sf_dir):
     """Q13: all issues of the quality validator by severity."""
     return quality.counts_by_severity(quality.issues(county_year(spark, sf_dir), T))
 
 
+@query("severity:s message:s n:i", "select severity, message, n from found where hit", ISSUES)
+def issue_list(spark, sf_dir):
+    """Q1 to Q11 in one scan: each finding with its number."""
+    d = F.col("details")
+    number = F.coalesce(d["count"], d["series"], d["counties"], (d["below"].cast("bigint") + d["above"].cast("bigint")).cast("string"))
+    return quality.issues(county_year(spark, sf_dir), T).withColumn("n", number)
+
+
+@query("impossible_days:i", "select count_if(precip_gt_50mm * 40 > 365) impossible_days from county_year", COUNTY_YEAR)
+def impossible_days(spark, sf_dir):
+    """Q10, over day counts that are made forty times as large."""
+    return quality.day_counts(county_year(spark, sf_dir).withColumn("precip_gt_50mm", F.col("precip_gt_50mm") * 40))
+
+
 @query("critical:i warnings:i quality:s passed:b", "select unnest([0, 0, 0]) critical, unnest([0, 5, 11]) warnings, unnest(['EXCELLENT', 'GOOD', 'FAIR']) quality, true passed union all select 1, 3, 'POOR', false")
 def quality_score(spark, sf_dir):
     """Q12 for four sets of issues."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratus.operators import contracts, spatial, summary
+from stratus.plans.manifest import latest, pending
 from stratus.plans.registry import query
 from stratus.plans.testbed import CELLS, COUNTIES, COUNTY_YEAR, FILES, OBS, cells, counties, county_year, files, obs
 from stratus.sources import catalog
@@ -140,10 +141,71 @@ def run_summary(spark, sf_dir):
     return summary.run_summary(files(spark, sf_dir))
 
 
-@query("workers:i seconds:d speedup:d efficiency:d", "select unnest([1, 2, 4]) workers, unnest([20.0, 12.0, 8.0]) as seconds, unnest([1.0, 20.0 / 12, 2.5]) speedup, unnest([1.0, 20.0 / 24, 0.625]) efficiency")
+@query("workers:i seconds:d speedup:d efficiency:d", "select workers, s as seconds, one / s speedup, one / s / workers efficiency from (select id % 4 + 1 workers, avg(seconds) s from files group by all), (select avg(seconds) one from files where id % 4 = 0)", FILES)
 def worker_speedup(spark, sf_dir):
-    """Against one worker."""
-    return summary.speedup(spark.createDataFrame([(1, 20.0), (2, 12.0), (4, 8.0)], "workers int, seconds double"))
+    """Mean times by number of workers, against one worker."""
+    return summary.speedup(files(spark, sf_dir).groupBy((F.col("id") % 4 + 1).alias("workers")).agg(F.avg("seconds").alias("seconds")))
+
+
+@query("expected:i existing:i readable:i existence_rate:d readability_rate:d passed:b", """select e expected, x existing, r readable, x / e existence_rate, r / x readability_rate, x / e >= 0.95 and r / x >= 0.9 passed from
+    (select count(*) e, count(size) x, count_if(size > 0) r from (select distinct path from files) left join (select path, max(case when status = 'pending' then 0 else size end) size from files where status <> 'failed' and "year" > 1995 group by path) using (path))""", FILES)
+def availability_rates(spark, sf_dir):
+    """Q16: which expected files are there, and which of them hold anything."""
+    f = files(spark, sf_dir)
+    listing = f.where("status <> 'failed' and year > 1995").groupBy("path").agg(F.max(F.when(F.col("status") == "pending", 0).otherwise(F.col("size"))).alias("size"))
+    return catalog.availability_rates(f, listing)
+
+
+@query("extension:s files:i bytes:i small:i", "select ['nc', 'csv', 'parquet'][id % 3 + 1] extension, count(*) files, sum(size) bytes, count_if(size < 100000) small from files group by all", FILES)
+def output_summary(spark, sf_dir):
+    """Q17: files by format, and how many are suspiciously small."""
+    ending = F.element_at(F.array(F.lit(".NC"), F.lit(".csv"), F.lit(".parquet")), (F.col("id") % 3 + 1).cast("int"))
+    return catalog.output_summary(files(spark, sf_dir).withColumn("path", F.concat("path", ending)), 100_000)
+
+
+LATEST = FILES + """, latest as (select * from (select stage, region, variable, scenario, status, row_number() over (partition by stage, region, variable, scenario order by o_orderdate desc, list_position(['pending', 'running', 'failed', 'completed'], status) desc) n
+    from files join orders on id = o_orderkey) where n = 1)"""
+
+
+def _events(spark, sf_dir):
+    at = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("at"))
+    return files(spark, sf_dir).join(at, "id").select("stage", "region", "variable", "scenario", "status", "at")
+
+
+@query("stage:s region:s variable:s scenario:s status:s", "select * exclude (n) from latest", LATEST)
+def latest_tasks(spark, sf_dir):
+    """The latest event of each task."""
+    return latest(_events(spark, sf_dir))
+
+
+@query("stage:s region:s variable:s scenario:s status:s", "select * exclude (n) from latest where status in ('pending', 'failed') and region = 'AK' and variable = 'tas'", LATEST)
+def pending_tasks(spark, sf_dir):
+    """tasks left to do, filtered."""
+    return pending(latest(_events(spark, sf_dir)), region="AK", variable="tas")
+
+
+@query("kind:s series:i", """select case when n >= 365 then 'daily' when n = 12 then 'monthly' when n = 4 then 'seasonal' else 'annual' end kind, count(*) series from (select county, count(distinct doy) n from obs where doy < 366 group by county, "year", scenario) group by all""", OBS)
+def climatology_kinds(spark, sf_dir):
+    """What a table's number of distinct days makes it."""
+    from stratus.functions import expr
+
+    days = obs(spark, sf_dir).where("doy < 366").groupBy("county", "year", "scenario").agg(F.count_distinct("doy").alias("n"))
+    return days.groupBy(expr.climatology_kind(F.col("n")).alias("kind")).agg(F.count("*").alias("series"))
+
+
+@query("geoid:s lon:d lat:d parts:i valid:b", "select geoid, x + 0.6875 * r lon, y lat, 2 parts, true valid from counties", COUNTIES)
+def centroids_with_holes(spark, sf_dir):
+    """Q24, Q25: diamonds with a hole that runs like its shell, and a second part that runs the other way."""
+
+    def diamond(x, y, r, turned=False):
+        points = [F.struct((x + a * r).alias("lon"), (y + b * r).alias("lat")) for a, b in ((-1, 0), (0, -1), (1, 0), (0, 1))]
+        return F.array(*(points[::-1] if turned else points))
+
+    c = counties(spark, sf_dir)
+    x, y, r = F.col("x"), F.col("y"), F.col("r")
+    rings = F.array(diamond(x, y, r), diamond(x + r / 4, y, r / 2), diamond(x + 3 * r, y, r / 2, True))
+    middle = spatial.centroid(F.col("rings"))
+    return c.select("geoid", rings.alias("rings")).select("geoid", middle["lon"].alias("lon"), middle["lat"].alias("lat"), F.size(spatial.parts(F.col("rings"))).alias("parts"), spatial.is_valid(F.col("rings")).alias("valid"))
 
 
 @query("region:s variable:s found:i missing:s percent:d", """select region, variable, count(distinct "year") found, (select coalesce(string_agg(cast(y as varchar), ',' order by y), '') from range(1990, 2006) r(y) where not list_contains(list(distinct "year"), y)) missing, 100.0 * count(distinct "year") / 16 percent
@@ -370,7 +432,7 @@ def counties_inside(spark, sf_dir):
     return c.where((b["minx"] >= 2) & (b["maxx"] <= 15) & (b["miny"] >= 0) & (b["maxy"] <= 9))
 
 
-@query("geoid:s")
+@query("geoid:s", "select geoid from counties order by md5(geoid || ':42'), geoid limit 20", COUNTIES)
 def county_sample(spark, sf_dir):
     """twenty counties, always the same for a seed."""
     return spatial.sample_counties(counties(spark, sf_dir), 20)

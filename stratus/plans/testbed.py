@@ -15,7 +15,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """geoid (nation), county (supplier), state, region, cell_id, lon 0..360, lat, scenario, year, doy, tas in K, pr as a flux."""
+    """geoid (nation), county (supplier), state, region, cell_id, lon 0..360, lat, scenario, year, doy, tas, tasmax, tasmin in K, pr as a flux."""
     cells = (
         read(spark, sf_dir, "supplier")
         .join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -36,6 +36,8 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
         y.alias("year"),
         F.dayofyear("l_shipdate").alias("doy"),
         (F.col("l_quantity") + 250).alias("tas"),
+        (F.col("l_quantity") + 250 + F.col("l_discount") * 100).alias("tasmax"),
+        (F.col("l_quantity") + 250 - F.col("l_tax") * 100).alias("tasmin"),
         (F.col("l_extendedprice") / 1e8).alias("pr"),
     )
     return readings.join(cells, "cell_id")
@@ -45,7 +47,7 @@ OBS = """obs as (
   select lpad(cast(n_nationkey as varchar), 5, '0') geoid, lpad(cast(n_nationkey * 1000 + s_suppkey % 1000 as varchar), 5, '0') county,
     r_name region, s_suppkey cell_id, cast(s_suppkey * 37 % 360 as double) lon, cast(s_suppkey * 53 % 180 - 90 as double) lat,
     case when year(l_shipdate) <= 1997 then 'historical' when l_returnflag = 'A' then 'ssp245' else 'ssp585' end scenario,
-    year(l_shipdate) "year", dayofyear(l_shipdate) doy, l_quantity + 250 tas, l_extendedprice / 1e8 pr
+    year(l_shipdate) "year", dayofyear(l_shipdate) doy, l_quantity + 250 tas, l_quantity + 250 + l_discount * 100 tasmax, l_quantity + 250 - l_tax * 100 tasmin, l_extendedprice / 1e8 pr
   from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"""
 
 

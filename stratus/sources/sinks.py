@@ -61,9 +61,12 @@ def write_tasks(tasks: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def report_rows(found: DataFrame, limit: int = 1000) -> list[dict]:
-    """The first issues by severity and category for a rendered report; the report is what bounds them."""
+    """The issues for a rendered report by severity and category; beyond the limit, which a page sets, a last row tells how many follow."""
     rank = F.when(F.col("severity") == "CRITICAL", 0).when(F.col("severity") == "WARNING", 1).otherwise(2)
-    return [r.asDict(recursive=True) for r in found.orderBy(rank, "validator", "category", "message").limit(limit).collect()]
+    rows = [r.asDict(recursive=True) for r in found.orderBy(rank, "validator", "category", "message").limit(limit + 1).collect()]
+    if len(rows) > limit:
+        rows[limit:] = [{"validator": "report", "severity": "INFO", "category": "Report", "message": f"{found.count() - limit} more issues are in the table", "details": {}}]
+    return rows
 
 
 def render_markdown(rows: list[dict], title: str = "Validation report") -> str:
