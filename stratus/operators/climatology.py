@@ -9,6 +9,8 @@ from stratus.functions import expr
 from stratus.regions import Region, model
 
 WINDOW = 30
+#: Up to so many years a window's readings are sent to its targets one by one, which is quicker than the sort that running sums need.
+SHORT_WINDOW = 10
 MIN_YEARS = 25
 HISTORICAL_END = 2014
 
@@ -56,7 +58,7 @@ def mean_over(daily: DataFrame, *keys: str) -> DataFrame:
 
 
 def exploded_targets(df: DataFrame, window: int = WINDOW, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Each row goes to every target year whose trailing window holds its year: an equi-key in place of a range join, for few rows."""
+    """Each row goes to every target year whose trailing window holds its year: an equi-key in place of a range join."""
     start, end = F.col("year"), F.col("year") + (window - 1)
     if first is not None:
         start = F.greatest(start, F.lit(first))
@@ -65,7 +67,7 @@ def exploded_targets(df: DataFrame, window: int = WINDOW, first: int | None = No
     return df.where(start <= end).withColumn("target_year", F.explode(F.sequence(start, end)))
 
 
-def window_means(daily: DataFrame, frames: DataFrame, series: tuple[str, ...], by: tuple[str, ...], longest: int | Column) -> DataFrame:
+def window_means(daily: DataFrame, frames: DataFrame, series: tuple[str, ...], by: tuple[str, ...], longest: int) -> DataFrame:
     """Mean of each frame of years by day and cell: by, doy, cell, lat, lon, value.
 
     frames has first_year, last_year (at most `longest` years) and what tells frames and series apart; it is small and broadcast. Readings are added up along
@@ -96,8 +98,11 @@ def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_
     pairs = (daily if readings is None else readings).select(*keys, "year").distinct()
     years = exploded_targets(pairs, window, first, last)
     enough = years.groupBy(*keys, "target_year").agg(F.count("*").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
-    frames = enough.select(*keys, "target_year", (F.col("target_year") - (window - 1)).alias("first_year"), F.col("target_year").alias("last_year"))
-    means = window_means(daily, frames, keys, (*keys, "target_year"), window)
+    if window <= SHORT_WINDOW:
+        means = _cell_means(exploded_targets(daily, window, first, last), "value", *keys, "target_year")
+    else:
+        frames = enough.select(*keys, "target_year", (F.col("target_year") - (window - 1)).alias("first_year"), F.col("target_year").alias("last_year"))
+        means = window_means(daily, frames, keys, (*keys, "target_year"), window)
     return means.join(F.broadcast(enough), [*keys, "target_year"])
 
 
@@ -145,7 +150,7 @@ def frame_source(period_type: Column, year: Column, hist_end: int = HISTORICAL_E
 def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YEARS, hist_end: int = HISTORICAL_END, readings: DataFrame | None = None) -> DataFrame:
     """Normals of all planned windows in one pass; daily has variable, scenario, year, doy, cell, lat, lon, value.
 
-    The plan has a few hundred rows; its windows are broadcast by source scenario.
+    The plan has a few hundred rows; one number of it, its longest window, comes to the driver. It is broadcast by source scenario.
     """
     years = plan.select("scenario", "period_type", "target_year", F.explode(F.sequence("start_year", "end_year")).alias("year"))
     source = F.when(frame_source(F.col("period_type"), F.col("year"), hist_end), "historical").otherwise(F.col("scenario"))
@@ -153,8 +158,11 @@ def normals_from_plan(daily: DataFrame, plan: DataFrame, min_years: int = MIN_YE
     present = (daily if readings is None else readings).select("variable", "scenario", "year").distinct().join(F.broadcast(pairs), ["scenario", "year"])
     keys = ["variable", "plan_scenario", "period_type", "target_year"]
     enough = present.groupBy(*keys).agg(F.count_distinct("year").alias("num_years"), F.min("year").alias("source_start"), F.max("year").alias("source_end")).where(F.col("num_years") >= min_years)
-    # The years of a window that come from one scenario follow each other.
-    frames = pairs.groupBy("scenario", *keys[1:]).agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"))
-    longest = plan.agg(F.max(F.col("end_year") - F.col("start_year") + 1)).scalar()
-    means = window_means(daily, frames, ("variable", "scenario"), tuple(keys), longest)
+    longest = plan.agg(F.max(F.col("end_year") - F.col("start_year") + 1)).first()[0] or 0
+    if longest <= SHORT_WINDOW:
+        means = _cell_means(daily.join(F.broadcast(pairs), ["scenario", "year"]), "value", *keys)
+    else:
+        # The years of a window that come from one scenario follow each other.
+        frames = pairs.groupBy("scenario", *keys[1:]).agg(F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+        means = window_means(daily, frames, ("variable", "scenario"), tuple(keys), longest)
     return means.join(F.broadcast(enough), keys).withColumnRenamed("plan_scenario", "scenario")
