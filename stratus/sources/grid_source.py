@@ -1,20 +1,49 @@
-"""Classic NetCDF (CDF-1 and CDF-2) as a Python data source: spark.read.format("stratus_grid").load(path).
+"""NetCDF grids: classic files (CDF-1, CDF-2 and CDF-5), and HDF5-based ones where the optional library h5py is there.
 
-Each file is a partition and yields Arrow batches of (path, variable, time, lat, lon, value), one time step after the other, so a
-task holds one record at a time. HDF5-based files need a library that is not bundled and raise an error that says so.
+read_grids() takes files through Spark's own file systems, prunes them by what their names tell and decodes them in tasks. The Python
+data source spark.read.format("stratus_grid").load(path) is for file systems that every executor mounts; it splits a file into
+ranges of time steps. Both yield Arrow batches of (path, variable, time, lat, lon, value), one time step after the other, of the steps
+and cells asked for only, so a task holds one record at a time beside the file.
 """
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 SCHEMA = "path string, variable string, time double, lat double, lon double, value double"
-_TYPES = {1: ">i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8"}
+NAMES = ["path", "variable", "time", "lat", "lon", "value"]
+STEPS_A_TASK = 64
+# The format's numbers for types.
+_TYPES = {1: ">i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8", 7: ">u1", 8: ">u2", 9: ">u4", 10: ">i8", 11: ">u8"}
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """The part of a grid that is asked for: a variable and inclusive ranges of time, latitude and longitude as the file numbers them."""
+
+    variable: str | None = None
+    time: tuple[float, float] = (-np.inf, np.inf)
+    lat: tuple[float, float] = (-np.inf, np.inf)
+    lon: tuple[float, float] = (-np.inf, np.inf)
+
+    @staticmethod
+    def of(options: dict) -> Wanted:
+        """From the options variable, time_min, time_max, lat_min, lat_max, lon_min, lon_max."""
+        ranges = {k: (float(options.get(f"{k}_min", -np.inf)), float(options.get(f"{k}_max", np.inf))) for k in ("time", "lat", "lon")}
+        return Wanted(options.get("variable"), **ranges)
+
+    def within(self, axis: str, values: np.ndarray) -> np.ndarray:
+        low, high = getattr(self, axis)
+        return np.flatnonzero((values >= low) & (values <= high))
 
 
 class ClassicFile:
@@ -23,28 +52,32 @@ class ClassicFile:
     def __init__(self, stream):
         self.stream = stream
         magic = stream.read(4)
-        if magic[:3] != b"CDF" or magic[3] not in (1, 2):
+        if magic[:3] != b"CDF" or magic[3] not in (1, 2, 5):
             raise ValueError("not a classic NetCDF file (HDF5-based files need another reader)")
-        self.wide = magic[3] == 2
-        self.records = max(0, self._int())
-        self.dims = [(self._name(), self._int()) for _ in range(self._list(10))]
+        self.wide = magic[3] != 1
+        #: Bytes of a count.
+        self.count = 8 if magic[3] == 5 else 4
+        self.records = max(0, self._int(self.count))
+        self.dims = [(self._name(), self._int(self.count)) for _ in range(self._list(10))]
         self.attrs = self._attributes()
         self.variables: dict[str, dict] = {}
         for _ in range(self._list(11)):
-            name, dims = self._name(), [self._int() for _ in range(self._int())]
-            attrs, kind, size = self._attributes(), self._int(), self._int()
-            self.variables[name] = {"dims": dims, "attrs": attrs, "type": _TYPES[kind], "size": size, "begin": self._int(8) if self.wide else self._int()}
-        self.record_size = sum(v["size"] for v in self.variables.values() if self._is_record(v))
+            name, dims = self._name(), [self._int(self.count) for _ in range(self._int(self.count))]
+            attrs, kind, _ = self._attributes(), self._int(), self._int(self.count)
+            self.variables[name] = {"dims": dims, "attrs": attrs, "type": _TYPES[kind], "begin": self._int(8) if self.wide else self._int()}
+        sizes = [self._width(v) for v in self.variables.values() if self._is_record(v)]
+        # Records are padded to four bytes, but not where a file has one record variable alone.
+        self.record_size = sizes[0] if len(sizes) == 1 else sum(n + -n % 4 for n in sizes)
 
     def _int(self, n: int = 4) -> int:
         return struct.unpack(">q" if n == 8 else ">i", self.stream.read(n))[0]
 
     def _name(self) -> str:
-        n = self._int()
+        n = self._int(self.count)
         return self.stream.read(n + -n % 4)[:n].decode()
 
     def _list(self, tag: int) -> int:
-        got, n = self._int(), self._int()
+        got, n = self._int(), self._int(self.count)
         if got not in (0, tag):
             raise ValueError("broken header")
         return n
@@ -52,7 +85,7 @@ class ClassicFile:
     def _attributes(self) -> dict:
         out = {}
         for _ in range(self._list(12)):
-            name, kind, n = self._name(), self._int(), self._int()
+            name, kind, n = self._name(), self._int(), self._int(self.count)
             width = np.dtype(_TYPES[kind]).itemsize * n
             raw = self.stream.read(width + -width % 4)[:width]
             out[name] = raw.decode("utf-8", "replace") if kind == 2 else np.frombuffer(raw, dtype=_TYPES[kind])
@@ -61,6 +94,14 @@ class ClassicFile:
     def _is_record(self, v: dict) -> bool:
         return bool(v["dims"]) and self.dims[v["dims"][0]][1] == 0
 
+    def _width(self, v: dict) -> int:
+        """Bytes of one step of a variable."""
+        return int(np.prod([self.dims[d][1] for d in v["dims"][1:]], dtype=np.int64)) * np.dtype(v["type"]).itemsize
+
+    def ranks(self) -> dict[str, int]:
+        """Dimensions of each variable."""
+        return {n: len(v["dims"]) for n, v in self.variables.items()}
+
     def steps(self, name: str) -> int:
         v = self.variables[name]
         return self.records if self._is_record(v) else self.dims[v["dims"][0]][1]
@@ -69,48 +110,150 @@ class ClassicFile:
         """Step i along the first dimension, as doubles with NaN for missing values."""
         v = self.variables[name]
         shape = [self.dims[d][1] for d in v["dims"][1:]]
-        kind = np.dtype(v["type"])
-        width = int(np.prod(shape, dtype=np.int64)) * kind.itemsize
+        kind, width = np.dtype(v["type"]), self._width(v)
         self.stream.seek(v["begin"] + i * (self.record_size if self._is_record(v) else width))
         out = np.frombuffer(self.stream.read(width), dtype=kind).astype(float).reshape(shape)
-        for key in ("_FillValue", "missing_value"):
-            if key in v["attrs"]:
-                out[out == float(v["attrs"][key][0])] = np.nan
-        scale, add = (float(v["attrs"][k][0]) if k in v["attrs"] else d for k, d in (("scale_factor", 1.0), ("add_offset", 0.0)))
-        return out * scale + add
+        return _unpacked(out, v["attrs"])
 
     def values(self, name: str) -> np.ndarray:
         return np.array([self.record(name, i) for i in range(self.steps(name))])
 
 
+def _unpacked(values: np.ndarray, attrs: dict) -> np.ndarray:
+    """NaN for missing values, and scale and offset applied."""
+    first = lambda key: float(np.ravel(attrs[key])[0])
+    for key in ("_FillValue", "missing_value"):
+        if key in attrs:
+            values[values == first(key)] = np.nan
+    return values * (first("scale_factor") if "scale_factor" in attrs else 1.0) + (first("add_offset") if "add_offset" in attrs else 0.0)
+
+
+class Hdf5File:
+    """The same view of an HDF5-based file; needs h5py, which is not bundled."""
+
+    def __init__(self, stream):
+        try:
+            import h5py
+        except ModuleNotFoundError as e:
+            raise ValueError("not a classic NetCDF file; HDF5-based ones need the optional library h5py") from e
+        self.file = h5py.File(stream, "r")
+        self.variables = {n: v for n, v in self.file.items() if hasattr(v, "shape")}
+
+    def ranks(self) -> dict[str, int]:
+        return {n: len(v.shape) for n, v in self.variables.items()}
+
+    def steps(self, name: str) -> int:
+        return self.variables[name].shape[0]
+
+    def record(self, name: str, i: int) -> np.ndarray:
+        v = self.variables[name]
+        return _unpacked(np.array(v[i], dtype=float), dict(v.attrs))
+
+    def values(self, name: str) -> np.ndarray:
+        v = self.variables[name]
+        return _unpacked(np.array(v[...], dtype=float), dict(v.attrs))
+
+
+def opened(stream):
+    """A file by its first bytes."""
+    magic = stream.read(8)
+    stream.seek(0)
+    return Hdf5File(stream) if magic == b"\x89HDF\r\n\x1a\n" else ClassicFile(stream)
+
+
+def decoded(f, path: str, wanted: Wanted, first: int = 0, last: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of the steps from first to before last that are asked for; a file without the variable gives none."""
+    ranks = f.ranks()
+    lat_name, lon_name = ("lat", "lon") if "lat" in ranks else ("y", "x")
+    variable = wanted.variable or next(n for n, k in ranks.items() if k == 3)
+    if variable not in ranks:
+        return
+    lat, lon = f.values(lat_name), f.values(lon_name)
+    at_lat, at_lon = wanted.within("lat", lat), wanted.within("lon", lon)
+    n = len(at_lat) * len(at_lon)
+    if not n:
+        return
+    times = f.values("time") if "time" in ranks else np.arange(f.steps(variable), dtype=float)
+    lats, lons = pa.array(np.repeat(lat[at_lat], len(at_lon))), pa.array(np.tile(lon[at_lon], len(at_lat)))
+    paths, names = pa.repeat(path, n), pa.repeat(variable, n)
+    for i in wanted.within("time", times).tolist():
+        if first <= i and (last is None or i < last):
+            cells = f.record(variable, i)[np.ix_(at_lat, at_lon)].ravel()
+            yield pa.record_batch([paths, names, pa.array(np.full(n, float(times[i]))), lats, lons, pa.array(cells, from_pandas=True)], names=NAMES)
+
+
+def read_grids(spark: SparkSession, path: str, wanted: Wanted | None = None, files: Column | None = None, glob: str = "*.nc", model: str = "NorESM2-LM") -> DataFrame:
+    """The grids below a path of any file system that Spark reads; a task holds one file's bytes, such as a year of a region.
+
+    `files` is a condition on what the names tell (variable, scenario, year, ...): files that don't meet it are not read.
+    """
+    from stratus.sources.catalog import with_metadata
+
+    part = wanted or Wanted()
+    found = with_metadata(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path", "content"), model)
+    found = found if files is None else found.where(files)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0), batch.column(1), strict=True):
+                yield from decoded(opened(io.BytesIO(content.as_py())), name.as_py(), part)
+
+    return found.select("path", "content").mapInArrow(run, SCHEMA)
+
+
+@dataclass
+class Steps(InputPartition):
+    path: str
+    first: int
+    last: int
+
+
 class GridReader(DataSourceReader):
     def __init__(self, options: dict):
         from glob import glob
         from pathlib import Path
 
         path = options["path"]
-        self.variable = options.get("variable")
+        self.wanted = Wanted.of(options)
         self.paths = sorted(glob(f"{path}/**/*.nc", recursive=True)) if Path(path).is_dir() else sorted(glob(path))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
+        """Ranges of the steps of each file; only headers are read here."""
+        out: list[InputPartition] = []
+        for path in self.paths:
+            with open(path, "rb") as stream:
+                f = opened(stream)
+                variable = self.wanted.variable or next(n for n, k in f.ranks().items() if k == 3)
+                n = f.steps(variable) if variable in f.ranks() else 0
+            out += [Steps(path, a, min(n, a + STEPS_A_TASK)) for a in range(0, n, STEPS_A_TASK)]
+        return out
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        with open(partition.value, "rb") as stream:
-            f = ClassicFile(stream)
-            names = {d[0] for d in f.dims}
-            lat_name, lon_name = ("lat", "lon") if "lat" in names else ("y", "x")
-            lat, lon = f.values(lat_name), f.values(lon_name)
-            variable = self.variable or next(n for n, v in f.variables.items() if len(v["dims"]) == 3)
-            times = f.values("time") if "time" in f.variables else np.arange(f.steps(variable), dtype=float)
-            for i, t in enumerate(times):
-                cells = f.record(variable, i).ravel()
-                n = len(cells)
-                yield pa.record_batch([pa.array([partition.value] * n), pa.array([variable] * n), pa.array(np.full(n, float(t))), pa.array(np.repeat(lat, len(lon))), pa.array(np.tile(lon, len(lat))), pa.array(cells, from_pandas=True)], names=["path", "variable", "time", "lat", "lon", "value"])
+        with open(partition.path, "rb") as stream:
+            yield from decoded(opened(stream), partition.path, self.wanted, partition.first, partition.last)
+
+
+class PushedReader(GridReader):
+    """Takes bounds on variable, time, lat and lon from the query's filters; Spark applies them once more."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802  the name is Spark's
+        for f in filters:
+            axis = f.attribute[0] if hasattr(f, "attribute") else None
+            if axis == "variable" and isinstance(f, EqualTo) and self.wanted.variable is None:
+                self.wanted = replace(self.wanted, variable=f.value)
+            elif axis in ("time", "lat", "lon"):
+                low, high = getattr(self.wanted, axis)
+                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    low = max(low, float(f.value))
+                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+                    high = min(high, float(f.value))
+                self.wanted = replace(self.wanted, **{axis: (low, high)})
+            yield f
 
 
 class GridSource(DataSource):
-    """Options: path (a file, pattern or folder on a file system that every executor mounts), variable."""
+    """Options: path (a file, pattern or folder on a file system that every executor mounts), those of Wanted.of(), and pushdown: true
+    takes bounds from filters, where spark.sql.python.filterPushdown.enabled is set."""
 
     @classmethod
     def name(cls) -> str:
@@ -120,4 +263,5 @@ class GridSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return GridReader(dict(self.options))
+        options = dict(self.options)
+        return (PushedReader if str(options.get("pushdown")).lower() == "true" else GridReader)(options)

@@ -1,0 +1,115 @@
+"""Grids through Spark's file systems and as a data source: parts of files, formats, padding."""
+
+import struct
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_plans import classic_file
+
+from stratus.sources import grid_source
+from stratus.sources.grid_source import ClassicFile, GridSource, Wanted, read_grids
+
+FILE = "tas_day_NorESM2-LM_historical_r1i1p1f1_gn_{}.nc"
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for y in (1999, 2000, 2001):
+        classic_file(tmp_path / FILE.format(y), times=5)
+    return tmp_path
+
+
+def rows(df):
+    return sorted((r.path.rsplit("/", 1)[-1][-7:-3], r.time, r.lat, r.lon, r.value) for r in df.collect())
+
+
+def test_files_are_pruned_by_name_and_cells_by_box(spark, folder):
+    every = read_grids(spark, str(folder))
+    assert every.count() == 3 * 5 * 6
+    (folder / FILE.format(2001)).write_bytes(b"broken")
+    some = read_grids(spark, str(folder), Wanted("tas", (1.0, 3.0), (15.0, 25.0), (2.0, 9.0)), F.col("year").between(1999, 2000) & (F.col("scenario") == "historical"))
+    assert rows(some) == [(str(y), float(t), 20.0, lon, 100.0 * t + 10 + j) for y in (1999, 2000) for t in (1, 2, 3) for j, lon in ((1, 2.0), (2, 3.0))]
+    assert read_grids(spark, str(folder), Wanted("pr"), F.col("year") == 2000).count() == 0 and read_grids(spark, str(folder), Wanted(lat=(80.0, 90.0)), F.col("year") == 2000).count() == 0
+
+
+def test_a_file_is_read_by_several_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(grid_source, "STEPS_A_TASK", 2)
+    reader = GridSource({"path": str(folder), "time_min": "2"}).reader(None)
+    parts = reader.partitions()
+    assert len(parts) == 9 and sum(b.num_rows for p in parts for b in reader.read(p)) == 3 * 3 * 6
+
+
+def test_filters_reach_the_source(spark, folder):
+    spark.dataSource.register(GridSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = spark.read.format("stratus_grid").option("pushdown", "true").load(str(folder)).where("variable = 'tas' and time >= 1 and time < 3 and lat > 15 and lon = 2")
+        assert rows(df) == [(str(y), float(t), 20.0, 2.0, 100.0 * t + 11) for y in (1999, 2000, 2001) for t in (1, 2)]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+    reader = GridSource({"path": str(folder), "pushdown": "true"}).reader(None)
+    left = list(reader.pushFilters([grid_source.EqualTo(("variable",), "tas"), grid_source.GreaterThan(("lat",), 15.0), grid_source.LessThanOrEqual(("time",), 2.0)]))
+    assert len(left) == 3 and reader.wanted == Wanted("tas", (-np.inf, 2.0), (15.0, np.inf))
+
+
+def wide_file(kind, value_type, width, values, extra=False):
+    """One record variable of a given type (and another one, if asked) in format 1, 2 or 5."""
+    count = ">q" if kind == 5 else ">i"
+    n = lambda x: struct.pack(count, x)
+    name = lambda s: n(len(s)) + s.encode() + b"\0" * (-len(s) % 4)
+    head = b"CDF" + bytes([kind]) + n(len(values)) + struct.pack(">i", 10) + n(3) + name("time") + n(0) + name("lat") + n(1) + name("lon") + n(3) + struct.pack(">i", 0) + n(0)
+    specs = [("lat", [1], 6, 8), ("lon", [2], 6, 24), ("v", [0, 1, 2], value_type, 3 * width)] + ([("w", [0], 3, 2)] if extra else [])
+
+    def variables(begins):
+        out = struct.pack(">i", 11) + n(len(specs))
+        for (s, dims, t, size), begin in zip(specs, begins, strict=True):
+            out += name(s) + n(len(dims)) + b"".join(map(n, dims)) + struct.pack(">i", 0) + n(0) + struct.pack(">i", t) + n(size + -size % 4) + struct.pack(">i" if kind == 1 else ">q", begin)
+        return out
+
+    start = len(head) + len(variables([0] * len(specs)))
+    first = start + 32
+    padded = 3 * width + -(3 * width) % 4
+    body = struct.pack(">d3d", 1.0, 1.0, 2.0, 3.0)
+    for v in values:
+        raw = b"".join(x.to_bytes(width, "big", signed=True) for x in v)
+        body += raw + (b"\0" * (padded - len(raw)) + struct.pack(">hh", 7, 0) if extra else b"")
+    return head + variables([start, start + 8, first, *([first + padded] if extra else [])]) + body
+
+
+@pytest.mark.parametrize("kind", [1, 2, 5])
+@pytest.mark.parametrize("extra", [False, True])
+@pytest.mark.parametrize("value_type, width", [(3, 2), (1, 1), (4, 4)])
+def test_padding_of_records(tmp_path, kind, extra, value_type, width):
+    values = [[1, -2, 3], [4, 5, -6], [7, 8, 9]]
+    path = tmp_path / "x.nc"
+    path.write_bytes(wide_file(kind, value_type, width, values, extra))
+    with open(path, "rb") as stream:
+        f = ClassicFile(stream)
+        assert f.values("v").reshape(3, 3).tolist() == values and f.values("lon").tolist() == [1.0, 2.0, 3.0]
+        if extra:
+            assert f.values("w").tolist() == [7.0, 7.0, 7.0]
+
+
+def test_wide_integers(tmp_path):
+    path = tmp_path / "x.nc"
+    path.write_bytes(wide_file(5, 10, 8, [[1, 2, 1 << 40]]))
+    with open(path, "rb") as stream:
+        assert ClassicFile(stream).values("v").ravel().tolist() == [1.0, 2.0, float(1 << 40)]
+
+
+def test_the_optional_library_is_used_where_it_is(tmp_path, monkeypatch):
+    import io
+    import sys
+    from types import SimpleNamespace
+
+    class Data(np.ndarray):
+        attrs = {"_FillValue": np.array([-1.0]), "scale_factor": np.array([2.0])}
+
+    tas = np.array([[[1.0, -1.0]]]).view(Data)
+    plain = lambda x: np.array(x).view(type("Plain", (np.ndarray,), {"attrs": {}}))
+    fake = SimpleNamespace(File=lambda stream, mode: {"lat": plain([5.0]), "lon": plain([1.0, 2.0]), "time": plain([0.0]), "tas": tas, "group": object()})
+    monkeypatch.setitem(sys.modules, "h5py", fake)
+    f = grid_source.opened(io.BytesIO(b"\x89HDF\r\n\x1a\n"))
+    batch = next(grid_source.decoded(f, "p", Wanted()))
+    assert batch.column("value").to_pylist() == [2.0, None] and batch.column("variable").to_pylist() == ["tas", "tas"]
