@@ -12,6 +12,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 #: A Python task works on so many characters of text at a time, whatever the Arrow batch holds.
 SLICE_CHARS = 4_000_000
+#: Lists of ids are broadcast up to so many, counted; longer ones are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +83,37 @@ def least_hashes_of_each(rows: DataFrame, key: str, by: str, bound: int) -> Data
     return least(rows.distinct() if short else below)
 
 
+def row_hash(docs: DataFrame):
+    """A hash of all columns; nulls are told from what stands beside them."""
+    return F.xxhash64(*[F.col(c) for c in docs.columns], *[F.col(c).isNull() for c in docs.columns])
+
+
+def least_row():
+    """The order of (doc_id, row) by which a row of a group is chosen: least key, keys before null, then the row's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+
+
+def one_row_of_each_group(docs: DataFrame, rows: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The least row of each group of classes, with all its columns; of rows alike in every column one.
+
+    rows: doc_id, row (row_hash()), class of each row; classes: class, best (the least by least_row()), row (best's); roots: node, root of classes that link.
+    """
+    linked = classes.join(roots.withColumnRenamed("node", "class"), "class").select("class", "best", "root")
+    moved = linked.join(linked.groupBy("root").agg(F.min("best").alias("kept")), "root").select("class", "kept")
+    kept = classes.join(moved, "class", "left").select("class", F.coalesce("kept.row", "row").alias("kept"))
+    # A text held by many rows is one class: rows are counted before they meet their class.
+    held = cut_lineage(rows.groupBy("class", "row").agg(F.count("*").alias("n")).join(kept, "class").where("n > 1 or row <> kept").select(F.col("row").alias("__row"), (F.col("row") != F.col("kept")).alias("surplus")))
+
+    def listed(of: DataFrame) -> DataFrame:
+        of = of.select("__row").distinct()
+        return F.broadcast(of) if of.count() <= BROADCAST_IDS else of.hint("shuffle_hash")
+
+    hashed = docs.withColumn("__row", row_hash(docs))
+    single = hashed.join(listed(held), "__row", "left_anti")
+    repeated = hashed.join(listed(held.where("not surplus")), "__row", "left_semi").dropDuplicates()
+    return single.unionByName(repeated).select(*docs.columns)
+
+
 def slices(texts: list) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about SLICE_CHARS characters each; a longer text stands alone and whole."""
     start, held = 0, 0

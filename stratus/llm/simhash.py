@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import cut_lineage, map_texts, table
+from stratus.llm.common import BROADCAST_IDS, cut_lineage, least_row, map_texts, one_row_of_each_group, row_hash, table, texts_of
 
 BITS = 64
 SEGMENTS = 2
@@ -40,7 +40,6 @@ DISTANCE = 2
 PART_EDGES = 200_000
 HOT_CLASSES = 500
 HOT_VALUE = 64
-BROADCAST_IDS = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -240,15 +239,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return placed.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose key is the smallest of its component, with all their columns; rows without a key stay.
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, segments: int = SEGMENTS, distance: int = DISTANCE) -> DataFrame:
+    """One row of each component, with all its columns: that of the least key, keys before null; of rows alike in every column one."""
+    cols = docs.select(F.col(key).alias("doc_id"), row_hash(docs).alias("row"), F.col(text).alias("text"))
 
-    Rows that repeat the smallest key all stay too. neardup.drop_near_duplicates keeps one row of each group; the pipeline takes that.
-    The keys to drop are broadcast while they are at most BROADCAST_IDS (counted); beyond that both sides are shuffled by key.
-    """
-    surplus = cut_lineage(near_duplicates(docs, key, text).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
-    surplus = F.broadcast(surplus) if surplus.count() <= BROADCAST_IDS else surplus.hint("shuffle_hash")
-    return docs.join(surplus, key, "left_anti")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t, width) for t in texts_of(batch.column(2))], dtype=np.uint64).astype(np.int64)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps)], names=["doc_id", "row", "class"])
+
+    rows = cut_lineage(cols.mapInArrow(run, "doc_id bigint, row bigint, class bigint"))
+    classes = cut_lineage(rows.groupBy("class").agg(F.min(least_row()).alias("best")).select("class", "best", "best.row"))
+    return one_row_of_each_group(docs, rows, classes, components(links(classes.select(F.col("class").alias("fp")), segments, distance)))
 
 
 def op6_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
