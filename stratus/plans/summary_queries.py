@@ -167,7 +167,8 @@ LATEST = FILES + """, latest as (select * from (select stage, region, variable,
     from files join orders on id = o_orderkey) where n = 1)"""
 
 
-def _events(spark, sf_dir):
+def events(spark, sf_dir):
+    """Task events, one an order."""
     at = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("at"))
     return files(spark, sf_dir).join(at, "id").select("stage", "region", "variable", "scenario", "status", "at")
 
@@ -175,13 +176,13 @@ def _events(spark, sf_dir):
 @query("stage:s region:s variable:s scenario:s status:s", "select * exclude (n) from latest", LATEST)
 def latest_tasks(spark, sf_dir):
     """The latest event of each task."""
-    return latest(_events(spark, sf_dir))
+    return latest(events(spark, sf_dir))
 
 
 @query("stage:s region:s variable:s scenario:s status:s", "select * exclude (n) from latest where status in ('pending', 'failed') and region = 'AK' and variable = 'tas'", LATEST)
 def pending_tasks(spark, sf_dir):
     """tasks left to do, filtered."""
-    return pending(latest(_events(spark, sf_dir)), region="AK", variable="tas")
+    return pending(latest(events(spark, sf_dir)), region="AK", variable="tas")
 
 
 @query("kind:s series:i", """select case when n >= 365 then 'daily' when n = 12 then 'monthly' when n = 4 then 'seasonal' else 'annual' end kind, count(*) series from (select county, count(distinct doy) n from obs where doy < 366 group by county, "year", scenario) group by all""", OBS)
