@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
-from stratus.llm.common import SLICE_CHARS, map_texts, table
+from stratus.llm.common import SLICE_CHARS, map_texts, table, texts_of
 
 ALIGN = 64
 WIDTH = 64
@@ -469,56 +469,61 @@ def _columns(df: DataFrame, key: str, blob: str, keep: tuple[str, ...], made: tu
 _MEDIA = StructType([StructField("media_type", StringType()), StructField("offset", LongType()), StructField("length", LongType())])
 
 
-def sniff(df: DataFrame, blob: str = "blob", declared: str | None = None, key: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, declared, media_type, confirmed, corrected, embedded (type, offset, length of each valid structure past offset 0), columns to keep."""
-    made = ("declared", "media_type", "confirmed", "corrected", "embedded")
-    cols = df.select(*_columns(df, key, blob, keep, made), (F.col(declared) if declared else F.lit(None)).cast("string").alias("__declared"))
-    types = (StringType(), StringType(), BooleanType(), BooleanType(), ArrayType(_MEDIA))
-    schema = StructType([StructField("id", cols.schema["id"].dataType), *[StructField(n, t) for n, t in zip(made, types, strict=True)], *[cols.schema[c] for c in keep]])
-    kinds = pa.list_(pa.struct([("media_type", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
+_SNIFFED = (("declared", StringType()), ("media_type", StringType()), ("confirmed", BooleanType()), ("corrected", BooleanType()), ("embedded", ArrayType(_MEDIA)))
+_CARVED = (("carved_type", StringType()), ("offset", LongType()), ("media", BinaryType()))
+_KINDS = pa.list_(pa.struct([("media_type", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            said = batch.column(batch.num_columns - 1).to_pylist()
-            found = [media_in(b.as_py()) for b in batch.column(1)]
-            head = [f[0][0] if f and f[0][1] == 0 else None for f in found]
-            inner = [[dict(zip(("media_type", "offset", "length"), x, strict=True)) for x in f if x[1]] for f in found]
-            new = [pa.array(said, pa.string()), pa.array([h or s for h, s in zip(head, said, strict=True)], pa.string()), pa.array([h is not None for h in head], pa.bool_()), pa.array([h is not None and h != s for h, s in zip(head, said, strict=True)], pa.bool_()), pa.array(inner, kinds)]
-            yield pa.record_batch([batch.column(0), *new, *(batch.column(2 + k) for k in range(len(keep)))], names=["id", *made, *keep])
 
-    return cols.mapInArrow(run, schema)
+def _sniffed(said: str | None, found: list[tuple[str, int, int]]) -> tuple:
+    head = found[0][0] if found and found[0][1] == 0 else None
+    return said, head or said, head is not None, head is not None and head != said, [dict(zip(("media_type", "offset", "length"), x, strict=True)) for x in found if x[1]]
 
 
-def carve(df: DataFrame, blob: str = "blob", key: str = "id", keep: tuple[str, ...] = (), required: bool = False) -> DataFrame:
-    """id, media_type, offset, media, columns to keep: one row for each valid structure in a blob; required: a blob without any is an error."""
-    made = ("media_type", "offset", "media")
-    cols = df.select(*_columns(df, key, blob, keep, made))
-    schema = StructType([cols.schema["id"], *[StructField(n, t) for n, t in zip(made, (StringType(), LongType(), BinaryType()), strict=True)], *[cols.schema[c] for c in keep]])
-
-    def made_of(batch: pa.RecordBatch, rows: list[int], cut: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
-        own = batch.take(pa.array(rows, pa.int64()))
-        new = [pa.array([x[k] for x in cut], t) for k, t in enumerate((pa.string(), pa.int64(), pa.binary()))]
-        return pa.record_batch([own.column(0), *new, *(own.column(2 + k) for k in range(len(keep)))], names=["id", *made, *keep])
+def _looked_at(df: DataFrame, blob: str, declared: str | None, key: str, keep: tuple[str, ...], sniffed: bool, carved: bool, required: bool) -> DataFrame:
+    """id, what sniff() tells, what carve() cuts out, columns to keep: one look at each blob, in slices of bounded size."""
+    made = (_SNIFFED if sniffed else ()) + (_CARVED if carved else ())
+    names = [n for n, _ in made]
+    cols = df.select(*_columns(df, key, blob, keep, (*names, "media_type")), (F.col(declared) if declared else F.lit(None)).cast("string").alias("__declared"))
+    schema = StructType([cols.schema["id"], *[StructField(n, t) for n, t in made], *[cols.schema[c] for c in keep]])
+    types = {"declared": pa.string(), "media_type": pa.string(), "confirmed": pa.bool_(), "corrected": pa.bool_(), "embedded": _KINDS, "carved_type": pa.string(), "offset": pa.int64(), "media": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, cut, held = [], [], 0
+            said = texts_of(batch.column(batch.num_columns - 1))
+            rows, out, held = [], [], 0
             for i, b in enumerate(batch.column(1)):
                 body = b.as_py()
                 found = media_in(body)
                 if required and not found:
                     raise ValueError("a blob without a valid structure")
-                rows += [i] * len(found)
-                cut += [(kind, at, body[at : at + n]) for kind, at, n in found]
+                told = _sniffed(said[i], found) if sniffed else ()
+                new = [(*told, kind, at, body[at : at + n]) for kind, at, n in found] if carved else [told]
+                rows += [i] * len(new)
+                out += new
                 held += len(body or b"")
-                if held > SLICE_CHARS:
-                    yield made_of(batch, rows, cut)
-                    rows, cut, held = [], [], 0
-            yield made_of(batch, rows, cut)
+                if held > SLICE_CHARS or i == batch.num_rows - 1:
+                    own = batch.take(pa.array(rows, pa.int64()))
+                    yield pa.record_batch([own.column(0), *(pa.array([x[k] for x in out], types[n]) for k, n in enumerate(names)), *(own.column(2 + k) for k in range(len(keep)))], names=["id", *names, *keep])
+                    rows, out, held = [], [], 0
 
     return cols.mapInArrow(run, schema)
 
 
+def sniff(df: DataFrame, blob: str = "blob", declared: str | None = None, key: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, declared, media_type, confirmed, corrected, embedded (type, offset, length of each valid structure past offset 0), columns to keep."""
+    return _looked_at(df, blob, declared, key, keep, True, False, False)
+
+
+def carve(df: DataFrame, blob: str = "blob", key: str = "id", keep: tuple[str, ...] = (), required: bool = False) -> DataFrame:
+    """id, media_type, offset, media, columns to keep: one row for each valid structure in a blob; required: a blob without any is an error."""
+    return _looked_at(df, blob, None, key, keep, False, True, required).withColumnRenamed("carved_type", "media_type")
+
+
+def sniff_and_carve(df: DataFrame, blob: str = "blob", declared: str | None = None, key: str = "id", keep: tuple[str, ...] = (), required: bool = False) -> DataFrame:
+    """What sniff() tells of a blob beside each medium (carved_type, offset, media) that carve() cuts out of it."""
+    return _looked_at(df, blob, declared, key, keep, True, True, required)
+
+
 def payload(text: str | None) -> bytes:
     """UTF-8 bytes of the text with zeros up to a positive multiple of 64."""
     raw = (text or "").encode()
@@ -596,19 +601,18 @@ def media_column(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def op3_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text stored in a media column under types that are often wrong; sniffed, carved, and read back from what was carved."""
     stored = media_column(table(spark, sf_dir, "documents"))
-    sniffed = sniff(stored, "blob", "declared", "doc_id", ("n_bytes", "blob")).withColumnRenamed("media_type", "sniffed")
-    carved = carve(sniffed, "blob", "id", ("n_bytes", "declared", "sniffed", "confirmed", "corrected", "embedded"), required=True)
+    carved = sniff_and_carve(stored, "blob", "declared", "doc_id", ("n_bytes",), required=True)
     schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
     names = [x.split(" ")[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            said = batch.select(["id", "media_type", "offset", "n_bytes", "declared", "sniffed", "confirmed", "corrected", "embedded"]).to_pylist()
+            said = batch.select(["id", "carved_type", "offset", "n_bytes", "declared", "media_type", "confirmed", "corrected", "embedded"]).to_pylist()
             for x, cut in zip(said, batch.column("media"), strict=True):
                 media = cut.as_py()
-                read = samples_of(x["media_type"], media)
-                feature = f"declared={x['declared']};sniffed={x['sniffed']};confirmed={x['confirmed']};corrected={x['corrected']};embedded={len(x['embedded'])};type={x['media_type']};offset={x['offset']};length={len(media)}"
+                read = samples_of(x["carved_type"], media)
+                feature = f"declared={x['declared']};sniffed={x['media_type']};confirmed={x['confirmed']};corrected={x['corrected']};embedded={len(x['embedded'])};type={x['carved_type']};offset={x['offset']};length={len(media)}"
                 rows.append((x["id"], x["n_bytes"], len(read), hashlib.sha256(read).hexdigest(), zlib.crc32(read[-ALIGN:]), len(media), hashlib.sha256(media).hexdigest(), feature))
             cols = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(c, pa.string() if n in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for n, c in zip(names, cols, strict=True)], names=names)
