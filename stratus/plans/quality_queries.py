@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratus.operators import outliers, quality
 from stratus.plans.registry import query
-from stratus.plans.testbed import COUNTY_YEAR, LONG, county_year
+from stratus.plans.testbed import COUNTY_YEAR, FILES, LONG, county_year, files
 
 # The test tables hold the years 1995 to 2001 and about a hundred counties.
 T = quality.DEFAULT.with_limits(years=(1995, 2001), expected_counties=120, repeated=1, year_share=0.1, monotonic_rows=3, z=2.0, modified_z=2.5)
@@ -161,6 +161,21 @@ def quality_score(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), made)
 
 
+@query("critical:i warnings:i quality:s passed:b", """select c critical, w warnings, case when c > 0 then 'POOR' when w > 10 then 'FAIR' when w > 0 then 'GOOD' else 'EXCELLENT' end quality, c = 0 passed
+    from (select count_if(severity = 'CRITICAL') c, count_if(severity = 'WARNING') w from found where hit)""", ISSUES)
+def quality_score_of_table(spark, sf_dir):
+    """Q12 for the issues that the county table has."""
+    return quality.score(quality.issues(county_year(spark, sf_dir), T))
+
+
+@query("overall_score:d all_passed:b", """select avg(case when quality >= 0.9 then 0.95 when quality >= 0.6 then 0.85 when quality >= 0.3 then 0.75 when quality >= 0.1 then 0.5 else 0.7 end) overall_score, bool_and(status = 'completed') all_passed from files""", FILES)
+def overall_score_of_files(spark, sf_dir):
+    """A40 over the grades of all files, the lowest of which have none that is known."""
+    q = F.col("quality")
+    grade = F.when(q >= 0.9, "EXCELLENT").when(q >= 0.6, "GOOD").when(q >= 0.3, "FAIR").when(q >= 0.1, "POOR").otherwise("ODD")
+    return quality.overall(files(spark, sf_dir).select(grade.alias("quality"), (F.col("status") == "completed").alias("passed")))
+
+
 @query("overall_score:d all_passed:b", "select avg(x) overall_score, bool_and(p) all_passed from (select unnest([0.95, 0.85, 0.75, 0.5, 0.7]) x, unnest([true, true, true, false, true]) p)")
 def overall_score(spark, sf_dir):
     """A40."""
