@@ -194,6 +194,15 @@ def climatology_kinds(spark, sf_dir):
     return days.groupBy(expr.climatology_kind(F.col("n")).alias("kind")).agg(F.count("*").alias("series"))
 
 
+@query("geoid:s rings:i points:i area:d", "select geoid, 1 rings, 4 points, 2 * r * r area from counties", COUNTIES)
+def repaired_rings(spark, sf_dir):
+    """Q24: diamonds that run clockwise, with a point twice, a closing point and a second ring without an area."""
+    x, y, r = F.col("x"), F.col("y"), F.col("r")
+    corners = [F.struct((x + a * r).alias("lon"), (y + b * r).alias("lat")) for a, b in ((-1, 0), (0, 1), (0, 1), (1, 0), (0, -1), (-1, 0))]
+    c = counties(spark, sf_dir).select("geoid", spatial.repaired(F.array(F.array(*corners), F.array(*corners[:2]))).alias("rings"))
+    return c.select("geoid", F.size("rings").alias("n"), F.size(F.col("rings")[0]).alias("points"), spatial.ring_area(F.col("rings")[0]).alias("area")).withColumnRenamed("n", "rings")
+
+
 @query("geoid:s lon:d lat:d parts:i valid:b", "select geoid, x + 0.6875 * r lon, y lat, 2 parts, true valid from counties", COUNTIES)
 def centroids_with_holes(spark, sf_dir):
     """Q24, Q25: diamonds with a hole that runs like its shell, and a second part that runs the other way."""
