@@ -52,9 +52,12 @@ class Blob:
 
     def __init__(self, raw: bytes):
         self.raw = raw
-        self._places: dict[bytes, list[re.Match | int]] = {}
+        self._places: dict[bytes, list[int]] = {}
         self._ends: dict[str, dict[int, tuple | None]] = {}
+        #: Chunks of RIFF chains, as _riff_path() keeps them.
         self.chunks: dict[int, tuple[int, int, int, int]] = {}
+        #: The last end mark of a PDF, and where it ends, by the place that it gives its table, the last of all first.
+        self.pdf_ends: dict[int, tuple[int, int]] | None = None
 
     def places(self, pattern: bytes) -> list[int]:
         """Where a pattern matches, ascending; sought once."""
@@ -267,12 +270,12 @@ def _pdf(blob: Blob, at: int) -> int | None:
     marks = blob.places(_PDF_END)
     if not marks or marks[-1] < at:
         return None
-    if "pdf" not in blob._ends:
-        last: dict[int, tuple | None] = {}
+    if blob.pdf_ends is None:
+        last: dict[int, tuple[int, int]] = {}
         for m in marks:
             last[int(re.match(rb"startxref\s+(\d+)", b[m : m + 100])[1])] = (m, b.index(b"%%EOF", m) + 5)
-        blob._ends["pdf"] = dict(sorted(last.items(), key=lambda x: -x[1][0]))
-    for place, (mark, end) in blob._ends["pdf"].items():
+        blob.pdf_ends = dict(sorted(last.items(), key=lambda x: -x[1][0]))
+    for place, (mark, end) in blob.pdf_ends.items():
         if mark < at:
             break
         if 0 < place and at + place < mark and (b.startswith(b"xref", at + place) or _PDF_OBJECT.match(b, at + place)):
