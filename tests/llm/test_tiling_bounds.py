@@ -53,3 +53,15 @@ def test_null_item_ids_and_bytes_that_are_no_text(spark):
     broken = spark.sql(f"select 5L doc_id, cast(unhex('{raw}') as string) text")
     assert [r.item_id for r in contaminated(broken, bench).collect()] == [None]
     assert drop_contaminated(broken.union(docs.where("doc_id = 3")), bench).count() == 1
+
+
+def test_documents_dropped_block_by_block(spark, monkeypatch):
+    from stratus.llm import decontaminate
+
+    docs = spark.createDataFrame([(i, f"x{i} y " * 3 + (f"a{i} b c d e f g{i} h" if i % 3 else "nothing here")) for i in range(12)], DOCS)
+    bench = spark.createDataFrame([(i, f"a{i} b c d e f g{i} h") for i in range(12)], ITEMS)
+    blocks = list(decontaminate.blocks(bench, block_bytes=300))
+    assert len(blocks) > 2
+    monkeypatch.setattr(decontaminate, "blocks", lambda b: iter(blocks))
+    assert sorted(r.doc_id for r in drop_contaminated(docs, bench).collect()) == [0, 3, 6, 9]
+    assert sorted(r.doc_id for r in contaminated(docs, bench).collect()) == [1, 2, 4, 5, 7, 8, 10, 11]
