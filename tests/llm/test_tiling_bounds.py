@@ -60,7 +60,7 @@ def test_documents_dropped_block_by_block(spark, monkeypatch):
 
     docs = spark.createDataFrame([(i, f"x{i} y " * 3 + (f"a{i} b c d e f g{i} h" if i % 3 else "nothing here")) for i in range(12)], DOCS)
     bench = spark.createDataFrame([(i, f"a{i} b c d e f g{i} h") for i in range(12)], ITEMS)
-    blocks = list(decontaminate.blocks(bench, block_bytes=300))
+    blocks = list(decontaminate.blocks(bench, block_bytes=100))
     assert len(blocks) > 2
     monkeypatch.setattr(decontaminate, "blocks", lambda b: iter(blocks))
     assert sorted(r.doc_id for r in drop_contaminated(docs, bench).collect()) == [0, 3, 6, 9]
