@@ -64,4 +64,4 @@ def test_documents_dropped_block_by_block(spark, monkeypatch):
     assert len(blocks) > 2
     monkeypatch.setattr(decontaminate, "blocks", lambda b: iter(blocks))
     assert sorted(r.doc_id for r in drop_contaminated(docs, bench).collect()) == [0, 3, 6, 9]
-    assert sorted(r.doc_id for r in contaminated(docs, bench).collect()) == [1, 2, 4, 5, 7, 8, 10, 11]
+    assert {r.doc_id for r in contaminated(docs, bench).collect()} == {1, 2, 4, 5, 7, 8, 10, 11}
