@@ -1,6 +1,6 @@
 """Queries of the text operators, by name; __spark_entry__ adds them to its own.
 
-None of them has SQL here: checksums, hashes, automata and fitted models are beyond it. tests/llm holds each against a
+Hard negatives have SQL. The others have none: checksums, hashes, automata, draws and fitted models are beyond it. tests/llm holds each against a
 brute-force version, an exact round trip or held-out accuracy.
 """
 
@@ -10,6 +10,7 @@ from stratus.llm.decontaminate import op9_greedy_tiling
 from stratus.llm.langid import op10_ftrl_language
 from stratus.llm.licenses import op8_rare_token_licences
 from stratus.llm.media import op3_signature_sniffing
+from stratus.llm.negatives import OP13_SQL, op13_approximation_file_negatives
 from stratus.llm.packing import op4_cost_balanced_packing
 from stratus.llm.pii import op5_crf_pii
 from stratus.llm.quality import op7_boosted_quality
@@ -19,9 +20,9 @@ from stratus.llm.tokencount import op2_longest_match_tokens
 
 
 def queries() -> dict:
-    named = [op1_virtual_slots, op2_longest_match_tokens, op3_signature_sniffing, op4_cost_balanced_packing, op5_crf_pii, op6_multi_index_simhash, op7_boosted_quality, op8_rare_token_licences, op9_greedy_tiling, op10_ftrl_language]
+    named = [op1_virtual_slots, op2_longest_match_tokens, op3_signature_sniffing, op4_cost_balanced_packing, op5_crf_pii, op6_multi_index_simhash, op7_boosted_quality, op8_rare_token_licences, op9_greedy_tiling, op10_ftrl_language, op13_approximation_file_negatives]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op13_approximation_file_negatives.__name__: OP13_SQL}
