@@ -17,10 +17,11 @@ from stratus.llm.quality import op7_boosted_quality
 from stratus.llm.sharding import op1_virtual_slots
 from stratus.llm.simhash import op6_multi_index_simhash
 from stratus.llm.tokencount import op2_longest_match_tokens
+from stratus.llm.variants import op12_errata_trie_variants
 
 
 def queries() -> dict:
-    named = [op1_virtual_slots, op2_longest_match_tokens, op3_signature_sniffing, op4_cost_balanced_packing, op5_crf_pii, op6_multi_index_simhash, op7_boosted_quality, op8_rare_token_licences, op9_greedy_tiling, op10_ftrl_language, op13_approximation_file_negatives]
+    named = [op1_virtual_slots, op2_longest_match_tokens, op3_signature_sniffing, op4_cost_balanced_packing, op5_crf_pii, op6_multi_index_simhash, op7_boosted_quality, op8_rare_token_licences, op9_greedy_tiling, op10_ftrl_language, op12_errata_trie_variants, op13_approximation_file_negatives]
     return {f.__name__: f for f in named}
 
 
