@@ -10,6 +10,7 @@ from stratus.llm.decontaminate import op9_greedy_tiling
 from stratus.llm.langid import op10_ftrl_language
 from stratus.llm.licenses import op8_rare_token_licences
 from stratus.llm.media import op3_signature_sniffing
+from stratus.llm.mixing import op11_multinomial_mixing
 from stratus.llm.negatives import OP13_SQL, op13_approximation_file_negatives
 from stratus.llm.packing import op4_cost_balanced_packing
 from stratus.llm.pii import op5_crf_pii
@@ -21,7 +22,7 @@ from stratus.llm.variants import op12_errata_trie_variants
 
 
 def queries() -> dict:
-    named = [op1_virtual_slots, op2_longest_match_tokens, op3_signature_sniffing, op4_cost_balanced_packing, op5_crf_pii, op6_multi_index_simhash, op7_boosted_quality, op8_rare_token_licences, op9_greedy_tiling, op10_ftrl_language, op12_errata_trie_variants, op13_approximation_file_negatives]
+    named = [op1_virtual_slots, op2_longest_match_tokens, op3_signature_sniffing, op4_cost_balanced_packing, op5_crf_pii, op6_multi_index_simhash, op7_boosted_quality, op8_rare_token_licences, op9_greedy_tiling, op10_ftrl_language, op11_multinomial_mixing, op12_errata_trie_variants, op13_approximation_file_negatives]
     return {f.__name__: f for f in named}
 
 

@@ -1,0 +1,153 @@
+"""Mixing to target weights: targets, draws, permutations and the mixture against plain versions."""
+
+import random
+import re
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratus.llm import mixing
+from stratus.llm.mixing import drawn, mixed_texts, permuted, taken, targets
+
+DOCS = "doc_id bigint, text string, source string"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def slow_targets(sizes, weights, most=3):
+    """Exact fractions, one reshare after the other."""
+    total, out = sum(sizes), None
+    held = [Fraction(total) * w / sum(weights) for w in weights]
+    while True:
+        over = [max(Fraction(0), h - most * s) for h, s in zip(held, sizes, strict=True)]
+        out = [h - o for h, o in zip(held, over, strict=True)]
+        open_ = [i for i, (h, s) in enumerate(zip(out, sizes, strict=True)) if h < most * s]
+        if not sum(over) or not open_:
+            return out
+        held = [h + (sum(over) * weights[i] / sum(weights[j] for j in open_) if i in open_ else 0) for i, h in enumerate(out)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets(seed):
+    r = random.Random(seed)
+    sizes = [r.choice((0, 1, 7, 100, 1000, 50_000)) for _ in range(9)]
+    weights = [(5, 2, 1)[i % 3] for i in range(9)]
+    got = targets(sizes, weights)
+    assert got == pytest.approx([float(x) for x in slow_targets(sizes, weights)])
+    assert sum(got) == pytest.approx(sum(sizes)) and all(g <= 3 * s for g, s in zip(got, sizes, strict=True))
+
+
+def test_targets_of_one_and_none():
+    assert targets([], []) == [] and targets([0, 0], [5, 2]) == [0.0, 0.0] and targets([10], [5]) == [10.0]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 64, 1000])
+def test_permutations(n):
+    every = np.arange(n)
+    orders = [permuted(every, np.full(n, n), np.full(n, k, dtype=np.uint64)).tolist() for k in range(20)]
+    assert all(sorted(o) == list(range(n)) for o in orders)
+    if n >= 17:
+        assert len({tuple(o) for o in orders}) == 20
+        # The mean place of the first index over many keys is near the middle.
+        many = permuted(np.zeros(2000, dtype=np.int64), np.full(2000, n), np.arange(2000, dtype=np.uint64))
+        assert abs(many.mean() - (n - 1) / 2) < 0.05 * n
+
+
+def test_draws_add_up():
+    slots = [5000, 120, 0, 3, 40_000]
+    counts = drawn(slots, shard_slots=1000)
+    assert counts.sum(axis=0).tolist() == slots and set(counts.sum(axis=1).tolist()) <= {980, 981, 982} and len(counts) == 46
+    assert (counts == drawn(slots, shard_slots=1000)).all() and (counts != drawn(slots, seed=3, shard_slots=1000)).any()
+    # They are spread as draws are, neither all alike nor in rows.
+    share = counts[:, 4] / counts.sum(axis=1)
+    assert 0.003 < share.std() < 0.03
+    assert drawn([]).shape == (1, 0) and drawn([0, 0]).sum() == 0
+
+
+def sample(seed=3, n=400):
+    r = random.Random(seed)
+    docs = []
+    for i in range(n):
+        source = r.choice(("a", "a", "a", "a", "a", "b", "é", None, "z", "tiny" if i < 3 else "b"))
+        size = r.choice((0, 1, 2, 30, 30, 200, 3000 if i % 40 == 0 else 5))
+        docs.append((i, r.choice((" ", "\n", " \t ")).join(f"w{i}x{k}" for k in range(size)), source))
+    return docs + [docs[7], docs[7], (None, None, "a"), (None, "x y", None), (5, "same id", "b")]
+
+
+def expected(docs):
+    """size, source size, target by document."""
+    sizes = Counter()
+    for _, text, s in docs:
+        sizes[s] += len(words(text))
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    target = dict(zip(names, slow_targets([sizes[s] for s in names], [(5, 2, 1)[i % 3] for i in range(len(names))]), strict=True))
+    return sorted((str(d), len(words(t)), sizes[s], round(float(target[s]), 6)) for d, t, s in docs), target
+
+
+def test_documents(spark, monkeypatch):
+    docs = sample()
+    df = spark.createDataFrame(docs, DOCS)
+    rows, target = expected(docs)
+    outs = []
+    for parts, block, bucket in ((1, 256, 4096), (7, 16, 20), (3, 16, 20)):
+        monkeypatch.setattr(mixing, "BUCKET", bucket)
+        got = taken(df.repartition(parts), block=block).collect()
+        assert sorted((str(r.doc_id), r.size, r.source_size, round(r.target, 6)) for r in got) == rows
+        by = Counter()
+        for r in got:
+            by[r.source] += r.taken
+            assert 0 <= r.taken <= 3 * r.size
+        assert all(abs(by[s] - float(t)) <= 1 for s, t in target.items())
+        outs.append(sorted((str(r.doc_id), r.size, r.taken) for r in got))
+    assert outs[1] == outs[2]
+
+
+def test_the_mixture_is_what_is_counted(spark):
+    docs = sample(5, 150)
+    df = spark.createDataFrame(docs, DOCS).select("*", F.lit(0).alias("rank"), F.lit("x").alias("size"), F.lit(1).alias("key"), F.lit(2).alias("block"))
+    slots = mixed_texts(df).collect()
+    in_mixture = Counter(w for s in slots for w in s.text.split(" "))
+    of_docs = {d: Counter() for d, _, _ in docs}
+    home = {w: (d, s) for d, t, s in docs for w in words(t) if w[0] == "w"}
+    for w, n in in_mixture.items():
+        if w in home:
+            of_docs[home[w][0]][w] += n
+    counted = {}
+    for r in taken(df).collect():
+        counted[r.doc_id] = counted.get(r.doc_id, 0) + r.taken
+    single = [d for d, t, _ in docs if d is not None and d != 5]
+    assert all(sum(of_docs[d].values()) == counted[d] for d in single)
+    assert all(home[w][1] == s.source for s in slots for w in s.text.split(" ") if w in home)
+    places = Counter((s.shard, s.position) for s in slots)
+    assert set(places.values()) == {1} and {p for _, p in places} == set(range(len(places)))
+    # A document's words stand in order within a block, and no word more than once more often than another of its document, blocks apart.
+    assert max(n for w, n in in_mixture.items() if w in home and home[w][0] not in (7,)) <= 3
+
+
+def test_sources_in_a_shard_are_mixed(spark):
+    docs = [(i, " ".join(["w"] * 300), "ab"[i % 2]) for i in range(200)]
+    slots = sorted((r.shard, r.position, r.source) for r in mixed_texts(spark.createDataFrame(docs, DOCS)).collect())
+    runs = sum(x[2] != y[2] for x, y in zip(slots, slots[1:], strict=False))
+    assert len(slots) > 200 and runs > len(slots) // 5
+
+
+def test_many_equal_rows_and_none(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 10)
+    monkeypatch.setattr(mixing, "BUCKET", 5)
+    docs = [(1, "one two three", "a")] * 95 + [(2, "four", "b")] * 20
+    got = taken(spark.createDataFrame(docs, DOCS)).collect()
+    by = {k: sum(r.taken for r in got if r.doc_id == k) for k in (1, 2)}
+    assert len(got) == 115 and by == {1: 245, 2: 60} and all(r.taken <= 3 * r.size for r in got)
+    assert taken(spark.createDataFrame([], DOCS)).count() == 0
+    assert [(r.taken, r.target) for r in taken(spark.createDataFrame([(1, None, "a")], DOCS)).collect()] == [(0, 0.0)]
+
+
+def test_a_very_long_text(spark):
+    docs = [(1, "w " * 300_000, "a"), (2, "x", "b")]
+    got = {r.doc_id: (r.size, r.taken) for r in taken(spark.createDataFrame(docs, DOCS)).collect()}
+    assert got == {1: (300_000, 299_998), 2: (1, 3)}
