@@ -110,6 +110,6 @@ def test_the_optional_library_is_used_where_it_is(tmp_path, monkeypatch):
     plain = lambda x: np.array(x).view(type("Plain", (np.ndarray,), {"attrs": {}}))
     fake = SimpleNamespace(File=lambda stream, mode: {"lat": plain([5.0]), "lon": plain([1.0, 2.0]), "time": plain([0.0]), "tas": tas, "group": object()})
     monkeypatch.setitem(sys.modules, "h5py", fake)
-    f = grid_source.opened(io.BytesIO(b"\x89HDF\r\n\x1a\n"))
+    f = grid_source.opened(io.BytesIO(b"\x89HDF\r\n\x1a\n" + bytes([9]) + bytes(90)))
     batch = next(grid_source.decoded(f, "p", Wanted()))
     assert batch.column("value").to_pylist() == [2.0, None] and batch.column("variable").to_pylist() == ["tas", "tas"]
