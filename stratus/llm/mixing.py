@@ -11,8 +11,8 @@ Targets: weights share out all words; a target stops at MOST times its source's
 above. No document is taken more than MOST times.
 
 Scale: one row a source, and for each shard a row of counts, pass through the driver, as the weights do; shards are at most MOST_SHARDS, and
-fewer for many sources, so the counts are at most COUNTS. Places in a stream are sums in two steps, over buckets of about BUCKET rows and
-within them, so a source with a third of all rows goes to no single task; equal rows are counted first and dealt out in chunks. A block
+fewer for many sources, so the counts are at most COUNTS. Places in a stream are sums in two steps, over buckets, as many as the root of the rows, and
+within them, so of a source with a third of all rows no task gets more than about that root; equal rows are counted first and dealt out in chunks. A block
 meets at most MOST + 1 slots and holds at most BLOCK documents with words.
 
 Edge cases: a null text has no words; documents without words are returned with nothing taken; the null source is the last one; null
@@ -23,6 +23,7 @@ columns are not read. Reruns agree: everything follows from the rows and SEED, w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,6 @@ BLOCK = 256
 MOST = 3
 WEIGHTS = (5, 2, 1)
 SEED = 20
-BUCKET = 4096
 CHUNK = 1024
 SHARD_SLOTS = 4096
 MOST_SHARDS = 4096
@@ -126,7 +126,7 @@ def sources_of(items: DataFrame, weights=WEIGHTS, block: int = BLOCK) -> list[tu
 
 def placed_items(items: DataFrame, sources: DataFrame, rows: int) -> DataFrame:
     """The items with `rank` and `place`: the first word in their source's stream."""
-    buckets = max(1, rows // BUCKET)
+    buckets = max(1, isqrt(rows))
     ranked = items.join(sources.select("source", "rank").withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named"))).drop("named")
     ranked = ranked.withColumn("bucket", F.pmod(F.xxhash64("key", "h", "size", "chunk", F.lit(SEED)), F.lit(buckets)))
     amount = F.col("size") * F.col("copies")

@@ -89,13 +89,12 @@ def expected(docs):
     return sorted((str(d), len(words(t)), sizes[s], round(float(target[s]), 6)) for d, t, s in docs), target
 
 
-def test_documents(spark, monkeypatch):
+def test_documents(spark):
     docs = sample()
     df = spark.createDataFrame(docs, DOCS)
     rows, target = expected(docs)
     outs = []
-    for parts, block, bucket in ((1, 256, 4096), (7, 16, 20), (3, 16, 20)):
-        monkeypatch.setattr(mixing, "BUCKET", bucket)
+    for parts, block in ((1, 256), (7, 16), (3, 16)):
         got = taken(df.repartition(parts), block=block).collect()
         assert sorted((str(r.doc_id), r.size, r.source_size, round(r.target, 6)) for r in got) == rows
         by = Counter()
@@ -138,7 +137,6 @@ def test_sources_in_a_shard_are_mixed(spark):
 
 def test_many_equal_rows_and_none(spark, monkeypatch):
     monkeypatch.setattr(mixing, "CHUNK", 10)
-    monkeypatch.setattr(mixing, "BUCKET", 5)
     docs = [(1, "one two three", "a")] * 95 + [(2, "four", "b")] * 20
     got = taken(spark.createDataFrame(docs, DOCS)).collect()
     by = {k: sum(r.taken for r in got if r.doc_id == k) for k in (1, 2)}
