@@ -202,7 +202,8 @@ def _planned(docs: DataFrame, key: str, text: str, source: str, weights, block:
 
 def _joined(documents: DataFrame, slots: DataFrame, block: int) -> DataFrame:
     """Slots beside the pieces of their blocks, each cut where the slot ends."""
-    met = block_pieces(documents, block).join(slots, ["rank", "block"])
+    # The planner would take the slots for as few as the rows that they are made of, and broadcast them.
+    met = block_pieces(documents, block).join(slots.hint("shuffle_hash"), ["rank", "block"])
     return met.withColumn("taken", F.least("length", F.col("words") - F.col("at"))).where("taken > 0")
 
 
