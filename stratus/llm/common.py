@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -127,6 +129,20 @@ def slices(texts: list) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def parts_of(batch: pa.RecordBatch, *columns: int, most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """A batch in slices with about `most` bytes in the columns named (texts or binaries), cut before anything becomes a Python object; a longer row stands alone."""
+    held = np.zeros(batch.num_rows, dtype=np.int64)
+    for at in columns:
+        held += pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(held)
+    start = 0
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, work: Callable[[list, list], dict]) -> DataFrame:
     """Apply work(ids, texts) -> columns over Arrow batches of (id, text); other columns are dropped first.
 

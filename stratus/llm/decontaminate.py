@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import cut_lineage, map_texts, slices, table, texts_of
+from stratus.llm.common import cut_lineage, map_texts, parts_of, table, texts_of
 
 MIN_MATCH = 5
 COVERAGE = 0.6
@@ -313,9 +313,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     def without(rows: DataFrame, items: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = texts_of(batch.column(at))
-                clean = [not any(m >= coverage * len(items.tokens[k]) for k, m, _ in items.matches(t, coverage)) for a, b in slices(texts) for t in texts[a:b]]
-                yield batch.filter(pa.array(clean, type=pa.bool_()))
+                for part in parts_of(batch, at):
+                    clean = [not any(m >= coverage * len(items.tokens[k]) for k, m, _ in items.matches(t, coverage)) for t in texts_of(part.column(at))]
+                    yield part.filter(pa.array(clean, type=pa.bool_()))
 
         return rows.mapInArrow(run, docs.schema)
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm.common import map_texts, slices, table, texts_of
+from stratus.llm.common import map_texts, parts_of, table, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -473,9 +473,8 @@ def redact(docs: DataFrame, crf: Crf, text: str = "text", n_chars: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(at))
-            for a, b in slices(texts):
-                part, own = batch.slice(a, b - a), texts[a:b]
+            for part in parts_of(batch, at):
+                own = texts_of(part.column(at))
                 found = spans_of(own, crf)
                 clean = [masked(t, every) if every else t for t, (_, every) in zip(own, found, strict=True)]
                 part = part.set_column(at, batch.schema.field(at), pa.array(clean, type=batch.schema.field(at).type))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import least_hashes, map_texts, slices, table, texts_of
+from stratus.llm.common import least_hashes, map_texts, parts_of, slices, table, texts_of
 
 MAX_TRAINING = 12_000
 BINS = 64
@@ -174,9 +174,8 @@ def keep(docs: DataFrame, trees: Trees, text: str = "text", at_least: float = 0.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(at))
-            good = [trees.predict(matrix(texts[a:b])) >= at_least for a, b in slices(texts)]
-            yield batch.filter(pa.array(np.concatenate(good) if good else np.zeros(0, dtype=bool)))
+            for part in parts_of(batch, at):
+                yield part.filter(pa.array(trees.predict(matrix(texts_of(part.column(at)))) >= at_least))
 
     return docs.mapInArrow(run, docs.schema)
 
