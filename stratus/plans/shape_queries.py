@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from stratus.operators import areas, spatial
 from stratus.plans.registry import query
+from stratus.plans.sink_queries import scratch
 from stratus.plans.testbed import CELLS, COUNTIES, cells, counties
+from stratus.sources import grid_files, shapes
+from stratus.sources.grid_source import Wanted, read_grids
 
 TENTH = 0.1
 
@@ -60,3 +63,50 @@ def mended_rings(spark, sf_dir):
     c = areas.mended(counties(spark, sf_dir).select("geoid", drawn.alias("rings")))
     total = F.aggregate("rings", F.lit(0.0), lambda acc, x: acc + spatial.ring_area(x))
     return c.select("geoid", F.size("rings").alias("n"), total.alias("area"), spatial.is_valid(F.col("rings")).alias("valid")).withColumnRenamed("n", "rings")
+
+
+def framed(spark, sf_dir):
+    """Counties of two parts, a large one with a hole and a small one beside it."""
+    x, y, r = F.col("x"), F.col("y"), F.col("r")
+    diamond = lambda dx, k: F.array(*[F.struct((x + dx * r + a * k * r).alias("lon"), (y + b * k * r).alias("lat")) for a, b in ((-1, 0), (0, -1), (1, 0), (0, 1))])
+    return counties(spark, sf_dir).select("geoid", "name", F.array(diamond(0, 1.0), diamond(0, 0.6), diamond(3, 0.3)).alias("rings"))
+
+
+def measured(df):
+    turned = F.aggregate(spatial.oriented(F.col("rings")), F.lit(0.0), lambda acc, ring: acc + spatial.ring_area(ring))
+    return df.select("geoid", "name", F.size("rings").alias("n"), F.size(F.flatten("rings")).alias("points"), turned.alias("area"), F.size(spatial.parts(F.col("rings"))).alias("parts")).withColumnRenamed("n", "rings")
+
+
+_FRAMED = "select lpad(cast(s_suppkey as varchar), 5, '0') geoid, s_name as name, 3 rings, 12 points, 2 * (1 - 0.36 + 0.09) * (s_suppkey % 5 * 0.75 + 0.2) ** 2 as area, 2 parts from supplier"
+
+
+@query("geoid:s name:s rings:i points:i area:d parts:i", _FRAMED)
+def shapefiles_written(spark, sf_dir):
+    """Counties of two parts with a hole as shapefiles, committed by the sink and read back."""
+    path = scratch(spark)
+    shapes.write_shapefiles(framed(spark, sf_dir), path)
+    return measured(shapes.read_shapefiles(spark, path))
+
+
+@query("geoid:s name:s rings:i points:i area:d parts:i bytes:i", f"select *, 9 + 2 * 9 + 3 * (4 + 5 * 16) as bytes from ({_FRAMED})")
+def binary_shapes_written(spark, sf_dir):
+    """The same as well-known binary in Parquet, and back."""
+    path = scratch(spark)
+    shapes.to_wkb(framed(spark, sf_dir)).write.parquet(path)
+    held = spark.read.parquet(path)
+    back = shapes.from_wkb(held.withColumn("bytes", F.length("geometry")))
+    return measured(back).join(back.select("geoid", "bytes"), "geoid")
+
+
+# fmt: off
+@query("year:i time:d lat:d lon:d value:d", """with banded as (select 2000 + floor(lat)::int % 3 as y, lat, lon, value from cells)
+    select y as "year", t::double as time, a.lat, o.lon, c.value + t as value from (select distinct y, lat from banded) a join (select distinct y, lon from banded) o using (y) cross join (select unnest([0, 1, 2]) as t)
+    left join banded c using (y, lat, lon) where t >= 1 and y <> 2001 and a.lat between 2 and 30 and o.lon between 3.5 and 20.5""", CELLS)
+# fmt: on
+def grids_written(spark, sf_dir):
+    """Yearly NetCDF files committed by the sink; of some years two time steps of a box are read back, chunk by chunk."""
+    path, year = scratch(spark), 2000 + F.floor("lat").cast("int") % 3
+    steps = cells(spark, sf_dir).select(F.concat(F.lit("tas_day_NorESM2-LM_historical_r1i1p1f1_gn_"), year, F.lit(".nc")).alias("name"), F.lit("tas").alias("variable"), F.explode(F.array(*map(F.lit, (0.0, 1.0, 2.0)))).alias("time"), "lat", "lon", "value")
+    grid_files.write_grids(steps.withColumn("value", F.col("value") + F.col("time")), path)
+    back = read_grids(spark, path, Wanted("tas", (1.0, 2.0), (2.0, 30.0), (3.5, 20.5)), F.col("year") != 2001)
+    return back.withColumn("year", F.regexp_extract("path", r"_(\d{4})\.nc$", 1))

@@ -116,11 +116,14 @@ def validation_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_counties(spark: SparkSession, path: str, regions: tuple[str, ...] = ()) -> DataFrame:
-    """County boundaries from Parquet, with geoid filled to five characters."""
+    """County boundaries from Parquet, with geoid filled to five characters; of GeoParquet the binary column geometry becomes rings."""
     from stratus.operators.spatial import counties_of_region
     from stratus.schema import standard_names, with_geoid
+    from stratus.sources.shapes import from_wkb
 
     df = with_geoid(standard_names(spark.read.parquet(path)))
+    if dict(df.dtypes).get("geometry") == "binary":
+        df = from_wkb(df)
     return counties_of_region(df, *regions) if regions else df
 
 
