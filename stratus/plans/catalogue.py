@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratus.plans import climate_queries, metric_queries, quality_queries, shape_queries, sink_queries, summary_queries  # noqa: F401  they register their queries
+from stratus.plans import climate_queries, metric_queries, quality_queries, shape_queries, sink_queries, summary_queries, trend_queries  # noqa: F401  they register their queries
 from stratus.plans.registry import QUERIES, SQL
 
 

@@ -118,6 +118,9 @@ class ClassicFile:
         v = self.variables[name]
         return self.records if self._is_record(v) else self.dims[v["dims"][0]][1]
 
+    def time_attributes(self) -> dict:
+        return self.variables["time"]["attrs"] if "time" in self.variables else {}
+
     def record(self, name: str, i: int) -> np.ndarray:
         """Step i along the first dimension, as doubles with NaN for missing values."""
         v = self.variables[name]
@@ -175,6 +178,9 @@ class Hdf5File:
     def steps(self, name: str) -> int:
         return self.variables[name].shape[0]
 
+    def time_attributes(self) -> dict:
+        return self.variables["time"].attrs if "time" in self.variables else {}
+
     def record(self, name: str, i: int) -> np.ndarray:
         """Step i; the chunks that hold it are kept for the steps that follow."""
         v = self.variables[name]
