@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratus.functions import calendars
-from stratus.operators import quality, trends
+from stratus.operators import neighbours, quality, spells, trends
 from stratus.plans.registry import query
-from stratus.plans.testbed import COUNTY_YEAR, LONG, county_year, read
+from stratus.plans.testbed import CELLS, COUNTY_YEAR, LONG, OBS, cells, county_year, obs, read
 
 # Each order's key is an offset in one of four calendars.
 _OFFSETS = "select o_orderkey as id, ['noleap', '360_day', 'standard', '366_day'][o_orderkey % 4 + 1] as calendar, o_orderkey // 4 % 60000 + 0.25 as days from orders"
@@ -60,3 +60,100 @@ def yearly_series(spark, sf_dir):
     """The series that trends are taken of."""
     s = trends.series_of(county_year(spark, sf_dir), "mean_temp_c", ("geoid",))
     return s.select("geoid", F.size("years").alias("n"), F.get("values", F.lit(0)).alias("first"), F.element_at("values", -1).alias("last")).withColumnRenamed("n", "years")
+
+
+_SPELLS = """with flagged as (select distinct county, scenario, "year" * 365 + least(doy, 365) - 1 as d from obs where {}),
+    runs as (select county, scenario, min(d) as a, count(*) as n from (select *, d - row_number() over (partition by county, scenario order by d) as r from flagged) group by county, scenario, r having count(*) >= {})
+    select county as geoid, scenario, a // 365 as "year", count(*) as events, sum(n) as days, max(n) as longest from runs group by all"""
+
+
+def yearly_spells(rows, flag, at_least):
+    found = spells.spells(rows.withColumn("geoid", F.col("county")), flag, ("geoid", "scenario"), at_least=at_least)
+    return spells.spells_by_year(found, ("geoid", "scenario"))
+
+
+@query("geoid:s scenario:s year:i events:i days:i longest:i", _SPELLS.format("tasmax - 273.15 > 10", 3), OBS)
+def heat_waves(spark, sf_dir):
+    """§2.14: runs of three hot days and more, also across the turn of the year."""
+    return yearly_spells(obs(spark, sf_dir), spells.hot(F.col("tasmax"), 10.0), 3)
+
+
+@query("geoid:s scenario:s year:i events:i days:i longest:i", _SPELLS.format("tasmin - 273.15 < 0", 2), OBS)
+def cold_snaps(spark, sf_dir):
+    """§2.14: runs of two frost days and more."""
+    return yearly_spells(obs(spark, sf_dir), spells.cold(F.col("tasmin")), 2)
+
+
+@query("geoid:s scenario:s year:i events:i days:i longest:i", _SPELLS.format("pr * 86400 < 30", 1), OBS)
+def dry_spells(spark, sf_dir):
+    """§2.14: runs of dry days, the longest of each year among them."""
+    return yearly_spells(obs(spark, sf_dir), spells.dry(F.col("pr"), 30.0), 1)
+
+
+def rainfall(spark, sf_dir):
+    mm = F.col("pr") * 86400.0
+    rows = obs(spark, sf_dir).withColumn("geoid", F.col("county"))
+    return spells.monthly_totals(rows, F.when(mm > 20, mm - 20).otherwise(0.0), ("geoid",))
+
+
+# fmt: off
+_MONTHLY = f"""{OBS}, months as (select county as geoid, "year" as y, len(list_filter([0, 31, 59, 90, 120, 151, 181, 212, 243, 273, 304, 334], lambda b: b < least(doy, 365))) as m, sum(greatest(pr * 86400.0 - 20, 0)) as total from obs group by all)"""
+
+
+@query("geoid:s month:i n:i dry:d shape:d scale:d", """with sums as (select geoid, m, count(*) as n, count_if(total > 0) as wet, avg(total) filter (total > 0) as mean, avg(ln(total)) filter (total > 0) as logs from months group by all),
+    fits as (select *, case when wet >= 4 and ln(mean) - logs > 1e-12 then (1 + sqrt(1 + 4 * (ln(mean) - logs) / 3)) / (4 * (ln(mean) - logs)) end as shape from sums)
+    select geoid, m as "month", n, 1 - wet / n as dry, shape, mean / shape as scale from fits""", _MONTHLY)
+# fmt: on
+def rainfall_distributions(spark, sf_dir):
+    """§2.14: gamma distributions of monthly rain by county and calendar month."""
+    return spells.gamma_fits(rainfall(spark, sf_dir), ("geoid",))
+
+
+# fmt: off
+@query("geoid:s year:i month:i total:d", """select a.geoid, a.y as "year", a.m as "month", sum(b.total) as total from months a join months b on a.geoid = b.geoid and b.y * 12 + b.m between a.y * 12 + a.m - 2 and a.y * 12 + a.m
+    group by a.geoid, a.y, a.m having count(*) = 3""", _MONTHLY)
+# fmt: on
+def rainfall_of_three_months(spark, sf_dir):
+    """§2.14: what the three-month drought index is taken of."""
+    return spells.accumulated(rainfall(spark, sf_dir), ("geoid",), 3)
+
+
+@query("geoid:s year:i month:i total:d index:d")
+def drought_of_three_months(spark, sf_dir):
+    """§2.14: the index itself (no SQL: gamma and normal distributions; tests compare it with a plain version)."""
+    return spells.drought_index(spells.accumulated(rainfall(spark, sf_dir), ("geoid",), 3), ("geoid",))
+
+
+def squares(spark, sf_dir):
+    """The test bed's cells as counties that share edges."""
+    x, y = F.col("lon") - 0.5, F.col("lat") - 0.5
+    ring = F.array(*[F.struct((x + a).alias("lon"), (y + b).alias("lat")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))])
+    return cells(spark, sf_dir).select(F.format_string("%d:%d", y.cast("int"), x.cast("int")).alias("geoid"), "value", F.array(ring).alias("rings"))
+
+
+_SQUARES = f"""{CELLS}, squares as (select floor(lat)::int as i, floor(lon)::int as j, floor(lat)::int || ':' || floor(lon)::int as geoid, value from cells)"""
+
+
+@query("geoid:s neighbours:i", "select a.geoid, count(*) as neighbours from squares a join squares b on abs(a.i - b.i) + abs(a.j - b.j) = 1 group by a.geoid", _SQUARES)
+def counties_side_by_side(spark, sf_dir):
+    """§2.14: counties that share an edge."""
+    return neighbours.contiguity(squares(spark, sf_dir)).groupBy("geoid").agg(F.count("*").alias("neighbours"))
+
+
+# fmt: off
+@query("geoid:s z:d lag:d moran:d neighbours:i quadrant:s", """with scored as (select *, (value - avg(value) over ()) / stddev_pop(value) over () as z from squares where value is not null),
+    near as (select a.geoid, avg(b.z) as lag, count(*) as n from scored a join scored b on abs(a.i - b.i) + abs(a.j - b.j) = 1 group by a.geoid)
+    select geoid, z, lag, z * lag as moran, coalesce(n, 0) as neighbours, case when lag is null then 'none' else case when z > 0 then 'high' else 'low' end || '-' || case when lag > 0 then 'high' else 'low' end end as quadrant
+    from scored left join near using (geoid)""", _SQUARES)
+# fmt: on
+def local_moran_of_counties(spark, sf_dir):
+    """§2.14: local spatial correlation of values among counties that share edges."""
+    s = squares(spark, sf_dir)
+    return neighbours.local_moran(s, neighbours.contiguity(s))
+
+
+@query("geoid:s p:d")
+def moran_significance(spark, sf_dir):
+    """§2.14: pseudo-p of the local statistic by seeded permutations (no SQL: hashes)."""
+    s = squares(spark, sf_dir)
+    return neighbours.local_moran(s, neighbours.contiguity(s), neighbours.PERMUTATIONS)
