@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratus.functions import projections
 from stratus.operators import areas, spatial
 from stratus.plans.registry import query
 from stratus.plans.sink_queries import scratch
@@ -110,3 +111,21 @@ def grids_written(spark, sf_dir):
     grid_files.write_grids(steps.withColumn("value", F.col("value") + F.col("time")), path)
     back = read_grids(spark, path, Wanted("tas", (1.0, 2.0), (2.0, 30.0), (3.5, 20.5)), F.col("year") != 2001)
     return back.withColumn("year", F.regexp_extract("path", r"_(\d{4})\.nc$", 1))
+
+
+# fmt: off
+@query("lat:d lon:d x_km:d y_km:d back_lat:d back_lon:d", f"""with places as (select lat / 10 + 25 as lat, lon / 10 - 120 as lon from cells),
+    e as (select {projections.GRS80.a} / 1000 as a, {projections.GRS80.e2} as e2, sqrt({projections.GRS80.e2}) as e),
+    q as (select *, (1 - e2) * (sin(radians(lat)) / (1 - e2 * sin(radians(lat)) ** 2) - ln((1 - e * sin(radians(lat))) / (1 + e * sin(radians(lat)))) / (2 * e)) as q from places, e),
+    k as (select list_transform([29.5, 45.5, 23.0], lambda v: sin(radians(v))) as s, a, e2, e from e),
+    m as (select list_transform(s, lambda v: (1 - v * v) / (1 - e2 * v * v)) as m2, list_transform(s, lambda v: (1 - e2) * (v / (1 - e2 * v * v) - ln((1 - e * v) / (1 + e * v)) / (2 * e))) as qs from k),
+    n as (select (m2[1] - m2[2]) / (qs[2] - qs[1]) as n, m2, qs from m), c as (select n, m2[1] + n * qs[1] as c, qs[3] as q0 from n)
+    select lat, lon, a * sqrt(c - n * q) / n * sin(n * radians(lon + 96)) as x_km, a * sqrt(c - n * q0) / n - a * sqrt(c - n * q) / n * cos(n * radians(lon + 96)) as y_km, lat as back_lat, lon as back_lon from q, c""", CELLS)
+# fmt: on
+def conic_places(spark, sf_dir):
+    """Places in the conic projection of the continental region, and back."""
+    p = projections.BY_REGION["CONUS"]
+    places = cells(spark, sf_dir).select((F.col("lat") / 10 + 25).alias("lat"), (F.col("lon") / 10 - 120).alias("lon"))
+    flat = places.select("*", F.inline(F.array(p.forward(F.col("lon"), F.col("lat")))))
+    back = flat.select("*", p.inverse(F.col("x"), F.col("y")).alias("b"))
+    return back.select("lat", "lon", (F.col("x") / 1000).alias("x_km"), (F.col("y") / 1000).alias("y_km"), F.col("b.lat").alias("back_lat"), F.col("b.lon").alias("back_lon"))
