@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
         v.add_argument("--config", required=True)
         v.add_argument("--environment")
         v.add_argument("--profile")
+        v.add_argument("--resume", action="store_true")
     verbs.add_parser("status").add_argument("--manifest", required=True)
     verbs.add_parser("create-config").add_argument("path")
     verbs.add_parser("list-queries")
@@ -53,12 +54,13 @@ def main(argv: list[str] | None = None) -> int:
 
         queries()[args.name](spark, args.data).show(50, truncate=False)
         return 0
-    from stratus.plans.pipeline import HANDLERS, Runner
+    from stratus.plans.pipeline import HANDLERS
+    from stratus.plans.pipeline import run as run_pipeline
 
     p = config.load(args.config, args.environment)
-    run = Runner(spark, p.profile(args.profile) if args.profile else p, HANDLERS).run()
-    run.frame(spark).show(100, truncate=False)
-    return 0 if run.succeeded else 1
+    for stage, path in run_pipeline(spark, p.profile(args.profile) if args.profile else p, HANDLERS, args.resume).items():
+        print(stage, path)
+    return 0
 
 
 if __name__ == "__main__":

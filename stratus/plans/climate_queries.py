@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratus.functions import expr
 from stratus.operators import climatology
 from stratus.plans.registry import query
-from stratus.plans.testbed import FILES, OBS, files, obs
+from stratus.plans.testbed import FILES, OBS, files, obs, read
 from stratus.regions import REGIONS
 from stratus.sources import catalog
 
@@ -97,14 +97,18 @@ def normal_of_30_years(spark, sf_dir):
     return climatology.climate_normal(climatology.daily_climatology(days, "value", ("year",), "calendar"), keys=(), readings=days)
 
 
-@query("scenario:s period_type:s windows:i first_target:i last_target:i first_year:i", """select scenario, period_type, count(*) windows, min(t) first_target, max(t) last_target,
-    min(case when period_type = 'historical' then greatest(1950, t - 29) else t - 29 end) first_year from
-    (select 'historical' scenario, 'historical' period_type, unnest(range(1980, 2015)) t
-     union all select s, 'hybrid', unnest(range(2015, 2045)) from (select unnest(['ssp126', 'ssp245', 'ssp370', 'ssp585']) s)
-     union all select s, s, unnest(range(2045, 2101)) from (select unnest(['ssp126', 'ssp245', 'ssp370', 'ssp585']) s)) group by all""")
+@query("scenario:s period_type:s windows:i first_target:i last_target:i first_year:i files:i", """select scenario, period_type, count(*) windows, min(t) first_target, max(t) last_target, min(a) first_year, sum(n) as files from
+    (select p.scenario, period_type, t, a, count(f."year") as n from (select *, case when period_type = 'historical' then greatest(1950, t - 29) else t - 29 end as a from
+      (select 'historical' scenario, 'historical' period_type, unnest(range(1980, 2015)) t
+       union all select s, 'hybrid', unnest(range(2015, 2045)) from (select unnest(['ssp126', 'ssp245', 'ssp370', 'ssp585']) s)
+       union all select s, s, unnest(range(2045, 2101)) from (select unnest(['ssp126', 'ssp245', 'ssp370', 'ssp585']) s))) p
+     left join files f on f."year" between a and t group by all) group by all""", FILES)
 def period_plan(spark, sf_dir):
-    """The windows of a model by scenario."""
-    return climatology.period_plan(spark).groupBy("scenario", "period_type").agg(F.count("*").alias("windows"), F.min("target_year").alias("first_target"), F.max("target_year").alias("last_target"), F.min("start_year").alias("first_year"))
+    """The windows of a model by scenario, and how many files they take in."""
+    yearly = files(spark, sf_dir).groupBy("year").agg(F.count("*").alias("files"))
+    plan = climatology.period_plan(spark).select("scenario", "period_type", "target_year", "start_year", F.explode(F.sequence("start_year", "target_year")).alias("year"))
+    windows = plan.join(yearly, "year", "left").groupBy("scenario", "period_type", "target_year", "start_year").agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files"))
+    return windows.groupBy("scenario", "period_type").agg(F.count("*").alias("windows"), F.min("target_year").alias("first_target"), F.max("target_year").alias("last_target"), F.min("start_year").alias("first_year"), F.sum("files").alias("files"))
 
 
 @query("lat:d lon:d value:d", "select lat, lon, avg(tas) value from obs group by all", OBS)
@@ -181,16 +185,16 @@ def display_seasons(spark, sf_dir):
     return display_season_means(obs(spark, sf_dir), "tas")
 
 
-@query("region:s detected:s", """select 'box' || i region, case when abs(a - 234) < 5 and abs(b - 294) < 5 and abs(c - 24) < 2 and abs(d - 50) < 2 then 'CONUS' when abs(a - 170) < 5 and abs(b - 235) < 5 and abs(c - 50) < 2 and abs(d - 72) < 2 then 'AK'
-    when abs(a - 181.63) < 5 and abs(b - 205.2) < 5 and abs(c - 18.92) < 2 and abs(d - 28.45) < 2 then 'HI' else 'CONUS' end detected from (select i, 168 + i a, 233 + i b, 49 + i % 3 c, 71 + i % 3 d from range(0, 8) r(i))""")
+@query("id:i detected:s", """select s_suppkey as id, case when abs(a - 234) < 5 and abs(b - 294) < 5 and abs(c - 24) < 2 and abs(d - 50) < 2 then 'CONUS' when abs(a - 170) < 5 and abs(b - 235) < 5 and abs(c - 50) < 2 and abs(d - 72) < 2 then 'AK'
+    when abs(a - 181.63) < 5 and abs(b - 205.2) < 5 and abs(c - 18.92) < 2 and abs(d - 28.45) < 2 then 'HI' else 'CONUS' end detected from (select s_suppkey, 168 + s_suppkey % 8 a, 233 + s_suppkey % 8 b, 49 + s_suppkey % 3 c, 71 + s_suppkey % 3 d from supplier)""")
 def region_detection(spark, sf_dir):
     """The region of a box."""
-    i = F.col("id")
-    return spark.range(8).select(F.concat(F.lit("box"), i).alias("region"), expr.region_of_box(168 + i, 233 + i, 49 + i % 3, 71 + i % 3).alias("detected"))
+    i = F.col("s_suppkey")
+    return read(spark, sf_dir, "supplier").select(i.alias("id"), expr.region_of_box(168 + i % 8, 233 + i % 8, 49 + i % 3, 71 + i % 3).alias("detected"))
 
 
-@query("year:i scenario:s decade:i", """select y "year", case when y between 1850 and 2014 then 'historical' when y between 2015 and 2100 then 'ssp245' end scenario, y // 10 * 10 as decade from range(1840, 2110) r(y)""")
+@query("id:i year:i scenario:s decade:i", """select o_orderkey as id, y "year", case when y between 1850 and 2014 then 'historical' when y between 2015 and 2100 then 'ssp245' end scenario, y // 10 * 10 as decade from (select o_orderkey, 1840 + o_orderkey % 270 as y from orders)""")
 def scenario_of_year(spark, sf_dir):
     """Scenario and decade of a year."""
-    y = F.col("id").cast("int")
-    return spark.range(1840, 2110).select(y.alias("year"), expr.scenario_of_year(y).alias("scenario"), expr.decade(y).alias("decade"))
+    y = (1840 + F.col("o_orderkey") % 270).cast("int")
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), y.alias("year"), expr.scenario_of_year(y).alias("scenario"), expr.decade(y).alias("decade"))

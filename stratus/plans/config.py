@@ -19,7 +19,7 @@ ENV_PREFIX = "STRATUS_"
 
 @dataclass
 class Stage:
-    """One step: its type, what it depends on (optional ones may fail), its options and how often it is tried again."""
+    """One step: its type, what it depends on (optional ones may fail) and its options; retry settings are accepted, and left to Spark's own for tasks."""
 
     id: str
     type: str = "custom"

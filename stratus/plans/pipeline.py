@@ -1,15 +1,11 @@
-"""Running a pipeline: a stage is a function of its inputs' DataFrames that returns a DataFrame, written once and read back.
+"""Pipelines: a stage is a function of its inputs' DataFrames that returns a DataFrame, written once and read back.
 
-Independent stages of a level run from a thread each, so their Spark jobs share the cluster. Between stages data lies in
-Parquet below the base path. What a stage did is a row of the manifest.
+run() goes through the stages in the order of their dependencies; tables are its state. Spark schedules, and repeats lost or failed tasks.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,91 +14,40 @@ from stratus.plans.config import Pipeline, Stage
 Builder = Callable[[SparkSession, Stage, dict[str, DataFrame]], DataFrame]
 
 
-@dataclass
-class Execution:
-    """state: pending, completed, failed or skipped."""
-
-    stage: str
-    state: str = "pending"
-    attempts: int = 0
-    seconds: float = 0.0
-    path: str = ""
-    error: str = ""
-
-
-@dataclass
-class Run:
-    executions: dict[str, Execution] = field(default_factory=dict)
-
-    @property
-    def succeeded(self) -> bool:
-        return all(e.state == "completed" for e in self.executions.values())
-
-    def progress(self) -> float:
-        done = sum(e.state != "pending" for e in self.executions.values())
-        return 100.0 * done / len(self.executions) if self.executions else 100.0
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        """One row a stage."""
-        rows = [(e.stage, e.state, e.attempts, e.seconds, e.path, e.error) for e in self.executions.values()]
-        return spark.createDataFrame(rows, "stage string, state string, attempts int, seconds double, path string, error string")
-
-
-class Runner:
-    """handlers maps a stage's id, or its type, to the function that builds its result."""
-
-    def __init__(self, spark: SparkSession, pipeline: Pipeline, handlers: dict[str, Builder], sleep: Callable[[float], None] = time.sleep):
-        missing = [s.id for s in pipeline.stages if s.id not in handlers and s.type not in handlers]
-        if missing:
-            raise ValueError(f"no handler for {missing}")
-        self.spark, self.pipeline, self.handlers, self.sleep = spark, pipeline, handlers, sleep
-
-    def path(self, id_: str) -> str:
-        return f"{self.pipeline.base_path.rstrip('/')}/{id_}"
-
-    def run(self, resume: Run | None = None) -> Run:
-        """Run all levels; stages that `resume` completed are not run again. A failure skips what depends on it, and all later levels
-        unless the pipeline continues on failure."""
-        out = Run({s.id: Execution(s.id) for s in self.pipeline.stages})
-        for e in (resume.executions.values() if resume else ()):
-            if e.state == "completed" and e.stage in out.executions:
-                out.executions[e.stage] = e
-        stopped = False
-        for level in self.pipeline.levels():
-            todo = []
-            for id_ in level:
-                e = out.executions[id_]
-                needs = self.pipeline.stage(id_).depends_on
-                if e.state == "completed":
-                    continue
-                if stopped or any(out.executions[d].state != "completed" for d in needs):
-                    e.state, e.error = "skipped", "an earlier stage failed"
-                else:
-                    todo.append(e)
-            with ThreadPoolExecutor(max(1, len(todo))) as pool:
-                list(pool.map(lambda e: self._stage(e, out), todo))
-            if any(e.state == "failed" for e in todo) and not self.pipeline.continue_on_stage_failure:
-                stopped = True
-        return out
-
-    def _stage(self, e: Execution, run: Run) -> None:
-        stage = self.pipeline.stage(e.stage)
-        build = self.handlers.get(stage.id) or self.handlers[stage.type]
-        wanted = [*stage.depends_on, *(d for d in stage.optional_inputs if run.executions[d].state == "completed")]
-        began = time.monotonic()
-        while True:
-            e.attempts += 1
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was committed below a path, in any file system that Spark knows."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def run(spark: SparkSession, pipeline: Pipeline, handlers: dict[str, Builder], resume: bool = False) -> dict[str, str]:
+    """The path of each stage's table. handlers maps a stage's id, or its type, to the function that builds its result.
+
+    resume takes tables that are there as they are. A failure is raised; where the pipeline continues on failure, the stages that don't need the
+    failed one are still made and the first failure is raised at the end, so that a second call with resume does what is left.
+    """
+    missing = [s.id for s in pipeline.stages if s.id not in handlers and s.type not in handlers]
+    if missing:
+        raise ValueError(f"no handler for {missing}")
+    paths: dict[str, str] = {}
+    failure: Exception | None = None
+    for stage in (pipeline.stage(id_) for level in pipeline.levels() for id_ in level):
+        path = f"{pipeline.base_path.rstrip('/')}/{stage.id}"
+        if any(d not in paths for d in stage.depends_on):
+            continue
+        if not (resume and is_written(spark, path)):
+            inputs = {d: spark.read.parquet(paths[d]) for d in (*stage.depends_on, *stage.optional_inputs) if d in paths}
             try:
-                inputs = {d: self.spark.read.parquet(run.executions[d].path) for d in wanted}
-                build(self.spark, stage, inputs).write.mode("overwrite").parquet(self.path(stage.id))
-                e.state, e.path, e.error = "completed", self.path(stage.id), ""
-            except Exception as error:  # a handler may raise anything; it is recorded and tried again
-                e.state, e.error = "failed", f"{type(error).__name__}: {error}"[:2000]
-                if e.attempts <= stage.retry_attempts:
-                    self.sleep(stage.retry_delay_seconds)
-                    continue
-            break
-        e.seconds = time.monotonic() - began
+                (handlers.get(stage.id) or handlers[stage.type])(spark, stage, inputs).write.mode("overwrite").parquet(path)
+            except Exception as error:
+                if not pipeline.continue_on_stage_failure:
+                    raise
+                failure = failure or error
+                continue
+        paths[stage.id] = path
+    if failure:
+        raise failure
+    return paths
 
 
 def means_stage(spark: SparkSession, stage: Stage, inputs: dict[str, DataFrame]) -> DataFrame:

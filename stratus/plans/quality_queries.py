@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratus.operators import outliers, quality
 from stratus.plans.registry import query
-from stratus.plans.testbed import COUNTY_YEAR, FILES, LONG, county_year, files
+from stratus.plans.testbed import COUNTY_YEAR, FILES, LONG, county_year, files, read
 
 # The test tables hold the years 1995 to 2001 and about a hundred counties.
 T = quality.DEFAULT.with_limits(years=(1995, 2001), expected_counties=120, repeated=1, year_share=0.1, monotonic_rows=3, z=2.0, modified_z=2.5)
@@ -152,12 +152,16 @@ def impossible_days(spark, sf_dir):
     return quality.day_counts(county_year(spark, sf_dir).withColumn("precip_gt_50mm", F.col("precip_gt_50mm") * 40))
 
 
-@query("critical:i warnings:i quality:s passed:b", "select unnest([0, 0, 0]) critical, unnest([0, 5, 11]) warnings, unnest(['EXCELLENT', 'GOOD', 'FAIR']) quality, true passed union all select 1, 3, 'POOR', false")
+@query("variable:s critical:i warnings:i quality:s passed:b", """select "variable", c critical, w warnings, case when c > 0 then 'POOR' when w > 10 then 'FAIR' when w > 0 then 'GOOD' else 'EXCELLENT' end quality, c = 0 passed from
+    (select "variable", count_if("variable" = 'pr' and status = 'failed') c, count_if("variable" in ('pr', 'tas') and quality < 0.5 or "variable" = 'tasmax' and id % 1000 = 2) w from files group by "variable")""", FILES)
 def quality_score(spark, sf_dir):
-    """Q12 for four sets of issues."""
+    """Q12 for the issues of the files of each variable."""
     from functools import reduce
 
-    made = [quality.score(spark.range(n).select(F.when(F.col("id") < c, "CRITICAL").otherwise("WARNING").alias("severity"))) for n, c in ((0, 0), (5, 0), (11, 0), (4, 1))]
+    v, f = F.col("variable"), files(spark, sf_dir)
+    warned = (v.isin("pr", "tas") & (F.col("quality") < 0.5)) | ((v == "tasmax") & (F.col("id") % 1000 == 2))
+    found = f.select("variable", F.explode(F.array_compact(F.array(F.when((v == "pr") & (F.col("status") == "failed"), "CRITICAL"), F.when(warned, "WARNING")))).alias("severity"))
+    made = [quality.score(found.where(v == name)).withColumn("variable", F.lit(name)) for name in ("pr", "tas", "tasmax", "tasmin")]
     return reduce(lambda a, b: a.unionByName(b), made)
 
 
@@ -176,10 +180,12 @@ def overall_score_of_files(spark, sf_dir):
     return quality.overall(files(spark, sf_dir).select(grade.alias("quality"), (F.col("status") == "completed").alias("passed")))
 
 
-@query("overall_score:d all_passed:b", "select avg(x) overall_score, bool_and(p) all_passed from (select unnest([0.95, 0.85, 0.75, 0.5, 0.7]) x, unnest([true, true, true, false, true]) p)")
+@query("overall_score:d all_passed:b", """select avg(case when s_acctbal >= 8000 then 0.95 when s_acctbal >= 6000 then 0.85 when s_acctbal >= 4000 then 0.75 when s_acctbal >= 2000 then 0.5 else 0.7 end) overall_score, bool_and(s_acctbal >= -999.99) all_passed from supplier""")
 def overall_score(spark, sf_dir):
-    """A40."""
-    return quality.overall(spark.createDataFrame([("EXCELLENT", True), ("GOOD", True), ("FAIR", True), ("POOR", False), ("ODD", True)], "quality string, passed boolean"))
+    """A40 over a grade of each cell."""
+    b = F.col("s_acctbal")
+    grade = F.when(b >= 8000, "EXCELLENT").when(b >= 6000, "GOOD").when(b >= 4000, "FAIR").when(b >= 2000, "POOR").otherwise("ODD")
+    return quality.overall(read(spark, sf_dir, "supplier").select(grade.alias("quality"), (b >= -999.99).alias("passed")))
 
 
 RULES = """, r as (select *, annual_precip_mm > 2000 and precip_gt_50mm < 10 r1, annual_precip_mm < 500 and precip_gt_50mm > 20 r2,

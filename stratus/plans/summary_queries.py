@@ -290,12 +290,12 @@ def data_summary(spark, sf_dir):
     return catalog.data_summary(files(spark, sf_dir)).withColumn("scenarios", F.concat_ws(",", "scenarios"))
 
 
-@query("region:s variable:s", "select r region, v variable from (select unnest(['CONUS', 'AK', 'HI', 'PRVI', 'GU']) r), (select unnest(['pr', 'tas', 'tasmax', 'tasmin']) v)")
+@query("region:s variable:s files:i", """select r region, v "variable", count(f.id) as files from (select unnest(['CONUS', 'AK', 'HI', 'PRVI', 'GU']) r) cross join (select unnest(['pr', 'tas', 'tasmax', 'tasmin']) v) left join files f on f.region = r and f."variable" = v group by all""", FILES)
 def valid_pairs(spark, sf_dir):
-    """F8, J10."""
+    """Every valid pair, and its files."""
     from stratus.regions import valid_pairs as pairs
 
-    return pairs(spark)
+    return pairs(spark).join(files(spark, sf_dir).groupBy("region", "variable").agg(F.count("*").alias("files")), ["region", "variable"], "left").fillna(0, ["files"])
 
 
 @query("id:i path_ok:b quality_ok:b ready:b", "select id, true path_ok, quality between 0 and 1 quality_ok, status = 'completed' and quality >= 0.95 ready from files", FILES)
@@ -363,21 +363,29 @@ def counties_of_regions(spark, sf_dir):
     return spatial.counties_of_region(c, "AK", "HI")
 
 
-@query("scenario:s first_year:i last_year:i years:i", "select unnest(['historical', 'ssp126', 'ssp245', 'ssp370', 'ssp585']) scenario, unnest([1850, 2015, 2015, 2015, 2015]) first_year, unnest([2014, 2100, 2100, 2100, 2100]) last_year, unnest([165, 86, 86, 86, 86]) as years")
+@query("scenario:s first_year:i last_year:i years:i files:i inside:i", """with model as (select unnest(['historical', 'ssp126', 'ssp245', 'ssp370', 'ssp585']) s, unnest([1850, 2015, 2015, 2015, 2015]) a, unnest([2014, 2100, 2100, 2100, 2100]) b)
+    select s scenario, a first_year, b last_year, b - a + 1 as years, count(f.id) as files, coalesce(count_if(f."year" between a and b), 0) inside from model left join files f on f.scenario = s group by all""", FILES)
 def model_scenarios(spark, sf_dir):
-    """Scenarios of a registered model with their year counts."""
+    """Scenarios of a registered model with their years, their files and how many of these lie within."""
     from stratus.regions import scenarios_frame
 
-    return scenarios_frame(spark, "noresm2").withColumn("years", F.size(F.sequence("first_year", "last_year")))
+    yearly = files(spark, sf_dir).groupBy("scenario", "year").agg(F.count("*").alias("n"))
+    joined = scenarios_frame(spark, "noresm2").join(yearly, "scenario", "left").groupBy("scenario", "first_year", "last_year")
+    counts = joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("files"), F.coalesce(F.sum(F.when(F.col("year").between(F.col("first_year"), F.col("last_year")), F.col("n"))), F.lit(0)).alias("inside"))
+    return counts.withColumn("years", F.size(F.sequence("first_year", "last_year")))
 
 
-@query("region:s width:d height:d valid:b", "select unnest(['CONUS', 'AK', 'HI', 'PRVI', 'GU']) region, unnest([60.0, 65.0, 23.57, 3.46, 1.54]) width, unnest([26.0, 22.0, 9.53, 0.95, 7.43]) height, true valid")
+@query("region:s width:d height:d valid:b cells:i", """with boxes as (select unnest(['CONUS', 'AK', 'HI', 'PRVI', 'GU']) region, unnest([234.0, 170.0, 181.63, 292.03, 144.58]) x0, unnest([294.0, 235.0, 205.2, 295.49, 146.12]) x1, unnest([24.0, 50.0, 18.92, 17.62, 13.18]) y0, unnest([50.0, 72.0, 28.45, 18.57, 20.61]) y1)
+    select region, x1 - x0 width, y1 - y0 height, true valid, count(c.cell_id) cells from boxes left join (select distinct cell_id, lat, lon from obs) c on c.lon between x0 and x1 and c.lat between y0 and y1 group by all""", OBS)
 def region_definitions(spark, sf_dir):
-    """The regions and whether their bounds are in order."""
-    from stratus.regions import regions_frame
+    """The regions, whether their bounds are in order, and their cells."""
+    from stratus.functions.expr import in_region
+    from stratus.regions import REGIONS, regions_frame
 
     ok = F.col("lat_min").between(-90, 90) & (F.col("lat_min") < F.col("lat_max")) & F.col("lon_min").between(0, 360) & F.col("lon_max").between(0, 360)
-    return regions_frame(spark).select("region", (F.col("lon_max") - F.col("lon_min")).alias("width"), (F.col("lat_max") - F.col("lat_min")).alias("height"), ok.alias("valid"))
+    inside = F.array_compact(F.array(*[F.when(in_region(F.col("lat"), F.col("lon"), r), key) for key, r in REGIONS.items()]))
+    held = obs(spark, sf_dir).select("cell_id", "lat", "lon").distinct().select(F.explode(inside).alias("region")).groupBy("region").agg(F.count("*").alias("cells"))
+    return regions_frame(spark).join(held, "region", "left").select("region", (F.col("lon_max") - F.col("lon_min")).alias("width"), (F.col("lat_max") - F.col("lat_min")).alias("height"), ok.alias("valid"), F.coalesce("cells", F.lit(0)).alias("cells"))
 
 
 @query("id:i dataset:s valid:b", """select id, variable || '_' || region || '_' || scenario || '_' || cast("year" as varchar) dataset, true valid from files""", FILES)
@@ -455,10 +463,14 @@ def legacy_mask(spark, sf_dir):
     return spatial.cells_in_counties(counties(spark, sf_dir), cells(spark, sf_dir), mask="legacy").groupBy("geoid").agg(F.count("*").alias("cells"))
 
 
-@query("columns:s picked:s", "select unnest(['tas,lat', 'lat,air_temperature', 'x,pr_flux']) columns, unnest(['tas', 'air_temperature', 'pr_flux']) picked")
+@query("picked:s mean:d", """select 'tas' picked, avg(tas) mean from obs union all select 'air_temperature', avg(tas) from obs union all select 'pr_flux', avg(pr) from obs""", OBS)
 def variable_columns(spark, sf_dir):
-    """C11: the column that holds a variable."""
+    """C11: the column that holds a variable, in tables that name it differently."""
+    from functools import reduce
+
     from stratus.functions.expr import PRECIPITATION_COLUMNS, TEMPERATURE_COLUMNS, pick_column
 
-    rows = [(c, pick_column(c.split(","), p)) for c, p in (("tas,lat", TEMPERATURE_COLUMNS), ("lat,air_temperature", TEMPERATURE_COLUMNS), ("x,pr_flux", PRECIPITATION_COLUMNS))]
-    return spark.createDataFrame(rows, "columns string, picked string")
+    rows = obs(spark, sf_dir)
+    tables = ((rows.select("tas", "lat"), TEMPERATURE_COLUMNS), (rows.select("lat", F.col("tas").alias("air_temperature")), TEMPERATURE_COLUMNS), (rows.select("lon", F.col("pr").alias("pr_flux")), PRECIPITATION_COLUMNS))
+    made = [df.agg(F.avg(pick_column(df.columns, names)).alias("mean")).select(F.lit(pick_column(df.columns, names)).alias("picked"), "mean") for df, names in tables]
+    return reduce(lambda a, b: a.unionByName(b), made)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratus.plans import config
 from stratus.plans.manifest import Manifest
-from stratus.plans.pipeline import HANDLERS, Runner
+from stratus.plans.pipeline import HANDLERS, is_written, run
 from stratus.sources import catalog, sinks
 
 
@@ -51,42 +51,32 @@ def test_run_success_and_inputs(spark, tmp_path):
         seen[stage.id] = {k: v.count() for k, v in inputs.items()}
         return spark.range(len(inputs) + 1)
 
-    run = Runner(spark, pipeline(base_path=str(tmp_path)), {"custom": build}).run()
-    assert run.succeeded and run.progress() == 100.0
+    paths = run(spark, pipeline(base_path=str(tmp_path)), {"custom": build})
     assert seen == {"a": {}, "b": {"a": 1}, "c": {"b": 2}}
-    assert run.frame(spark).where("state = 'completed'").count() == 3
+    assert {k: spark.read.parquet(p).count() for k, p in paths.items()} == {"a": 1, "b": 2, "c": 2}
+    with pytest.raises(ValueError, match="no handler"):
+        run(spark, pipeline(), {})
 
 
-def test_failure_skips_later_stages_and_resume_continues(spark, tmp_path):
-    broken = {"b"}
+@pytest.mark.parametrize("go_on", [False, True])
+def test_a_failure_is_raised_and_resume_does_what_is_left(spark, tmp_path, go_on):
+    broken, made = {"b"}, []
 
     def build(spark, stage, inputs):
+        made.append(stage.id)
         if stage.id in broken:
             raise RuntimeError("no")
         return spark.range(1)
 
-    p = pipeline(base_path=str(tmp_path))
-    first = Runner(spark, p, {"custom": build}).run()
-    assert [e.state for e in first.executions.values()] == ["completed", "failed", "skipped"]
+    stages = [{"id": "a"}, {"id": "b", "depends_on": ["a"]}, {"id": "c", "depends_on": ["b"]}, {"id": "d", "depends_on": ["a"], "optional_inputs": ["b"]}]
+    p = pipeline(base_path=str(tmp_path), continue_on_stage_failure=go_on, stages=stages)
+    with pytest.raises(RuntimeError, match="no"):
+        run(spark, p, {"custom": build})
+    assert made == (["a", "b", "d"] if go_on else ["a", "b"]) and is_written(spark, f"{tmp_path}/a") and not is_written(spark, f"{tmp_path}/b")
     broken.clear()
-    again = Runner(spark, p, {"custom": build}).run(resume=first)
-    assert again.succeeded and again.executions["a"].attempts == 1
-
-
-def test_retries(spark, tmp_path):
-    tries, slept = [], []
-
-    def build(spark, stage, inputs):
-        tries.append(stage.id)
-        if len(tries) < 3:
-            raise RuntimeError("not yet")
-        return spark.range(1)
-
-    p = config.load({"id": "p", "base_path": str(tmp_path), "stages": [{"id": "a", "retry_attempts": 2, "retry_delay_seconds": 0.5}]}, env={})
-    run = Runner(spark, p, {"a": build}, sleep=slept.append).run()
-    assert run.succeeded and run.executions["a"].attempts == 3 and slept == [0.5, 0.5]
-    with pytest.raises(ValueError):
-        Runner(spark, p, {})
+    made.clear()
+    assert sorted(run(spark, p, {"custom": build}, resume=True)) == ["a", "b", "c", "d"]
+    assert sorted(made) == (["b", "c"] if go_on else ["b", "c", "d"])
 
 
 def test_whole_pipeline(spark, tmp_path):
@@ -102,11 +92,10 @@ def test_whole_pipeline(spark, tmp_path):
             {"id": "validation", "type": "validation", "depends_on": ["metrics"], "options": {"validators": ["qaqc", "spatial"]}},
         ],
     }
-    run = Runner(spark, config.load(raw, env={}), HANDLERS).run()
-    assert run.succeeded, [e.error for e in run.executions.values()]
-    means = spark.read.parquet(run.executions["metrics"].path).where("metric = 'mean_temp_c'")
+    paths = run(spark, config.load(raw, env={}), HANDLERS)
+    means = spark.read.parquet(paths["metrics"]).where("metric = 'mean_temp_c'")
     assert means.count() > 0 and means.first().value == pytest.approx(281.0 - 273.15)
-    assert spark.read.parquet(run.executions["validation"].path).where("severity = 'CRITICAL'").count() == 0
+    assert spark.read.parquet(paths["validation"]).where("severity = 'CRITICAL'").count() == 0
 
 
 def test_manifest(spark, tmp_path):
@@ -202,7 +191,7 @@ def test_grid_source(spark, tmp_path):
     assert len(got) == 12 and got[(0.0, 10.0, 1.0)] is None and got[(1.0, 20.0, 3.0)] == 112.0
     assert {r.variable for r in df.collect()} == {"tas"}
     (tmp_path / "b.nc").write_bytes(b"\x89HDF\r\n\x1a\n")
-    with pytest.raises(Exception, match="classic"):
+    with pytest.raises(Exception, match="file ends early"):
         spark.read.format("stratus_grid").load(str(tmp_path / "b.nc")).collect()
 
 
