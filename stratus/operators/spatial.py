@@ -138,10 +138,15 @@ def _with_tile(cells: DataFrame, tile: float) -> DataFrame:
 def _axes(cells: DataFrame) -> Column:
     """The distinct coordinates of a grid in order, a struct of arrays lats and lons, as a scalar subquery.
 
-    A grid has a few thousand of each. Where there are more than MAX_AXIS the points are no grid, and the query fails and says so.
+    A grid has a few thousand of each. No more than MAX_AXIS and one of either are gathered; where there are more the points are no grid, and
+    the query fails and says so.
     """
-    both = cells.agg(F.sort_array(F.collect_set("lat")).alias("lats"), F.sort_array(F.collect_set("lon")).alias("lons"), F.count_distinct("lat").alias("n_lat"), F.count_distinct("lon").alias("n_lon"))
-    fits = F.greatest("n_lat", "n_lon") <= MAX_AXIS
+
+    def axis(name: str) -> DataFrame:
+        return cells.select(F.col(name).alias("x")).where("x is not null").distinct().limit(MAX_AXIS + 1).select(F.lit(name).alias("axis"), "x")
+
+    both = axis("lat").union(axis("lon")).groupBy().agg(*[F.sort_array(F.collect_list(F.when(F.col("axis") == n, F.col("x")))).alias(f"{n}s") for n in ("lat", "lon")])
+    fits = F.greatest(F.size("lats"), F.size("lons")) <= MAX_AXIS
     return both.select(F.when(fits, F.struct("lats", "lons")).otherwise(F.raise_error(F.lit(f"more than {MAX_AXIS} distinct coordinates on an axis: not a grid")))).scalar()
 
 
@@ -162,12 +167,17 @@ def cells_in_counties(counties: DataFrame, cells: DataFrame, tile: float = TILE,
     """
     if mask not in ("geographic", "legacy"):
         raise ValueError(f"unknown mask {mask}")
-    b, x, y = F.col("bbox"), F.col("at_lon"), F.col("at_lat")
     points = legacy_points(cells) if mask == "legacy" else cells.select("lat", "lon", F.col("lat").alias("at_lat"), F.col("lon").alias("at_lon")).distinct()
-    tiled = _tiled(counties.select("geoid", "rings", bbox(F.col("rings")).alias("bbox")), b["minx"], b["miny"], b["maxx"], b["maxy"], tile)
+    return _inside_counties(counties, points, tile).select("geoid", "lat", "lon")
+
+
+def _inside_counties(counties: DataFrame, points: DataFrame, tile: float = TILE) -> DataFrame:
+    """The points (at_lon, at_lat and what else they have) with the geoid of each county that holds them."""
+    b, x, y = F.col("__bbox"), F.col("at_lon"), F.col("at_lat")
+    tiled = _tiled(counties.select("geoid", F.col("rings").alias("__rings"), bbox(F.col("rings")).alias("__bbox")), b["minx"], b["miny"], b["maxx"], b["maxy"], tile)
     hits = points.withColumns({"__tx": F.floor(x / tile).cast("int"), "__ty": F.floor(y / tile).cast("int")}).join(tiled, ["__tx", "__ty"])
-    inside = x.between(b["minx"], b["maxx"]) & y.between(b["miny"], b["maxy"]) & contains(F.col("rings"), x, y)
-    return hits.where(inside).select("geoid", "lat", "lon")
+    inside = x.between(b["minx"], b["maxx"]) & y.between(b["miny"], b["maxy"]) & contains(F.col("__rings"), x, y)
+    return hits.where(inside).drop("__tx", "__ty", "__rings", "__bbox")
 
 
 def cells_in_boxes(counties: DataFrame, cells: DataFrame, margin: float = BOX_MARGIN, tile: float = TILE) -> DataFrame:
@@ -230,10 +240,18 @@ def cell_county(counties: DataFrame, cells: DataFrame, spacing: float = NEAREST_
 
 
 def zonal_mean(counties: DataFrame, cells: DataFrame, spacing: float = NEAREST_SPACING) -> DataFrame:
-    """Exactly one row a county: geoid, value, pixel_count, is_nearest; NULL and 0 where no cell serves."""
-    pairs = cell_county(counties, cells, spacing)
-    means = pairs.join(cells, ["lat", "lon"]).groupBy("geoid").agg(F.avg("value").alias("value"), F.count("value").alias("pixel_count"), F.bool_or("is_nearest").alias("is_nearest"))
-    return counties.select("geoid").distinct().join(means, "geoid", "left").select("geoid", "value", F.coalesce("pixel_count", F.lit(0)).alias("pixel_count"), F.coalesce("is_nearest", F.lit(False)).alias("is_nearest"))
+    """Exactly one row a county: geoid, value, pixel_count, is_nearest; NULL and 0 where no cell serves.
+
+    Values go along with the cells through the tiles; only the nearest cells of counties without any are looked up by their coordinates.
+    """
+    valued = cells.where(F.col("value").isNotNull()).select(F.col("lat").alias("at_lat"), F.col("lon").alias("at_lon"), "value")
+    held = _inside_counties(counties, valued).groupBy("geoid").agg(F.avg("value").alias("held"), F.count("*").alias("n"))
+    placed = counties.dropDuplicates(["geoid"]).select("geoid", "rings").join(held, "geoid", "left")
+    alone = placed.where("n is null")
+    near = nearest_axes(alone.select("geoid", F.inline(F.array(centroid(F.col("rings"))))), cells.select("lat", "lon"), spacing)
+    found = near.join(cells.select(F.col("lat").alias("near_lat"), F.col("lon").alias("near_lon"), F.col("value").alias("near")), ["near_lat", "near_lon"]).groupBy("geoid").agg(F.avg("near").alias("near"), F.count("near").alias("near_n"))
+    n = F.coalesce("n", "near_n", F.lit(0)).alias("pixel_count")
+    return placed.select("geoid", "held", "n").join(found, "geoid", "left").select("geoid", F.coalesce("held", "near").alias("value"), n, F.col("near_n").isNotNull().alias("is_nearest"))
 
 
 def counties_of_region(counties: DataFrame, *keys: str) -> DataFrame:
