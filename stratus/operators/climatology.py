@@ -73,19 +73,23 @@ def window_means(daily: DataFrame, frames: DataFrame, series: tuple[str, ...], b
     frames has first_year, last_year (at most `longest` years) and what tells frames and series apart; it is small and broadcast. Readings are added up along
     their series once. A frame's sum is what has been added up by its last year less what had been before its first, so a reading
     makes a row for each frame that ends, or begins, between it and its series' next reading, not one for each frame that holds it.
+    Values that are not finite are counted, not added up, so that they tell in the frames that hold them alone, as in a plain mean.
     """
     of = [c for c in series if c in frames.columns]
     ends = frames.withColumns({"year": F.col("last_year"), "__sign": F.lit(1)}).unionByName(frames.withColumns({"year": F.col("first_year") - 1, "__sign": F.lit(-1)})).drop("first_year", "last_year")
     so_far = Window.partitionBy(*series, "doy", "cell").orderBy("year")
+    v = F.col("value").cast("double")
+    odd = {"__up": v == float("inf"), "__down": v == -float("inf"), "__nan": F.isnan(v)}
     added = daily.select(
-        *series, "year", "doy", "cell", "lat", "lon",
-        F.sum("value").over(so_far).alias("__sum"), F.count("value").over(so_far).alias("__n"), F.count(F.lit(1)).over(so_far).alias("__rows"), F.coalesce(F.lead("year").over(so_far) - 1, F.col("year") + (longest - 1)).alias("__until"),
+        *series, "year", "doy", "cell", "lat", "lon", *[F.count_if(c).over(so_far).alias(n) for n, c in odd.items()],
+        F.sum(F.when(F.abs(v) < float("inf"), F.col("value"))).over(so_far).alias("__sum"), F.count("value").over(so_far).alias("__n"), F.count(F.lit(1)).over(so_far).alias("__rows"), F.coalesce(F.lead("year").over(so_far) - 1, F.col("year") + (longest - 1)).alias("__until"),
     )
     held = added.where(F.col("year") <= F.col("__until")).withColumn("year", F.explode(F.sequence("year", "__until")))
     parts = held.join(F.broadcast(ends), [*of, "year"]).groupBy(*by, "doy", "cell")
-    sums = [F.sum(F.col("__sign") * F.coalesce(c, F.lit(0))).alias(c) for c in ("__sum", "__n", "__rows")]
+    sums = [F.sum(F.col("__sign") * F.coalesce(c, F.lit(0))).alias(c) for c in ("__sum", "__n", "__rows", *odd)]
     g = parts.agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"), *sums).where("__rows > 0")
-    return g.select(*by, "doy", "cell", "lat", "lon", F.when(F.col("__n") > 0, F.col("__sum") / F.col("__n")).alias("value"))
+    mean = F.when((F.col("__nan") > 0) | ((F.col("__up") > 0) & (F.col("__down") > 0)), float("nan")).when(F.col("__up") > 0, float("inf")).when(F.col("__down") > 0, -float("inf")).when(F.col("__n") > 0, F.col("__sum") / F.col("__n"))
+    return g.select(*by, "doy", "cell", "lat", "lon", mean.alias("value"))
 
 
 def climate_normal(daily: DataFrame, window: int = WINDOW, min_years: int = MIN_YEARS, keys: tuple[str, ...] = ("variable",), first: int | None = None, last: int | None = None, readings: DataFrame | None = None) -> DataFrame:

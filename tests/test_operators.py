@@ -26,6 +26,18 @@ def test_nan_becomes_null_and_names_are_standard(spark):
     assert one(df).asDict() == {"geoid": "01001", "mean_temp_c": 2.0}
 
 
+def test_values_that_are_not_finite_spoil_their_own_windows(spark):
+    odd = {1960: float("inf"), 1995: -float("inf"), 2011: float("nan")}
+    rows = [("tas", y, 1, 0.0, 0.0, odd.get(y, 1.0)) for y in range(1950, 2060)]
+    daily = climatology.daily_climatology(spark.createDataFrame(rows, "variable string, year int, doy int, lat double, lon double, value double"), "value", ("variable", "year"), "calendar")
+    got = {r.target_year: r.value for r in climatology.climate_normal(daily, 30, 25).collect()}
+    for target, value in got.items():
+        held = [odd.get(y, 1.0) for y in range(max(1950, target - 29), min(2059, target) + 1)]
+        plain = sum(held) / len(held)
+        assert value == plain or (value != value and plain != plain), target
+    assert {str(v) for v in got.values()} == {"inf", "nan", "-inf", "1.0"} and len(got) > 80
+
+
 def test_longitudes(spark):
     df = spark.createDataFrame([(0.0,), (180.0,), (180.5,), (359.0,)], "x double")
     got = [(r[0], r[1]) for r in df.select(expr.lon_180(F.col("x")), expr.lon_360(expr.lon_180(F.col("x")))).collect()]
