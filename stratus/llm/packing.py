@@ -5,12 +5,12 @@ such a full piece is a sequence of its own. The rest of each document is assigne
 of least cost that has room. Where no sequence has room for a whole piece, the roomiest one takes as many 64-token blocks of it as
 fit and what remains queues again; only when less than a block fits anywhere is another sequence opened.
 
-Scale: documents are dealt by a hash of key and text into groups of about GROUP_DOCS, a number that follows the row count, and
-each group is packed alone. Only a row of numbers for each piece is shuffled, no tokens: the checksum of a piece that is cut
+Scale: the rests of documents are dealt by a hash of key, checksum and the place at which a task meets the row, into groups of about GROUP_DOCS, a number
+that follows the row count, and each group is packed alone; equal rows, however many and long, are spread like others. Full pieces are sequences already and
+go around the groups. Only a row of numbers for each piece is shuffled, no tokens: the checksum of a piece that is cut
 later follows from the checksums of its blocks.
 
-Edge cases: a null text is empty and holds the end token alone; a null key is dealt by its text; repeated rows are packed each, and
-dealt apart by where a task meets them, so that a row repeated without end fills no single group; ties
+Edge cases: a null text is empty and holds the end token alone; repeated rows are packed each; ties
 in length go by key, start and checksum; an empty table gives an empty result. Columns besides key and text are not read.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ CAPACITY = 2048
 BLOCK = 64
 END_ID = 1
 GROUP_DOCS = 4096
+FULL = 1 << 62
 LINEAR = 1.0
 QUADRATIC = 1.0 / 1024
 TOKENIZER = "byte_bpe_50k"
@@ -81,16 +83,17 @@ def token_ids(text: str | None, ranks_path: str | None = None) -> np.ndarray:
 def pieces(docs: DataFrame, groups: int, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, ranks_path: str | None = None) -> DataFrame:
     """The pieces of each document before packing, with the group that packs them."""
 
+    # A task's own, through all its slices.
+    met = count()
+
     def work(ids: list, texts: list) -> dict:
-        repeats: dict[str, int] = {}
         task = TaskContext.get()
+        place = task.partitionId() if task else 0
         out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "block_crcs", "bin")}
         for doc, body in zip(ids, texts, strict=True):
             tokens = token_ids(body, ranks_path)
             raw, n = tokens.tobytes(), len(tokens)
-            own = f"{doc}:{n}:{zlib.crc32(raw)}"
-            repeats[own] = again = repeats.get(own, -1) + 1
-            group = zlib.crc32(f"{own}:{task.partitionId() if task else 0}:{again}".encode() if again else own.encode()) % groups
+            group = zlib.crc32(f"{doc}:{zlib.crc32(raw)}:{place}:{next(met)}".encode()) % groups
             for a in range(0, n, capacity):
                 b = min(n, a + capacity)
                 blocks = b"" if b - a == capacity else np.array([zlib.crc32(raw[4 * i : 4 * min(b, i + BLOCK)]) for i in range(a, b, BLOCK)], dtype="<u4").tobytes()
@@ -171,18 +174,16 @@ def balance(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int
 def _pack_group(group: pa.Table) -> pa.Table:
     rows = sorted(group.to_pylist(), key=lambda r: (-r["length"], r["doc_id"] is None, r["doc_id"] or 0, r["start"], r["ids_crc32"]))
     base = rows[0]["bin"] << 32
-    full = [r for r in rows if r["length"] == CAPACITY]
-    part = [r for r in rows if r["length"] < CAPACITY]
-    out = [(r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"], base + k, 0) for k, r in enumerate(full)]
+    out = []
     filled: dict[int, int] = {}
-    for i, first, take, seq in balance([r["length"] for r in part]):
-        r = part[i]
+    for i, first, take, seq in balance([r["length"] for r in rows]):
+        r = rows[i]
         crc = r["ids_crc32"]
         if take < r["length"]:
             crc = joined_crc(np.frombuffer(r["block_crcs"], dtype="<u4")[first // BLOCK : -(-(first + take) // BLOCK)], take)
         offset = filled.get(seq, 0)
         filled[seq] = offset + take
-        out.append((r["doc_id"], r["start"] + first, take, crc, r["doc_tokens"], base + len(full) + seq, offset))
+        out.append((r["doc_id"], r["start"] + first, take, crc, r["doc_tokens"], base + seq, offset))
     cols = list(zip(*out, strict=True))
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return pa.table({n: pa.array(c, type=pa.int64()) for n, c in zip(names, cols, strict=True)})
@@ -191,11 +192,13 @@ def _pack_group(group: pa.Table) -> pa.Table:
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row a piece. Counts the rows first.
 
-    The pieces, rows of numbers, are written before they are grouped: where a repeated row goes depends on where a task meets it, and
-    a task that runs again after a loss might meet it elsewhere.
+    The pieces, rows of numbers, are written before they are grouped: where a row goes depends on where a task meets it, and
+    a task that runs again after a loss might meet it elsewhere. Sequences of full pieces are numbered from FULL on.
     """
     groups = max(1, docs.count() // GROUP_DOCS)
-    return cut_lineage(pieces(docs, groups, key, text, ranks_path=ranks_path)).groupBy("bin").applyInArrow(_pack_group, _PACKED)
+    made = cut_lineage(pieces(docs, groups, key, text, ranks_path=ranks_path))
+    full = made.where(F.col("length") == CAPACITY).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.monotonically_increasing_id() + FULL).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return full.unionByName(made.where(F.col("length") < CAPACITY).groupBy("bin").applyInArrow(_pack_group, _PACKED))
 
 
 def sequences(docs: DataFrame, packed: DataFrame, key: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:

@@ -122,6 +122,20 @@ def test_repeated_rows_are_dealt_apart(spark):
     assert sum(groups) == 2000 and len(groups) == 20 and max(groups) < 200
 
 
+def test_long_repeated_rows_are_dealt_apart(spark):
+    """Rows longer than a slice, each in one of its own: their rests go to many groups."""
+    df = spark.range(40).select(F.lit(1).cast("bigint").alias("doc_id"), F.repeat(F.lit("word "), F.lit(840_000)).alias("text")).repartition(4)
+    rests = bare_pieces(df, 16).where("length < 2048").groupBy("bin").count().collect()
+    assert sum(r["count"] for r in rests) == 40 and len(rests) >= 10
+
+
+def test_full_pieces_are_sequences_of_their_own(spark):
+    df = spark.createDataFrame([(i, "lorem ipsum dolor " * 4000) for i in range(6)], DOCS)
+    got = pack(df).collect()
+    full = [r for r in got if r.length == 2048 and r.sequence_id >= 1 << 62]
+    assert len({r.sequence_id for r in full}) == len(full) >= 6 and all(r.offset == 0 for r in full)
+
+
 def test_packing_round_trip(spark):
     rows = [(i, "lorem ipsum dolor sit amet " * (i * 7 % 90)) for i in range(120)] + [(500, "long text of words " * 3000), (501, None), (502, ""), (503, "same"), (504, "same")]
     df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("clash") for c in ("length", "start", "bin", "offset")})
