@@ -339,11 +339,15 @@ def _segments(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+#: An address in the forms that the exact pattern leaves: with a white space around its signs, with signs spelt out, without a dot after the at.
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+\s?(?:@|[\[(](?:at|AT)[\])])\s?[A-Za-z0-9-]+(?:\s?(?:\.|[\[(](?:dot|DOT)[\])])\s?[A-Za-z0-9-]+)*")
+
+
 def _holds(kind: str, s: str) -> bool:
     """Whether a span that the field proposes holds enough of its kind."""
     digits = _digits(s)
     if kind == "email":
-        return bool(re.search(r"[A-Za-z0-9]\s?(?:@|[\[(](?:at|AT)[\])])\s?[A-Za-z0-9]", s))
+        return bool(_ADDRESS.fullmatch(s))
     if kind == "ip":
         return bool(re.fullmatch(r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}|(?:[0-9]{1,3}\.){3}[0-9]{1,3}", s)) and (":" in s or all(int(p) <= 255 for p in s.split(".")))
     if kind == "card":
@@ -351,8 +355,8 @@ def _holds(kind: str, s: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search(r"[A-Za-z:/,$]", s) and bool(re.search(r"[() .-]", s))
 
 
-#: A piece of a run holds at most so many tokens; a card of 19 single digits fits.
-PIECE = 20
+#: A piece of a run spans at most so many characters: addresses are no longer by their standards, and of the 19 or 15 digits of numbers each may have five signs after it.
+REACH = {"email": 330, "ip": 64, "card": 120, "phone": 96}
 
 
 def _proposed(kind: str, text: str, run: list[tuple[int, int]]) -> tuple[int, int] | None:
@@ -376,7 +380,9 @@ def pieces(kind: str, text: str, run: list[tuple[int, int]]) -> list[tuple[int,
     for i in range(n - 1, -1, -1):
         best[i] = best[i + 1]
         lines = digits = 0
-        for j in range(i, min(n, i + PIECE)):
+        for j in range(i, n):
+            if run[j][1] - run[i][0] > REACH[kind]:
+                break
             lines += broken[j] if j > i else 0
             digits += len(_digits(text[run[j][0] : run[j][1]]))
             if digits > 19 and kind in ("card", "phone"):
