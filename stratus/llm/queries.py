@@ -1,6 +1,6 @@
 """Queries of the text operators, by name; __spark_entry__ adds them to its own.
 
-Hard negatives have SQL. The others have none: checksums, hashes, automata, draws and fitted models are beyond it. tests/llm holds each against a
+Spelling variants and hard negatives have SQL. The others have none: checksums, hashes, automata, draws and fitted models are beyond it. tests/llm holds each against a
 brute-force version, an exact round trip or held-out accuracy.
 """
 
@@ -18,7 +18,7 @@ from stratus.llm.quality import op7_boosted_quality
 from stratus.llm.sharding import op1_virtual_slots
 from stratus.llm.simhash import op6_multi_index_simhash
 from stratus.llm.tokencount import op2_longest_match_tokens
-from stratus.llm.variants import op12_errata_trie_variants
+from stratus.llm.variants import OP12_SQL, op12_errata_trie_variants
 
 
 def queries() -> dict:
@@ -27,4 +27,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op13_approximation_file_negatives.__name__: OP13_SQL}
+    return {op12_errata_trie_variants.__name__: OP12_SQL, op13_approximation_file_negatives.__name__: OP13_SQL}

@@ -252,3 +252,22 @@ def chain_ends(steps: DataFrame) -> DataFrame:
 def op12_errata_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with its near words counted, its form and its root."""
     return forms(words(table(spark, sf_dir, "documents"))).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP12_SQL = """with recursive shifted(k, v) as (select 0, list_transform(range(256), lambda i: i::bigint) union all select k + 1, list_transform(v, lambda c: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) from shifted where k < 8),
+crc as (select v as t from shifted where k = 8),
+runs as (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00c0-\u00ff]+')) as run from documents),
+lowered as (select coalesce(doc_id::varchar, '') as key, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from runs group by all),
+coded as (select *, hex(encode(key || ':' || run)) as raw from lowered where length(run) >= 6),
+hashed as (select run, n, xor(list_reduce(list_transform(range(0, length(raw) // 2), lambda i: ('0x' || substr(raw, 2 * i::int + 1, 2))::bigint), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint), 4294967295) as h from coded, crc),
+results as (select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n from hashed),
+words as (select word, sum(n)::bigint as n from results where length(word) >= 6 group by word having sum(n) >= 5),
+places as (select word, n, unnest(range(1, length(word) + 1))::int as i from words),
+cut as (select word, n, i, substr(word, 1, i - 1) as a, substr(word, i + 1) as b from places),
+pairs as (select x.word, y.word as near from cut x join cut y on x.i = y.i and x.a = y.a and x.b = y.b and x.word <> y.word
+  union select c.word, w.word from cut c join words w on w.word = c.a || c.b union select w.word, c.word from cut c join words w on w.word = c.a || c.b),
+ranked as (select p.word, p.near, f.n as near_n, count(*) over (partition by p.word) as n_near, row_number() over (partition by p.word order by f.n desc, p.near) as k from pairs p join words f on f.word = p.near),
+formed as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 5 * w.n then near end as form, case when near_n >= 5 * w.n then near_n end as form_n from words w left join ranked r on r.word = w.word and k = 1),
+chain(word, stop) as (select word, word from formed union all select c.word, f.form from chain c join formed f on f.word = c.stop where f.form is not null),
+roots as (select c.word, c.stop as root from chain c join formed f on f.word = c.stop where f.form is null)
+select word, form, root, n, n_near, form_n from formed join roots using (word)"""

@@ -113,6 +113,18 @@ def test_documents_against_brute_force(spark):
     assert sum(w[1] is not None for w in want) > 20 and len({w[2] for w in want}) > 10
 
 
+def test_the_query_agrees_with_its_sql(spark):
+    import duckdb
+
+    from stratus.llm.queries import oracle_sql
+
+    con = duckdb.connect()
+    con.sql("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    want = con.execute(oracle_sql()["op12_errata_trie_variants"]).fetchall()
+    rows = [tuple(r) for r in variants.op12_errata_trie_variants(spark, "/root/testdata/sf0.001").collect()]
+    assert sorted(rows, key=repr) == sorted(want, key=repr) and len(rows) > 500
+
+
 def test_damage_takes_one_character():
     struck = [(k, w) for k in range(4000) for w in ("example",) if zlib.crc32(f"{k}:{w}".encode()) % 199 == 0]
     assert struck and all(is_near(word_of(w, k), w) for k, w in struck) and word_of("example", 0) == "example"
