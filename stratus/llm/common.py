@@ -16,6 +16,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 SLICE_CHARS = 4_000_000
 #: Lists of ids are broadcast up to so many, counted; longer ones are shuffled.
 BROADCAST_IDS = 1_000_000
+#: Classes that hold more than this share of the rows, and more than HOT_LEAST, are few and go by broadcast.
+HOT_CLASSES = 500
+HOT_LEAST = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,19 +106,33 @@ def one_row_of_each_group(docs: DataFrame, rows: DataFrame, classes: DataFrame,
     linked = classes.join(roots.withColumnRenamed("node", "class"), "class").select("class", "best", "root")
     moved = linked.join(linked.groupBy("root").agg(F.min("best").alias("kept")), "root").select("class", "kept")
     kept = classes.join(moved, "class", "left").select("class", F.coalesce("kept.row", "row").alias("kept"))
-    # A text held by many rows is one class: rows are counted before they meet their class.
-    held = cut_lineage(rows.groupBy("class", "row").agg(F.count("*").alias("n")).join(kept, "class").where("n > 1 or row <> kept").select(F.col("row").alias("__row"), (F.col("row") != F.col("kept")).alias("surplus")))
+    # A text held by many rows is one class: rows are counted before they meet their class, and the few classes with a HOT_CLASSES-th of all rows meet theirs by broadcast.
+    counted = cut_lineage(rows.groupBy("class", "row").agg(F.count("*").alias("n")))
+    many = counted.groupBy("class").agg(F.count("*").alias("rows")).where(F.col("rows") > max(HOT_LEAST, counted.count() // HOT_CLASSES)).select("class")
+    many = F.broadcast(cut_lineage(many))
+    placed = counted.join(F.broadcast(kept.join(many, "class")), "class").unionByName(counted.join(many, "class", "left_anti").join(kept, "class"))
+    held = cut_lineage(placed.where("n > 1 or row <> kept").select(F.col("row").alias("__row"), (F.col("row") != F.col("kept")).alias("surplus")))
+
+    own = unused(docs, "__row")
 
     def listed(of: DataFrame) -> DataFrame:
-        of = of.select("__row").distinct()
+        of = of.select(F.col("__row").alias(own)).distinct()
         return F.broadcast(of) if of.count() <= BROADCAST_IDS else of.hint("shuffle_hash")
 
-    hashed = docs.withColumn("__row", row_hash(docs))
-    single = hashed.join(listed(held), "__row", "left_anti")
-    repeated = hashed.join(listed(held.where("not surplus")), "__row", "left_semi").dropDuplicates()
+    hashed = docs.withColumn(own, row_hash(docs))
+    single = hashed.join(listed(held), own, "left_anti")
+    repeated = hashed.join(listed(held.where("not surplus")), own, "left_semi").dropDuplicates()
     return single.unionByName(repeated).select(*docs.columns)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, made longer until no column has it (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(texts: list) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about SLICE_CHARS characters each; a longer text stands alone and whole."""
     start, held = 0, 0
