@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
-from stratus.llm.common import SLICE_CHARS, map_texts, table, texts_of
+from stratus.llm.common import SLICE_CHARS, parts_of, table, texts_of
 
 ALIGN = 64
 WIDTH = 64
@@ -488,6 +488,12 @@ def _looked_at(df: DataFrame, blob: str, declared: str | None, key: str, keep: t
     names = [n for n, _ in made]
     cols = df.select(*_columns(df, key, blob, keep, (*names, "media_type")), (F.col(declared) if declared else F.lit(None)).cast("string").alias("__declared"))
     schema = StructType([cols.schema["id"], *[StructField(n, t) for n, t in made], *[cols.schema[c] for c in keep]])
+    return cols.mapInArrow(_looker(keep, sniffed, carved, required), schema)
+
+
+def _looker(keep: tuple[str, ...], sniffed: bool, carved: bool, required: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task does with batches of (id, blob, columns to keep, declared type)."""
+    names = [n for n, _ in (_SNIFFED if sniffed else ()) + (_CARVED if carved else ())]
     types = {"declared": pa.string(), "media_type": pa.string(), "confirmed": pa.bool_(), "corrected": pa.bool_(), "embedded": _KINDS, "carved_type": pa.string(), "offset": pa.int64(), "media": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -509,7 +515,7 @@ def _looked_at(df: DataFrame, blob: str, declared: str | None, key: str, keep: t
                     yield pa.record_batch([own.column(0), *(pa.array([x[k] for x in out], types[n]) for k, n in enumerate(names)), *(own.column(2 + k) for k in range(len(keep)))], names=["id", *names, *keep])
                     rows, out, held = [], [], 0
 
-    return cols.mapInArrow(run, schema)
+    return run
 
 
 def sniff(df: DataFrame, blob: str = "blob", declared: str | None = None, key: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -585,31 +591,37 @@ ENVELOPE = (b"Content-Transfer-Encoding: binary\r\n\r\n", b"\r\n--end--\r\n")
 DECLARED = (UNKNOWN, "text/plain", "audio/wav", "image/png")
 
 
-def media_column(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, declared, blob: each text stored as media under a declared type, every fourth one in an envelope, as the checksum decides."""
+def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, blob, n_bytes, declared of batches of (key, text), a slice of bounded size at a time."""
+    for batch in batches:
+        for part in parts_of(batch, 1):
+            out: dict[str, list] = {"blob": [], "n_bytes": [], "declared": []}
+            for text in texts_of(part.column(1)):
+                choice = zlib.crc32(payload(text)) // 3
+                media = store(text)
+                out["n_bytes"].append(len((text or "").encode()))
+                out["declared"].append(DECLARED[choice % 4])
+                out["blob"].append(media if choice // 4 % 4 else ENVELOPE[0] + media + ENVELOPE[1])
+            yield pa.record_batch([part.column(0), pa.array(out["blob"], pa.binary()), pa.array(out["n_bytes"], pa.int64()), pa.array(out["declared"], pa.string())], names=["doc_id", "blob", "n_bytes", "declared"])
 
-    def work(ids: list, texts: list) -> dict:
-        out: dict[str, list] = {"n_bytes": [], "declared": [], "blob": []}
-        for text in texts:
-            choice = zlib.crc32(payload(text)) // 3
-            media = store(text)
-            out["n_bytes"].append(len((text or "").encode()))
-            out["declared"].append(DECLARED[choice % 4])
-            out["blob"].append(media if choice // 4 % 4 else ENVELOPE[0] + media + ENVELOPE[1])
-        return {"doc_id": ids, **out}
 
-    return map_texts(docs, key, text, "doc_id bigint, n_bytes bigint, declared string, blob binary", work)
+def media_column(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, blob, n_bytes, declared: each text stored as media under a declared type, every fourth one in an envelope, as the checksum decides."""
+    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_stored, "doc_id bigint, blob binary, n_bytes bigint, declared string")
 
 
 def op3_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text stored in a media column under types that are often wrong; sniffed, carved, and read back from what was carved."""
-    stored = media_column(table(spark, sf_dir, "documents"))
-    carved = sniff_and_carve(stored, "blob", "declared", "doc_id", ("n_bytes",), required=True)
+    """Every text stored in a media column under types that are often wrong; sniffed, carved, and read back from what was carved.
+
+    The steps of media_column() and sniff_and_carve() follow each other in one task, so that blobs aren't sent to and fro between them.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    look = _looker(("n_bytes",), True, True, True)
     schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
     names = [x.split(" ")[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in look(_stored(batches)):
             rows = []
             said = batch.select(["id", "carved_type", "offset", "n_bytes", "declared", "media_type", "confirmed", "corrected", "embedded"]).to_pylist()
             for x, cut in zip(said, batch.column("media"), strict=True):
@@ -620,4 +632,4 @@ def op3_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.record_batch([pa.array(c, pa.string() if n in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for n, c in zip(names, cols, strict=True)], names=names)
 
-    return carved.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
