@@ -2,7 +2,7 @@
 
 Tasks write below a folder of the job's own, each attempt in one of its own; only the driver's commit, after every task ended well,
 moves the files to their names, in place of what stood there. What a failed or repeated attempt wrote goes with the job's folder, so a job leaves all of its
-files or, where it fails before the commit, none. The folder may be in any store that pyarrow opens and that the driver and all executors see.
+files or, where it fails before the commit, none; attempts that still run when their job is given up write below the temporary folder at most, which file listings of Spark pass over. The folder may be in any store that pyarrow opens and that the driver and all executors see.
 mode("overwrite") clears the folder when it commits.
 """
 
