@@ -73,15 +73,18 @@ class Albers:
         c = m(s1) ** 2 + n * q(s1)
         return n, c, self.ellipsoid.a * math.sqrt(c - n * q(s0)) / n
 
-    def forward(self, lon: Column, lat: Column) -> Column:
-        """Struct x, y."""
+    def forward(self, lon: Column, lat: Column, wrapped: bool = True) -> Column:
+        """Struct x, y. Unless wrapped, longitudes run on past the cut opposite the origin and keep their place on the cone unrolled."""
         n, c, rho0 = self._constants()
         rho = self.ellipsoid.a * F.sqrt(F.greatest(c - n * _q(F.sin(F.radians(lat)), self.ellipsoid.e2), F.lit(0.0))) / n
-        theta = n * _turned(lon, self.lon0)
+        theta = n * (_turned(lon, self.lon0) if wrapped else F.radians(lon - self.lon0))
         return F.struct((rho * F.sin(theta)).alias("x"), (rho0 - rho * F.cos(theta)).alias("y"))
 
-    def inverse(self, x: Column, y: Column) -> Column:
-        """Struct lon, lat; null for what lies beyond a pole."""
+    def inverse(self, x: Column, y: Column, half_turn: Column | None = None) -> Column:
+        """Struct lon, lat; null for what lies beyond a pole.
+
+        Latitudes that run on past a pole fall on those of the same sine: half_turn, 0 from -90 to 90, 1 up to 270 and so on, says which is meant.
+        """
         n, c, rho0 = self._constants()
         e2, sign = self.ellipsoid.e2, math.copysign(1, n)
         away = rho0 - y
@@ -93,10 +96,13 @@ class Albers:
             w = 1 - e2 * s * s
             return phi + w * w / (2 * F.cos(phi)) * (q - _q(s, e2)) / (1 - e2)
 
-        phi = F.asin(F.greatest(F.lit(-1.0), F.least(q / 2, F.lit(1.0))))
+        # From the authalic latitude, which is right at the poles: steps from elsewhere only halve what is left there.
+        phi = F.asin(F.greatest(F.lit(-1.0), F.least(q / top, F.lit(1.0))))
         for _ in range(STEPS):
             phi = _let(phi, better)
         lat = F.when(F.abs(q) > top * (1 + 1e-12), F.lit(None)).when(F.abs(q) >= top * (1 - 1e-12), F.signum(q) * 90.0).otherwise(F.degrees(phi))
+        if half_turn is not None:
+            lat = half_turn * 180 + F.when(half_turn % 2 == 0, lat).otherwise(-lat)
         return F.struct(_degrees(F.atan2(sign * x, sign * away) / n, self.lon0).alias("lon"), lat.alias("lat"))
 
 

@@ -70,3 +70,13 @@ def test_reprojected_shapes(spark):
     assert null.x is None and null.y is None
     beyond = spark.createDataFrame([(0.0, 3.0e7)], "x double, y double").select(BY_CODE[5070].inverse(F.col("x"), F.col("y")).alias("p")).first().p
     assert beyond.lat is None
+
+
+def test_conic_places_at_the_pole_and_past_it(spark):
+    p = BY_REGION["CONUS"]
+    # Latitudes up to a hundredth of a degree from the pole, beyond it, and once around; longitudes beyond the cut at 84 east.
+    places = [(lon, lat) for lon in (-119.95, 83.95, 148.35) for lat in (88.05, 89.15, 89.95, 89.99, 90.05, 134.55, 269.95, 270.05, 293.25)]
+    df = spark.createDataFrame(places, "lon double, lat double").select("*", p.forward(F.col("lon"), F.col("lat"), wrapped=False).alias("p"))
+    for r in df.select("lon", "lat", p.inverse(F.col("p.x"), F.col("p.y"), F.floor((F.col("lat") + 90) / 180)).alias("q"), p.inverse(F.col("p.x"), F.col("p.y")).alias("near")).collect():
+        assert (r.q.lon, r.q.lat) == pytest.approx((r.lon, r.lat), abs=1e-9)
+        assert r.near.lat == pytest.approx(math.degrees(math.asin(math.sin(math.radians(r.lat)))), abs=1e-9)
