@@ -7,6 +7,7 @@ the area under an edge is the integral of the sine of the latitude along it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import atan2
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,9 @@ RADIUS_KM = 6371.0088
 #: Crossings nearer than this, in degrees, are one point.
 SNAP = 1e-9
 NODING_ROUNDS = 5
+#: Segments up to this many are compared all at once, more of them this many pairs at a time.
+FEW = 128
+PAIRS = 8192
 
 
 def ring_area_km2(ring: Column) -> Column:
@@ -106,55 +110,73 @@ def mended(counties: DataFrame, rings: str = "rings") -> DataFrame:
 
     Where rings cross, touch or run along each other they are cut; stretches that are passed an even number of times bound nothing and go, and
     so do spikes; the faces left are walked with the area on the left. Rings that are simple and apart come out as they are, but for direction,
-    first point and points that follow themselves. A null list stays null; an empty area is an empty list. A task holds one county's rings at a time.
+    first point and points that follow themselves. A null list stays null; an empty area is an empty list. Counties are dealt to the tasks of a
+    shuffle first, as a file of many small shapes may be one partition; a task has one county's rings as Python objects at a time.
     """
-    place = counties.columns.index(rings)
+    place, spark = counties.columns.index(rings), counties.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(place)
-            made = [None if r is None else [[{"lon": x, "lat": y} for x, y in ring] for ring in simple_rings([[(p["lon"], p["lat"]) for p in ring] for ring in r])] for r in column.to_pylist()]
-            yield batch.set_column(place, batch.schema.field(place), pa.array(made, column.type))
+            made = pa.concat_arrays([pa.array([one(r.as_py())], column.type) for r in column]) if len(column) else column
+            yield batch.set_column(place, batch.schema.field(place), made)
 
-    return counties.mapInArrow(run, counties.schema)
+    def one(r: list | None) -> list | None:
+        return None if r is None else [[{"lon": x, "lat": y} for x, y in ring] for ring in simple_rings([[(p["lon"], p["lat"]) for p in ring] for ring in r])]
+
+    return counties.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(run, counties.schema)
+
+
+def _boxed(low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """i, j of the pairs of segments whose boxes meet, in the order of their western sides and some thousands at a time."""
+    order = np.argsort(low[:, 0], kind="stable")
+    low, high = low[order], high[order]
+    if len(low) <= FEW:
+        meet = np.triu((low[None, :, 0] <= high[:, None, 0]) & (low[None, :, 1] <= high[:, None, 1]) & (high[None, :, 1] >= low[:, None, 1]), 1)
+        i, j = np.nonzero(meet)
+        yield order[i], order[j]
+        return
+    held, n = [], 0
+    ends = np.searchsorted(low[:, 0], high[:, 0], "right")
+    for rank in range(len(low)):
+        # Segments that begin further west were compared already.
+        js = np.arange(rank + 1, ends[rank])
+        js = js[(low[js, 1] <= high[rank, 1]) & (high[js, 1] >= low[rank, 1])]
+        held.append((np.full(len(js), rank), js))
+        n += len(js)
+        if n >= PAIRS or rank == len(low) - 1:
+            i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield order[i], order[j]
+            held, n = [], 0
 
 
 def _crossings(a: np.ndarray, b: np.ndarray) -> list[list[tuple[float, float]]]:
     """For each segment a[i] b[i] the points where others meet it, ends and stretches in common included."""
     found: list[list[tuple[float, float]]] = [[] for _ in a]
-    low, high = np.minimum(a, b) - SNAP, np.maximum(a, b) + SNAP
-    order = np.argsort(low[:, 0], kind="stable")
-    starts = low[order, 0]
-    for rank, i in enumerate(order):
-        # Segments that begin further west were compared already.
-        js = order[rank + 1 : np.searchsorted(starts, high[i, 0], "right")]
-        js = js[(low[js, 1] <= high[i, 1]) & (high[js, 1] >= low[i, 1])]
-        if not len(js):
-            continue
-        d, e, w = b[i] - a[i], b[js] - a[js], a[js] - a[i]
-        cross = d[0] * e[:, 1] - d[1] * e[:, 0]
-        aside = w[:, 0] * d[1] - w[:, 1] * d[0]
-        length = np.hypot(*d)
+    for i, j in _boxed(np.minimum(a, b) - SNAP, np.maximum(a, b) + SNAP):
+        d, e, w = b[i] - a[i], b[j] - a[j], a[j] - a[i]
+        cross = d[:, 0] * e[:, 1] - d[:, 1] * e[:, 0]
         with np.errstate(divide="ignore", invalid="ignore"):
-            t, u = (w[:, 0] * e[:, 1] - w[:, 1] * e[:, 0]) / cross, aside / cross
-            across = (np.abs(cross) > 1e-14 * length * np.hypot(e[:, 0], e[:, 1])) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-        for j, at in zip(js[across], t[across], strict=True):
-            point = tuple(a[i] + at * d)
-            found[i].append(point)
-            found[j].append(point)
+            t, u = (w[:, 0] * e[:, 1] - w[:, 1] * e[:, 0]) / cross, (w[:, 0] * d[:, 1] - w[:, 1] * d[:, 0]) / cross
+            across = (np.abs(cross) > 1e-14 * np.hypot(d[:, 0], d[:, 1]) * np.hypot(e[:, 0], e[:, 1])) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        points = a[i[across]] + t[across, None] * d[across]
+        for x, y, point in zip(i[across].tolist(), j[across].tolist(), map(tuple, points.tolist()), strict=True):
+            found[x].append(point)
+            found[y].append(point)
         # Ends that lie on the other segment, as those of collinear ones do.
-        for j in js:
-            for point, (p, q), k in ((a[j], (a[i], b[i]), i), (b[j], (a[i], b[i]), i), (a[i], (a[j], b[j]), j), (b[i], (a[j], b[j]), j)):
-                if _on(point, p, q):
-                    found[k].append(tuple(point))
+        for ends, k in ((a[j], i), (b[j], i), (a[i], j), (b[i], j)):
+            on = _on(ends, a[k], b[k])
+            for x, point in zip(k[on].tolist(), map(tuple, ends[on].tolist()), strict=True):
+                found[x].append(point)
     return found
 
 
-def _on(point: np.ndarray, p: np.ndarray, q: np.ndarray) -> bool:
-    d, w = q - p, point - p
-    n = float(d @ d)
-    t = float(w @ d) / n
-    return -SNAP <= t <= 1 + SNAP and abs(d[0] * w[1] - d[1] * w[0]) <= SNAP * n**0.5
+def _on(points: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether each point lies on its segment."""
+    d, w = q - p, points - p
+    n = d[:, 0] * d[:, 0] + d[:, 1] * d[:, 1]
+    t = (w[:, 0] * d[:, 0] + w[:, 1] * d[:, 1]) / n
+    return (t >= -SNAP) & (t <= 1 + SNAP) & (np.abs(d[:, 0] * w[:, 1] - d[:, 1] * w[:, 0]) <= SNAP * np.sqrt(n))
 
 
 def _noded(rings: list[list[tuple[float, float]]]) -> set[tuple]:
@@ -176,8 +198,7 @@ def _noded(rings: list[list[tuple[float, float]]]) -> set[tuple]:
         ends = np.array(held)
         cut: set[tuple] = set()
         for (p, q), met in zip(held, _crossings(ends[:, 0], ends[:, 1]), strict=True):
-            d = np.subtract(q, p)
-            stops = sorted({named(x) for x in met} | {p, q}, key=lambda x: float(np.subtract(x, p) @ d))
+            stops = sorted({named(x) for x in met} | {p, q}, key=lambda x: (x[0] - p[0]) * (q[0] - p[0]) + (x[1] - p[1]) * (q[1] - p[1]))  # noqa: B023
             for x, y in zip(stops, stops[1:], strict=False):
                 cut ^= {(min(x, y), max(x, y))}
         if cut == edges:
@@ -196,7 +217,7 @@ def simple_rings(rings: list[list[tuple[float, float]]]) -> list[list[tuple[floa
         around.setdefault(p, []).append(q)
         around.setdefault(q, []).append(p)
     for p, near in around.items():
-        near.sort(key=lambda q: np.arctan2(q[1] - p[1], q[0] - p[0]))
+        near.sort(key=lambda q: atan2(q[1] - p[1], q[0] - p[0]))  # noqa: B023
     ends = np.array(edges)
     out, walked = [], set()
     for start in [e for p, q in edges for e in ((p, q), (q, p))]:

@@ -144,3 +144,19 @@ def test_mended_tables(spark):
     assert got == {"tie": (2, pytest.approx(2.0), True), "fine": (1, pytest.approx(4.5), True), "none": (0, 0.0, False)}
     null = df.limit(1).withColumn("rings", F.when(F.lit(False), F.col("rings")))
     assert areas.mended(null).first().rings is None and areas.mended(df.limit(0)).count() == 0
+
+
+def test_many_shapes_of_one_partition_are_dealt_to_tasks(spark):
+    tie = [[(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0)]]
+    df = shapes(spark, **{f"{k:03d}": tie for k in range(200)}).coalesce(1)
+    tasks = areas.mended(df).select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 200
+
+
+def test_sweeps_find_what_all_pairs_find(monkeypatch):
+    r = random.Random(5)
+    ring = [(r.uniform(0, 10), r.uniform(0, 10)) for _ in range(40)]
+    whole = simple_rings([ring])
+    monkeypatch.setattr(areas, "FEW", 4)
+    monkeypatch.setattr(areas, "PAIRS", 7)
+    assert simple_rings([ring]) == whole and not crosses(whole)
