@@ -134,3 +134,30 @@ def test_numbers_are_whole_and_without_gaps(spark):
     same = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "geoid string, value double")
     pairs = spark.createDataFrame([("a", "b"), ("b", "a")], "geoid string, neighbour string")
     assert [(x.z, x.moran, x.p) for x in neighbours.local_moran(same, pairs, 9).collect()] == [(None, None, None)] * 2
+
+
+@pytest.mark.parametrize("block, lot, row_draws", [(1 << 15, 661, 4096), (16, 7, 20), (16, 7, 1)])
+def test_draws_are_those_of_the_hashes_and_travel_packed(spark, monkeypatch, block, lot, row_draws):
+    r = random.Random(4)
+    values = spark.createDataFrame([(f"{i}", r.random()) for i in range(120)], "geoid string, value double")
+    pairs = spark.createDataFrame([(f"{i}", f"{(i + d) % 120}") for i in range(120) for d in range(1, 3 + i % 5)], "geoid string, neighbour string")
+    for name, value in (("BLOCK", block), ("LOT", lot), ("ROW_DRAWS", row_draws)):
+        monkeypatch.setattr(neighbours, name, value)
+    got = neighbours.local_moran(values, pairs, 130).collect()
+    held = neighbours.local_moran(values, pairs)
+    known = neighbours.numbered(held.select("geoid", "z"))
+    drawn = held.join(known.drop("z"), "geoid").select("*", F.explode(F.sequence(F.lit(1), F.lit(130))).alias("permutation")).select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "neighbours")).alias("place"))
+    drawn = drawn.select("geoid", "z", "moran", "number", "permutation", F.pmod(F.xxhash64(F.lit(42), "geoid", "permutation", "place"), F.lit(119)).alias("k")).collect()
+    z = {x.number: x.z for x in known.collect()}
+    lags, own = {}, {}
+    for x in drawn:
+        lags.setdefault((x.geoid, x.permutation), []).append(z[x.k + (x.k >= x.number)])
+        own[x.geoid] = x.z, x.moran
+    above, below = dict.fromkeys(own, 0), dict.fromkeys(own, 0)
+    for (g, _), near in lags.items():
+        made = own[g][0] * sum(near) / len(near)
+        above[g] += made >= own[g][1]
+        below[g] += made <= own[g][1]
+    assert {x.geoid: x.p for x in got} == {g: pytest.approx((min(above[g], below[g]) + 1) / 131) for g in own}
+    plan = neighbours.local_moran(values, pairs, 130)._jdf.queryExecution().toString()
+    assert "slots" in plan and "offsets" in plan
