@@ -1,9 +1,10 @@
 """Near-duplicates by exact Jaccard similarity of word shingles, one row a group.
 
 Texts are alike when the sets of their five-word shingles (lower case, as in simhash) have a Jaccard similarity of 0.8 or more;
-groups are the components of that relation. A SimHash radius can't stand for it: at 0.8 fingerprints differ in some ten of 64
-bits. Candidates come from MinHash instead, in BANDS bands of ROWS minima, of which a pair at 0.8 shares one with a probability of
-1 - (1 - 0.8**5)**32, all but 3 in a million; every candidate pair is then verified on the complete sets.
+groups are the components of that relation. Candidates come by op6's method, multi-index SimHash: fingerprints of the shingle sets that
+simhash.links() finds within its two bits. That radius can't stand for the relation, as at 0.8 fingerprints differ in some ten of 64
+bits, so MinHash adds candidates to it, in BANDS bands of ROWS minima, of which a pair at 0.8 shares one with a probability of
+1 - (1 - 0.8**5)**32, all but 3 in a million. Every candidate pair of either kind is verified on the complete sets.
 
 Scale: equal shingle sets are one class before anything is linked. A bucket of at most HEADS classes is compared pair by pair. In
 a larger one every class is compared with the most central one; classes that end outside that one's component are taken as heads,
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratus.llm import simhash
 from stratus.llm.common import BROADCAST_IDS, cut_lineage, least_row, one_row_of_each_group, parts_of, row_hash, texts_of
 from stratus.llm.simhash import _LOWER, SEED, components
 
@@ -82,7 +84,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, row, class, bands of each row."""
+    """doc_id, row, class, fp (the set's fingerprint), bands of each row."""
     cols = docs.select(F.col(key).alias("doc_id"), row_hash(docs).alias("row"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +92,20 @@ def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
             for part in parts_of(batch, 2):
                 sets = [shingles(t) for t in texts_of(part.column(2))]
                 keys = pa.array([bands(s).tolist() for s in sets], pa.list_(pa.int64()))
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(map(class_of, sets), pa.int64()), keys], names=["doc_id", "row", "class", "bands"])
+                fps = np.array([simhash.majority(s) if len(s) else 0 for s in sets], dtype=np.uint64).astype(np.int64)
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(map(class_of, sets), pa.int64()), pa.array(fps), keys], names=["doc_id", "row", "class", "fp", "bands"])
 
-    return cols.mapInArrow(run, "doc_id bigint, row bigint, class bigint, bands array<bigint>")
+    return cols.mapInArrow(run, "doc_id bigint, row bigint, class bigint, fp bigint, bands array<bigint>")
+
+
+def by_fingerprint(classes: DataFrame) -> DataFrame:
+    """a, b: classes (class, fp) to compare, whose fingerprints multi-index hashing links; of those with one fingerprint the least stands for it."""
+    held = cut_lineage(classes.groupBy("fp").agg(F.min("class").alias("least"), F.count("*").alias("n")))
+    same = classes.join(held.where("n > 1"), "fp").where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b"))
+    near = simhash.links(held.select("fp"))
+    least = lambda c: held.select(F.col("fp").alias(c), F.col("least").alias(f"of_{c}")).hint("shuffle_hash")
+    linked = near.join(least("a"), "a").join(least("b"), "b").select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
+    return same.unionByName(linked)
 
 
 def _sets(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame:
@@ -123,11 +136,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def links(docs: DataFrame, classes: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """node, root: the components of the classes (class, row, bands) that are alike."""
+    """node, root: the components of the classes (class, row, fp, bands) that are alike."""
+    near = cut_lineage(by_fingerprint(classes.select("class", "fp")))
     entries = classes.select("class", F.explode("bands").alias("band")).repartition("band")
     sizes = entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     entries = cut_lineage(entries.join(sizes.hint("shuffle_hash"), "band").select("band", "class", "n"))
-    sets = cut_lineage(_sets(docs, text, classes.join(entries.select("class").distinct(), "class", "left_semi").select("row").distinct()))
+    compared = entries.select("class").union(near.select("a")).union(near.select("b")).distinct()
+    sets = cut_lineage(_sets(docs, text, classes.join(compared, "class", "left_semi").select("row").distinct()))
     small = entries.where(F.col("n") <= HEADS).groupBy("band").agg(F.collect_list("class").alias("xs"))
     pairs = small.select(F.explode("xs").alias("a"), "xs").select("a", F.explode("xs").alias("b")).where("a < b")
     large = entries.where(F.col("n") > HEADS).select("band", "class", "n")
@@ -135,7 +150,7 @@ def links(docs: DataFrame, classes: DataFrame, text: str = "text", similarity: f
     score = large.groupBy("class").agg(F.sum("n").alias("score"))
     middles = cut_lineage(large.join(score, "class").groupBy("band").agg(F.max(F.struct("score", "class")).alias("m")).select("band", F.col("m.class").alias("middle")))
     around = large.join(middles, "band").where("middle <> class").select(F.least("middle", "class").alias("a"), F.greatest("middle", "class").alias("b"))
-    edges = cut_lineage(_verified(pairs.union(around).distinct(), sets, similarity))
+    edges = cut_lineage(_verified(pairs.union(around).union(near).distinct(), sets, similarity))
     roots = cut_lineage(components(edges))
     if middles.isEmpty():
         return roots
@@ -187,5 +202,5 @@ def _across(rooted: DataFrame, heads: list, similarity: float) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of each group, with all its columns."""
     rows = cut_lineage(_sketches(docs, key, text))
-    classes = cut_lineage(rows.groupBy("class").agg(F.min(least_row()).alias("best"), F.first("bands").alias("bands")).select("class", "best", "best.row", "bands"))
+    classes = cut_lineage(rows.groupBy("class").agg(F.min(least_row()).alias("best"), F.first("fp").alias("fp"), F.first("bands").alias("bands")).select("class", "best", "best.row", "fp", "bands"))
     return one_row_of_each_group(docs, rows, classes, links(docs, classes, text, similarity))

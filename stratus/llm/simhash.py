@@ -62,9 +62,14 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
         ends = np.cumsum(lengths + 1) - 1
         starts = (ends - lengths)[:n].tolist()
         hashes = np.fromiter(map(xxh64_intdigest, [joined[a:b] for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], repeat(SEED)), dtype=np.uint64, count=n)
-    lanes = hashes.astype("<u8").view(np.uint8).reshape(n, 8) + _LANES
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as one unsigned number."""
+    lanes = hashes.astype("<u8").view(np.uint8).reshape(len(hashes), 8) + _LANES
     ones = np.bincount(lanes.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
-    set_bits = np.flatnonzero(ones.ravel() * 2 > n)
+    set_bits = np.flatnonzero(ones.ravel() * 2 > len(hashes))
     return sum(1 << int(b) for b in set_bits)
 
 

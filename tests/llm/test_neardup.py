@@ -99,3 +99,20 @@ def test_classes_of_many_rows_go_by_broadcast(spark, monkeypatch):
     rows = [(i, ("same text of five words", "another text of six words here", f"own {i}")[min(i % 4, 2)], "en") for i in range(60)] + [(None, "same text of five words", "en")] * 5
     kept = sorted((str(r.doc_id), r.text) for r in drop_near_duplicates(spark.createDataFrame(rows, COLUMNS)).collect())
     assert kept == sorted([("0", "same text of five words"), ("1", "another text of six words here"), *((str(i), f"own {i}") for i in range(60) if i % 4 > 1)])
+
+
+def test_candidates_come_from_fingerprints_too(spark, monkeypatch):
+    """Without any band in common copies that differ in few bits are found by multi-index SimHash, and unlike texts with equal bits are told apart."""
+    r = random.Random(8)
+    base = [r.choice("abcdefghijklmnopqrstuvwxyz") * r.randrange(1, 9) + str(r.randrange(10**6)) for _ in range(4000)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(["other", *base[1:]])), (3, " ".join(reversed(base)))], "doc_id bigint, text string")
+    rows = neardup._sketches(docs, "doc_id", "text").withColumn("bands", F.array().cast("array<bigint>"))
+    classes = rows.select("class", "row", "fp", "bands")
+    fps = {x.doc_id: x.fp & (2**64 - 1) for x in rows.collect()}
+    assert bin(fps[1] ^ fps[2]).count("1") <= 2
+    of = {x.doc_id: x["class"] for x in rows.collect()}
+    roots = {x.node: x.root for x in neardup.links(docs, classes).collect()}
+    assert roots == {of[1]: min(of[1], of[2]), of[2]: min(of[1], of[2])}
+    same = classes.withColumn("fp", F.lit(5).cast("bigint"))
+    assert {(min(x.a, x.b), max(x.a, x.b)) for x in neardup.by_fingerprint(same).collect()} == {(min(of.values()), c) for c in of.values() if c != min(of.values())}
+    assert {x.node for x in neardup.links(docs, same).collect()} <= {of[1], of[2]}
