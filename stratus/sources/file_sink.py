@@ -3,7 +3,7 @@
 Tasks write below a folder of the job's own, each attempt in one of its own; only the driver's commit, after every task ended well,
 moves the files to their names, in place of what stood there. What a failed or repeated attempt wrote goes with the job's folder, so a job leaves all of its
 files or, where it fails before the commit, none; attempts that still run when their job is given up write below the temporary folder at most, which file listings of Spark pass over. The folder may be in any store that pyarrow opens and that the driver and all executors see.
-mode("overwrite") clears the folder when it commits.
+mode("overwrite") clears the folder when it commits. Rows (name, part, content) are pieces: those of a file follow each other in one task and are appended.
 """
 
 from __future__ import annotations
@@ -42,15 +42,23 @@ class FileWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, base = store_of(self.path)
-        attempt, names = uuid.uuid4().hex, []
-        for batch in iterator:
-            for name, content in zip(batch.column("name"), batch.column("content"), strict=True):
-                name = _checked(name.as_py())
-                target = f"{base}/{self.job}/{attempt}/{name}"
-                store.create_dir(target.rpartition("/")[0], recursive=True)
-                with store.open_output_stream(target) as out:
+        attempt, names, out = uuid.uuid4().hex, [], None
+        try:
+            for batch in iterator:
+                pieces = "part" in batch.schema.names
+                for name, content in zip(batch.column("name"), batch.column("content"), strict=True):
+                    name = _checked(name.as_py())
+                    if out is None or not pieces or name != names[-1]:
+                        if out is not None:
+                            out.close()
+                        target = f"{base}/{self.job}/{attempt}/{name}"
+                        store.create_dir(target.rpartition("/")[0], recursive=True)
+                        out = store.open_output_stream(target)
+                        names.append(name)
                     out.write(content.as_py())
-                names.append(name)
+        finally:
+            if out is not None:
+                out.close()
         return Written(attempt, names)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -103,8 +111,9 @@ class FileSink(DataSource):
         return "name string, content binary"
 
     def writer(self, schema, overwrite: bool) -> FileWriter:
-        if {f.name: f.dataType.simpleString() for f in schema} != {"name": "string", "content": "binary"}:
-            raise ValueError("rows must have name (string) and content (binary)")
+        given = {f.name: f.dataType.simpleString() for f in schema}
+        if given not in ({"name": "string", "content": "binary"}, {"name": "string", "part": "bigint", "content": "binary"}):
+            raise ValueError("rows must have name (string) and content (binary), pieces of files also part (bigint)")
         return FileWriter(self.options["path"], overwrite)
 
 
@@ -112,3 +121,10 @@ def write_files(files: DataFrame, path: str, mode: str = "append") -> None:
     """Files (name, content) below a folder, all or none."""
     files.sparkSession.dataSource.register(FileSink)
     files.select("name", "content").write.format("stratus_files").mode(mode).save(path)
+
+
+def write_pieces(pieces: DataFrame, path: str, mode: str = "append") -> None:
+    """Files put together from their pieces (name, part, content) in the order of part, all or none; a task streams a file and holds some pieces."""
+    pieces.sparkSession.dataSource.register(FileSink)
+    ordered = pieces.select("name", "part", "content").repartition("name").sortWithinPartitions("name", "part")
+    ordered.write.format("stratus_files").mode(mode).save(path)

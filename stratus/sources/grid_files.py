@@ -6,14 +6,17 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 #: Fixed value: the format's own number for a missing double.
 MISSING = 9.969209968386869e36
+#: Doubles of a file that one group makes.
+PIECE = 1 << 16
 
 
-def grid_file(variable: str, times: np.ndarray, lats: np.ndarray, lons: np.ndarray, values: np.ndarray, units: str = "days since 1850-01-01", calendar: str = "noleap") -> bytes:
-    """A file of one record variable (time, lat, lon) of doubles; NaN is written as missing."""
+def grid_head(variable: str, steps: int, lats: np.ndarray, lons: np.ndarray, units: str = "days since 1850-01-01", calendar: str = "noleap") -> bytes:
+    """What stands before the records of a file: header, lat and lon."""
 
     def name(s: str) -> bytes:
         raw = s.encode()
@@ -30,7 +33,7 @@ def grid_file(variable: str, times: np.ndarray, lats: np.ndarray, lons: np.ndarr
         return out
 
     n_lat, n_lon = len(lats), len(lons)
-    head = b"CDF\x02" + struct.pack(">i", len(times)) + struct.pack(">ii", 10, 3) + b"".join(name(d) + struct.pack(">i", n) for d, n in (("time", 0), ("lat", n_lat), ("lon", n_lon))) + attributes()
+    head = b"CDF\x02" + struct.pack(">i", steps) + struct.pack(">ii", 10, 3) + b"".join(name(d) + struct.pack(">i", n) for d, n in (("time", 0), ("lat", n_lat), ("lon", n_lon))) + attributes()
     step = 8 * n_lat * n_lon
     specs = [
         ("lat", [1], attributes(units="degrees_north"), 8 * n_lat),
@@ -44,10 +47,14 @@ def grid_file(variable: str, times: np.ndarray, lats: np.ndarray, lons: np.ndarr
 
     start = len(head) + len(variables([0] * 4))
     records = start + 8 * (n_lat + n_lon)
-    body = np.asarray(lats, ">f8").tobytes() + np.asarray(lons, ">f8").tobytes()
-    cells = np.where(np.isnan(values), MISSING, values).reshape(len(times), n_lat * n_lon)
+    return head + variables([start, start + 8 * n_lat, records, records + 8]) + np.asarray(lats, ">f8").tobytes() + np.asarray(lons, ">f8").tobytes()
+
+
+def grid_file(variable: str, times: np.ndarray, lats: np.ndarray, lons: np.ndarray, values: np.ndarray, units: str = "days since 1850-01-01", calendar: str = "noleap") -> bytes:
+    """A file of one record variable (time, lat, lon) of doubles; NaN is written as missing."""
+    cells = np.where(np.isnan(values), MISSING, values).reshape(len(times), len(lats) * len(lons))
     both = np.concatenate([np.asarray(times, float)[:, None], cells], axis=1).astype(">f8").tobytes()
-    return head + variables([start, start + 8 * n_lat, records, records + 8]) + body + both
+    return grid_head(variable, len(times), lats, lons, units, calendar) + both
 
 
 def grid_files(cells: DataFrame, units: str = "days since 1850-01-01", calendar: str = "noleap") -> DataFrame:
@@ -69,8 +76,48 @@ def grid_files(cells: DataFrame, units: str = "days since 1850-01-01", calendar:
     return cells.select("name", "variable", "time", "lat", "lon", "value").groupBy("name").applyInArrow(run, "name string, content binary")
 
 
+def grid_pieces(cells: DataFrame, units: str = "days since 1850-01-01", calendar: str = "noleap") -> DataFrame:
+    """name, part, content: the files of grid_files() in pieces, to be put together in the order of part.
+
+    A file's records are one sequence of doubles: of each step the time and then its cells. Cells get their places in it by joins with the numbered
+    coordinates of the axes, and PIECE places make a group; a file's axes alone are gathered in one task.
+    """
+    axes = ("time", "lat", "lon")
+    held = cells.select("name", "variable", *[F.coalesce(F.col(a).cast("double"), F.lit(float("nan"))).alias(a) for a in axes], F.col("value").cast("double").alias("value"))
+    files = held.groupBy("name").agg(F.first("variable").alias("variable"), *[F.sort_array(F.collect_set(a)).alias(f"{a}s") for a in axes])
+    width = F.size("lats").cast("bigint") * F.size("lons") + 1
+    of_file = files.select("name", "times", width.alias("width"), (width * F.size("times")).alias("total"))
+    times = of_file.select("name", "width", F.posexplode("times").alias("t", "value")).select("name", (F.col("t") * F.col("width")).alias("at"), "value")
+    # A row for each piece, as one may have no cell.
+    every = of_file.select("name", "total", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("total") - 1) / PIECE))).alias("part")).select("name", "part", F.least(F.lit(PIECE).cast("bigint"), F.col("total") - F.col("part") * PIECE).alias("size"))
+    for a in axes:
+        numbered = files.select("name", F.posexplode(f"{a}s").alias(f"__{a}", a), F.size(f"{a}s").alias(f"__of_{a}"))
+        held = held.join(numbered, ["name", a])
+    n_lat, n_lon = F.col("__of_lat").cast("bigint"), F.col("__of_lon")
+    placed = held.select("name", (F.col("__time") * (n_lat * n_lon + 1) + 1 + F.col("__lat") * n_lon + F.col("__lon")).alias("at"), "value").unionByName(times)
+    placed = placed.select("name", F.floor(F.col("at") / PIECE).alias("part"), (F.col("at") % PIECE).cast("int").alias("at"), "value")
+
+    def piece(group: pa.Table) -> pa.Table:
+        sizes = group["size"].drop_null()
+        out = np.full(sizes[0].as_py(), np.nan)
+        cells = group.filter(group["at"].is_valid()).sort_by("value")
+        out[cells["at"].to_numpy()] = cells["value"].to_numpy()
+        raw = np.where(np.isnan(out), MISSING, out).astype(">f8").tobytes()
+        return pa.table({"name": group["name"].slice(0, 1), "part": group["part"].slice(0, 1), "content": pa.array([raw], pa.binary())})
+
+    def heads(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                raw = grid_head(r["variable"], r["steps"], np.array(r["lats"]), np.array(r["lons"]), units, calendar)
+                yield pa.record_batch([pa.array([r["name"]]), pa.array([-1], pa.int64()), pa.array([raw], pa.binary())], names=["name", "part", "content"])
+
+    schema = "name string, part bigint, content binary"
+    made = placed.unionByName(every, allowMissingColumns=True).groupBy("name", "part").applyInArrow(piece, schema)
+    return files.select("name", "variable", F.size("times").alias("steps"), "lats", "lons").mapInArrow(heads, schema).unionByName(made)
+
+
 def write_grids(cells: DataFrame, path: str, mode: str = "append") -> None:
-    """The files of grid_files() below a folder, all or none."""
-    from stratus.sources.file_sink import write_files
+    """The files of grid_files() below a folder, all or none; made in pieces, so that no task holds a file."""
+    from stratus.sources.file_sink import write_pieces
 
-    write_files(grid_files(cells), path, mode)
+    write_pieces(grid_pieces(cells), path, mode)

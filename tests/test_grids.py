@@ -113,3 +113,19 @@ def test_the_optional_library_is_used_where_it_is(tmp_path, monkeypatch):
     f = grid_source.opened(io.BytesIO(b"\x89HDF\r\n\x1a\n" + bytes([9]) + bytes(90)))
     batch = next(grid_source.decoded(f, "p", Wanted()))
     assert batch.column("value").to_pylist() == [2.0, None] and batch.column("variable").to_pylist() == ["tas", "tas"]
+
+
+@pytest.mark.parametrize("piece", [1 << 16, 7])
+def test_files_in_pieces_are_the_whole_ones(spark, tmp_path, monkeypatch, piece):
+    """Also where pieces have no cell, cells come twice or have no value, and files differ in their axes."""
+    from stratus.sources import grid_files
+
+    monkeypatch.setattr(grid_files, "PIECE", piece)
+    rows = [(f"{n}.nc", "tas", float(t), float(i), float(j), 100.0 * t + 10 * i + j) for n, k in (("a", 5), ("b", 3)) for t in range(3) for i in range(k) for j in range(4) if (i, j) in ((0, 0), (4, 3), (2, 1)) or i == j]
+    rows += [("a.nc", "tas", 1.0, 0.0, 0.0, 900.0), ("a.nc", "tas", 2.0, 2.0, 1.0, None), ("b.nc", "tas", 9.0, 0.0, 0.0, float("nan"))]
+    cells = spark.createDataFrame(rows, "name string, variable string, time double, lat double, lon double, value double").repartition(3)
+    grid_files.write_grids(cells, str(tmp_path / "out"))
+    whole = {r.name: bytes(r.content) for r in grid_files.grid_files(cells).collect()}
+    assert {p.name: p.read_bytes() for p in (tmp_path / "out").rglob("*.nc")} == whole
+    sizes = [len(r.content) for r in grid_files.grid_pieces(cells).where("part >= 0").collect()]
+    assert max(sizes) <= 8 * piece and (piece > 7 or len(sizes) > 10)
