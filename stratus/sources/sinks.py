@@ -5,15 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Shuffled bytes for which a task writes, at most. Rows of few values take some thirty times that where they are sorted by partition.
+TASK_BYTES = 8 << 20
+_ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 NORMAL_KEYS = ("variable", "region", "period_type", "target_year")
 
 
 def write_normals(df: DataFrame, path: str, keys: tuple[str, ...] = NORMAL_KEYS) -> None:
     """One folder a normal; only the partitions that df holds are replaced, so a run can be repeated.
 
-    Rows are brought together by partition before writing, spread over several files where one is large.
+    Rows are brought together by partition before writing, spread over tasks and files of about TASK_BYTES where one is large; the session's
+    advised size is set to that for the time of the write.
     """
-    df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_ADVISED, None)
+    conf.set(_ADVISED, str(TASK_BYTES))
+    try:
+        df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    finally:
+        conf.unset(_ADVISED) if before is None else conf.set(_ADVISED, before)
 
 
 def write_climatology(df: DataFrame, path: str, keys: tuple[str, ...] = ("variable", "scenario", "year")) -> None:

@@ -244,3 +244,16 @@ def test_entry_without_the_text_operators():
     import __spark_entry__ as e
 
     assert "climate_normal" in e.queries() and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stratus.sources import sinks
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    df = spark.range(3_000_000).select(F.lit("tas").alias("variable"), F.lit("CONUS").alias("region"), F.rand(1).alias("value"))
+    sinks.write_normals(df, str(tmp_path / "out"), ("variable", "region"))
+    assert len(list((tmp_path / "out/variable=tas/region=CONUS").glob("*.parquet"))) > 2
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3_000_000 and spark.conf.get(name) == before
